@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import bpe, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op6_simhash": op6_simhash}
+    return {"op6_simhash": op6_simhash, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
