@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash
+from . import bpe, simhash, telephony
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +20,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telephony.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op6_simhash": op6_simhash, "op10_bpe": op10_bpe}
+    return {"op6_simhash": op6_simhash, "op8_telephony": op8_telephony, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
