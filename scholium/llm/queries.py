@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash, telephony
+from . import bpe, language, simhash, telephony
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs)).drop("spans")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -25,7 +30,7 @@ def op8_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op6_simhash": op6_simhash, "op8_telephony": op8_telephony, "op10_bpe": op10_bpe}
+    return {"op6_simhash": op6_simhash, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
