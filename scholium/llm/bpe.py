@@ -2,8 +2,8 @@
 
 The vocabulary is that of a tokenizer file with word ends (NFC, lower case, white space dropped, words and symbol runs
 apart, digits one by one). Words are counted over all documents; the most frequent ones are compiled, with their ids,
-into a minimal acyclic transducer that each worker memory-maps. A word that the lexicon lacks is merged pair by pair,
-lowest rank first. Results do not depend on which words are in the lexicon.
+into a minimal acyclic transducer that each worker memory-maps. A word that the lexicon lacks is merged pair by pair
+from its bytes. Results do not depend on which words are in the lexicon.
 
 Texts with a character whose properties changed since Unicode 3.2, or one of the special tokens' strings, go through
 the tokenizers library as a whole, since versions of Unicode tables could differ there.
@@ -14,7 +14,6 @@ are nothing special. Other columns are ignored.
 
 from __future__ import annotations
 
-import heapq
 import json
 import re
 import struct
@@ -38,7 +37,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Words in the lexicon at most: what bounds the compiled file, and so what is sent to workers (some 2 MB).
 LEXICON_WORDS = 50_000
 #: Distinct words that a worker keeps at hand at most.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
 #: Words that a counting task holds before it passes its counts on.
 COUNTED_WORDS = 300_000
 
@@ -55,8 +54,8 @@ def _ranges(chosen: list[int]) -> str:
 
 
 @lru_cache(1)
-def _patterns() -> tuple[re.Pattern, re.Pattern]:
-    """What finds a character that isn't settled, and what finds words in settled text."""
+def _patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """What finds a character that isn't settled, what finds words in settled text, and the same for Latin-1 text."""
     old = unicodedata.ucd_3_2_0
     settled, letters, numbers = [], [], []
     for c in range(sys.maxunicode + 1):
@@ -67,8 +66,12 @@ def _patterns() -> tuple[re.Pattern, re.Pattern]:
                 letters.append(c)
             elif kind[0] == "N":
                 numbers.append(c)
-    letter, number = _ranges(letters), _ranges(numbers)
-    return re.compile(f"[^{_ranges(settled)}]"), re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^\\s{letter}{number}]+")
+
+    def words(last: int) -> re.Pattern:
+        letter, number = (_ranges([c for c in x if c <= last]) for x in (letters, numbers))
+        return re.compile(f"[{letter}]+|'(?:s|t|re|ve|m|ll|d)|[{number}]|[^\\s{letter}{number}]+")
+
+    return re.compile(f"[^{_ranges(settled)}]"), words(sys.maxunicode), words(0xFF)
 
 
 @lru_cache(1)
@@ -86,10 +89,10 @@ class Bpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        self.end = model["end_of_word_suffix"]
-        self.vocab: dict[str, int] = model["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.token = {i: t for t, i in self.vocab.items()}
-        self.rank = {tuple(m): (n, m[0] + m[1]) for n, m in enumerate(model["merges"])}
+        vocab: dict[str, int] = model["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.token = [""] * (max(vocab.values()) + 1)
+        for t, i in vocab.items():
+            self.token[i] = t
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -97,54 +100,22 @@ class Bpe:
 
     def words(self, text: str) -> list[str] | None:
         """The words of a text; None if only the library can tell them."""
-        unsettled, word = _patterns()
+        unsettled, word, latin = _patterns()
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
-            if unsettled.search(text):
-                return None
-            text = text.replace("Σ", "σ")  # each character by itself: no final form
-        elif re.search("[\x1c-\x1f]", text):
-            return None
-        if "<|" in text and any(s in text for s in self.special):
+        if unsettled.search(text) or "<|" in text and any(s in text for s in self.special):
             return None
-        return word.findall(text.lower())
+        text = text.replace("Σ", "σ").lower()  # each character by itself: no final form
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return word.findall(text)
+        return latin.findall(text)
 
     def merge(self, word: str) -> list[int]:
-        """The ids of one word: adjacent symbols merge, lowest rank first and from the left among equals."""
+        """The ids of one word, merged pair by pair from its bytes by the library's model."""
         chars = _byte_chars()
-        symbols = [chars[b] for b in word.encode("utf-8", "surrogatepass")]
-        symbols[-1] += self.end
-        n, rank = len(symbols), self.rank
-        if n <= 64:  # short enough to look for the lowest rank in a list
-            no = (len(rank), "")
-            near = [rank.get(pair, no) for pair in zip(symbols, symbols[1:])]
-            while near and (low := min(near)) is not no:
-                i = near.index(low)
-                symbols[i : i + 2] = [low[1]]
-                del near[i]
-                if i < len(near):
-                    near[i] = rank.get((symbols[i], symbols[i + 1]), no)
-                if i:
-                    near[i - 1] = rank.get((symbols[i - 1], symbols[i]), no)
-            return [self.vocab[s] for s in symbols]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r[0], i, symbols[i], symbols[i + 1]) for i in range(n - 1) if (r := rank.get((symbols[i], symbols[i + 1])))]
-        heapq.heapify(heap)
-        while heap:
-            _, i, left, right = heapq.heappop(heap)
-            j = after[i]
-            if symbols[i] != left or j >= n or symbols[j] != right:
-                continue  # one of the two is part of another symbol by now
-            symbols[i], symbols[j] = rank[left, right][1], ""
-            after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-                if r := rank.get((symbols[i], symbols[k])):
-                    heapq.heappush(heap, (r[0], i, symbols[i], symbols[k]))
-            h = before[i]
-            if h >= 0 and (r := rank.get((symbols[h], symbols[i]))):
-                heapq.heappush(heap, (r[0], h, symbols[h], symbols[i]))
-        return [self.vocab[s] for s in symbols if s]
+        return [t.id for t in self.library.model.tokenize("".join([chars[b] for b in word.encode("utf-8", "surrogatepass")]))]
 
     def decode(self, ids: Iterable[int]) -> str:
         """What the file's decoding gives: the tokens with a space between."""
@@ -160,20 +131,18 @@ class _Memo(dict):
     """ids as little-endian 32-bit numbers by word; the lexicon answers first, merging after it."""
 
     def __init__(self, model: Bpe, lexicon: Lexicon) -> None:
-        self.model, self.lexicon, self.decoded = model, lexicon, {}
+        self.model, self.lexicon = model, lexicon
 
     def __missing__(self, word: str) -> bytes:
         ids = self.lexicon.get(word)
         if ids is None:
             ids = self.model.merge(word)
-        self.decoded[word] = self.model.decode(ids)
         found = self[word] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
     def rest(self) -> None:
         if len(self) > MEMO_WORDS:
             self.clear()
-            self.decoded.clear()
 
 
 @lru_cache(2)
@@ -228,7 +197,7 @@ def encode(docs: DataFrame, text: str = "text", id: str = "doc_id", path: str |
                 else:
                     memo.rest()
                     raw = b"".join(map(memo.__getitem__, words))
-                    back = " ".join(map(memo.decoded.__getitem__, words))
+                    back = model.decode(np.frombuffer(raw, dtype="<u4").tolist())
                 counts.append(len(raw) // 4)
                 ids.append(raw)
                 decoded.append(back)
