@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, simhash, telephony
+from . import bpe, language, simhash, telephony, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -30,7 +35,7 @@ def op8_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op6_simhash": op6_simhash, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
+    return {"op4_toxicity": op4_toxicity, "op6_simhash": op6_simhash, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
