@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, simhash, telephony, toxicity
+from . import bpe, decontaminate, language, simhash, telephony, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,8 +39,29 @@ def op8_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_toxicity": op4_toxicity, "op6_simhash": op6_simhash, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
+    return {"op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_simhash": op6_simhash, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
+
+
+OP5_SQL = r"""
+with words as (
+    select 'd' as side, row_number() over () as row, doc_id as id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') as w from documents where text is not null
+    union all
+    select 'i', row_number() over (), item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') from benchmark where text is not null
+), items as (
+    select row, id, least(5, len(w)) as width, w from words where side = 'i' and len(w) > 0
+), item_shingles as (
+    select distinct row, id, width, array_to_string(w[p : p + width - 1], ' ') as s from items, unnest(range(1, len(w) - width + 2)) as t(p)
+), sizes as (
+    select row, id, count(*) as n_shingles from item_shingles group by all
+), doc_shingles as (
+    select distinct d.row, d.id, k.width, array_to_string(d.w[p : p + k.width - 1], ' ') as s
+    from words d, (select distinct width from items) k, unnest(range(1, len(d.w) - k.width + 2)) as t(p) where d.side = 'd'
+)
+select d.id as doc_id, i.id as item_id, any_value(z.n_shingles) as n_shingles, count(*) as n_common, count(*) / any_value(z.n_shingles) as containment
+from doc_shingles d join item_shingles i on d.s = i.s and d.width = i.width join sizes z on z.row = i.row
+group by d.row, d.id, i.row, i.id having count(*) >= 0.8 * any_value(z.n_shingles) - 1e-9
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_decontaminate": OP5_SQL}
