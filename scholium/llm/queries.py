@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, simhash, telephony, toxicity
+from . import bpe, decontaminate, language, linededup, simhash, telephony, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,12 +34,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
 def op8_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telephony.digests(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_simhash": op6_simhash, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
+    return {"op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_simhash": op6_simhash, "op7_linededup": op7_linededup, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
 
 
 OP5_SQL = r"""
