@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, linededup, simhash, telephony, toxicity
+from . import bpe, decontaminate, language, licenses, linededup, simhash, telephony, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -43,7 +47,7 @@ def op8_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_simhash": op6_simhash, "op7_linededup": op7_linededup, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
+    return {"op1_licenses": op1_licenses, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_simhash": op6_simhash, "op7_linededup": op7_linededup, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
 
 
 OP5_SQL = r"""
@@ -68,4 +72,4 @@ group by d.row, d.id, i.row, i.id having count(*) >= 0.8 * any_value(z.n_shingle
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontaminate": OP5_SQL}
+    return {"op1_licenses": licenses.scan_sql(), "op5_decontaminate": OP5_SQL}
