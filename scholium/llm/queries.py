@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, extraction, language, licenses, linededup, simhash, telephony, toxicity
+from . import bpe, decontaminate, extraction, language, licenses, linededup, simhash, telephony, tokenids, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op3_tokenids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenids.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -51,7 +55,7 @@ def op8_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_licenses": op1_licenses, "op2_extraction": op2_extraction, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_simhash": op6_simhash, "op7_linededup": op7_linededup, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
+    return {"op1_licenses": op1_licenses, "op2_extraction": op2_extraction, "op3_tokenids": op3_tokenids, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_simhash": op6_simhash, "op7_linededup": op7_linededup, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
 
 
 OP5_SQL = r"""
