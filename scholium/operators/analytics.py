@@ -138,7 +138,7 @@ def dips(counts: DataFrame, group: str, step: str = "year", n: str = "n", few: i
 def under_cap(rows: DataFrame, group: str, order: str, cost: Column, cap: float) -> DataFrame:
     """Rows of each group for which the cost before them is under the cap."""
     before = F.coalesce(F.sum(cost).over(Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return rows.withColumn("cost_before", F.round(before, 6)).filter(before < cap)
+    return rows.withColumn("_before", before).filter(F.col("_before") < cap).withColumn("cost_before", F.round("_before", 6)).drop("_before")
 
 
 def trends(before: DataFrame, after: DataFrame, key: str, n: str = "n", growth: float = 1.5, fresh: int = 10) -> DataFrame:

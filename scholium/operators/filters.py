@@ -39,7 +39,7 @@ RELEVANCE = {"primary": 0, "methodological": 1, "peripheral": 2, "not_relevant":
 def has_term(text: Column, terms: Iterable[str] = TERMS, whole_words: bool = False) -> Column:
     """Whether a text has any of the terms, in either case; within words too unless whole_words."""
     some = "|".join(dict.fromkeys(re.escape(t.lower()).replace("\\ ", " ").replace("\\-", "-") for t in terms))
-    return F.lower(text).rlike(rf"\b(?:{some})\b" if whole_words else some)
+    return F.lower(text).rlike(rf"(?:^|[^\p{{L}}\p{{N}}_])(?:{some})(?:$|[^\p{{L}}\p{{N}}_])" if whole_words else some)
 
 
 def keyword_filter(papers: DataFrame, title: str = "title", abstract: str = "abstract", terms: Iterable[str] = TERMS) -> DataFrame:

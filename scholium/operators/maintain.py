@@ -27,7 +27,8 @@ def update_preprints(master: DataFrame, fresh: DataFrame, key: str = "doi") -> D
     kind = F.coalesce("publication_type", F.lit("")).isin("preprint", "posted-content")
     candidate = (status == "preprint") | (kind & F.nullif(F.col(key), F.lit("")).isNotNull())
     change = candidate & F.col("_venue").isNotNull() & ~F.col("_venue").eqNullSafe(F.col("venue"))
-    return met.withColumn("updated", change).withColumn("publication_status", F.when(change, "published").otherwise(F.col("publication_status"))).withColumn("venue", F.when(change, F.col("_venue")).otherwise(F.col("venue"))).drop("_k", "_venue")
+    met = met.withColumn("updated", change)
+    return met.withColumn("publication_status", F.when(F.col("updated"), "published").otherwise(F.col("publication_status"))).withColumn("venue", F.when(F.col("updated"), F.col("_venue")).otherwise(F.col("venue"))).drop("_k", "_venue")
 
 
 def fill_abstracts(master: DataFrame, fresh: DataFrame, key: str = "doi", most: int = 200, seed: str = "0") -> DataFrame:

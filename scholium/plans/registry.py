@@ -1,21 +1,21 @@
-"""Every query of the reference's own operators, by name, with its SQL."""
+"""Every query of the library's general operators, by name, with its SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
+from . import figures, matching, records  # noqa: F401  they register their queries
+from .base import QUERIES, SQL, Query
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+    """New papers by title fingerprint, kept once, that speak of the subject, counted by language."""
+    return matching.q_flagship(spark, sf_dir)
