@@ -109,7 +109,7 @@ RULES = [
 ]
 ANCHORS = ["licen", "rights reserved", "hereby granted", "permi", "warrant", "liable", "redistribut", "gnu general public", "public domain", "under the", "under ", "version"]
 COMMENT = r"\n[ \t]*(//+|/\*+|\*+/?|#+|--+|;+)[ \t]?"
-ENDS = [(r"([.!?;:])\s+", True), (r"\n\s*\n", False), (r"\n(\s*\p{Lu}\p{Ll})", False)]
+ENDS = [(r"([.!?;])\s+", True), (r"\n\s*\n", False), (r"\n(\s*\p{Lu}\p{Ll})", False)]
 CUT = "\x1e"
 
 
@@ -128,7 +128,7 @@ LENGTHS = (8, 1000)
 
 
 def _pattern(ids: list[str]) -> str:
-    return ";" + ";".join(i.replace(".", r"\.") for i in ids) + ";"
+    return ";" + ";;".join(i.replace(".", r"\.") for i in ids) + ";"
 
 
 def _table(known: dict[str, str]) -> Column:
