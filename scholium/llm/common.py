@@ -1,10 +1,7 @@
-"""What the corpus operators share: shared storage, table reading, text cells."""
+"""What the corpus operators share: table reading, held-out rows, text cells."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -13,61 +10,12 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
-
+from ..storage import stored  # noqa: F401
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    A local master may do without; it then gets a temporary folder, since driver and executors are one process.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not getattr(shared_dir, "own", None):
-        shared_dir.own = "file://" + tempfile.mkdtemp(prefix="scholium-")
-    return shared_dir.own
-
-
-def _remove_written() -> None:
-    for spark, path in _WRITTEN:
-        try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # noqa: BLE001  the session may be gone; the folder is then the cluster's to clear
-            pass
-
-
-atexit.register(_remove_written)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends here, and a lost executor costs a reread at most."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _WRITTEN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_stored(df: DataFrame) -> None:
-    """Delete the folder behind a frame that stored() returned, once nothing reads it any more."""
-    spark = df.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        known = [x for x in _WRITTEN if x[1].rsplit("/", 1)[-1] == path.rsplit("/", 1)[-1]]
-        if known:
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(known[0][1])
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-            _WRITTEN.remove(known[0])
-
-
 def held_out(doc_id: Column) -> Column:
     """True for the rows that no model may learn from: crc32 of the id as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -121,7 +121,8 @@ def frames(docs: DataFrame, text: str = "text", id: str = "doc_id", path: str |
             yield done()
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    order = ("doc_id", F.xxhash64("text"))  # the hash lets rows of one id, or none, be split
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     return ordered.mapInArrow(run, schema)
 
 
