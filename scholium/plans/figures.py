@@ -120,7 +120,7 @@ def q_neighbor_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with c as (select conv_id, turn, coalesce(sum(length(text) // 4 * 0.01) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), 0) as b from conversations)
+with c as (select conv_id, turn, coalesce(sum(cast(length(text) // 4 as double) * 0.01) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), 0.0) as b from conversations)
 select conv_id, turn, round(b, 6) as cost_before from c where b < 1.0
 """)
 def q_cost_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
