@@ -36,10 +36,27 @@ TERMS = PRIMARY_TERMS + SECONDARY_TERMS
 RELEVANCE = {"primary": 0, "methodological": 1, "peripheral": 2, "not_relevant": 3, "unknown": 4, "error": 5}
 
 
+def one_of(words: Iterable[str]) -> str:
+    """A pattern for any of some words, in which those that begin alike share their beginning."""
+
+    def branch(tails: list[str]) -> str:
+        heads: dict[str, list[str]] = {}
+        for t in tails:
+            if t:
+                heads.setdefault(t[0], []).append(t[1:])
+        parts = [(c if c.isalnum() or c in " -" else re.escape(c)) + (branch(rest) if rest != [""] else "") for c, rest in heads.items()]
+        whole = parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+        return f"(?:{whole})?" if "" in tails else whole
+
+    return branch(sorted(set(words)))
+
+
 def has_term(text: Column, terms: Iterable[str] = TERMS, whole_words: bool = False) -> Column:
     """Whether a text has any of the terms, in either case; within words too unless whole_words."""
-    some = "|".join(dict.fromkeys(re.escape(t.lower()).replace("\\ ", " ").replace("\\-", "-") for t in terms))
-    return F.lower(text).rlike(rf"(?:^|[^\p{{L}}\p{{N}}_])(?:{some})(?:$|[^\p{{L}}\p{{N}}_])" if whole_words else some)
+    low = {t.lower() for t in terms}
+    if whole_words:
+        return F.lower(text).rlike(rf"(?:^|[^\p{{L}}\p{{N}}_]){one_of(low)}(?:$|[^\p{{L}}\p{{N}}_])")
+    return F.lower(text).rlike(one_of(t for t in low if not any(u in t for u in low - {t})))  # a part tells of the whole
 
 
 def keyword_filter(papers: DataFrame, title: str = "title", abstract: str = "abstract", terms: Iterable[str] = TERMS) -> DataFrame:
