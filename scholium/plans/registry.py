@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import figures, matching, records  # noqa: F401  they register their queries
+from . import figures, matching, records, upkeep  # noqa: F401  they register their queries
 from .base import QUERIES, SQL, Query
 
 
