@@ -19,8 +19,9 @@ def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
     By a minimum for each key and a semi join, not a window: a hot key's rows are never sorted in one task.
     """
-    first = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(F.struct(*order)).alias("_first"))
-    same = F.struct(*order) == F.col("_first")
+    place = rows[order[0]] if len(order) == 1 else F.struct(*order)  # a single column can be aggregated by hash
+    first = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(place).alias("_first"))
+    same = place == F.col("_first")
     for i, k in enumerate(keys):
         same &= rows[k].eqNullSafe(F.col(f"_k{i}"))
     return rows.join(first, same, "left_semi")
