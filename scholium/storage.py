@@ -23,8 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
     return shared_dir.own
 
 
-def _remove_written() -> None:
-    for spark, path in _WRITTEN:
+def clear() -> None:
+    """Delete all that stored() wrote so far; frames that read it can't be used any more. Runs when the driver ends."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
         try:
             target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
@@ -32,7 +34,7 @@ def _remove_written() -> None:
             pass
 
 
-atexit.register(_remove_written)
+atexit.register(clear)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
