@@ -37,7 +37,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Words in the lexicon at most: what bounds the compiled file, and so what is sent to workers (some 2 MB).
 LEXICON_WORDS = 50_000
 #: Distinct words that a worker keeps at hand at most.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 500_000
 #: Words that a counting task holds before it passes its counts on.
 COUNTED_WORDS = 300_000
 
@@ -145,7 +145,7 @@ class _Memo(dict):
             self.clear()
 
 
-@lru_cache(2)
+@lru_cache(1)  # workers outlive tasks: one lexicon's words are enough to keep
 def _memo(path: str, compiled: bytes) -> _Memo:
     return _Memo(bpe(path), Lexicon(compiled))
 
