@@ -1,23 +1,22 @@
-"""Line dedup by winnowing over line hashes, in DataFrame operations only.
+"""Line dedup by shared windows of lines, in DataFrame operations only.
 
 Lines end at line feeds, and also before a capitalised word that follows a space, so that a passage which was set into
-another line is still made of the same lines. Of each window of WINDOW lines the one with the smallest hash is a
-fingerprint (lines under SHORT bytes only where there is no other; the last of equals), and so is each line of LONG
-bytes or more: every run of LEAST bytes or more has a fingerprint, either since it has WINDOW lines or since one of
-its fewer lines is long.
-
-Documents are ordered by id, and lines within them. Each fingerprint is joined with its first occurrence of all; a
-pair whose neighbours differ on both sides can't be part of a longer run and goes. A pair gives a source document and
-a distance between positions; along it the lines of both documents are compared both ways, as far as they reach, and
-each run of equal lines of LEAST bytes or more is deleted from the later place. What a line is deleted for stands
-earlier, so one copy of everything stays.
-
-Hot lines: first occurrences are aggregated map-side, and each join has one row a key on one side, so that the other
-can be split. What a task holds of a document is its line hashes.
-
-Null texts and ids: such rows stay as they are and are not compared. Empty texts are one empty line; blank lines are no
-fingerprints. Rows with the same id are one document, whose lines are those of either row: a repeated row keeps what
-its original keeps. Texts and ids only are read; deduplicated() keeps other columns whatever their names.
+another line is still made of the same lines; they are equal if they are without white space around them. From each
+line on, and back from each line, the shortest run of LEAST bytes is a window. Any line of a run of LEAST bytes that
+stands earlier too is in a window that stands earlier, so windows need no choice and no run is lost: each window is
+joined with its first occurrence of all, documents in order of id and lines in order, and its lines go if that is
+another place. What a line is deleted for stands earlier, so one copy of everything stays.
+
+A line has the bytes it has, or those without the white space around it and one for its end: windows of both measures
+are made, so that copies with other white space are found by the second one. The end of a text counts as a line's end.
+Blank lines are lines like others.
+
+Hot windows: numbers and first documents are aggregated map-side, and each join has one row a key on one side, so that
+the other can be split. What a task holds of a document is its windows, at most four a line, none of over LEAST lines.
+
+Null texts and ids: such rows stay as they are and are not compared. Empty texts are one empty line. Rows with the
+same id are one document, whose lines are those of either row: a repeated row keeps what its original keeps. Texts and
+ids only are read; deduplicated() keeps other columns whatever their names.
 """
 
 from __future__ import annotations
@@ -27,8 +26,11 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-WINDOW = 3
 LEAST = 160
+#: Lines that are looked at first for the end of a window.
+NEAR = 6
+#: Of the winnowing that windows replaced; the tests' model of it reads them.
+WINDOW = 3
 SHORT = 16
 LONG = -(-LEAST // (WINDOW - 1))
 BOUNDARY = r"(?<=\n)|(?<= )(?=\p{Lu}\p{Ll})"
@@ -38,74 +40,91 @@ def _lines(text: Column) -> Column:
     return F.split(text, BOUNDARY, -1)
 
 
-def _hashes(lines: Column) -> Column:
-    return F.transform(lines, lambda x: F.xxhash64(F.btrim(x, F.lit(" \t\r\n"))))
+def _plain(lines: Column) -> Column:
+    return F.transform(lines, lambda x: F.btrim(x, F.lit(" \t\r\n")))
+
+
+def _length(n: Column, i: Column) -> Column:
+    """How many of the sizes from i on make LEAST bytes; null if all together do not."""
+    full = LEAST * 256
+
+    def within(lines: int) -> Column:
+        step = lambda s, x: F.when(s >= full, s).otherwise(s + F.least(x, F.lit(LEAST)) * 256 + 1)  # noqa: E731  bytes and lines so far
+        return F.aggregate(F.slice(n, i + 1, lines), F.lit(0), step, lambda s: F.when(s >= full, s % 256))
+
+    return F.coalesce(within(NEAR), within(LEAST))
+
+
+def _spans(n: str) -> Column:
+    """Windows by the sizes in column n: 256 times the first line, and the number of lines."""
+    every = F.sequence(F.lit(0), F.size(n) - 1)
+    size = F.size(n)
+    ahead = F.transform(every, lambda i: i.cast("long") * 256 + _length(F.col(n), i))
+    back = lambda i, k: (size - i - k).cast("long") * 256 + k
+    behind = F.transform(F.transform(every, lambda i: F.struct(i.alias("i"), _length(F.col(f"{n}_back"), i).alias("k"))), lambda w: back(w["i"], w["k"]))
+    return F.array_union(ahead, behind)
+
+
+def _once(value: str, use) -> Column:
+    """use(value), with value through an array, or Spark would make it again for each window."""
+    return F.get(F.transform(F.array(F.col(value)), use), 0)
+
+
+def _key(h: Column, span: Column) -> Column:
+    return F.xxhash64(F.slice(h, F.shiftright(span, 8).cast("int") + 1, span.bitwiseAND(F.lit(255)).cast("int")))
 
 
 def prepared(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """(doc_id, h, positions, big): line hashes, fingerprints' positions, and whether each is a run by itself."""
+    """(doc_id, spans, keys): the windows of each document."""
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
     split = rows.select("doc_id", _lines(F.col("text")).alias("line"))
-    hashed = split.select("doc_id", _hashes(F.col("line")).alias("h"), F.transform("line", F.octet_length).alias("n"))
-    ranked = hashed.withColumn("rank", F.transform("h", lambda x, i: F.struct((F.get("n", i) < SHORT).alias("short"), x.alias("hash"), (-i).alias("at"))))
-    minima = F.transform(F.sequence(F.lit(1), F.greatest(F.size("rank") - (WINDOW - 1), F.lit(1))), lambda i: -F.array_min(F.slice("rank", i, WINDOW))["at"])
-    long = F.filter(F.sequence(F.lit(0), F.size("n") - 1), lambda i: F.get("n", i) >= LONG)
-    chosen = ranked.select("doc_id", "h", "n", F.array_union(minima, long).alias("positions"))
-    full = F.filter("positions", lambda i: F.get("h", i) != F.xxhash64(F.lit("")))
-    kept = chosen.select("doc_id", "h", "n", full.alias("positions"))
-    return kept.select("doc_id", "h", "positions", F.transform("positions", lambda i: F.get("n", i) >= LEAST).alias("big"))
-
-
-def pairs(lines: DataFrame) -> DataFrame:
-    """(doc_id, source, distances) from prepared() rows: where earlier occurrences of a document's fingerprints are."""
-    each = lines.select("doc_id", "h", F.explode(F.arrays_zip("positions", "big")).alias("e")).select("doc_id", "h", F.col("e.positions").alias("at"), F.col("e.big").alias("big"))
-    near = lambda d: F.get("h", F.col("at") + d).bitwiseAND(F.lit(0xFFFF)).cast("int")  # noqa: E731  enough to part most
-    marks = each.select("doc_id", "at", "big", F.get("h", "at").alias("hash"), near(-1).alias("before"), near(1).alias("after"))
-    firsts = marks.groupBy("hash").agg(F.min(F.struct("doc_id", "at", "before", "after")).alias("first"), F.count(F.lit(1)).alias("times"))
-    firsts = stored(firsts.filter("times > 1").select("hash", "first"), "line-firsts")  # so that hot hashes can be split in the join
-    met = marks.join(firsts, "hash").filter("(doc_id <> first.doc_id or at <> first.at) and (big or before = first.before or after = first.after)")
-    return met.groupBy("doc_id", F.col("first.doc_id").alias("source")).agg(F.collect_set(F.col("first.at") - F.col("at")).alias("distances"))
-
-
-def _runs(h: Column, n: Column, source: Column, distance: Column) -> Column:
-    """Runs of equal lines of LEAST bytes or more along a distance, as structs of first and last line."""
-    low = F.greatest(F.lit(0), -distance)
-    high = F.least(F.size(h), F.size(source) - distance)
-    apart = F.filter(F.sequence(low, high - 1), lambda i: F.get(h, i) != F.get(source, i + distance))
-    cuts = F.concat(F.array(low - 1), apart, F.array(high))
-    between = lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: F.struct((a + 1).alias("a"), (b - 1).alias("b")))
-    size = lambda r: F.aggregate(F.slice(n, r["a"] + 1, r["b"] - r["a"] + 1), F.lit(0), lambda s, x: s + x)
-    long = lambda c: F.filter(between(c), lambda r: (r["b"] >= r["a"]) & (size(r) >= LEAST))
-    return F.when(high > low, F.get(F.transform(F.array(cuts), long), 0))  # through an array, so that cuts are made once
+    plain = split.select("doc_id", "line", _plain(F.col("line")).alias("plain"))
+    sized = plain.select("doc_id", F.transform("plain", lambda x: F.xxhash64(x)).alias("h"), F.transform("plain", lambda x: F.octet_length(x) + 1).alias("n"), F.transform("line", F.octet_length).alias("raw"))
+    wide = sized.withColumn("wide", F.zip_with("n", "raw", lambda a, b: F.greatest(a, b))).drop("raw")
+    turned = wide.withColumns({"n_back": F.reverse("n"), "wide_back": F.reverse("wide")})
+    spans = F.when(F.col("n") == F.col("wide"), _spans("n")).otherwise(F.array_union(_spans("n"), _spans("wide")))
+    found = turned.select("doc_id", "h", F.filter(spans, lambda x: x.isNotNull()).alias("spans"))
+    return found.select("doc_id", "spans", _once("h", lambda h: F.transform("spans", lambda x: _key(h, x))).alias("keys"))
+
+
+def repeats(windows: DataFrame) -> DataFrame:
+    """(doc_id, key, span) from prepared() rows: windows whose first occurrence is elsewhere."""
+    each = windows.select("doc_id", F.explode(F.arrays_zip("spans", "keys")).alias("e")).select("doc_id", F.col("e.spans").alias("span"), F.col("e.keys").alias("key"))
+    firsts = each.groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("times"))
+    firsts = stored(firsts.filter("times > 1").select("key", "first"), "line-firsts")  # so that hot windows can be split in the join
+    met = stored(each.join(firsts, "key"), "line-repeats")
+    own = met.filter("doc_id = first")
+    start = own.groupBy("key").agg(F.min("span").alias("start"), F.max("span").alias("last")).filter("start < last").select("key", "start")
+    again = own.join(start, "key").filter("span > start")
+    return met.filter("doc_id > first").select("doc_id", "key", "span").union(again.select("doc_id", "key", "span"))
 
 
 def repeated(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """docs with its columns as one struct `row`, and where earlier places hold lines of it, its `line`s and `runs`: the repeated runs of lines."""
-    lines = stored(prepared(docs, text, id), "line-hashes")
-    found = pairs(lines).join(lines.select(F.col("doc_id").alias("source"), F.col("h").alias("lines")), "source")
-    of_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("distances", "lines")).alias("sources")).withColumnRenamed("doc_id", "_id")
+    """docs with its columns as one struct `row`, and where earlier places hold lines of it, its `line`s and `gone`: the places of those that go."""
+    windows = stored(prepared(docs, text, id), "line-windows")
+    of_doc = repeats(windows).groupBy("doc_id").agg(F.collect_list(F.struct("key", "span")).alias("spans")).withColumnRenamed("doc_id", "_id")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id).cast("long").alias("id"))
     met = rows.join(of_doc, F.col("id") == F.col("_id"), "left")
-    split = met.select("row", "sources", F.when(F.col("sources").isNotNull(), _lines(F.col("row")[text])).alias("line"))
-    measured = split.select("row", "line", "sources", _hashes(F.col("line")).alias("h"), F.transform("line", F.octet_length).alias("n"))
-    of_source = lambda s: F.flatten(F.transform(s["distances"], lambda d: F.coalesce(_runs(F.col("h"), F.col("n"), s["lines"], d), F.array().cast("array<struct<a:int,b:int>>"))))
-    return measured.select("row", "line", F.flatten(F.transform("sources", of_source)).alias("runs"))
+    split = met.select("row", "spans", F.when(F.col("spans").isNotNull(), _lines(F.col("row")[text])).alias("line"))
+    hashed = split.select("row", "line", "spans", F.transform(_plain(F.col("line")), lambda x: F.xxhash64(x)).alias("h"))
+    own = _once("h", lambda h: F.filter("spans", lambda s: s["key"] == _key(h, s["span"])))  # another row may have the same id
+    first = lambda s: F.shiftright(s["span"], 8).cast("int")
+    places = F.transform(own, lambda s: F.sequence(first(s), first(s) + s["span"].bitwiseAND(F.lit(255)).cast("int") - 1))
+    return hashed.select("row", "line", F.array_distinct(F.flatten(places)).alias("gone"))
 
 
-def _deleted(i: Column) -> Column:
-    return F.exists("runs", lambda r: (i >= r["a"]) & (i <= r["b"]))
+def _kept(text: str) -> Column:
+    stay = F.array_except(F.sequence(F.lit(0), F.size("line") - 1), F.col("gone"))
+    return F.when(F.col("gone").isNull(), F.col("row")[text]).otherwise(F.array_join(F.transform(stay, lambda i: F.get("line", i)), ""))
 
 
 def deduplicated(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """docs without repeated runs: the same rows and columns, with shorter texts."""
-    kept = F.when(F.col("runs").isNull(), F.col("row")[text]).otherwise(F.array_join(F.filter("line", lambda x, i: ~_deleted(i)), ""))
-    done = repeated(docs, text, id).select("row", kept.alias("kept"))
+    done = repeated(docs, text, id).select("row", _kept(text).alias("kept"))
     return done.select(*[(F.col("kept") if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """(doc_id, n_deleted, text): how many lines of each text go, and what stays."""
     found = repeated(docs, text, id)
-    gone = F.when(F.col("runs").isNull(), F.array().cast("array<int>")).otherwise(F.filter(F.sequence(F.lit(0), F.size("line") - 1), _deleted))
-    kept = F.when(F.col("runs").isNull(), F.col("row")[text]).otherwise(F.array_join(F.filter("line", lambda x, i: ~_deleted(i)), ""))
-    return found.select(F.col("row")[id].alias("doc_id"), F.size(gone).alias("n_deleted"), kept.alias("text"))
+    return found.select(F.col("row")[id].alias("doc_id"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("n_deleted"), _kept(text).alias("text"))
