@@ -93,12 +93,11 @@ def linked(keys: np.ndarray, fps: np.ndarray, radius: int, pivots: np.ndarray =
         return i[near], j[near]
 
     def join(i: np.ndarray, j: np.ndarray) -> None:
-        while len(i):
+        while len(i):  # labels are roots here, and only a root is moved: what it stands for comes along
             a, b = label[i], label[j]
-            low = np.minimum(a, b)
-            np.minimum.at(label, a, low)
-            np.minimum.at(label, b, low)
-            label[:] = label[label]
+            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+            while not np.array_equal(up := label[label], label):
+                label[:] = up
             open_ = label[i] != label[j]
             i, j = i[open_], j[open_]
 
@@ -115,8 +114,6 @@ def linked(keys: np.ndarray, fps: np.ndarray, radius: int, pivots: np.ndarray =
             if apart.any():
                 join(*survivors(i[apart], j[apart]))
         shift += 1
-    while not np.array_equal(label, label[label]):
-        label[:] = label[label]
     return label
 
 
