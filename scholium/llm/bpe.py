@@ -5,11 +5,16 @@ apart, digits one by one). Words are counted over all documents; the most freque
 into a minimal acyclic transducer that each worker memory-maps. A word that the lexicon lacks is merged pair by pair
 from its bytes. Results do not depend on which words are in the lexicon.
 
-Texts with a character whose properties changed since Unicode 3.2, or one of the special tokens' strings, go through
-the tokenizers library as a whole, since versions of Unicode tables could differ there.
+Texts with a character whose properties, or whose lower case's properties, changed since Unicode 3.2, or one of the
+special tokens' strings, go through the tokenizers library as a whole, since versions of Unicode tables could differ.
 
-Null and empty texts have no ids and decode to the empty text. Each row gets its result; repeated rows and null ids
-are nothing special. Other columns are ignored.
+Which words are the most frequent is found from histograms of bounded size, and only the lexicon's own words reach the
+driver. Each worker maps the lexicon from an unnamed file of its own, made from the broadcast: nothing that another
+worker, or a worker that takes over a lost one's tasks, would need.
+
+Null and empty texts have no ids and decode to the empty text; an empty table gives an empty result. Texts are taken
+whole, whatever their length, in slices of bounded size. Each row gets its result; repeated rows and null ids are
+nothing special. Words that are equally frequent go into the lexicon in the order of a hash. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import text_list, text_slices
+from .common import stored, text_list, text_slices
 from .lexicon import Lexicon, compile_lexicon
 
 VOCABULARY = "word_bpe_49k.json"
@@ -58,10 +63,16 @@ def _patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
     """What finds a character that isn't settled, what finds words in settled text, and the same for Latin-1 text."""
     old = unicodedata.ucd_3_2_0
     settled, letters, numbers = [], [], []
+
+    def same(ch: str) -> bool:
+        kind = unicodedata.category(ch)
+        return kind not in ("Cn", "Cs", "Co") and kind == old.category(ch) and not "\x1c" <= ch <= "\x1f" and ch != "\x85"
+
     for c in range(sys.maxunicode + 1):
-        kind = unicodedata.category(ch := chr(c))
-        if kind not in ("Cn", "Cs", "Co") and kind == old.category(ch) and not 0x1C <= c <= 0x1F and c != 0x85:
+        ch = chr(c)
+        if all(map(same, ch + ch.lower())):
             settled.append(c)
+            kind = unicodedata.category(ch)
             if kind[0] == "L":
                 letters.append(c)
             elif kind[0] == "N":
@@ -173,10 +184,32 @@ def word_counts(docs: DataFrame, text: str = "text", path: str | None = None) ->
 
 
 def frequent_words(docs: DataFrame, text: str = "text", path: str | None = None, most: int = LEXICON_WORDS) -> bytes:
-    """The compiled lexicon of the words that are most frequent in docs; ties go by the word."""
+    """The compiled lexicon of the words that are most frequent in docs, `most` at most.
+
+    A histogram of counts tells where to cut; of the words there, which are equally frequent to ten bits, those with
+    the smallest hashes are taken, by a second histogram.
+    """
     model = bpe(path or public_tokenizers.path(VOCABULARY))
-    top = word_counts(docs, text, path).filter("n > 1 and length(word) <= 64").orderBy(F.desc("n"), "word").limit(most).collect()
-    return compile_lexicon((r.word, model.merge(r.word)) for r in top)
+    bits = F.greatest(F.length(F.bin("n")) - 10, F.lit(0))
+    place = bits * 1024 + F.expr("shiftright(n, greatest(length(bin(n)) - 10, 0))").cast("int")
+    words = word_counts(docs, text, path).filter("n > 1 and length(word) <= 64").select("word", place.alias("place"), F.pmod(F.xxhash64("word"), F.lit(1 << 16)).alias("draw"))
+    words = stored(words, "lexicon-words")
+
+    def cut(part: DataFrame, column: str, room: int, descending: bool) -> tuple[int | None, int]:
+        """The first value whose words don't all fit, and how much room those before it leave."""
+        for r in sorted(part.groupBy(column).count().collect(), key=lambda r: r[column], reverse=descending):
+            if r["count"] > room:
+                return r[column], room
+            room -= r["count"]
+        return None, room
+
+    last, room = cut(words, "place", most, True)
+    chosen = words
+    if last is not None:
+        tied = words.filter(F.col("place") == last)
+        draw, _ = cut(tied, "draw", room, False)
+        chosen = words.filter(F.col("place") > last).union(tied.filter(F.col("draw") < draw))
+    return compile_lexicon((r["word"], model.merge(r["word"])) for r in chosen.select("word").collect())
 
 
 def encode(docs: DataFrame, text: str = "text", id: str = "doc_id", path: str | None = None, lexicon: bytes | None = None) -> DataFrame:

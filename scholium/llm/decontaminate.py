@@ -1,17 +1,19 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
 An item is contained in a document if at least `least` of its distinct shingles (five words, lower-cased; the whole
-item if it has fewer) occur in it. Items are parted by their number of shingles, powers of two apart. An item's sketch
-is its MinHash values from one permutation, as many as its size needs: of q shingles a document that contains the item
-lacks at most q - ceil(least * q), so one more than that is enough for one of them to be in the document, whatever the
-document's length. Documents are probed for sketch values; each candidate is then verified by exact shingle
-containment, word by word.
+item if it has fewer) occur in it. Items are parted by their number of shingles, powers of two apart, and each class has
+sketches of its own. An item's sketch is its MinHash values from one permutation, as many as its size needs: of q
+shingles a document that contains the item lacks at most q - ceil(least * q), so one more than that is enough for one
+of them to be in the document, whatever the document's length. Documents go through the classes one by one, past those
+whose items all need more shingles than the document has; what has a sketch value of an item is a candidate, and is
+verified by exact shingle containment, word by word.
 
 The benchmark is a stated query set: blocks of about BLOCK_CHARS characters of items are sent to the workers one
 after another, and each goes through all documents. Nothing else leaves a task than the matches.
 
-Items and documents that are null or have no word match nothing. Repeated items match each for itself, repeated
-documents too, null ids stay null. Other columns are ignored by find() and kept by filtered().
+Items and documents that are null or have no word match nothing; empty tables match nothing, and no document goes for an
+empty benchmark. Documents are read whole, however long. Repeated items match each for itself, repeated documents too,
+so there are no ties; null ids stay null. Other columns are ignored by find() and kept by filtered().
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -61,6 +64,15 @@ def needed(size: int, least: float) -> int:
     return max(1, math.ceil(least * size - 1e-9))
 
 
+@dataclass
+class _Class:
+    """The items of one class of size: the fewest shingles that a document must have for any, their sketch values, and whose those are."""
+
+    fewest: int
+    values: np.ndarray
+    posting: dict[int, list[int]]
+
+
 class Index:
     """The sketches of a block of items, by width of shingle and class of size."""
 
@@ -80,34 +92,38 @@ class Index:
             self.ids.append(id)
             self.shingles.append(frozenset(own))
             hashes.append(np.array([h for h, _ in ordered], dtype=np.uint64))
-        self.sketches: dict[int, tuple[np.ndarray, np.ndarray, dict[int, list[int]]]] = {}
-        for width in {w for w, _ in self.classes}:
+        self.sketches: dict[int, tuple[np.ndarray, list[_Class]]] = {}
+        for (width, _), members in sorted(self.classes.items()):
+            sketches = [(m, hashes[m][: len(hashes[m]) - needed(len(hashes[m]), least) + 1]) for m in members]  # the smallest: values of one permutation
             posting: dict[int, list[int]] = defaultdict(list)
-            for (w, _), members in self.classes.items():
-                for m in members if w == width else ():
-                    q = len(hashes[m])
-                    for h in hashes[m][: q - needed(q, least) + 1].tolist():  # the smallest: values of one permutation
-                        posting[h].append(m)
-            values = np.sort(np.array(list(posting), dtype=np.uint64))
-            bits = np.zeros(1 << FILTER_BITS, dtype=bool)
-            bits[values >> np.uint64(64 - FILTER_BITS)] = True
-            self.sketches[width] = values, bits, posting
+            for m, sketch in sketches:
+                for h in sketch.tolist():
+                    posting[h].append(m)
+            of_class = _Class(min(needed(len(hashes[m]), least) for m in members), np.sort(np.array(list(posting), dtype=np.uint64)), posting)
+            marks, classes = self.sketches.setdefault(width, (np.zeros(1 << FILTER_BITS, dtype=np.uint64), []))
+            marks[of_class.values >> np.uint64(64 - FILTER_BITS)] |= np.uint64(1 << len(classes))
+            classes.append(of_class)
 
     def search(self, texts: list[str], known: _Hashes) -> list[list[tuple[int, int]]]:
         """For each text the items that it contains, as (item, shingles in common)."""
         words = [WORD.findall(t.lower()) for t in texts]
         out: list[list[tuple[int, int]]] = [[] for _ in texts]
         flat = np.fromiter((known[w] for x in words for w in x), dtype=np.uint64)
-        ends = np.cumsum([len(x) for x in words])
+        sizes = np.array([len(x) for x in words], dtype=np.int64)
+        ends = np.cumsum(sizes)
         candidates: dict[int, set[int]] = defaultdict(set)
-        for width, (values, bits, posting) in self.sketches.items():
+        for width, (marks, classes) in self.sketches.items():
             h = shingle_hashes(flat, width)
-            at = np.flatnonzero(bits[h >> np.uint64(64 - FILTER_BITS)])
-            at = at[values[np.minimum(np.searchsorted(values, h[at]), len(values) - 1)] == h[at]]
+            mark = marks[h >> np.uint64(64 - FILTER_BITS)]
+            at = np.flatnonzero(mark)
             doc = np.searchsorted(ends, at, side="right")
-            inside = at + width <= ends[doc]
-            for d, v in zip(doc[inside].tolist(), h[at[inside]].tolist(), strict=True):
-                candidates[d].update(posting[v])
+            room = np.where(at + width <= ends[doc], sizes[doc] - width + 1, 0)  # shingles of the document, 0 between documents
+            for n, c in enumerate(classes):
+                own = np.flatnonzero((mark[at] >> np.uint64(n) & np.uint64(1)).astype(bool) & (room >= c.fewest))
+                there = h[at[own]]
+                hit = c.values[np.minimum(np.searchsorted(c.values, there), len(c.values) - 1)] == there
+                for d, v in zip(doc[own[hit]].tolist(), there[hit].tolist(), strict=True):
+                    candidates[d].update(c.posting[v])
         for d, items in candidates.items():
             own: dict[int, set[tuple[str, ...]]] = {}
             for m in sorted(items):

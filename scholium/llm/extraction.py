@@ -5,9 +5,10 @@ labels of neighbours count too, and Viterbi decoding finds the best sequence. Th
 steps on its log-likelihood, on labelled pages that training_pages() writes: layouts of several kinds with menus,
 headers, footers, sidebars, notices, adverts, forms and reader comments around and inside of articles.
 
-Null and empty pages have an empty text, as have pages without main text. Broken markup is read as far as it goes: an
-unclosed element ends where its parent does. Each row gets its result; null ids and addresses stay null. Other columns
-are ignored.
+Null and empty pages have an empty text, as have pages without main text; an empty table gives an empty result. Pages are
+read whole, whatever their length and however deep their elements are. Broken markup is read as far as it goes: an
+unclosed element ends where its parent does. Of labels that are equally likely the one for other text is taken. Each
+row gets its result, repeated rows the same; null ids and addresses stay null. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_list, text_slices
-from .htmlblocks import Block, blocks
+from .htmlblocks import Block, Element, blocks
 
-PAGES = 400
+PAGES = 600
 STEPS = 120
 SEED = 7
 TAGS = "article main section nav header footer aside form ul ol li table td p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption div a button label address dl details dialog fieldset select span".split()
@@ -60,47 +61,77 @@ def _marks(value: str) -> set[str]:
 
 NAMES = [
     *(f"in {t}" for t in TAGS), *(f"leaf {t}" for t in TAGS), *(f"kind {k}" for k in KINDS), *(f"nearest {k}" for k in [*KINDS, "none"]), "main without kind", "article in other", "kind in article",
-    *(f"length {n}" for n in range(8)), *(f"links {n}" for n in range(4)), "sentence", "no mark", "sign", "capitals", "words", "first", "last", "bias", "same parent", "depth 0",
+    *(f"length {n}" for n in range(8)), *(f"links {n}" for n in range(4)), "sentence", "no mark", "sign", "capitals", "words", "first", "last", "bias", "same parent", "depth 0", "header inside", "header outside",
 ]
 _AT = {n: i for i, n in enumerate(NAMES)}
+_BAD_TAGS = {"nav", "footer", "aside", "form", "dialog"}
 _BAD = {"comment", "menu", "advert", "notice", "side", "foot", "head", "form"}
 
 
 _NO_MARK = re.compile(r"[.!?,;:…。、]")
 
 
+#: What is remembered of a path: tags and kinds on it, the nearest kind, whether any is not of the main text, articles, elements, and where a header stands.
+_State = tuple[frozenset, frozenset, str, bool, int, int, str]
+_ROOT: _State = (frozenset(), frozenset(), "none", False, 0, 0, "")
+_known_marks = lru_cache(20_000)(_marks)
+
+
+def _state(element: Element) -> _State:
+    """The state of an element's path, made from the outermost element on that has none yet."""
+    todo = []
+    at: Element | None = element
+    while at is not None and at.state is None:
+        todo.append(at)
+        at = at.parent.around if at.parent is not None else None
+    state = at.state if at is not None else _ROOT
+    for e in reversed(todo):
+        tags, kinds, nearest, bad, articles, depth, header = state
+        found = sorted(_known_marks(e.marks)) if e.marks else ()
+        for k in found:
+            nearest = k if k != "body" or nearest == "none" else nearest
+            bad = bad or k in _BAD
+        if e.tag in ("header", "hgroup"):
+            header = "header inside" if "article" in tags or "main" in tags or "body" in kinds or "body" in found else "header outside"
+        bad = bad or e.tag in _BAD_TAGS
+        tags = tags if e.tag in tags or f"in {e.tag}" not in _AT else tags | {e.tag}
+        kinds = kinds if kinds.issuperset(found) else kinds.union(found)
+        e.state = state = (tags, kinds, nearest, bad, min(2, articles + (e.tag == "article")), min(3, depth + (e.tag != "")), header)
+    return state
+
+
 @lru_cache(20_000)
-def _around(path: tuple[tuple[str, str], ...]) -> tuple[int, ...]:
+def _around(state: _State, tag: str) -> tuple[int, ...]:
     """Features of the elements around a block."""
-    own, nearest, bad = {"bias"}, "none", False
-    tags = [t for t, _ in path]
-    for t, value in path:
-        if f"in {t}" in _AT:
-            own.add(f"in {t}")
-        for k in sorted(_marks(value)) if value else ():
-            own.add(f"kind {k}")
-            nearest = k if k != "body" or nearest == "none" else nearest
-            bad |= k in _BAD
-    if tags and f"leaf {tags[-1]}" in _AT:
-        own.add(f"leaf {tags[-1]}")
-    own.add(f"nearest {nearest}")
-    if ("in article" in own or "in main" in own) and not bad:
+    tags, kinds, nearest, bad, articles, depth, header = state
+    own = {"bias", f"nearest {nearest}", *(f"in {t}" for t in tags), *(f"kind {k}" for k in kinds)}
+    if f"leaf {tag}" in _AT:
+        own.add(f"leaf {tag}")
+    if header:
+        own.add(header)
+    if ("article" in tags or "main" in tags or "body" in kinds) and not bad:
         own.add("main without kind")
-    if bad and "in article" in own:
+    if bad and "article" in tags:
         own.add("kind in article")
-    if tags.count("article") > 1:
+    if articles > 1:
         own.add("article in other")
-    if len(tags) <= 2:
+    if depth <= 2:
         own.add("depth 0")
     return tuple(sorted(_AT[x] for x in own))
 
 
+def _outer(block: Block) -> int:
+    """Equal for blocks in equal elements around their own."""
+    parent = block.element.parent
+    return parent.around.key if parent is not None else 0
+
+
 def features(page: list[Block]) -> list[list[int]]:
     """For each block the numbers of the features that it has."""
     out = []
     for n, b in enumerate(page):
         text = b.text
-        own = [*_around(b.path), _AT[f"length {min(7, len(text).bit_length() - 3 if len(text) > 7 else 0)}"], _AT[f"links {min(3, 4 * b.linked // max(1, len(text)))}"]]
+        own = [*_around(_state(b.element), b.element.tag), _AT[f"length {min(7, len(text).bit_length() - 3 if len(text) > 7 else 0)}"], _AT[f"links {min(3, 4 * b.linked // max(1, len(text)))}"]]
         if text[-1] in ".!?…。\"”»)":
             own.append(_AT["sentence"])
         if not _NO_MARK.search(text):
@@ -113,7 +144,7 @@ def features(page: list[Block]) -> list[list[int]]:
             own.append(_AT["words"])
         if n == 0:
             own.append(_AT["first"])
-        elif page[n - 1].path[:-1] == b.path[:-1]:
+        elif _outer(page[n - 1]) == _outer(b):
             own.append(_AT["same parent"])
         if n == len(page) - 1:
             own.append(_AT["last"])
@@ -143,15 +174,26 @@ def _page(r: random.Random) -> list[tuple[str, int]]:
     cls = lambda *names: r.choice(["", f' {r.choice(["class", "id"])}="{r.choice(names)}"']) if r.random() < 0.3 else f' {r.choice(["class", "id"])}="{r.choice(names)}"'
     sure = lambda *names: f' {r.choice(["class", "id"])}="{r.choice(names)}"'
 
+    def bar() -> None:
+        """Links in one line, with marks between them."""
+        tags = r.choice([["table", "tr", "td"], ["div"], ["p"], ["center"], ["span"]])
+        put(*[(f"<{t}>", -1) for t in tags])
+        for n in range(r.randint(2, 7)):
+            put((r.choice(["| ", "- ", "· "]) if n else "", 0), ('<a href="/x">', -1), (_sentences(r, 1, 2).rstrip("."), 0), ("</a> ", -1))
+        put(*[(f"</{t}>", -1) for t in reversed(tags)])
+
     def menu() -> None:
+        if r.random() < 0.25:
+            return bar()
         tag = r.choice(["nav", "nav", "div", "ul"])
         attrs = cls("menu", "navbar", "main-nav") if tag == "nav" else sure("menu", "nav", "navigation", "breadcrumbs", "site-menu")
         put((f"<{tag}{attrs}>", -1))
         inner = r.choice(["li", "li", "a", "span"])
         if inner == "li" and tag != "ul":
             put(("<ul>", -1))
+        link = tag != "nav" or r.random() < 0.7
         for _ in range(r.randint(2, 8)):
-            put((f"<{inner}>" if inner != "a" else "<div>", -1), ('<a href="/x">', -1), (short(), 0), ("</a>", -1), (f"</{inner}>" if inner != "a" else "</div>", -1))
+            put((f"<{inner}>" if inner != "a" else "<div>", -1), ('<a href="/x">' if link else "<b>", -1), (short(), 0), ("</a>" if link else "</b>", -1), (f"</{inner}>" if inner != "a" else "</div>", -1))
         if inner == "li" and tag != "ul":
             put(("</ul>", -1))
         put((f"</{tag}>", -1))
@@ -202,8 +244,8 @@ def _page(r: random.Random) -> list[tuple[str, int]]:
         put((f"</{tag}>", -1))
 
     def head() -> None:
-        tag = r.choice(["header", "header", "div"])
-        put((f"<{tag}{cls('site-header') if tag == 'header' else sure('header', 'masthead', 'topbar', 'logo')}>", -1))
+        tag = r.choice(["header", "header", "header", "div"])
+        put((f"<{tag}{r.choice(['', cls('site-header')]) if tag == 'header' else sure('header', 'masthead', 'topbar', 'logo')}>", -1))
         wrap(r.choice(["h1", "h2", "div", "p", "a"]), short(), 0)
         if r.random() < 0.4:
             wrap("p", _sentences(r, 2, 15), 0)
@@ -229,9 +271,9 @@ def _page(r: random.Random) -> list[tuple[str, int]]:
         before = [x for x in before if x in (menu, head)]
     for x in before:
         x()
-    opened = {"article": ["article"], "main": ["main"], "div": ["div"], "plain": [], "main article": ["main", "article"]}[kind]
+    opened = {"article": ["article"], "main": ["main"], "div": [r.choice(["div", "div", "section", "td"])], "plain": [], "main article": ["main", "article"]}[kind]
     for t in opened:
-        put((f"<{t}{sure('content', 'post', 'entry-content', 'article-body', 'story', 'main-content', 'post-body') if t == 'div' else cls('post', 'content', 'article', 'a1')}>", -1))
+        put((f"<{t}{sure('content', 'post', 'entry-content', 'article-body', 'story', 'main-content', 'post-body') if t in ('div', 'section', 'td') else cls('post', 'content', 'article', 'a1')}>", -1))
     if r.random() < 0.8:
         if r.random() < 0.2 and opened:
             put(("<header>", -1))
@@ -291,10 +333,9 @@ def training_pages(pages: int = PAGES, seed: int = SEED) -> list[tuple[list[Bloc
     out = []
     for _ in range(pages):
         pieces = _page(r)
-        # a mark behind each text tells its label; it is taken off before features are made
-        found = blocks("".join(s if label < 0 else f"{s} {label}" for s, label in pieces))
-        labels = [int(b.text[-1]) for b in found]
-        out.append(([Block(" ".join(re.sub("[01]", "", b.text).split()), b.path, b.linked) for b in found], labels))
+        # a mark behind each text tells its label; what the field sees is the page without marks
+        marked = blocks("".join(s if label < 0 or not s.strip() else f"{s} {label}" for s, label in pieces))
+        out.append((blocks("".join(s for s, _ in pieces)), [int(b.text[-1]) for b in marked]))
     return out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -20,32 +21,54 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
+CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")  # not the end of an address without quotes
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
+class Element:
+    """An open element: its tag, its class, id and role, and the element around it. Paths share what they have in common, at any depth."""
+
+    __slots__ = ("tag", "marks", "parent", "around", "key", "state")
+
+    def __init__(self, tag: str, marks: str, parent: "Element | None") -> None:
+        self.tag, self.marks, self.parent = tag, marks, parent
+        #: Itself, or the next one outwards, that isn't a mere inline element.
+        self.around: Element = self if parent is None or tag not in INLINE or marks else parent.around
+        outer = parent.around if parent is not None else None
+        #: Equal for equal paths.
+        self.key = hash((outer.key if outer is not None else 0, tag, marks)) if self.around is self else self.around.key
+        self.state = None  # what others remember of the path
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[tuple[str, str], ...]  # (tag, its class, id and role) from the root down
+    element: Element  # what it is in, inline elements without marks left out
     linked: int  # characters inside links
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks with a text, in page order."""
-    stack: list[tuple[str, str]] = []
+    root = Element("", "", None)
+    stack: list[Element] = [root]
+    opened: Counter = Counter()
     out: list[Block] = []
     parts: list[str] = []
-    path: tuple[tuple[str, str], ...] | None = None
+    element: Element | None = None
     linked = links = 0
 
     def flush() -> None:
-        nonlocal path, linked
+        nonlocal element, linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, path or (), min(linked, len(text))))
+                out.append(Block(text, element or root, min(linked, len(text))))
             parts.clear()
-        path, linked = None, 0
+        element, linked = None, 0
+
+    def cut(i: int) -> None:
+        opened.subtract(e.tag for e in stack[i:])
+        del stack[i:]
 
     at, size = 0, len(page)
     while at < size:
@@ -54,8 +77,8 @@ def blocks(page: str) -> list[Block]:
         text = m["text"]
         if text is not None:
             text = html.unescape(text)
-            if path is None and not text.isspace():
-                path = tuple(x for x in stack if x[0] not in INLINE or x[1])
+            if element is None and not text.isspace():
+                element = stack[-1].around
             if links:
                 linked += len(text.strip())
             parts.append(text)
@@ -69,11 +92,11 @@ def blocks(page: str) -> list[Block]:
                 flush()
             if name == "a":
                 links = 0
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
+            for i in range(len(stack) - 1, 0, -1) if opened[name] else ():
+                if stack[i].tag == name:
+                    cut(i)
                     break
-                if name in INLINE and stack[i][0] not in INLINE:
+                if name in INLINE and stack[i].tag not in INLINE:
                     break
             continue
         if name in RAW:
@@ -88,21 +111,21 @@ def blocks(page: str) -> list[Block]:
         if name not in INLINE:
             flush()
         if name in ENDS_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    del stack[i:]
+            for i in range(len(stack) - 1, 0, -1) if opened["p"] else ():
+                if stack[i].tag == "p":
+                    cut(i)
                     break
-                if stack[i][0] not in INLINE:
+                if stack[i].tag not in INLINE:
                     break
         if name in CLOSED_BY:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in CLOSED_BY[name]:
-                    del stack[i:]
+            for i in range(len(stack) - 1, 0, -1) if any(opened[x] for x in CLOSED_BY[name]) else ():
+                if stack[i].tag in CLOSED_BY[name]:
+                    cut(i)
                     break
-                if stack[i][0] in SCOPES[name]:
+                if stack[i].tag in SCOPES[name]:
                     break
         attrs = m["attrs"] or m["attrs2"] or ""
-        if name in VOID or attrs.rstrip().endswith("/") and name not in ENDS_P:
+        if name in VOID or name not in ENDS_P and CLOSED.search(attrs):
             continue
         marks = []
         for a in ATTRIBUTE.finditer(attrs):
@@ -116,7 +139,7 @@ def blocks(page: str) -> list[Block]:
                 marks.append(f"role-{value}" if kind == "role" else value)
         if name == "a":
             links = 1
-        if len(stack) < 400:
-            stack.append((name, " ".join(marks)))
+        stack.append(Element(name, " ".join(marks), stack[-1]))
+        opened[name] += 1
     flush()
     return out

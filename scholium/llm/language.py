@@ -1,16 +1,18 @@
 """Language identification: script ranges, scores of words, and a Viterbi path with a switching penalty.
 
+A word is a run of letters of one script; a run of over RUN letters, as in scripts without spaces, makes several words.
 A word's script leaves only the languages that use it; a naive Bayes model over hashed character n-grams scores it
 under those. The best path through the words of a text, where each change of language costs a penalty, labels spans.
 A text's language is the one with most letters on the path, its score that share of the letters.
 
 Training rows: non-null language, not held out (crc32 of the id leaves 2 modulo 4). The classifier is fitted on about
-`sample` rows of each language, drawn by a hash of the id; all rows of a language with fewer. Of languages, the
-`MOST_LANGUAGES` with most rows are learned. Only counts by n-gram bucket reach the driver: at most BUCKETS numbers a
-language.
+`sample` rows of each language, drawn by a hash of the id; all rows of a language with fewer. Every language is
+learned. Only counts by n-gram bucket reach the driver, at most BUCKETS numbers a language; the model has as many, and
+workers keep fewer words at a time the more languages there are.
 
-Null texts and texts without a letter are `und` with score 0, as is every text if there is nothing to learn from. Ties
-go to the language that sorts first. Each row gets its result; null ids are not held out. Other columns are ignored.
+Null texts and texts without a letter are `und` with score 0, as is every text if there is nothing to learn from; an
+empty table gives an empty result. Texts are read whole, whatever their length. Ties go to the language that sorts
+first. Each row gets its result; null ids are not held out. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +37,13 @@ from .bpe import _ranges
 from .common import held_out, is_held_out, text_list, text_slices
 
 SAMPLE = 4000
-MOST_LANGUAGES = 128
+#: Letters of a word at most; a longer run of letters is several words.
+RUN = 48
 BUCKETS = 1 << 15
+#: Languages that a counting task holds before it passes its counts on.
+HELD = 64
+#: Scores, of words by languages, that a worker keeps from slice to slice; a slice has fewer characters than that by language.
+KNOWN_SCORES = 8_000_000
 LENGTHS = (1, 2, 3, 4)
 PENALTY = 8.0
 UNKNOWN = "und"
@@ -63,6 +70,21 @@ def _word() -> re.Pattern:
     return re.compile(f"[{letter}][{letter}{_ranges(kinds['M'])}]*")
 
 
+@lru_cache(1)
+def _runs() -> re.Pattern:
+    """Words of one script, of RUN letters at most, so that all of a long run is read."""
+    letters: dict[str, list[int]] = {"latin": []}
+    marks = []
+    for c in range(sys.maxunicode + 1):
+        kind = unicodedata.category(chr(c))[0]
+        if kind == "L":
+            letters.setdefault(script(chr(c)), []).append(c)
+        elif kind == "M":
+            marks.append(c)
+    more = _ranges(marks)
+    return re.compile("|".join(f"[{_ranges(x)}][{_ranges(x)}{more}]{{0,{RUN - 1}}}" for x in letters.values() if x))
+
+
 def script(word: str) -> str:
     """The script of a word's first letter, "" for none in particular."""
     at = bisect_right(_STARTS, ord(word[0])) - 1
@@ -74,7 +96,7 @@ def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
     BUCKETS itself stands for no n-gram, where the word ends before it.
     """
-    cells = [f"<{w[:48].lower()}>".encode() for w in words]
+    cells = [f"<{w.lower()}>".encode() for w in words]
     raw = np.frombuffer(b"".join(cells), dtype=np.uint8).astype(np.uint64)
     sizes = np.array([len(c) for c in cells], dtype=np.int64)
     starts = np.cumsum(sizes) - sizes
@@ -117,45 +139,54 @@ class Model:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", sample: int = SAMPLE) -> Model:
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().collect()  # a row a language
     languages = sorted(r["lang"] for r in sizes)
     number = {x: n for n, x in enumerate(languages)}
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), {})
-    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, sample / r["count"]))) for r in sizes], F.lit(0.0))
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, sample / r["count"]))])[F.col("lang")]
     drawn = rows.filter(F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1 << 20)) < share * (1 << 20))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((BUCKETS, len(languages)), dtype=np.int64)
+        counts: dict[int, np.ndarray] = {}  # by language, HELD of them at a time
         scripts: Counter = Counter()
+
+        def portion() -> pa.RecordBatch:
+            places = [(n, np.flatnonzero(c)) for n, c in counts.items()]
+            bucket = np.concatenate([*(at for _, at in places), np.full(len(scripts), -1)])
+            lang = np.concatenate([*(np.full(len(at), n) for n, at in places), np.array([n for _, n in scripts], dtype=np.int64)])
+            times = np.concatenate([*(counts[n][at] for n, at in places), np.array(list(scripts.values()), dtype=np.int64)])
+            keys = [""] * (len(bucket) - len(scripts)) + [s for s, _ in scripts]
+            counts.clear()
+            scripts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(bucket.astype(np.int32)), pa.array(lang.astype(np.int32)), pa.array(times.astype(np.int64))], names=["script", "bucket", "lang", "n"])
+
         for part in text_slices(batches, 2_000_000):
             for t, x in zip(text_list(part.column("text")), part.column("lang").to_pylist(), strict=True):
                 n = number[x]
-                words = Counter(_word().findall(t))
+                words = Counter(_runs().findall(t))
                 if words:
                     starts, buckets = _grams(list(words))
                     times = np.repeat(list(words.values()), np.diff([*starts.tolist(), buckets.shape[1]]))
+                    own = counts.setdefault(n, np.zeros(BUCKETS, dtype=np.int64))
                     for b in buckets:
-                        counts[:, n] += np.bincount(b, weights=times, minlength=BUCKETS + 1)[:BUCKETS].astype(np.int64)
+                        own += np.bincount(b, weights=times, minlength=BUCKETS + 1)[:BUCKETS].astype(np.int64)
                 for w, k in words.items():
                     scripts[script(w), n] += k * len(w)
-        bucket, n = np.nonzero(counts)
-        keys = [""] * len(bucket) + [s for s, _ in scripts]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys), pa.array([*bucket.tolist(), *[-1] * len(scripts)], pa.int32()), pa.array([*n.tolist(), *[n for _, n in scripts]], pa.int32()), pa.array([*counts[bucket, n].tolist(), *scripts.values()], pa.int64())],
-            names=["script", "bucket", "lang", "n"],
-        )
+                if len(counts) >= HELD:
+                    yield portion()
+        yield portion()
 
     summed = drawn.mapInArrow(run, "script string, bucket int, lang int, n long").groupBy("script", "bucket", "lang").agg(F.sum("n").alias("n")).toArrow()
-    keys, bucket, n, count = (summed.column(c).to_pylist() for c in ("script", "bucket", "lang", "n"))
-    bucket_, n_, count_ = np.array(bucket), np.array(n), np.array(count, dtype=np.float64)
+    bucket, n, count = (summed.column(c).to_numpy() for c in ("bucket", "lang", "n"))
     table = np.zeros((BUCKETS, len(languages)))
-    grams = bucket_ >= 0
-    table[bucket_[grams], n_[grams]] = count_[grams]
+    grams = bucket >= 0
+    table[bucket[grams], n[grams]] = count[grams]
     gram = np.log(table + 0.5) - np.log(table.sum(axis=0) + 0.5 * BUCKETS)
     letters: dict[str, np.ndarray] = {}
-    for s, b, k, c in zip(keys, bucket, n, count, strict=True):
-        if b < 0 and s:
+    keys = summed.column("script").filter(pa.array(~grams)).to_pylist()
+    for s, k, c in zip(keys, n[~grams].tolist(), count[~grams].tolist(), strict=True):
+        if s:
             letters.setdefault(s, np.zeros(len(languages)))[k] += c
     total = sum(letters.values(), np.zeros(len(languages)))
     return Model(languages, gram.astype(np.float32), {s: v > 0.01 * np.maximum(total, 1) for s, v in letters.items()})
@@ -206,6 +237,11 @@ class _Numbered(dict):
         return n
 
 
+def _slice(model: Model) -> int:
+    """Characters of a slice of texts."""
+    return min(2_000_000, 4 * KNOWN_SCORES // max(1, len(model.languages)))
+
+
 class _Labeller:
     """Labels slices of texts; keeps scores of words from slice to slice."""
 
@@ -216,9 +252,9 @@ class _Labeller:
     def __call__(self, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
         """Language, score and spans of each text."""
         model, out = self.model, []
-        if len(self.known) > 200_000:
+        if len(self.known) * len(model.languages) > KNOWN_SCORES or len(self.known) > 200_000:
             self.known, self.table = _Numbered(), self.table[:0]
-        found = [_word().findall(t) if model.languages else [] for t in texts]
+        found = [_runs().findall(t) if model.languages else [] for t in texts]
         words = np.fromiter((self.known[w] for x in found for w in x), dtype=np.int64)
         letters = np.fromiter((len(w) for x in found for w in x), dtype=np.int64)
         sizes = np.array([len(x) for x in found], dtype=np.int64)
@@ -245,7 +281,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = _Labeller(shared.value, penalty)
-        for part in text_slices(batches, 2_000_000):
+        for part in text_slices(batches, _slice(shared.value)):
             found = label(text_list(part.column("text")))
             held = [is_held_out(i) for i in part.column("doc_id").to_pylist()]
             cells = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.float64(), kind))]
@@ -260,7 +296,7 @@ def filtered(docs: DataFrame, model: Model, least: float = 0.5, text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = _Labeller(shared.value, penalty)
-        for part in text_slices(batches, 2_000_000, text):
+        for part in text_slices(batches, _slice(shared.value), text):
             yield part.filter(pa.array([x != UNKNOWN and s >= least for x, s, _ in label(text_list(part.column(text)))]))
 
     return docs.mapInArrow(run, docs.schema)

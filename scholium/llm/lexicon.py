@@ -3,7 +3,8 @@
 Words share prefixes and suffixes: equal right languages are one state (incremental construction over sorted words).
 Each arc carries how many words sort before its target's, so the sum along a path is the word's ordinal, and the
 ordinal finds its output. File layout, little endian: magic, six counts and a CRC-32 of the rest, then the arrays in
-ARRAYS order.
+ARRAYS order. A Lexicon maps a file without a name on its worker's own disk, which it writes from the bytes it was given
+and which goes with the mapping; no other process reads it.
 """
 
 from __future__ import annotations

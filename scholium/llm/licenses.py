@@ -1,15 +1,18 @@
 """License scans by sentence rules, in DataFrame operations only.
 
-A text is cut into sentences: at sentence marks before white space, at blank lines, and at line feeds before a
-capitalised word, so that wrapped lines stay together; comment marks at line beginnings go. A sentence is normalised to
-lower-case ASCII letters and digits with single spaces, and mapped to the identifier of the known sentence that it is.
-Identifiers in text order are a sequence, which the rules rewrite in their order: each replaces the identifiers that it
+A text is cut into sentences: at sentence marks before white space, at colons that end a line or stand before a list
+item, at blank lines, and before lines that begin as notices do (OPENERS); comment marks at line beginnings go, and the
+point of "v. 2" is no sentence's end. A sentence is normalised to lower-case ASCII letters and digits with single
+spaces, without a list item's number, with one holder's name for any, and mapped to the identifier of the known
+sentence that it is. One that isn't known is cut again before lines that begin with a capitalised word: what was
+wrapped stays together, and a line of its own is found too. Identifiers in text order are a sequence, which the rules rewrite in their order: each replaces the identifiers that it
 matches by the licence they state, so that rules of more identifiers come before those of fewer. What no rule takes
 stays as a sentence without a licence.
 
 Texts without any of the ANCHORS, one of which is in every known sentence, have no identifiers; they are told by a
-substring search alone. Each row is scanned for itself, in one pass and without a shuffle. Null and empty texts have
-no identifiers; repeated rows and null ids are nothing special. Other columns are ignored.
+substring search alone. Each row is scanned for itself, in one pass and without a shuffle, whatever its length. Null and
+empty texts have no identifiers, an empty table gives an empty result; repeated rows and null ids are nothing special,
+so there are no ties. Of rules that match at the same place the first in order is taken. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,63 +57,111 @@ STATED = (
     "|this (?:work|software|project|program|file|code|document|article|text|content) is (?:licensed|released|distributed) under (?:the |a )?"
     "|licen[sc]e (?:the )?|spdx license identifier )(.+)$"
 )
+_GNU = [("GPL", "general"), ("LGPL", "lesser general"), ("AGPL", "affero general")]
+_VERSIONS = [("2", "2.0"), ("2 1", "2.1"), ("3", "3.0")]
+_SUBJECTS = ["", "this program is free software ", "this library is free software ", "this software is free software ", "it is free software "]
+_TERMS = "you can redistribute it and or modify it under the terms of the gnu {} public license"
+_OPTION = ["either version {} of the license or at your option any later version", "either version {} of the license or any later version"]
 #: Sentences of licence texts and notices: identifier, normalised sentences.
 SENTENCES = [
     ("MIT_GRANT", ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"]),
-    ("MIT_NOTICE", ["the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"]),
+    ("MIT_NOTICE", ["the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software"]),
     ("MIT_WARRANTY", ["the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"]),
     ("MIT_LIABILITY", ["in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"]),
-    ("ISC_GRANT", ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"]),
+    ("ISC_GRANT", [f"permission to use copy modify and {x}distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies" for x in ("or ", "")]),
+    ("ISC_WARRANTY", ["the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"]),
     ("BSD_GRANT", ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"]),
-    ("BSD_SOURCE", ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"]),
-    ("BSD_BINARY", [f"{n}redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution" for n in ("", "2 ")]),
-    ("BSD_NAMES", [f"{n}neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission" for n in ("", "3 ")]),
+    ("BSD_SOURCE", ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"]),
+    ("BSD_BINARY", ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"]),
+    ("BSD_NAMES", ["neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission"]),
     ("BSD_WARRANTY", ["this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"]),
     ("APACHE_GRANT", ["licensed under the apache license version 2 0 the license"]),
     ("APACHE_COMPLY", ["you may not use this file except in compliance with the license"]),
     ("APACHE_COPY", ["you may obtain a copy of the license at http www apache org licenses license 2 0", "you may obtain a copy of the license at https www apache org licenses license 2 0"]),
+    ("APACHE_AT", ["you may obtain a copy of the license at"]),
+    ("APACHE_ADDRESS", ["http www apache org licenses license 2 0", "https www apache org licenses license 2 0"]),
     ("APACHE_WARRANTY", ["unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"]),
     ("APACHE_SEE", ["see the license for the specific language governing permissions and limitations under the license"]),
-    ("GPL_FREE", ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "it is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"]),
-    ("LGPL_FREE", ["you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"]),
-    ("AGPL_FREE", ["you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation"]),
-    *[(f"GNU_{n.replace(' ', '')}_LATER", [f"either version {n} of the license or at your option any later version", f"either version {n} of the license or any later version"]) for n in ("2", "2 1", "3")],
+    *[(f"{kind}_FREE", [f"{who}{_TERMS.format(words)} as published by the free software foundation" for who in _SUBJECTS]) for kind, words in _GNU],
+    *[(f"{kind}_{n.replace(' ', '')}_FREE_LATER", [f"{who}{_TERMS.format(words)} as published by the free software foundation {option.format(n)}" for who in _SUBJECTS for option in _OPTION]) for kind, words in _GNU for n, _ in _VERSIONS],
+    *[(f"{kind}_{n.replace(' ', '')}_FREE_ONLY", [f"{who}{terms}" for who in _SUBJECTS for terms in (f"{_TERMS.format(words)} version {n} as published by the free software foundation", f"{_TERMS.format(words)} as published by the free software foundation version {n}", f"{_TERMS.format(words)} as published by the free software foundation version {n} of the license")]) for kind, words in _GNU for n, _ in _VERSIONS],
+    *[(f"GNU_{n.replace(' ', '')}_LATER", [option.format(n) for option in _OPTION]) for n, _ in _VERSIONS],
     ("GNU_HOPE", ["without even the implied warranty of merchantability or fitness for a particular purpose"]),
-    ("GNU_SEE", ["see the gnu general public license for more details", "see the gnu lesser general public license for more details", "see the gnu affero general public license for more details"]),
+    ("GNU_SEE", [f"see the gnu {words} public license for more details" for _, words in _GNU]),
+    ("GNU_COPY", [f"you should have received a copy of the gnu {words} public license along with this {what}" for _, words in _GNU for what in ("program", "library", "software")]),
     ("MPL_FORM", ["this source code form is subject to the terms of the mozilla public license v 2 0"]),
-    ("MPL_COPY", ["if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0 license"]),
+    ("MPL_COPY", [f"if a copy of the mpl was not distributed with this file you can obtain one at {address}" for address in ("http mozilla org mpl 2 0", "https mozilla org mpl 2 0", "http mozilla org mpl 2 0 license")]),
+    ("EPL_TERMS", ["the accompanying program is provided under the terms of this eclipse public license agreement"]),
+    ("BSL_GRANT", ["permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following"]),
+    ("ZLIB_GRANT", ["permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"]),
+    ("APACHE_TITLE", ["apache license version 2 0 january 2004", "apache license version 2 0 january 2004 http www apache org licenses"]),
+    ("GPL_2_TITLE", ["gnu general public license version 2 june 1991"]),
+    ("GPL_3_TITLE", ["gnu general public license version 3 29 june 2007"]),
+    ("LGPL_21_TITLE", ["gnu lesser general public license version 2 1 february 1999"]),
+    ("LGPL_3_TITLE", ["gnu lesser general public license version 3 29 june 2007"]),
+    ("AGPL_3_TITLE", ["gnu affero general public license version 3 19 november 2007"]),
+    ("MPL_TITLE", ["mozilla public license version 2 0"]),
     ("PUBLIC_DOMAIN", ["this is free and unencumbered software released into the public domain", "this work is in the public domain", "released into the public domain", "this file is in the public domain"]),
     ("RESERVED", ["all rights reserved"]),
     ("COPYRIGHT_RESERVED", ["copyright all rights reserved"]),
 ]
+_AFTER = [["GNU_HOPE", "GNU_SEE", "GNU_COPY"], ["GNU_HOPE", "GNU_SEE"], ["GNU_HOPE"], []]
 #: Rules in their order: licence, the identifiers that state it.
 RULES = [
     ("MIT", ["MIT_GRANT", "MIT_NOTICE", "MIT_WARRANTY", "MIT_LIABILITY"]),
     ("MIT", ["MIT_GRANT", "MIT_NOTICE", "MIT_WARRANTY"]),
     ("MIT", ["MIT_GRANT", "MIT_NOTICE"]),
     ("BSD-3-Clause", ["BSD_GRANT", "BSD_SOURCE", "BSD_BINARY", "BSD_NAMES", "BSD_WARRANTY"]),
+    ("BSD-3-Clause", ["BSD_GRANT", "BSD_SOURCE", "BSD_BINARY", "BSD_NAMES"]),
     ("BSD-2-Clause", ["BSD_GRANT", "BSD_SOURCE", "BSD_BINARY", "BSD_WARRANTY"]),
+    ("Apache-2.0", ["APACHE_GRANT", "APACHE_COMPLY", "APACHE_AT", "APACHE_ADDRESS", "APACHE_WARRANTY", "APACHE_SEE"]),
     ("Apache-2.0", ["APACHE_GRANT", "APACHE_COMPLY", "APACHE_COPY", "APACHE_WARRANTY", "APACHE_SEE"]),
     ("Apache-2.0", ["APACHE_GRANT", "APACHE_COMPLY"]),
     ("Apache-2.0", ["APACHE_GRANT"]),
-    *[(f"{kind}-{version}-or-later", [f"{kind}_FREE", f"GNU_{n}_LATER", *rest]) for rest in (["GNU_HOPE", "GNU_SEE"], ["GNU_HOPE"], []) for kind in ("GPL", "LGPL", "AGPL") for n, version in (("2", "2.0"), ("21", "2.1"), ("3", "3.0"))],
+    *[(f"{kind}-{version}-or-later", [f"{kind}_FREE", f"GNU_{n.replace(' ', '')}_LATER", *rest]) for rest in _AFTER for kind, _ in _GNU for n, version in _VERSIONS],
+    *[(f"{kind}-{version}-or-later", [f"{kind}_{n.replace(' ', '')}_FREE_LATER", *rest]) for rest in _AFTER for kind, _ in _GNU for n, version in _VERSIONS],
+    *[(f"{kind}-{version}-only", [f"{kind}_{n.replace(' ', '')}_FREE_ONLY", *rest]) for rest in _AFTER for kind, _ in _GNU for n, version in _VERSIONS],
     ("GPL", ["GPL_FREE"]),
     ("LGPL", ["LGPL_FREE"]),
     ("AGPL", ["AGPL_FREE"]),
+    ("ISC", ["ISC_GRANT", "ISC_WARRANTY"]),
     ("ISC", ["ISC_GRANT"]),
     ("MIT", ["MIT_GRANT"]),
     ("BSD", ["BSD_GRANT"]),
     ("MPL-2.0", ["MPL_FORM", "MPL_COPY"]),
     ("MPL-2.0", ["MPL_FORM"]),
+    ("EPL-2.0", ["EPL_TERMS"]),
+    ("BSL-1.0", ["BSL_GRANT"]),
+    ("Zlib", ["ZLIB_GRANT"]),
+    ("Apache-2.0", ["APACHE_TITLE"]),
+    ("GPL-2.0-only", ["GPL_2_TITLE"]),
+    ("GPL-3.0-only", ["GPL_3_TITLE"]),
+    ("LGPL-2.1-only", ["LGPL_21_TITLE"]),
+    ("LGPL-3.0-only", ["LGPL_3_TITLE"]),
+    ("AGPL-3.0-only", ["AGPL_3_TITLE"]),
+    ("MPL-2.0", ["MPL_TITLE"]),
     ("Public-Domain", ["PUBLIC_DOMAIN"]),
     *[(name, [f"NAMED_{name}"]) for name, _ in NAMED],
     ("All-Rights-Reserved", ["COPYRIGHT_RESERVED"]),
     ("All-Rights-Reserved", ["RESERVED"]),
 ]
-ANCHORS = ["licen", "rights reserved", "hereby granted", "permi", "warrant", "liable", "redistribut", "gnu general public", "public domain", "under the", "under ", "version"]
-COMMENT = r"\n[ \t]*(//+|/\*+|\*+/?|#+|--+|;+)[ \t]?"
-ENDS = [(r"([.!?;])\s+", True), (r"\n\s*\n", False), (r"\n(\s*\p{Lu}\p{Ll})", False)]
-CUT = "\x1e"
+ANCHORS = ["licen", "rights reserved", "hereby granted", "permi", "warrant", "liable", "redistribut", "gnu general public", "public domain", "under the", "under ", "version", "mozilla"]
+#: Words that begin the lines of notices.
+OPENERS = ["This", "The", "It", "Licensed", "Released", "Distributed", "Published", "Available", "Provided", "Licen[sc]e:", "SPDX", "Permission", "Redistributions?", "Neither", "Unless", "See", "If", "All", "Copyright"]
+#: Before sentences are cut: pattern, replacement.
+MARKS = [(r"\n[ \t]*(//+|/\*+|\*+/?|#+|--+|;+)[ \t]?", "\n"), (r"\b([Vv])(er)?\.[ \t]*([0-9])", r"\1 \3")]
+CUT, SOFT = "\x1e", "\x1d"
+#: Ends of sentences: pattern, replacement. The last are soft.
+ENDS = [
+    (r"((?:SPDX|spdx)-[Ll]icense-[Ii]dentifier:[^\n]*)\n", rf"\1{CUT}"), (r"([.!?;])\s+", rf"\1{CUT}"), (r":[ \t]*\n", CUT), (r":\s+([(]?[0-9a-h][.)]\s)", rf"{CUT}\1"), (r"\n\s*\n", CUT),
+    (rf"\n([ \t]*(?:{'|'.join(OPENERS)}))", rf"{CUT}\1"), (r"\n(\s*\p{Lu}\p{Ll})", rf"{SOFT}\1"),
+]
+#: In normalised sentences: pattern, replacement.
+SAME = [
+    (r"^([0-9]{1,2}|[a-h]|i{1,3}) (redistributions|neither|the name)", r"\2"),
+    (r"^neither the name of [a-z0-9 ]+ nor the names? of (its|their|any|the) contributors", "neither the name of the copyright holder nor the names of its contributors"),
+    (r"^this software is provided by [a-z0-9 ]+ as is and any express", "this software is provided by the copyright holders and contributors as is and any express"),
+]
 
 
 def known_sentences(sentences: Iterable = SENTENCES) -> dict[str, str]:
@@ -135,15 +186,26 @@ def _table(known: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
 
 
+def _java(replacement: str) -> str:
+    return replacement.replace("\\1", "$1").replace("\\2", "$2").replace("\\3", "$3")
+
+
+def _replaced(text: Column, steps: list[tuple[str, str]]) -> Column:
+    for pattern, replacement in steps:
+        text = F.regexp_replace(text, pattern, _java(replacement))
+    return text
+
+
 def sentence_ids(text: Column, known: dict[str, str], names: dict[str, str]) -> Column:
     """The identifiers of a text's known sentences, in text order."""
-    marked = F.regexp_replace(F.concat(F.lit("\n"), text), COMMENT, "\n")
-    marked = F.regexp_replace(marked, ENDS[0][0], f"$1{CUT}")
-    marked = F.regexp_replace(marked, ENDS[1][0], CUT)
-    marked = F.regexp_replace(marked, ENDS[2][0], f"{CUT}$1")
-    normal = F.transform(F.split(marked, CUT, -1), lambda s: F.btrim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    likely = F.filter(normal, lambda s: F.length(s).between(*LENGTHS) & s.rlike("|".join(ANCHORS)))
-    return F.filter(F.transform(likely, lambda s: F.coalesce(_table(known)[s], _table(names)[F.regexp_extract(s, STATED, 1)])), lambda i: i.isNotNull())
+    marked = _replaced(F.concat(F.lit("\n"), text), MARKS + ENDS)
+    normal = lambda s: _replaced(F.btrim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")), SAME)
+    likely = lambda s: F.length(s).between(*LENGTHS) & s.rlike("|".join(ANCHORS))
+    look = lambda s: F.when(likely(s), F.coalesce(_table(known)[s], _table(names)[F.regexp_extract(s, STATED, 1)]))
+    told = F.transform(F.split(marked, CUT, -1), lambda s: F.struct(s.alias("s"), look(normal(s)).alias("id")))
+    parts = lambda s: F.transform(F.split(s, SOFT, -1), lambda x: look(normal(x)))
+    each = F.transform(told, lambda x: F.when(x["id"].isNull() & F.contains(x["s"], F.lit(SOFT)), parts(x["s"])).otherwise(F.array(x["id"])))
+    return F.filter(F.flatten(each), lambda i: i.isNotNull())
 
 
 def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", known: dict[str, str] | None = None, names: dict[str, str] | None = None, rules: list | None = None) -> DataFrame:
@@ -174,16 +236,20 @@ def scan_sql() -> str:
     ruled = "sequence"
     for name, of in RULES:
         ruled = f"regexp_replace({ruled}, {quote(_pattern(of))}, {quote(f';={name};')}, 'g')"
-    cut = "chr(30)"
-    marked = f"regexp_replace(chr(10) || coalesce(text, ''), {quote(COMMENT)}, chr(10), 'g')"
-    marked = f"regexp_replace({marked}, {quote(ENDS[0][0])}, '\\1' || {cut}, 'g')"
-    marked = f"regexp_replace({marked}, {quote(ENDS[1][0])}, {cut}, 'g')"
-    marked = f"regexp_replace({marked}, {quote(ENDS[2][0])}, {cut} || '\\1', 'g')"
+
+    def replaced(text: str, steps: list[tuple[str, str]]) -> str:
+        for pattern, replacement in steps:
+            text = f"regexp_replace({text}, {quote(pattern)}, {quote(replacement)}, 'g')"
+        return text
+
+    marked = replaced("chr(10) || coalesce(text, '')", MARKS + ENDS)
+    normal = replaced("trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))", SAME)
+    look = f"case when length(n) between {LENGTHS[0]} and {LENGTHS[1]} and regexp_matches(n, {quote('|'.join(ANCHORS))}) then coalesce(({table})[n], ({names})[regexp_extract(n, {quote(STATED)}, 1)]) end"
     return f"""
 with sentences as (
-    select doc_id, list_transform(string_split({marked}, {cut}), lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))) as normal from documents
+    select doc_id, list_transform(list_transform(string_split({marked}, chr(30)), lambda s: {{'s': s, 'n': {normal}}}), lambda x: {{'s': x.s, 'id': list_transform([x.n], lambda n: {look})[1]}}) as told from documents
 ), found as (
-    select doc_id, list_filter(list_transform(list_filter(normal, lambda s: length(s) between {LENGTHS[0]} and {LENGTHS[1]} and regexp_matches(s, {quote("|".join(ANCHORS))})), lambda s: coalesce(({table})[s], ({names})[regexp_extract(s, {quote(STATED)}, 1)])), lambda i: i is not null) as ids from sentences
+    select doc_id, list_filter(flatten(list_transform(told, lambda x: case when x.id is null and contains(x.s, chr(29)) then list_transform(list_transform(string_split(x.s, chr(29)), lambda s: {normal}), lambda n: {look}) else [x.id] end)), lambda i: i is not null) as ids from sentences
 ), sequences as (
     select doc_id, cast(len(ids) as bigint) as n_sentences, array_to_string(ids, ',') as sentences, ';' || array_to_string(list_transform(ids, lambda i: i || ';'), ';') as sequence from found
 ), ruled as (

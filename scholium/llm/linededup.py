@@ -1,22 +1,26 @@
-"""Line dedup by shared windows of lines, in DataFrame operations only.
+"""Line dedup by winnowing over line hashes, in DataFrame operations only.
 
 Lines end at line feeds, and also before a capitalised word that follows a space, so that a passage which was set into
 another line is still made of the same lines; they are equal if they are without white space around them. From each
-line on, and back from each line, the shortest run of LEAST bytes is a window. Any line of a run of LEAST bytes that
-stands earlier too is in a window that stands earlier, so windows need no choice and no run is lost: each window is
-joined with its first occurrence of all, documents in order of id and lines in order, and its lines go if that is
-another place. What a line is deleted for stands earlier, so one copy of everything stays.
+line on, and back from each line, the shortest run of LEAST bytes is a window. Of each window the line with the least
+hash is a fingerprint, a blank line only if there is no other. Equal windows have equal fingerprints, so a run of LEAST
+bytes that is repeated has a fingerprint that is found at another place too: fingerprints of one place only go, with
+their windows. Around the others the match is extended ahead and back, by the windows that they are fingerprints of:
+each is joined with the first place of all that has the same lines, documents in order of id and lines in order, and
+its lines go if that is another place. A run is made up of its windows, so it is followed as far as it goes, whichever
+earlier places have its parts. What a line is deleted for stands earlier, so one copy of everything stays.
 
 A line has the bytes it has, or those without the white space around it and one for its end: windows of both measures
 are made, so that copies with other white space are found by the second one. The end of a text counts as a line's end.
-Blank lines are lines like others.
+Very long texts are taken whole, with work in proportion to their lines, however often a line is repeated.
 
-Hot windows: numbers and first documents are aggregated map-side, and each join has one row a key on one side, so that
-the other can be split. What a task holds of a document is its windows, at most four a line, none of over LEAST lines.
+Hot lines and windows: places and first documents are aggregated map-side, and each join has one row a key on one
+side, so that the other can be split. What a task holds of a document is its windows, at most four a line, none of over
+LEAST lines.
 
-Null texts and ids: such rows stay as they are and are not compared. Empty texts are one empty line. Rows with the
-same id are one document, whose lines are those of either row: a repeated row keeps what its original keeps. Texts and
-ids only are read; deduplicated() keeps other columns whatever their names.
+Null texts and ids: such rows stay as they are and are not compared. Empty texts are one empty line; an empty table
+gives an empty result. Rows with the same id are one document, whose lines are those of either row: a repeated row
+keeps what its original keeps. Texts and ids only are read; deduplicated() keeps other columns whatever their names.
 """
 
 from __future__ import annotations
@@ -27,12 +31,10 @@ from pyspark.sql import functions as F
 from .common import stored
 
 LEAST = 160
-#: Lines that are looked at first for the end of a window.
-NEAR = 6
-#: Of the winnowing that windows replaced; the tests' model of it reads them.
-WINDOW = 3
-SHORT = 16
-LONG = -(-LEAST // (WINDOW - 1))
+#: Lines that are looked at for the end of a window, further ones only if these are too short together.
+NEAR = (6, 24, LEAST)
+#: What a blank line has in the place of its hash when the least one is sought.
+BLANK = (1 << 63) - 1
 BOUNDARY = r"(?<=\n)|(?<= )(?=\p{Lu}\p{Ll})"
 
 
@@ -52,7 +54,7 @@ def _length(n: Column, i: Column) -> Column:
         step = lambda s, x: F.when(s >= full, s).otherwise(s + F.least(x, F.lit(LEAST)) * 256 + 1)  # noqa: E731  bytes and lines so far
         return F.aggregate(F.slice(n, i + 1, lines), F.lit(0), step, lambda s: F.when(s >= full, s % 256))
 
-    return F.coalesce(within(NEAR), within(LEAST))
+    return F.coalesce(*[within(n) for n in NEAR])
 
 
 def _spans(n: str) -> Column:
@@ -74,29 +76,34 @@ def _key(h: Column, span: Column) -> Column:
     return F.xxhash64(F.slice(h, F.shiftright(span, 8).cast("int") + 1, span.bitwiseAND(F.lit(255)).cast("int")))
 
 
+def _mark(ranks: Column, span: Column) -> Column:
+    """The fingerprint of a window: the least rank in it and the line that has it."""
+    return F.array_min(F.slice(ranks, F.shiftright(span, 8).cast("int") + 1, span.bitwiseAND(F.lit(255)).cast("int")))
+
+
 def prepared(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """(doc_id, spans, keys): the windows of each document."""
+    """(doc_id, spans, keys, marks): the windows of each document, hashes of their lines, and their fingerprints."""
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
     split = rows.select("doc_id", _lines(F.col("text")).alias("line"))
     plain = split.select("doc_id", "line", _plain(F.col("line")).alias("plain"))
     sized = plain.select("doc_id", F.transform("plain", lambda x: F.xxhash64(x)).alias("h"), F.transform("plain", lambda x: F.octet_length(x) + 1).alias("n"), F.transform("line", F.octet_length).alias("raw"))
     wide = sized.withColumn("wide", F.zip_with("n", "raw", lambda a, b: F.greatest(a, b))).drop("raw")
-    turned = wide.withColumns({"n_back": F.reverse("n"), "wide_back": F.reverse("wide")})
+    turned = wide.withColumns({"n_back": F.reverse("n"), "wide_back": F.reverse("wide"), "ranks": F.transform(F.arrays_zip("h", "n"), lambda x, i: F.struct(F.when(x["n"] == 1, F.lit(BLANK)).otherwise(x["h"]).alias("print"), i.alias("at")))})
     spans = F.when(F.col("n") == F.col("wide"), _spans("n")).otherwise(F.array_union(_spans("n"), _spans("wide")))
-    found = turned.select("doc_id", "h", F.filter(spans, lambda x: x.isNotNull()).alias("spans"))
-    return found.select("doc_id", "spans", _once("h", lambda h: F.transform("spans", lambda x: _key(h, x))).alias("keys"))
+    found = turned.select("doc_id", "h", "ranks", F.filter(spans, lambda x: x.isNotNull()).alias("spans"))
+    return found.select("doc_id", "spans", _once("h", lambda h: F.transform("spans", lambda x: _key(h, x))).alias("keys"), _once("ranks", lambda r: F.transform("spans", lambda x: _mark(r, x))).alias("marks"))
 
 
 def repeats(windows: DataFrame) -> DataFrame:
     """(doc_id, key, span) from prepared() rows: windows whose first occurrence is elsewhere."""
-    each = windows.select("doc_id", F.explode(F.arrays_zip("spans", "keys")).alias("e")).select("doc_id", F.col("e.spans").alias("span"), F.col("e.keys").alias("key"))
-    firsts = each.groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("times"))
-    firsts = stored(firsts.filter("times > 1").select("key", "first"), "line-firsts")  # so that hot windows can be split in the join
-    met = stored(each.join(firsts, "key"), "line-repeats")
-    own = met.filter("doc_id = first")
-    start = own.groupBy("key").agg(F.min("span").alias("start"), F.max("span").alias("last")).filter("start < last").select("key", "start")
-    again = own.join(start, "key").filter("span > start")
-    return met.filter("doc_id > first").select("doc_id", "key", "span").union(again.select("doc_id", "key", "span"))
+    each = windows.select("doc_id", F.explode(F.arrays_zip("spans", "keys", "marks")).alias("e"))
+    each = each.select("doc_id", F.col("e.spans").alias("span"), F.col("e.keys").alias("key"), F.col("e.marks.print").alias("print"), F.col("e.marks.at").alias("at"))
+    ends = [f(c).alias(f"{n}_{c}") for c in ("doc_id", "at") for n, f in (("min", F.min), ("max", F.max))]
+    shared = each.groupBy("print").agg(*ends).filter("min_doc_id < max_doc_id or min_at < max_at").select("print")  # found at two places
+    near = stored(each.select("doc_id", "span", "key", "print").join(stored(shared, "line-prints"), "print", "left_semi").drop("print"), "line-near")
+    firsts = near.groupBy("key").agg(F.min(F.struct("doc_id", "span")).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1")
+    firsts = stored(firsts.select("key", F.col("first.doc_id").alias("first"), F.col("first.span").alias("start")), "line-firsts")  # so that hot windows can be split in the join
+    return near.join(firsts, "key").filter("doc_id > first or span > start").select("doc_id", "key", "span")
 
 
 def repeated(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:

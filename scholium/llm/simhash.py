@@ -15,9 +15,10 @@ one task compares is bounded whatever the data.
 From each key come the edges of a spanning forest, at most one a fingerprint, never all pairs.
 
 Null texts count as empty; a text with no word has fingerprint 0 and is linked like any other; one of fewer words than
-a shingle has the whole sequence as its only shingle. Repeated rows each get their result. Rows with a null id get
-the component of their fingerprint, whose id is the smallest non-null one in it (null if there is none). Other columns
-are ignored.
+a shingle has the whole sequence as its only shingle. Texts are taken whole, whatever their length; an empty table gives
+an empty result. Repeated rows each get their result; a component of equal texts is no tie, it has the smallest of its
+ids. Rows with a null id get the component of their fingerprint, whose id is the smallest non-null one in it (null if
+there is none). Other columns are ignored, and kept by deduplicated() whatever their names.
 """
 
 from __future__ import annotations
@@ -59,14 +60,14 @@ def fingerprint(text: str | None, width: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", id: str = "doc_id", width: int = 4) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed 64-bit number."""
+    """(doc_id, text_hash, fp): fp is the fingerprint as a signed 64-bit number, text_hash tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             fps = np.array([fingerprint(t, width) for t in text_list(part.column("text"))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(fps.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def _keys(fp: Column, blocks: int, radius: int) -> Column:
@@ -162,19 +163,29 @@ def links(fps: DataFrame, radius: int = 4, crowd: int = 1024) -> DataFrame:
     return found.distinct()
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", width: int = 4, radius: int = 4, crowd: int = 1024) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for each row of docs."""
+def _grouped(docs: DataFrame, text: str, id: str, width: int, radius: int, crowd: int) -> DataFrame:
+    """(doc_id, text_hash, fp, root, component_id) for each row of docs; root tells apart components whose smallest ids are the same."""
     marked = stored(fingerprints(docs, text, id, width), "simhash-fingerprints")
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     groups = components(links(distinct.select("fp"), radius, crowd))
     rooted = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = rooted.join(smallest, "root").select("fp", "component_id")
-    return marked.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return marked.join(rooted.join(smallest, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", width: int = 4, radius: int = 4, crowd: int = 1024) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for each row of docs."""
+    return _grouped(docs, text, id, width, radius, crowd).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
 
+def deduplicated(docs: DataFrame, text: str = "text", id: str = "doc_id", width: int = 4, radius: int = 4, crowd: int = 1024) -> DataFrame:
+    """The rows of docs that stand for their group: that of the smallest id, once. Rows without id all stay.
 
-def deduplicated(docs: DataFrame, text: str = "text", id: str = "doc_id", width: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of docs that stand for their group: the document of the smallest id, once. Rows without id all stay."""
-    kept = near_duplicates(docs, text, id, width, radius).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, docs[id] == F.col("_kept"), "left_semi").dropDuplicates([id])
-    return named.unionByName(docs.filter(F.col(id).isNull()))
+    Rows that share an id are judged each by its own text: in different groups each can stay, in one group that of the
+    smallest hash does.
+    """
+    groups = _grouped(docs, text, id, width, radius, crowd).filter("doc_id = component_id")
+    kept = groups.groupBy("root", "component_id").agg(F.min("text_hash").alias("kept_hash"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id).cast("long").alias("row_id"), F.xxhash64(F.col(text)).alias("row_hash"))
+    named = rows.join(kept, (F.col("row_id") == F.col("component_id")) & (F.col("row_hash") == F.col("kept_hash")), "left_semi").dropDuplicates(["row_id", "row_hash"])
+    return named.union(rows.filter("row_id is null")).select("row.*")

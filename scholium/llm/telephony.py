@@ -5,12 +5,14 @@ WAVE file, one byte a sample for the two laws; for ADPCM 64 bytes are one block
 a spare byte, then 120 four-bit codes). Reading takes the stored file apart again, expands it to 16-bit PCM, doubles
 the rate by linear interpolation, and computes features; everything is in integers, so equal files have equal values.
 
-Null and empty texts make the payload of 64 zero bytes. Each row gets its result, whatever its id; a null id stays
-null. Other columns are ignored.
+Null and empty texts make the payload of 64 zero bytes. Long texts are expanded piece by piece, with the same result.
+Each row gets its result, whatever its id; a null id stays null, and repeated rows have equal results, so there are no
+ties. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
@@ -21,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import text_list, text_slices
 
 BLOCK = 64
 RATE = 8000
+#: Characters or bytes of a slice of rows, and bytes that are expanded at a time: a multiple of BLOCK.
+SLICE = 1_000_000
+PIECE = 1 << 19
 FORMATS = {"alaw": 6, "mulaw": 7, "adpcm": 0x11}
 # The step sizes and index changes of IMA ADPCM.
 STEPS = np.array(
@@ -108,35 +113,111 @@ def wave_payload(media: bytes) -> tuple[str, int, bytes]:
     raise ValueError("a WAVE file without samples")
 
 
-def upsampled(pcm: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Twice the rate, with the mean of neighbours between them; ends: where each recording ends in pcm."""
+def upsampled(pcm: np.ndarray, ends: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Twice the rate, with the mean of neighbours between them; ends: where each piece ends in pcm, after: the sample that follows it."""
     out = np.empty(2 * len(pcm), dtype=np.int16)
     out[::2] = pcm
     following = np.empty_like(pcm)
     following[:-1] = pcm[1:]
-    following[ends - 1] = pcm[ends - 1]
+    following[ends - 1] = after
     out[1::2] = (pcm.astype(np.int32) + following) >> 1
     return out
 
 
-def _measures(pcm: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
-    """Energy, peak and sign changes of each recording."""
-    wide = pcm.astype(np.int64)
-    energy = np.add.reduceat(wide * wide, starts)
-    peak = np.maximum.reduceat(np.abs(pcm.astype(np.int32)), starts)
-    turned = np.zeros(len(pcm), dtype=np.int64)
-    turned[1:] = (pcm[1:] < 0) != (pcm[:-1] < 0)
+class _Measure:
+    """Energy, peak, sign changes and CRC-32 of one recording, from its pieces in order."""
+
+    __slots__ = ("energy", "n", "peak", "turns", "negative")
+
+    def __init__(self) -> None:
+        self.energy, self.n, self.peak, self.turns, self.negative = 0, 0, 0, 0, None
+
+    def __str__(self) -> str:
+        return f"{self.energy // self.n}/{self.peak}/{self.turns}"
+
+
+def _measure(into: list[_Measure], pcm: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+    """Adds a piece of each of some recordings."""
+    wide = pcm.astype(np.int32)
+    peak = np.maximum.reduceat(np.abs(wide), starts)
+    energy = np.add.reduceat(np.square(wide, dtype=np.int64), starts)
+    below = pcm < 0
+    turned = np.zeros(len(pcm), dtype=np.int32)
+    turned[1:] = below[1:] != below[:-1]
     turned[starts] = 0
     turns = np.add.reduceat(turned, starts)
-    return [f"{e // n}/{p}/{t}" for e, n, p, t in zip(energy.tolist(), (ends - starts).tolist(), peak.tolist(), turns.tolist(), strict=True)]
+    cells = zip(into, energy.tolist(), peak.tolist(), turns.tolist(), (ends - starts).tolist(), below[starts].tolist(), below[ends - 1].tolist(), strict=True)
+    for m, e, p, t, n, first, last in cells:
+        m.energy, m.n, m.peak = m.energy + e, m.n + n, max(m.peak, p)
+        m.turns += t + (m.negative is not None and m.negative != first)
+        m.negative = last
+
+
+def _pieces(sizes: list[int]) -> Iterator[list[tuple[int, int, int]]]:
+    """(recording, from, to) in groups of PIECE bytes at most; a longer recording is cut between blocks."""
+    group, room = [], PIECE
+    for i, size in enumerate(sizes):
+        at = 0
+        while at < size:
+            n = min(size - at, room)
+            group.append((i, at, at + n))
+            at, room = at + n, room - n
+            if not room:
+                yield group
+                group, room = [], PIECE
+    if group:
+        yield group
+
+
+def expanded(files: list[bytes], pcm: bool = True) -> list[tuple[bytes, bytes | None, str]]:
+    """(payload, pcm, feature) of stored files; the work is done by pieces, so that memory follows PIECE and the files' own size.
+
+    feature: the codec and rate; mean square, peak and sign changes as expanded; the same for the codes taken by the
+    other law and as ADPCM blocks; CRC-32 of pcm and of the ADPCM samples. pcm: 16-bit little-endian at twice the rate,
+    None unless asked for.
+    """
+    laws, each = law_tables(), 2 * (BLOCK - 4) + 1
+    found = [wave_payload(m) for m in files]
+    measures = [{k: _Measure() for k in FORMATS} for _ in found]
+    sums, blocks, sound = [0] * len(found), [0] * len(found), [[] for _ in found]
+    for group in _pieces([len(p) for _, _, p in found]):
+        codes = np.frombuffer(b"".join([found[i][2][a:b] for i, a, b in group]), dtype=np.uint8)
+        ends = np.cumsum([b - a for _, a, b in group])
+        starts = ends - [b - a for _, a, b in group]
+        wave = {k: table[codes] for k, table in laws.items()}
+        wave["adpcm"] = decode_adpcm(codes.reshape(-1, BLOCK)).reshape(-1)
+        edges = {k: (starts // BLOCK * each, ends // BLOCK * each) if k == "adpcm" else (starts, ends) for k in wave}
+        for k, x in wave.items():
+            _measure([measures[i][k] for i, _, _ in group], x, *edges[k])
+        for k in {found[i][0] for i, _, _ in group}:
+            lo, hi = edges[k]
+            after = wave[k][hi - 1].copy()  # the last sample of a recording stands twice
+            for n, (i, _, b) in enumerate(group):
+                rest = found[i][2][b : b + BLOCK]
+                if rest:
+                    after[n] = int.from_bytes(rest[:2], "little", signed=True) if k == "adpcm" else laws[k][rest[0]]
+            doubled = upsampled(wave[k], hi, after)
+            for (i, _, _), a, b in zip(group, lo.tolist(), hi.tolist(), strict=True):
+                if found[i][0] == k:
+                    raw = doubled[2 * a : 2 * b].astype("<i2").tobytes()
+                    sums[i] = zlib.crc32(raw, sums[i])
+                    if pcm:
+                        sound[i].append(raw)
+        for (i, _, _), a, b in zip(group, *(x.tolist() for x in edges["adpcm"]), strict=True):
+            blocks[i] = zlib.crc32(wave["adpcm"][a:b].astype("<i2").tobytes(), blocks[i])
+    out = []
+    for (codec, rate, payload), m, s, b, parts in zip(found, measures, sums, blocks, sound, strict=True):
+        kinds = " ".join(f"{k} {m[k]}" for k in sorted(m))
+        out.append((payload, b"".join(parts) if pcm else None, f"{codec} {rate} {kinds} pcm {s:08x} blocks {b:08x}"))
+    return out
 
 
 def store(docs: DataFrame, text: str = "text", id: str = "doc_id", codec: str = "mulaw") -> DataFrame:
     """(doc_id, n_bytes, media): the text's UTF-8 as the samples of a stored file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            data = [(t or "").encode() for t in part.column("text").to_pylist()]
+        for part in text_slices(batches, SLICE):
+            data = [t.encode() for t in text_list(part.column("text"))]
             media = pa.array([wave_file(padded(d), codec) for d in data], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(d) for d in data], pa.int64()), media], names=["doc_id", "n_bytes", "media"])
 
@@ -144,49 +225,32 @@ def store(docs: DataFrame, text: str = "text", id: str = "doc_id", codec: str =
 
 
 def read(stored: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, payload, media, pcm, feature) of store()'s rows: pcm is 16-bit little-endian at twice the rate.
-
-    feature: the codec and rate; mean square, peak and sign changes as expanded; the same for the codes taken by the
-    other law and as ADPCM blocks; CRC-32 of pcm and of the ADPCM samples.
-    """
-    columns = "doc_id long, n_bytes long, payload binary, media binary, pcm binary, feature string"
+    """(doc_id, n_bytes, payload, media, pcm, feature) of store()'s rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        laws = law_tables()
-        for part in text_slices(batches, 2_000_000, "media"):
-            media = part.column("media").to_pylist()
-            found = [wave_payload(m) for m in media]
-            codes = np.frombuffer(b"".join(p for _, _, p in found), dtype=np.uint8)
-            sizes = np.array([len(p) for _, _, p in found])
-            ends = np.cumsum(sizes)
-            starts = ends - sizes
-            adpcm = decode_adpcm(codes.reshape(-1, BLOCK)).reshape(-1)
-            each = 2 * (BLOCK - 4) + 1
-            a_starts, a_ends = starts // BLOCK * each, ends // BLOCK * each
-            expanded = {k: table[codes] for k, table in laws.items()}
-            measures = {k: _measures(x, starts, ends) for k, x in expanded.items()} | {"adpcm": _measures(adpcm, a_starts, a_ends)}
-            doubled = {k: upsampled(x, ends) for k, x in expanded.items() if any(c == k for c, _, _ in found)}
-            if any(c == "adpcm" for c, _, _ in found):
-                doubled["adpcm"] = upsampled(adpcm, a_ends)
-            pcm, feature = [], []
-            for i, (codec, rate, _) in enumerate(found):
-                a, b = (a_starts, a_ends) if codec == "adpcm" else (starts, ends)
-                pcm.append(doubled[codec][2 * a[i] : 2 * b[i]].astype("<i2").tobytes())
-                blocks = zlib.crc32(adpcm[a_starts[i] : a_ends[i]].astype("<i2").tobytes())
-                kinds = " ".join(f"{k} {measures[k][i]}" for k in sorted(measures))
-                feature.append(f"{codec} {rate} {kinds} pcm {zlib.crc32(pcm[-1]):08x} blocks {blocks:08x}")
+        for part in text_slices(batches, SLICE, "media"):
+            payload, pcm, feature = zip(*expanded(part.column("media").to_pylist()), strict=True)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("n_bytes"), pa.array([p for _, _, p in found], pa.binary()), part.column("media"), pa.array(pcm, pa.binary()), pa.array(feature)],
-                names=["doc_id", "n_bytes", "payload", "media", "pcm", "feature"],
+                [part.column("doc_id"), part.column("n_bytes"), pa.array(payload, pa.binary()), part.column("media"), pa.array(pcm, pa.binary()), pa.array(feature)], names=["doc_id", "n_bytes", "payload", "media", "pcm", "feature"]
             )
 
-    return stored.mapInArrow(run, columns)
+    return stored.mapInArrow(run, "doc_id long, n_bytes long, payload binary, media binary, pcm binary, feature string")
+
 
+def digests(docs: DataFrame, text: str = "text", id: str = "doc_id", codec: str = "mulaw") -> DataFrame:
+    """Sizes and hashes of what store() keeps and read() gets back, with the features; the files themselves stay in the task."""
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    names = [c.split()[0] for c in schema.split(", ")]
 
-def digests(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """Sizes and hashes of what store() keeps and read() gets back, with the features."""
-    tail = F.crc32(F.expr(f"substring(payload, octet_length(payload) - {BLOCK - 1}, {BLOCK})"))
-    return read(store(docs, text, id)).select(
-        "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), tail.alias("tail_crc32"),
-        F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature",
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, SLICE):
+            data = [t.encode() for t in text_list(part.column("text"))]
+            media = [wave_file(padded(d), codec) for d in data]
+            rows = [
+                (len(d), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest(), feature)
+                for d, m, (p, _, feature) in zip(data, media, expanded(media, pcm=False), strict=True)
+            ]
+            kinds = [pa.string() if "sha256" in n or n == "feature" else pa.int64() for n in names[1:]]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)]], names=names)
+
+    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)

@@ -1,139 +1,114 @@
-"""Toxicity by class-conditional Kneser-Ney models over the characters of words.
-
-An interpolated Kneser-Ney model of up to ORDER characters is made of the counts of all labelled texts: n-grams at a
-word's beginning and the longest ones count occurrences, shorter ones the contexts they were seen in. Each class, toxic
-and ordinary, has counts of its own for the longest context at each place, and backs off to the shared model with the
-weight of BACKOFF occurrences and what discounting takes, so an expression that is rare in a class tells little. A word's log-likelihood ratio
-compares the classes. A text is judged by the mean of the ratios over its words, and by its three words with the
-largest ratio, so that a few expressions in a long text show. A logistic regression makes a score between 0 and 1 of
-these four numbers. A word counts once a text.
-
-Counts are of all labelled rows that are not held out (crc32 of the id leaves 2 modulo 4), by n-gram bucket: BUCKETS
-bounds what reaches the driver and what is sent to workers. The regression is fitted with models of two thirds of
-these rows on rows of the last third, on CALIBRATION rows of each class at most, drawn by a hash of the id.
-
-Null and empty texts get the score of a text without evidence. An id that is labelled more than once is toxic if any
-of its labels says so; null labels and ids are ignored. With no labels of one class, every score is the share of toxic
-rows. Each row gets its result. Other columns are ignored.
+"""Toxicity by class-conditional Kneser-Ney models over the letters of words.
+
+A word is a path of letters from its beginning. At each place of the path both classes, toxic and ordinary, predict what
+comes next: each from its own counts there, less a discount, and for the rest from the counts of all labelled texts
+together, which back off in turn to what Kneser and Ney count: in how many different words a letter follows another.
+So an expression that is rare in a class tells little. The logarithm of the two predictions' ratio is the evidence of
+that place; under EVIDENCE in size, and where a class has not come by at all, it counts as none. A word's ratio is the
+sum along its path, which is the log-likelihood ratio of the word, and its path ends where training texts end, so
+unseen forms of a known stem count as the stem does. What a ratio has over STRONG counts: a text is judged by its mean
+over all words, which is by the text's length, and by the three words with the most, so that a few expressions in a long
+text show; a logistic regression makes a score between 0 and 1 of these four numbers. A word counts once a text. Of a
+run of more than LONGEST letters, and of scripts without spaces, each letter begins a word of SPAN letters.
+
+Counts are of all labelled rows that are not held out (crc32 of the id leaves 2 modulo 4). They stay distributed, by
+word, and the ratios of paths are a stored table, so all that is learned grows with the corpus, and no n-grams share
+buckets. Workers get a bit table of fixed size that tells which paths can have a ratio over STRONG: what passes it is
+joined with the table. Only LETTER_PAIRS numbers and the regression's rows reach the driver. The regression is fitted
+with counts of two thirds of the labelled rows on rows of the last third, on CALIBRATION rows of each class at most,
+drawn by a hash of the id.
+
+Null and empty texts get the score of a text without evidence; texts are read whole, whatever their length, and an
+empty table gives an empty result. An id that is labelled more than once is toxic if any of its labels says so; null
+labels and ids are ignored, and rows that share an id share its label. With no labels of one class, every score is the
+share of toxic rows. Equal texts have equal scores; each row gets its result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
-from itertools import islice
+from dataclasses import dataclass
+from functools import lru_cache
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, is_held_out, text_list, text_slices
-from .language import _Numbered, _word
+from .common import held_out, stored, text_list, text_slices
+from .language import _word
 
-BUCKETS = 1 << 20
-ORDER = 8
 DISCOUNT = 0.75
-#: Occurrences that the shared model weighs for where a word begins, and for contexts within words, which tell less.
-BACKOFF = (2.0, 50.0)
-#: Added to the length of an n-gram that begins a word.
-BEGINS = 16
+#: Occurrences that the shared counts weigh beside a class's own.
+BACKOFF = 4.0
+#: Evidence of a place that counts, as a natural logarithm.
+EVIDENCE = 0.25
+#: What a word's ratio must have over it to count: a factor of e.
+STRONG = 1.0
 CALIBRATION = 10_000
 THRESHOLD = 0.3
-#: Bits of the table of marked ids (8 MB).
+#: Bits of the tables of marked ids and of paths (8 MB).
 FILTER_BITS = 1 << 26
-#: Tasks that make n-grams of the distinct words; each can send on BUCKETS rows.
-GRAM_TASKS = 16
+LETTER_PAIRS = 1 << 16
+#: Letters of a path whose counts are kept by one task, with all that begins with them.
+STEM = 3
+LONGEST = 40
+SPAN = 8
+#: Distinct words that a worker keeps from slice to slice.
+MEMO_WORDS = 300_000
 FEATURES = 4
+END = b"\0"
 
 
-def _hashed(words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Starts of words in the bytes of all, the bytes' number of bytes left in their word, and buckets by n-gram length.
+@lru_cache(1)
+def _unspaced() -> re.Pattern:
+    """Letters of scripts that are written without spaces: Thai to Tibetan, Myanmar, Khmer, Han and Kana."""
+    return re.compile("[฀-࿿က-႟ក-៿々-ヿㇰ-ㇿ㐀-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff]")
 
-    The nth array has the bucket of the n bytes from each byte on, BUCKETS where the word is shorter; the first is of no byte.
-    """
-    cells = [f"<{w[:40].lower()}>".encode() for w in words]
-    raw = np.frombuffer(b"".join(cells), dtype=np.uint8).astype(np.uint64)
-    sizes = np.array([len(c) for c in cells], dtype=np.int64)
-    starts = np.cumsum(sizes) - sizes
-    left = np.repeat(starts + sizes, sizes) - np.arange(len(raw))
-    grams = [np.zeros(len(raw), dtype=np.int32)]
-    h = np.zeros(len(raw), dtype=np.uint64)
-    for n in range(1, ORDER + 1):
-        out = np.full(len(raw), BUCKETS, dtype=np.int32)
-        m = max(0, len(raw) - n + 1)
-        h = (h[:m] * np.uint64(0x100000001B3) + raw[n - 1 :] + np.uint64(n)) & np.uint64(0xFFFFFFFFFFFF)
-        mixed = (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
-        out[:m] = np.where(left[:m] >= n, (mixed % np.uint64(BUCKETS - 1) + np.uint64(1)).astype(np.int32), BUCKETS)
-        grams.append(out)
-    return starts, left, grams
 
+def terms(text: str) -> set[str]:
+    """The different words of a text, in lower case."""
+    low = text.lower()
+    words = set(_word().findall(low))
+    unspaced = not low.isascii() and _unspaced().search(low) is not None
+    cut = [w for w in words if len(w) > LONGEST or unspaced and _unspaced().search(w)]
+    if cut:
+        words.difference_update(cut)
+        words.update(w[i : i + SPAN] for w in cut for i in range(len(w)))
+    return words
 
-@dataclass
-class Model:
-    """The shared model and the classes' counts, by bucket, and the regression."""
-
-    own: np.ndarray  # what an n-gram's own count gives
-    rest: np.ndarray  # what a context leaves to the shorter one
-    counts: np.ndarray  # (2, BUCKETS + 1) of n-grams
-    totals: np.ndarray  # (2, BUCKETS + 1) of contexts
-    types: np.ndarray  # (2, BUCKETS + 1) of different n-grams of contexts
-    weights: np.ndarray  # of the features, then the constant
-    scale: np.ndarray
-    share: float | None = None  # set if there is nothing to tell classes apart by
 
-    def ratios(self, words: list[str]) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary)."""
-        out = np.zeros(len(words), dtype=np.float32)
-        for lo in range(0, len(words), 20_000):
-            starts, _, grams = _hashed(words[lo : lo + 20_000])
-            size = len(grams[0])
-            p = np.full(size, 1 / 256)
-            longest = np.full((2, size), BUCKETS, dtype=np.int32)
-            for n in range(1, ORDER + 1):
-                gram, context = grams[n][: size - n + 1], grams[n - 1][: size - n + 1]
-                there = gram < BUCKETS
-                gram, context = gram[there], context[there]
-                at = np.flatnonzero(there) + n - 1
-                p[at] = self.own[gram] + self.rest[context] * p[at]
-                longest[0, at], longest[1, at] = gram, context
-            place = np.arange(size) - np.repeat(starts, np.diff(np.append(starts, size)))
-            backoff = np.where(place < ORDER, *BACKOFF)
-            given = []
-            for c in (0, 1):
-                own = np.maximum(self.counts[c, longest[0]] - DISCOUNT, 0)
-                left = backoff + DISCOUNT * self.types[c, longest[1]]
-                given.append((own + left * p) / (self.totals[c, longest[1]] + backoff))
-            ratio = np.log(given[1]) - np.log(given[0])
-            ratio[starts] = 0  # the mark of the beginning is given
-            out[lo : lo + 20_000] = np.add.reduceat(ratio, starts)
-        return out
-
-    def score(self, features: np.ndarray) -> np.ndarray:
-        if self.share is not None:
-            return np.full(len(features), self.share)
-        x = features * self.scale
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
-
-
-def _features(texts: list[str], model: Model, known: _Numbered, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found = [_word().findall(t) for t in texts]
-    numbers = np.fromiter((known[w] for x in found for w in x), dtype=np.int64)
-    if len(known) > len(table):
-        table = np.concatenate((table, model.ratios(list(islice(known, len(table), None)))))
-    ratio = table[numbers]
-    out = np.zeros((len(texts), FEATURES))
-    end = 0
-    for i, x in enumerate(found):
-        own = ratio[end : end + len(x)]
-        end += len(x)
-        if len(own):
-            top = np.sort(np.partition(own, len(own) - 3)[-3:] if len(own) > 3 else own)[::-1]
-            out[i, 0] = own.mean()
-            out[i, 1 : 1 + len(top)] = np.maximum(top, 0)
-    return out, table
+def _beginnings(cells: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of every beginning of each cell, one after another, and where each cell's end."""
+    sizes = np.array([len(c) for c in cells], dtype=np.int64)
+    ends = np.cumsum(sizes)
+    raw = np.frombuffer(b"".join(cells), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+    out = np.empty(len(raw), dtype=np.uint64)
+    order = np.argsort(-sizes, kind="stable")
+    at, h = (ends - sizes)[order], np.full(len(cells), 0x9E3779B97F4A7C15, dtype=np.uint64)
+    active = np.searchsorted(-sizes[order], -np.arange(int(sizes.max(initial=0))), side="left")
+    for i, n in enumerate(active.tolist()):
+        place = at[:n] + i
+        h = (h[:n] ^ raw[place]) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+        out[place] = h
+    out *= np.uint64(0x94D049BB133111EB)
+    return (out ^ (out >> np.uint64(32))).view(np.int64), ends
+
+
+def _bits(df: DataFrame, column: Column) -> Broadcast:
+    """A table of FILTER_BITS bits with those that the column names set, on all workers."""
+    place = column + 1  # Spark numbers a bitmap's places from one
+    parts = df.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for r in parts:
+        bits[(r["bucket"] - 1) * len(r["bits"]) : r["bucket"] * len(r["bits"])] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return df.sparkSession.sparkContext.broadcast(bits)
 
 
 def _marks(labels: DataFrame) -> DataFrame:
@@ -150,12 +125,7 @@ def _texts(docs: DataFrame, marks: DataFrame, text: str, id: str) -> DataFrame:
     join with marks decides.
     """
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    place = bit + 1  # Spark numbers a bitmap's places from one
-    parts = marks.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
-    bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for r in parts:
-        bits[(r["bucket"] - 1) * len(r["bits"]) : r["bucket"] * len(r["bits"])] = np.frombuffer(r["bits"], dtype=np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    shared = _bits(marks, bit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,136 +137,251 @@ def _texts(docs: DataFrame, marks: DataFrame, text: str, id: str) -> DataFrame:
     return rows.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", bit.alias("bit")).mapInArrow(run, "doc_id long, text string")
 
 
-def _count(labelled: DataFrame) -> tuple[np.ndarray, ...]:
-    """By bucket of all n-grams: length, buckets without the last and without the first byte, counts (part, class)."""
+COUNTS = [f"c{i}" for i in range(4)]  # the first two thirds' ordinary and toxic texts, then the last third's
+WORD_COUNTS = "word string, " + ", ".join(f"{c} long" for c in COUNTS)
+
 
-    def by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: list[Counter] = [Counter() for _ in range(4)]
+def word_counts(labelled: DataFrame) -> DataFrame:
+    """(word, c0 to c3): in how many labelled texts of each third and class a word is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: list[Counter] = [Counter() for _ in COUNTS]
 
         def portion() -> pa.RecordBatch:
             every = list(dict.fromkeys(w for x in words for w in x))
             cells = [pa.array([x[w] for w in every], pa.int64()) for x in words]
             for x in words:
                 x.clear()
-            return pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *cells], names=["word", "c0", "c1", "c2", "c3"])
+            return pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *cells], names=["word", *COUNTS])
 
         for part in text_slices(batches, 2_000_000):
             for t, toxic, p in zip(text_list(part.column("text")), part.column("toxic").to_pylist(), part.column("part").to_pylist(), strict=True):
-                words[2 * (p == 1) + toxic].update({w[:40].lower() for w in _word().findall(t)})
+                words[2 * (p == 1) + toxic].update(terms(t))
             if sum(map(len, words)) > 200_000:
                 yield portion()
         yield portion()
 
-    def by_gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((4, BUCKETS + 1), dtype=np.int64)
-        shape = np.zeros((3, BUCKETS + 1), dtype=np.int32)
+    return labelled.mapInArrow(run, WORD_COUNTS).groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+def _continuations(words: DataFrame) -> np.ndarray:
+    """The probability of a byte after another (END before the first), by the number of different words that have the pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = np.zeros(LETTER_PAIRS, dtype=np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            _, left, grams = _hashed(batch.column("word").to_pylist())
-            first = np.append(True, left[:-1] == 1)
-            word = np.cumsum(first) - 1
-            times = [batch.column(f"c{k}").to_numpy()[word] for k in range(4)]
-            for n in range(1, ORDER + 1):
-                gram = grams[n]
-                there = np.flatnonzero(gram < BUCKETS)
-                if n == 1:
-                    there = there[~first[there]]  # without the marks of beginnings
-                for k in range(4):
-                    np.add.at(counts[k], gram[there], times[k][there])
-                shape[0, gram[there]] = np.where(first[there], n + BEGINS, n)
-                shape[1, gram[there]] = grams[n - 1][there]
-                shape[2, gram[there]] = grams[n - 1][there + 1] if n > 1 else 0
-        at = np.flatnonzero(counts.any(axis=0))
-        for lo in range(0, len(at), 100_000):
-            some = at[lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[pa.array(shape[i, some]) for i in range(3)], *[pa.array(counts[i, some]) for i in range(4)]], names=["b", "n", "cut", "tail", "c0", "c1", "c2", "c3"])
-
-    sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(4)]
-    words = labelled.mapInArrow(by_word, "word string, c0 long, c1 long, c2 long, c3 long").groupBy("word").agg(*sums)
-    grams = words.coalesce(GRAM_TASKS).mapInArrow(by_gram, "b int, n int, cut int, tail int, c0 long, c1 long, c2 long, c3 long")
-    summed = grams.groupBy("b").agg(*[F.max(c).alias(c) for c in ("n", "cut", "tail")], *sums).toArrow()
-    return tuple(summed.column(c).to_numpy() for c in ("b", "n", "cut", "tail")) + (np.array([summed.column(f"c{i}").to_numpy() for i in range(4)]),)
-
-
-def _kneser_ney(b: np.ndarray, n: np.ndarray, cut: np.ndarray, tail: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """own, rest, counts, totals and types of a model from counts (class, n-grams)."""
-    pooled = counts.sum(axis=0).astype(np.float64)
-    seen = pooled > 0
-    kinds = np.zeros(BUCKETS + 1)
-    np.add.at(kinds, tail[seen & (n % BEGINS > 1)], 1.0)  # after how many characters an n-gram was seen
-    amount = np.where((n >= BEGINS) | (n == ORDER), pooled, np.where(seen, np.maximum(kinds[b], 1.0), 0.0))
-    total, types = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
-    np.add.at(total, cut, amount)
-    np.add.at(types, cut, seen.astype(np.float64))
-    own, rest = np.zeros(BUCKETS + 1), np.ones(BUCKETS + 1)
-    own[b[seen]] = (amount[seen] - DISCOUNT) / total[cut[seen]]
-    used = np.unique(cut[seen])
-    rest[used] = DISCOUNT * types[used] / total[used]
-    by_class, totals, kinds_of = (np.zeros((2, BUCKETS + 1)) for _ in range(3))
-    for c in (0, 1):
-        by_class[c, b] = counts[c]
-        np.add.at(totals[c], cut, counts[c].astype(np.float64))
-        np.add.at(kinds_of[c], cut, (counts[c] > 0).astype(np.float64))
-    return tuple(x.astype(np.float32) for x in (own, rest, by_class, totals, kinds_of))
-
-
-def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and scale of a logistic regression, by Newton steps with a small ridge."""
+            raw = np.frombuffer(END + b"".join(w.encode() + END for w in batch.column("word").to_pylist()), dtype=np.uint8).astype(np.int64)
+            kinds += np.bincount(raw[:-1] * 256 + raw[1:], minlength=LETTER_PAIRS)
+        at = np.flatnonzero(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(kinds[at])], names=["pair", "n"])
+
+    got = words.select("word").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    kinds = np.zeros(LETTER_PAIRS)
+    kinds[got.column("pair").to_numpy()] = got.column("n").to_numpy()
+    kinds = kinds.reshape(256, 256)
+    after = kinds.sum(axis=1, keepdims=True)
+    different = (kinds > 0).sum(axis=1, keepdims=True)
+    return (np.maximum(kinds - DISCOUNT, 0) + (DISCOUNT * different + 1) / 256) / (after + 1)
+
+
+def evidence(counts: list[tuple[int, int]], low: list[float]) -> list[float]:
+    """log P(next | toxic) - log P(next | ordinary) at a place, for what came next there with (ordinary, toxic) counts; low: of the shared letter pairs."""
+    sums = [sum(c[k] for c in counts) for k in (0, 1)]
+    if not sums[0] or not sums[1]:
+        return [0.0] * len(counts)
+    kinds = [sum(c[k] > 0 for c in counts) for k in (0, 1)]
+    total, different = sum(sums), sum(a + b > 0 for a, b in counts)
+    out = []
+    for (a, b), q in zip(counts, low, strict=True):
+        shared = (max(a + b - DISCOUNT, 0) + DISCOUNT * different * q) / total
+        p0, p1 = ((max(n - DISCOUNT, 0) + (BACKOFF + DISCOUNT * kinds[k]) * shared) / (sums[k] + BACKOFF) for k, n in ((0, a), (1, b)))
+        r = math.log(p1 / p0) if p0 > 0 and p1 > 0 else 0.0
+        out.append(r if abs(r) >= EVIDENCE else 0.0)
+    return out
+
+
+def _paths(words: DataFrame, pairs: Broadcast, least: int, most: int | None = None) -> DataFrame:
+    """(node, path, fitted, full): the paths with evidence there, and the nodes on them, of places behind the first `least` letters and before the end of the first `most`.
+
+    Words with the same first `least` letters are in one task, in order: paths part where neighbours differ. A task
+    holds the path to its last word, with what came next along it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = pairs.value
+        found: list[tuple[bytes, float, float]] = []
+        parted: list[tuple[int, list[tuple[int, tuple[int, ...]]]]] = []  # bytes before the place, what came next so far
+        cell, word, now = b"", "", (0, 0, 0, 0)
+
+        def settle(common: int) -> None:
+            """Ends the places behind the first `common` bytes: nothing more comes there."""
+            nonlocal now
+            lo = len(word[:least].encode()) if len(word) >= least else len(cell)
+            hi = len(cell) if most is None or len(word) < most else len(word[:most].encode())
+            while parted and parted[-1][0] > common:
+                depth, nexts = parted.pop()
+                nexts.append((cell[depth], now))
+                counts = [c for _, c in nexts]
+                if lo <= depth < hi and any(c[1] or c[3] for c in counts):
+                    q = low[cell[depth - 1] if depth else 0][[b for b, _ in nexts]].tolist()
+                    fitted = evidence([(c[0], c[1]) for c in counts], q)
+                    full = evidence([(c[0] + c[2], c[1] + c[3]) for c in counts], q)
+                    found.extend((cell[:depth] + bytes((b,)), x, y) for (b, _), x, y in zip(nexts, fitted, full, strict=True) if x or y)
+                now = tuple(map(sum, zip(*counts)))
+
+        def portion() -> pa.RecordBatch:
+            hashes, ends = _beginnings([p for p, _, _ in found])
+            path = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(hashes))
+            cells = [pa.array(hashes[ends - 1]), path, pa.array([x for _, x, _ in found], pa.float64()), pa.array([y for _, _, y in found], pa.float64())]
+            found.clear()
+            return pa.RecordBatch.from_arrays(cells, names=["node", "path", "fitted", "full"])
+
+        for batch in batches:
+            for next_word, *counts in zip(batch.column("word").to_pylist(), *(batch.column(c).to_pylist() for c in COUNTS)):
+                following = next_word.encode() + END
+                if cell:
+                    common = len(commonprefix((cell, following)))
+                    settle(common)
+                    if not parted or parted[-1][0] < common:
+                        parted.append((common, []))
+                    parted[-1][1].append((cell[common], now))
+                cell, word, now = following, next_word, tuple(counts)
+            if len(found) > 50_000:
+                yield portion()
+        settle(-1)
+        yield portion()
+
+    return words.sortWithinPartitions("word").mapInArrow(run, "node long, path array<long>, fitted double, full double")
+
+
+def paths(words: DataFrame, pairs: Broadcast) -> DataFrame:
+    """(node, path, fitted, full) of all places: those behind the first STEM letters by these, those before by the first letter, the first itself in one task."""
+    sums = [F.sum(c).alias(c) for c in COUNTS]
+    stems = words.groupBy(F.left("word", F.lit(STEM)).alias("word")).agg(*sums)
+    firsts = stems.groupBy(F.left("word", F.lit(1)).alias("word")).agg(*sums)
+    deep = _paths(words.repartition(F.left("word", F.lit(STEM))), pairs, STEM)
+    middle = _paths(stems.repartition(F.left("word", F.lit(1))), pairs, 1, STEM)
+    return deep.union(middle).union(_paths(firsts.coalesce(1), pairs, 0, 1))
+
+
+def ratios(found: DataFrame) -> DataFrame:
+    """(node, depth, fitted, full) from stored paths() rows: the sums of evidence along each path, of those that make a difference to what is over STRONG."""
+    on = found.select("node", F.explode("path").alias("at"))
+    own = found.select(F.col("node").alias("at"), "fitted", "full")
+    sums = on.join(own, "at").groupBy("node").agg(F.sum("fitted").alias("fitted_sum"), F.sum("full").alias("full_sum"))
+    both = found.select("node", F.size("path").alias("depth"), "fitted", "full").join(sums, "node")
+    largest = F.greatest("fitted_sum", "full_sum", F.col("fitted_sum") - F.col("fitted"), F.col("full_sum") - F.col("full"))
+    return both.filter(largest > STRONG).select("node", "depth", F.round("fitted_sum", 9).alias("fitted"), F.round("full_sum", 9).alias("full"))
+
+
+@dataclass
+class Model:
+    """The ratios of paths, the bit table of their nodes, and the regression."""
+
+    nodes: DataFrame  # (node, depth, fitted, full)
+    bits: Broadcast | None
+    weights: np.ndarray  # of the features, then the constant
+    share: float | None = None  # set if there is nothing to tell classes apart by
+
+
+class _Finder:
+    """Which words of texts can have a strong ratio, and at which nodes; keeps what it found from slice to slice."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits, self.seen, self.nodes = bits, set(), {}
+
+    def __call__(self, texts: list[str]) -> tuple[list[int], list[list[list[int]]]]:
+        """The number of words of each text, and the nodes of each of its words that have any."""
+        if len(self.seen) > MEMO_WORDS:
+            self.seen, self.nodes = set(), {}
+        found = [terms(t) for t in texts]
+        new = sorted(set().union(*found) - self.seen)
+        for lo in range(0, len(new), 100_000):
+            some = new[lo : lo + 100_000]
+            hashes, ends = _beginnings([w.encode() + END for w in some])
+            bit = hashes & (FILTER_BITS - 1)
+            there = np.flatnonzero((self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+            for w, h in zip(np.searchsorted(ends, there, side="right").tolist(), hashes[there].tolist(), strict=True):
+                self.nodes.setdefault(some[w], []).append(h)
+        self.seen.update(new)
+        return [len(x) for x in found], [[self.nodes[w] for w in sorted(x & self.nodes.keys())] for x in found]
+
+
+def _features(docs: DataFrame, bits: Broadcast, nodes: DataFrame, column: str, text: str, keep: list[str], name: str) -> DataFrame:
+    """docs' columns of `keep`, and the features x0 to x3 of its texts, 0 for a text without strong words.
+
+    Words that may be strong are joined with their ratios once for each different text.
+    """
+    key = [F.coalesce(F.xxhash64(F.col(text)), F.lit(0)).alias("key"), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).alias("size")]
+    rows = docs.select(*[F.col(c).cast("long").alias(c) for c in keep], *key, F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = _Finder(bits.value)
+        kind = pa.list_(pa.list_(pa.int64()))
+        for part in text_slices(batches, 2_000_000):
+            n, hits = finder(text_list(part.column("text")))
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in (*keep, "key", "size")], pa.array(n, pa.int64()), pa.array(hits, kind)], names=[*keep, "key", "size", "n", "hits"])
+
+    schema = "".join(f"{c} long, " for c in keep) + "key long, size int, n long, hits array<array<long>>"
+    marked = stored(rows.mapInArrow(run, schema), name)
+    some = marked.filter("size(hits) > 0")
+    of_text = some.groupBy("key", "size").agg(F.first("n").alias("n"), F.first("hits").alias("hits"))
+    at = of_text.select("key", "size", "n", F.posexplode("hits").alias("word", "nodes")).select("key", "size", "n", "word", F.explode("nodes").alias("node"))
+    met = at.join(nodes.select("node", "depth", F.col(column).alias("r")), "node")
+    words = met.groupBy("key", "size", "n", "word").agg(F.max(F.struct("depth", "r"))["r"].alias("r")).filter(F.col("r") > STRONG).withColumn("r", F.col("r") - STRONG)
+    texts = words.groupBy("key", "size", "n").agg(F.sum("r").alias("all"), F.slice(F.sort_array(F.collect_list("r"), False), 1, 3).alias("top"))
+    cells = [F.col("all") / F.col("n"), *[F.coalesce(F.get("top", F.lit(i)), F.lit(0.0)) for i in range(3)]]
+    cells = [F.round(c, 9).alias(f"x{i}") for i, c in enumerate(cells)]
+    joined = some.drop("n", "hits").join(texts.select("key", "size", *cells), ["key", "size"], "left").select(*keep, *[F.coalesce(f"x{i}", F.lit(0.0)).alias(f"x{i}") for i in range(FEATURES)])
+    return marked.filter("size(hits) = 0").select(*keep, *[F.lit(0.0).alias(f"x{i}") for i in range(FEATURES)]).union(joined)
+
+
+def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression and its constant, by Newton steps with a small ridge."""
     scale = 1 / np.maximum(x.std(axis=0), 1e-9)
     z = np.column_stack((x * scale, np.ones(len(x))))
     w = np.zeros(z.shape[1])
-    ridge = np.diag([1e-2] * x.shape[1] + [1e-6])
+    ridge = np.diag([1.0] * x.shape[1] + [1e-6])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         step = np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + ridge, z.T @ (y - p) - ridge @ w)
         w += step * min(1.0, 5 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-6:
             break
-    return w, scale
+    return w * np.append(np.where(x.std(axis=0) > 0, scale, 0.0), 1.0)
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_id", calibration: int = CALIBRATION) -> Model:
     marks = _marks(labels)
     texts = _texts(docs, marks, text, id)
-    b, n, cut, tail, counts = _count(texts.join(marks, "doc_id"))
-    fitted = Model(*_kneser_ney(b, n, cut, tail, counts[:2]), np.zeros(FEATURES + 1), np.ones(FEATURES))
+    words = stored(word_counts(texts.join(marks, "doc_id")), "toxicity-words")
+    pairs = docs.sparkSession.sparkContext.broadcast(_continuations(words))
+    nodes = stored(ratios(stored(paths(words, pairs), "toxicity-paths")), "toxicity-ratios")
+    bits = _bits(nodes, F.col("node").bitwiseAND(F.lit(FILTER_BITS - 1)))
     sizes = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    nothing = np.zeros(FEATURES + 1)
     if not sizes.get(0) or not sizes.get(1):
-        return replace(fitted, share=float(min(1, sizes.get(1, 0))))
+        return Model(nodes, bits, nothing, float(min(1, sizes.get(1, 0))))
     last = [marks.filter((F.col("part") == 1) & (F.col("toxic") == c)).orderBy(F.xxhash64(F.lit("calibration"), "doc_id"), "doc_id").limit(calibration) for c in (0, 1)]
-    drawn = texts.join(F.broadcast(last[0].union(last[1])), "doc_id")  # at most 2 * calibration ids
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table = _Numbered(), np.zeros(0, dtype=np.float32)
-        for part in text_slices(batches, 2_000_000):
-            x, table = _features(text_list(part.column("text")), shared.value, known, table)
-            yield pa.RecordBatch.from_arrays([*[pa.array(x[:, i]) for i in range(FEATURES)], part.column("toxic")], names=["x0", "x1", "x2", "x3", "toxic"])
-
-    got = drawn.select("text", "toxic").mapInArrow(run, "x0 double, x1 double, x2 double, x3 double, toxic int").toArrow()
+    drawn = texts.join(F.broadcast(last[0].union(last[1]).drop("part")), "doc_id")  # at most 2 * calibration ids
+    got = _features(drawn, bits, nodes, "fitted", "text", ["toxic"], "toxicity-drawn").toArrow()
     y = got.column("toxic").to_numpy().astype(np.float64)
     if not 0 < y.sum() < len(y):
-        return replace(fitted, share=sizes[1] / (sizes[0] + sizes[1]))
-    x = np.column_stack([got.column(f"x{i}").to_numpy() for i in range(FEATURES)])
-    weights, scale = _fit(x, y)
+        return Model(nodes, bits, nothing, sizes[1] / (sizes[0] + sizes[1]))
+    weights = _fit(np.column_stack([got.column(f"x{i}").to_numpy() for i in range(FEATURES)]), y)
     drawn_odds = math.log(y.sum() / (len(y) - y.sum()))
     weights[-1] += math.log(sizes[1] / sizes[0]) - drawn_odds  # the classes' shares among all labelled rows
-    return Model(*_kneser_ney(b, n, cut, tail, counts[:2] + counts[2:]), weights, scale)
+    return Model(nodes, bits, weights)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table = _Numbered(), np.zeros(0, dtype=np.float32)
-        for part in text_slices(batches, 2_000_000):
-            if len(known) > 150_000:
-                known, table = _Numbered(), np.zeros(0, dtype=np.float32)
-            x, table = _features(text_list(part.column("text")), shared.value, known, table)
-            s = shared.value.score(x)
-            held = [is_held_out(i) for i in part.column("doc_id").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(held), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
-
-    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    if model.share is not None:
+        found = rows.select("doc_id", F.lit(model.share).alias("score"))
+    else:
+        *weights, constant = model.weights.tolist()
+        x = sum((F.col(f"x{i}") * F.lit(w) for i, w in enumerate(weights)), F.lit(constant))
+        scored = 1 / (1 + F.exp(-F.greatest(F.least(x, F.lit(30.0)), F.lit(-30.0))))
+        found = _features(rows, model.bits, model.nodes, "full", "text", ["doc_id"], "toxicity-texts").select("doc_id", scored.alias("score"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

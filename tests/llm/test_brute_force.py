@@ -153,6 +153,10 @@ def test_range_coder_gains():
     assert len(mixcoder.encode(ids)) < len(ids) // 2
 
 
+#: Of a plainer winnowing, whose windows are of three lines.
+WINDOW, SHORT, LONG = 3, 16, 80
+
+
 def slow_line_dedup(docs):
     cut = re.compile(r"(?<=\n)|(?<= )(?=[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ])")
     lines = {i: cut.split(t) for i, t in docs.items()}
@@ -165,8 +169,8 @@ def slow_line_dedup(docs):
 
     first, marks = {}, {}
     for i in sorted(docs):
-        rank = [(n < linededup.SHORT, signed(s), -k) for k, (s, n) in enumerate(zip(plain[i], size[i]))]
-        chosen = {-min(rank[a : a + linededup.WINDOW])[2] for a in range(max(1, len(rank) - linededup.WINDOW + 1))} | {k for k, n in enumerate(size[i]) if n >= linededup.LONG}
+        rank = [(n < SHORT, signed(s), -k) for k, (s, n) in enumerate(zip(plain[i], size[i]))]
+        chosen = {-min(rank[a : a + WINDOW])[2] for a in range(max(1, len(rank) - WINDOW + 1))} | {k for k, n in enumerate(size[i]) if n >= LONG}
         marks[i] = sorted(k for k in chosen if plain[i][k])
         for k in marks[i]:
             first.setdefault(plain[i][k], (i, k))
