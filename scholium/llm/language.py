@@ -60,29 +60,42 @@ SCRIPTS = [
 _STARTS = [a for a, _ in SCRIPTS]
 
 
-@lru_cache(1)
-def _word() -> re.Pattern:
+def last_of(text: str) -> int:
+    """A code point that no character of a text is after: patterns of fewer characters are faster."""
+    if text.isascii():
+        return 0x7F
+    try:
+        text.encode("latin-1")
+        return 0xFF
+    except UnicodeEncodeError:
+        return 0xFFFF if len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text) else sys.maxunicode
+
+
+@lru_cache(4)
+def _word(last: int = sys.maxunicode) -> re.Pattern:
+    """Words of characters up to `last`: a letter, then letters and marks."""
     kinds: dict[str, list[int]] = {"L": [], "M": []}
-    for c in range(sys.maxunicode + 1):
+    for c in range(last + 1):
         if (k := unicodedata.category(chr(c))[0]) in kinds:
             kinds[k].append(c)
     letter = _ranges(kinds["L"])
     return re.compile(f"[{letter}][{letter}{_ranges(kinds['M'])}]*")
 
 
-@lru_cache(1)
-def _runs() -> re.Pattern:
-    """Words of one script, of RUN letters at most, so that all of a long run is read."""
+@lru_cache(4)
+def _runs(last: int = sys.maxunicode) -> re.Pattern:
+    """Words of one script, of RUN letters at most, so that all of a long run is read; of characters up to `last`."""
     letters: dict[str, list[int]] = {"latin": []}
     marks = []
-    for c in range(sys.maxunicode + 1):
+    for c in range(last + 1):
         kind = unicodedata.category(chr(c))[0]
         if kind == "L":
             letters.setdefault(script(chr(c)), []).append(c)
         elif kind == "M":
             marks.append(c)
     more = _ranges(marks)
-    return re.compile("|".join(f"[{_ranges(x)}][{_ranges(x)}{more}]{{0,{RUN - 1}}}" for x in letters.values() if x))
+    kinds = "|".join(f"[{_ranges(x)}][{_ranges(x)}{more}]{{0,{RUN - 1}}}" for x in letters.values() if x)
+    return re.compile(f"(?=[{_ranges(sorted(c for x in letters.values() for c in x))}])(?:{kinds})")
 
 
 def script(word: str) -> str:
@@ -164,7 +177,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
         for part in text_slices(batches, 2_000_000):
             for t, x in zip(text_list(part.column("text")), part.column("lang").to_pylist(), strict=True):
                 n = number[x]
-                words = Counter(_runs().findall(t))
+                words = Counter(_runs(last_of(t)).findall(t))
                 if words:
                     starts, buckets = _grams(list(words))
                     times = np.repeat(list(words.values()), np.diff([*starts.tolist(), buckets.shape[1]]))
@@ -254,7 +267,7 @@ class _Labeller:
         model, out = self.model, []
         if len(self.known) * len(model.languages) > KNOWN_SCORES or len(self.known) > 200_000:
             self.known, self.table = _Numbered(), self.table[:0]
-        found = [_runs().findall(t) if model.languages else [] for t in texts]
+        found = [_runs(last_of(t)).findall(t) if model.languages else [] for t in texts]
         words = np.fromiter((self.known[w] for x in found for w in x), dtype=np.int64)
         letters = np.fromiter((len(w) for x in found for w in x), dtype=np.int64)
         sizes = np.array([len(x) for x in found], dtype=np.int64)

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, stored, text_list, text_slices
-from .language import _word
+from .language import _word, last_of
 
 DISCOUNT = 0.75
 #: Occurrences that the shared counts weigh beside a class's own.
@@ -74,7 +74,7 @@ def _unspaced() -> re.Pattern:
 def terms(text: str) -> set[str]:
     """The different words of a text, in lower case."""
     low = text.lower()
-    words = set(_word().findall(low))
+    words = set(_word(last_of(low)).findall(low))
     unspaced = not low.isascii() and _unspaced().search(low) is not None
     cut = [w for w in words if len(w) > LONGEST or unspaced and _unspaced().search(w)]
     if cut:
