@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import lru_cache
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Markup that is taken out of titles and abstracts, and what named references stand for.
+# Markup that is taken out of titles and abstracts.
 INLINE_TAGS = ["title", "p", "i", "b", "em", "strong", "sub", "sup", "scp", "sc", "small", "span", "br", "hr", r"jats:[a-zA-Z\-]+", r"mml:[a-zA-Z\-]+", "tex-math"]
-REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"), ("&nbsp;", " "), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 DOI_PREFIXES = ["https://doi.org/", "http://doi.org/", "doi:", "doi.org/"]
 STOP_FRAGMENTS = ["meet our", "faculty &", "result", "department", "division", "refine", "also see", "recent news", "upcoming", "award", "previous", "academic", "about", "research", "contact", "overview", "program", "major", "minor"]
 SOURCE_LABELS = {
@@ -25,11 +26,32 @@ def blank(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def _code_point(digits: Column, base: int) -> Column:
+    """The character of a numeric reference; the replacement character where there is none, nothing for controls."""
+    code = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(F.conv(digits, base, 10).cast("long"))
+    windows = {c: bytes([c]).decode("cp1252") for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+    table = F.create_map(*[F.lit(x) for c, ch in windows.items() for x in (c, ch)])
+    none = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    control = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    safe = F.when(none, F.lit(0x20)).otherwise(code)
+    char = F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    return F.when(none, F.lit("\ufffd")).when(control, F.lit("")).otherwise(F.coalesce(F.get(F.map_values(F.map_filter(table, lambda k, _: k == code)), F.lit(0)), char))
+
+
 def unescape(c: Column) -> Column:
-    """Named and common numeric character references; html_unescape of a Python function covers the others."""
-    for name, value in REFERENCES:
-        c = F.replace(c, F.lit(name), F.lit(value))
-    return c
+    """Numeric character references, and the named ones of HTML 5 that end in a semicolon, each replaced once."""
+    pattern = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)"
+    names = F.from_json(F.lit(json.dumps({k: v for k, v in html5.items() if k.endswith(";")})), "map<string,string>")
+
+    def value(ref: Column) -> Column:
+        digits = F.regexp_replace(ref, "[&#xX;]", "")
+        digits = F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.lit("0"))
+        named = F.coalesce(F.try_element_at(names, F.substring(ref, 2, 1 << 20)), ref)
+        return F.when(F.lower(F.left(ref, F.lit(3))) == "&#x", _code_point(digits, 16)).when(F.startswith(ref, F.lit("&#")), _code_point(digits, 10)).otherwise(named)
+
+    refs = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
+    parts = F.transform(F.split(c, pattern), lambda p, i: F.concat(p, F.coalesce(value(F.get(refs, i)), F.lit(""))))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(parts, "")).otherwise(c)
 
 
 def collapse(c: Column) -> Column:

@@ -15,16 +15,14 @@ from ..storage import stored
 
 
 def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key in the given order. Null keys are one key.
+    """The first row of each key in the given order, nulls last; of rows that tie one, by a hash of all columns. Null keys are one key.
 
-    By a minimum for each key and a semi join, not a window: a hot key's rows are never sorted in one task.
+    An aggregate that is combined before the shuffle, not a window: a hot key's rows are never sorted in one task.
     """
-    place = rows[order[0]] if len(order) == 1 else F.struct(*order)  # a single column can be aggregated by hash
-    first = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(place).alias("_first"))
-    same = place == F.col("_first")
-    for i, k in enumerate(keys):
-        same &= rows[k].eqNullSafe(F.col(f"_k{i}"))
-    return rows.join(first, same, "left_semi")
+    hashable = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    place = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))], F.xxhash64(*hashable))
+    first = rows.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(F.min_by(F.struct(*rows.columns), place).alias("_row"))
+    return first.select("_row.*")
 
 
 def anti_dedup(batch: DataFrame, targets: Sequence[DataFrame], doi: str = "doi", fp: str = "fp") -> DataFrame:

@@ -46,12 +46,17 @@ def suspicious(papers: DataFrame, names: str, most: int = 300, crowd: int = 30,
 def roster_absent(roster: DataFrame, present: DataFrame, least: int) -> DataFrame:
     """Roster rows (name, last, works) of enough works whose name is not present, nor any present name with their last one.
 
-    A name contains a last name of letters only as a whole or within words; present names are few against papers, and
-    the containment is tested over their distinct words.
+    A last name of n words is looked for in every n neighbouring words of the present names, as a whole or within them;
+    present names are few against papers, and each distinct run of words is tested once.
     """
     named = roster.filter(F.col("works") >= least).join(present.select(F.col("name").alias("_n")).distinct(), F.col("name") == F.col("_n"), "left_anti")
-    parts = present.select(F.explode(F.split(F.lower("name"), r"\s+")).alias("_w")).distinct()
-    near = named.filter(F.length("last") > 3).select("last").distinct().join(parts, F.contains(F.col("_w"), F.lower("last"))).select("last").distinct()
+    words = present.select(F.filter(F.split(F.lower("name"), r"\s+"), lambda w: w != "").alias("w")).filter(F.size("w") > 0).distinct()
+    sized = words.select("w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("_size"))
+    starts = F.explode(F.sequence(F.lit(1), F.size("w") - F.col("_size") + 1)).alias("i")
+    parts = sized.select("w", "_size", starts).select("_size", F.array_join(F.slice("w", F.col("i"), F.col("_size")), " ").alias("_w")).distinct()
+    last = F.trim(F.regexp_replace(F.lower("last"), r"\s+", " "))
+    wanted = named.filter(F.length("last") > 3).select("last", last.alias("_last")).distinct().withColumn("_words", F.size(F.split("_last", " ")))
+    near = wanted.join(parts, (F.col("_words") == F.col("_size")) & F.contains(F.col("_w"), F.col("_last"))).select("last").distinct()
     return named.join(near, "last", "left_anti")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -68,7 +68,7 @@ def q_two_pass_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def q_exact_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _keyed(spark, sf_dir).withColumn("doi", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.concat("source", F.col("n_chars").cast("string"))))
-    rows = rows.withColumn("abstract", F.when(F.col("lang") == "de", "").otherwise(F.substring("text", 1, 100))).withColumn("concepts", F.array("lang")).withColumn("citation_count", F.col("n_chars") % 3)
+    rows = rows.withColumn("abstract", F.when(F.col("lang") == "de", "").otherwise(F.col("text"))).withColumn("concepts", F.array("lang")).withColumn("citation_count", F.col("n_chars") % 3)
     return dedup.merge(rows).select("doc_id", "doi", "abstract", "citation_count", F.array_join("concepts", ",").alias("concepts"), F.array_join("all_sources", ",").alias("sources"))
 
 
@@ -228,13 +228,17 @@ def q_reindex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with p as (select c_custkey as id, c_mktsegment as last, translate(n_name, '0123456789_ ', 'abcdefghij') as first from customer join nation on c_nationkey = n_nationkey where c_acctbal > 9000),
-q as (select s_suppkey as id, translate(n_name, '0123456789_ ', 'abcdefghij') as first from supplier join nation on s_nationkey = n_nationkey)
-select p.id as l_id, q.id as r_id from p join q on p.last = 'BUILDING' and (starts_with(lower(p.first), lower(q.first)) or starts_with(lower(q.first), lower(p.first)))
+with p as (select c_custkey as id, translate(cast(c_custkey // 30 as varchar), '0123456789', 'klmnopqrst') as last, translate(n_name, '0123456789_ ', 'abcdefghij') as first from customer join nation on c_nationkey = n_nationkey),
+q as (select s_suppkey as id, translate(cast(s_suppkey // 2 as varchar), '0123456789', 'klmnopqrst') as last, translate(n_name, '0123456789_ ', 'abcdefghij') as first from supplier join nation on s_nationkey = n_nationkey)
+select p.id as l_id, q.id as r_id from p join q on p.last = q.last and (starts_with(lower(p.first), lower(q.first)) or starts_with(lower(q.first), lower(p.first)))
 """)
 def q_same_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     first = F.translate("n_name", "0123456789_ ", "abcdefghij")
-    left = table(spark, sf_dir, "customer").filter("c_acctbal > 9000").join(nation, F.col("c_nationkey") == nation["n_nationkey"]).select(F.col("c_custkey").alias("id"), F.concat(first, F.lit(" "), "c_mktsegment").alias("name"))
-    right = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == nation["n_nationkey"]).select(F.col("s_suppkey").alias("id"), F.concat(first, F.lit(" BUILDING")).alias("name"))
+
+    def letters(number: str) -> Column:  # last names that some thirty customers and two suppliers share, at any scale
+        return F.translate(F.expr(f"cast({number} as string)"), "0123456789", "klmnopqrst")
+
+    left = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == nation["n_nationkey"]).select(F.col("c_custkey").alias("id"), F.concat(first, F.lit(" "), letters("c_custkey div 30")).alias("name"))
+    right = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == nation["n_nationkey"]).select(F.col("s_suppkey").alias("id"), F.concat(first, F.lit(" "), letters("s_suppkey div 2")).alias("name"))
     return match.same_person(left, right)
