@@ -60,7 +60,7 @@ STEM = 3
 LONGEST = 40
 SPAN = 8
 #: Distinct words that a worker keeps from slice to slice.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 FEATURES = 4
 END = b"\0"
 
@@ -154,10 +154,10 @@ def word_counts(labelled: DataFrame) -> DataFrame:
                 x.clear()
             return pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *cells], names=["word", *COUNTS])
 
-        for part in text_slices(batches, 2_000_000):
+        for part in text_slices(batches, 1_000_000):
             for t, toxic, p in zip(text_list(part.column("text")), part.column("toxic").to_pylist(), part.column("part").to_pylist(), strict=True):
                 words[2 * (p == 1) + toxic].update(terms(t))
-            if sum(map(len, words)) > 200_000:
+            if sum(map(len, words)) > 100_000:
                 yield portion()
         yield portion()
 
@@ -318,7 +318,7 @@ def _features(docs: DataFrame, bits: Broadcast, nodes: DataFrame, column: str, t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = _Finder(bits.value)
         kind = pa.list_(pa.list_(pa.int64()))
-        for part in text_slices(batches, 2_000_000):
+        for part in text_slices(batches, 1_000_000):
             n, hits = finder(text_list(part.column("text")))
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in (*keep, "key", "size")], pa.array(n, pa.int64()), pa.array(hits, kind)], names=[*keep, "key", "size", "n", "hits"])
 
