@@ -30,3 +30,10 @@ def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     size = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.when(size > 0, dot(a, b) / size)
+
+
+def flat_texts(c: Column, depth: int = 1) -> Column:
+    """All values of an array of arrays (`depth` levels of them) as text in order, without nulls of any level."""
+    for _ in range(depth):
+        c = F.flatten(F.filter(c, lambda x: x.isNotNull()))
+    return F.transform(F.filter(c, lambda x: x.isNotNull()), lambda x: x.cast("string"))

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import source_label
+
+
 def count_values(rows: DataFrame, values: str, name: str = "value") -> DataFrame:
     """(value, n) of an array's elements."""
     return rows.select(F.explode(values).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
@@ -167,3 +170,52 @@ def stratified_sample(rows: DataFrame, tier: str, key: str, most: int = 5, seed:
 
 def sample(rows: DataFrame, key: str, most: int, seed: str = "0") -> DataFrame:
     return rows.orderBy(F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string"))), key).limit(most)
+
+
+def cross_counts(rows: DataFrame, values: str, category: str, name: str = "school") -> DataFrame:
+    """(school, category, n) of an array's elements with their row's category; rows without elements count nowhere."""
+    return rows.select(F.explode(values).alias(name), F.col(category).alias("category")).groupBy(name, "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+def new_by_value(rows: DataFrame, values: str, missing: str = "Unknown", name: str = "school") -> DataFrame:
+    """(school, n): a null array counts as `missing`, an empty one nowhere."""
+    return count_values(rows.select(F.coalesce(F.col(values), F.array(F.lit(missing))).alias("_v")), "_v", name)
+
+
+def publication_counts(papers: DataFrame, roster: DataFrame, schools: str = "bu_schools", sources: str = "all_sources", author_id: str = "openalex_id") -> DataFrame:
+    """(what, label, n): papers, named schools, people, people with an identifier, and mentions of each source's label."""
+    named = papers.select(F.explode(schools).alias("s")).filter((F.col("s") != "") & ~F.contains(F.lower("s"), F.lit("unspecified")))
+    mentions = papers.select(F.explode(sources).alias("s")).groupBy(source_label(F.col("s")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    one = lambda df, what, n: df.agg(n.alias("n")).select(F.lit(what).alias("what"), F.lit("").alias("label"), "n")
+    totals = [one(papers, "papers", F.count(F.lit(1))), one(named, "schools", F.countDistinct("s")), one(roster, "roster", F.count(F.lit(1))), one(roster, "with_id", F.count_if(F.nullif(F.col(author_id), F.lit("")).isNotNull()))]
+    out = mentions.select(F.lit("mentions").alias("what"), "label", "n")
+    for t in totals:
+        out = out.unionByName(t)
+    return out
+
+
+# The parts of an affiliation that tell its department; the first that fits counts.
+DEPARTMENTS = {
+    "CS": ["computer science", "cs"], "Law": ["law"], "Engineering": ["engineering", "ece"], "Medicine": ["medicine", "medical"],
+    "SPH": ["public health", "sph"], "Questrom": ["business", "questrom"],
+}
+
+
+def departments(affiliations: DataFrame, affiliation: str = "affiliation", table: dict[str, list[str]] = DEPARTMENTS) -> DataFrame:
+    """(department, n) of affiliations that name one."""
+    text = F.lower(F.coalesce(F.col(affiliation), F.lit("")))
+    first = F.coalesce(*[F.when(F.greatest(*[F.contains(text, F.lit(p)) for p in parts], F.lit(False)), F.lit(d)) for d, parts in table.items()])
+    return affiliations.select(first.alias("department")).filter("department is not null").groupBy("department").agg(F.count(F.lit(1)).alias("n"))
+
+
+def several_sources(papers: DataFrame, sources: str = "all_sources") -> DataFrame:
+    """One row with how many papers there are, and how many keep a list of sources."""
+    return papers.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size(sources) > 0).alias("multi_source"))
+
+
+def source_counts(raw: DataFrame, new: DataFrame, by: str = "source") -> DataFrame:
+    """(source, raw, new, dupes) of harvested rows and of those that the dedup kept."""
+    a = raw.groupBy(by).agg(F.count(F.lit(1)).alias("raw"))
+    b = new.groupBy(F.col(by).alias("_b")).agg(F.count(F.lit(1)).alias("_new"))
+    kept = F.coalesce("_new", F.lit(0).cast("bigint"))
+    return a.join(b, F.col(by).eqNullSafe(F.col("_b")), "left").select(by, "raw", kept.alias("new"), (F.col("raw") - kept).alias("dupes"))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+from collections.abc import Sequence
+from hashlib import sha256
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import author_line, bibtex_key, blank, export_url, last_first
@@ -106,6 +110,40 @@ def save_master(master: DataFrame, path: str) -> None:
     fs.delete(kept, True)
 
 
+def path_sizes(spark: SparkSession, path: str) -> tuple[int, str]:
+    """(bytes of a folder's data files, 16 hexadecimal digits of the SHA-256 of their SHA-256 digests in the order of their names)."""
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = fs.Path(path)
+    files = sorted((f for f in at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at) if not f.getPath().getName().startswith(("_", "."))), key=lambda f: f.getPath().getName())
+    hashed = spark.read.format("binaryFile").load([f.getPath().toString() for f in files]).select("path", F.sha2("content", 256).alias("h")) if files else None
+    digests = sorted((r["path"], r["h"]) for r in hashed.collect()) if hashed is not None else []  # a row a file
+    return sum(f.getLen() for f in files), sha256("".join(h for _, h in digests).encode()).hexdigest()[:16]
+
+
+def parses_back(spark: SparkSession, path: str, n: int) -> bool:
+    """Whether script_lines() as written hold as many readable records as they should, and no other line."""
+    record = F.regexp_replace("value", r"^window\.DATA=\[|(,|\];)$", "")
+    found = spark.read.text(path).agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.get_json_object(record, "$").isNotNull()).alias("ok")).first()
+    return found["lines"] == found["ok"] == n
+
+
+def load_state(spark: SparkSession, path: str, defaults: dict) -> dict:
+    """A run's state, with defaults for what it lacks; the defaults where there is none."""
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs):
+        return dict(defaults)
+    return defaults | json.loads("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))  # one small file
+
+
+def save_state(spark: SparkSession, path: str, state: dict) -> None:
+    spark.createDataFrame([(json.dumps(state, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def save_index(index: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """A key table, each key once, sorted within its files."""
+    index.select(*keys).distinct().repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+
+
 def append_log(entry: DataFrame, path: str) -> None:
     entry.write.mode("append").csv(path, header=True)
 

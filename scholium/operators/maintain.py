@@ -10,13 +10,21 @@ from pyspark.sql import functions as F
 from ..functions.text import best_url
 
 
-def refresh_citations(master: DataFrame, fresh: DataFrame, key: str = "doi", count: str = "citation_count", marks: Sequence[int] = (100, 1000)) -> DataFrame:
-    """master with fresh counts where they differ, `changed`, and `milestone`: the largest mark that a count crossed."""
-    new = fresh.groupBy(F.col(key).alias("_k")).agg(F.max(count).alias("_new"))
-    met = master.join(new, master[key] == F.col("_k"), "left")
+def refresh_citations(master: DataFrame, fresh: DataFrame, key: str = "doi", count: str = "citation_count", marks: Sequence[int] = (100, 1000), since: int | None = None, open_access: str | None = None) -> DataFrame:
+    """master with fresh counts where they differ, `changed`, and `milestone`: the largest mark that a count crossed.
+
+    With `since`, only rows of that year or later are refreshed; with `open_access`, that flag takes a fresh value where there is one.
+    """
+    flags = [] if open_access is None else [F.max(open_access).alias("_open")]
+    new = fresh.groupBy(F.col(key).alias("_k")).agg(F.max(count).alias("_new"), *flags)
+    due = F.col(key) == F.col("_k")
+    met = master.alias("m").join(new, due if since is None else due & (F.col("year") >= since), "left")
     old, now = F.coalesce(F.col(count), F.lit(0)), F.coalesce("_new", count)
     crossed = F.coalesce(*[F.when((old < m) & (F.col("_new") >= m), F.lit(m)) for m in sorted(marks, reverse=True)])
-    return met.withColumn("changed", F.coalesce(F.col("_new") != old, F.lit(False))).withColumn("milestone", crossed).withColumn(count, now).drop("_k", "_new")
+    out = met.withColumn("changed", F.coalesce(F.col("_new") != old, F.lit(False))).withColumn("milestone", crossed).withColumn(count, now)
+    if open_access is not None:
+        out = out.withColumn(open_access, F.coalesce("_open", open_access))
+    return out.drop("_k", "_new", "_open")
 
 
 def update_preprints(master: DataFrame, fresh: DataFrame, key: str = "doi") -> DataFrame:
@@ -114,3 +122,10 @@ def prompt_text(title: Column, year: Column, venue: Column, kind: Column, abstra
     short = F.when(F.length(abstract) > 800, F.concat(F.substring(abstract, 1, 800), F.lit("..."))).otherwise(blank(abstract))
     some = F.slice(F.filter(topics, lambda t: F.coalesce(t, F.lit("")) != ""), 1, 8)
     return F.concat_ws("\n", line("Title", F.coalesce(title, F.lit(""))), line("Year", F.nullif(year, F.lit(0)).cast("string")), line("Venue", blank(venue)), line("Type", blank(kind)), line("Abstract", short), line("Topics", blank(F.array_join(some, ", "))))
+
+
+def sample_view(papers: DataFrame, title: int = 100, abstract: int = 200) -> DataFrame:
+    """The columns that a reviewer of a sample sees: the beginnings of titles and abstracts, the answer, the schools."""
+    start = lambda c, n: F.substring(F.coalesce(F.col(c), F.lit("")), 1, n)
+    summary, schools = F.coalesce("one_line_summary", F.lit("")), F.coalesce("bu_schools", F.array().cast("array<string>"))
+    return papers.select(start("title", title).alias("title"), start("abstract", abstract).alias("abstract"), F.col("ai_relevance").alias("relevance"), "confidence", summary.alias("summary"), schools.alias("schools"))

@@ -212,3 +212,24 @@ def responses(inputs: DataFrame, answers: DataFrame) -> DataFrame:
     parsed = parse_response(F.coalesce("text", F.lit("")))
     failed = parsed.withField("ai_relevance", F.lit("unknown")).withField("parse_error", F.lit(True))
     return met.withColumn("classification", F.when(done, parsed).otherwise(failed)).drop("_i", "ok", "text")
+
+
+def split_profiles(roster: DataFrame, profiles: DataFrame, nearby: Sequence[str], least: int = 10) -> DataFrame:
+    """(name, primary_id, id, works): other profiles that a person may have.
+
+    roster (name, openalex_id) against profiles (id, display_name, alternatives, works_count, last_institutions): enough works, not the
+    person's own profile, any of its names that agrees in the last name while one first name begins the other, and, where last
+    institutions are known, one that has a fragment of `nearby`. The join is on the last name; a profile's names are taken once.
+    """
+    from ..functions.text import name_plain, words
+
+    none = F.array().cast("array<string>")
+    parts = lambda c: words(name_plain(c))
+    last = F.lower(F.array_join(F.coalesce("last_institutions", none), " "))
+    near = (F.size(F.coalesce("last_institutions", none)) == 0) | F.greatest(*[F.contains(last, F.lit(n.lower())) for n in nearby], F.lit(False), F.lit(False))
+    big = profiles.filter((F.coalesce("works_count", F.lit(0)) >= least) & near)
+    names = big.select(F.col("id"), F.col("works_count").alias("works"), F.explode(F.concat(F.array("display_name"), F.coalesce("alternatives", none))).alias("_n"))
+    theirs = names.select("id", "works", parts(F.col("_n")).alias("_w")).select("id", "works", F.get("_w", 0).alias("_theirs"), F.get(F.reverse("_w"), 0).alias("_last")).filter("_last is not null").distinct()
+    ours = roster.select("name", F.col("openalex_id").alias("primary_id"), parts(F.col("name")).alias("_w")).select("name", "primary_id", F.get("_w", 0).alias("_ours"), F.get(F.reverse("_w"), 0).alias("_last"))
+    met = ours.join(theirs, "_last").filter(~F.col("id").eqNullSafe(F.col("primary_id")) & (F.startswith("_ours", F.col("_theirs")) | F.startswith("_theirs", F.col("_ours"))))
+    return met.select("name", "primary_id", "id", "works").distinct()

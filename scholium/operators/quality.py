@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.arrays import same_set
@@ -72,6 +76,33 @@ def run_sanity(runs: DataFrame, warn_new: int = 200, fail_new: int = 500, warn_c
     return _issues(runs, level, "run", F.concat(F.col("added").cast("string"), F.lit(" added")))
 
 
+def run_alerts(runs: DataFrame, sources: DataFrame, zero_weeks: int = 3, failures: int = 3) -> DataFrame:
+    """run_sanity()'s issues, FAIL for a run that again added nothing, and FAIL for a source that keeps failing.
+
+    runs (added, cost, zero_weeks before this one), sources (source, consecutive_failures).
+    """
+    weeks = F.coalesce("zero_weeks", F.lit(0)) + 1
+    idle = _issues(runs, F.when((F.col("added") == 0) & (weeks >= zero_weeks), "FAIL"), "idle", F.concat(F.lit("nothing new for "), weeks.cast("string"), F.lit(" weeks")))
+    failing = _issues(sources, F.when(F.col("consecutive_failures") >= failures, "FAIL"), "source", F.concat("source", F.lit(" failed "), F.col("consecutive_failures").cast("string"), F.lit(" runs")))
+    return run_sanity(runs).unionByName(idle).unionByName(failing)
+
+
+def files_there(spark: SparkSession, paths: Sequence[str], tables: Sequence[str] = ()) -> DataFrame:
+    """FAIL for each path that does not exist, and for each Parquet table that can't be read: what a gate asks besides gate()."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    rows = []
+    for path in [*paths, *tables]:
+        at = hadoop.Path(path)
+        if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            rows.append(("FAIL", "missing", path))
+        elif path in tables:
+            try:
+                spark.read.parquet(path).limit(1).count()
+            except (PySparkException, Py4JJavaError) as broken:
+                rows.append(("FAIL", "unreadable", f"{path}: {type(broken).__name__}"))
+    return spark.createDataFrame(rows, "level string, check_name string, message string")
+
+
 def links_to_check(papers: DataFrame, url: str = "url") -> DataFrame:
     """Addresses that are no DOI: what a link check would ask for."""
     return papers.filter(F.nullif(F.col(url), F.lit("")).isNotNull() & ~F.contains(F.col(url), F.lit("doi.org/")))
