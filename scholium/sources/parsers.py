@@ -28,6 +28,9 @@ def record(raw: DataFrame, harvested_at: str = "", **fields: Column) -> DataFram
     """Papers of one shape from the fields that a source has: cleaned, with keys, and defaults for the others."""
     none = lambda kind: F.lit(None).cast(kind)
     f = {k: fields.get(k, none("string")) for k in ("title", "doi", "abstract", "source", "source_id", "url", "pdf_url", "venue", "publication_type")}
+    f |= {k: fields.get(k, none(kind)) for k, kind in (("authors", f"array<{AUTHOR}>"), ("year", "int"), ("concepts", "array<string>"), ("citation_count", "int"), ("extra", "map<string,string>"))}
+    raw = raw.select(*[c.alias(f"_field_{k}") for k, c in f.items()])  # first of all, or a raw column would be taken for the field of its name
+    f = fields = {k: F.col(f"_field_{k}") for k in f}
     return raw.select(
         sanitize(f["title"]).alias("title"), normalize_title(f["title"]).alias("title_normalized"), fingerprint(f["title"]).alias("title_fingerprint"),
         F.coalesce(fields.get("authors", none(f"array<{AUTHOR}>")), F.array().cast(f"array<{AUTHOR}>")).alias("authors"), fields.get("year", none("int")).cast("int").alias("year"), normalize_doi(f["doi"]).alias("doi"),
