@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, extraction, language, licenses, linededup, simhash, telephony, tokenids, toxicity
+from . import bpe, bytebpe, decontaminate, extraction, fillmiddle, language, licenses, linededup, simhash, telephony, tokenids, toxicity, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,8 +54,21 @@ def op8_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telephony.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.components(whitening.transform(vectors, whitening.fit(vectors)))
+
+
+def op12_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_fillmiddle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fillmiddle.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_licenses": op1_licenses, "op2_extraction": op2_extraction, "op3_tokenids": op3_tokenids, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_simhash": op6_simhash, "op7_linededup": op7_linededup, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe}
+    return {"op1_licenses": op1_licenses, "op2_extraction": op2_extraction, "op3_tokenids": op3_tokenids, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_simhash": op6_simhash, "op7_linededup": op7_linededup, "op8_telephony": op8_telephony, "op9_language": op9_language, "op10_bpe": op10_bpe, "op11_whitening": op11_whitening, "op12_bytebpe": op12_bytebpe, "op13_fillmiddle": op13_fillmiddle}
 
 
 OP5_SQL = r"""
@@ -79,5 +92,21 @@ group by d.row, d.id, i.row, i.id having count(*) >= 0.8 * any_value(z.n_shingle
 """
 
 
+OP13_SQL = """
+with units as (
+    select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents
+), drawn as (
+    select doc_id, text, u, len(u) as n, cast('0x' || h[1:8] as bigint) % (len(u) + 1) as x, cast('0x' || h[9:16] as bigint) % (len(u) + 1) as y,
+        cast('0x' || h[17:24] as bigint) % 100 as keep, cast('0x' || h[25:32] as bigint) % 100 as turn from units
+), cut as (
+    select doc_id, text, n, case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or keep >= 90 then 'plain' when turn < 20 then 'spm' else 'psm' end as form,
+        coalesce(array_to_string(u[1 : least(x, y)], ''), '') as prefix, coalesce(array_to_string(u[least(x, y) + 1 : greatest(x, y)], ''), '') as middle, coalesce(array_to_string(u[greatest(x, y) + 1 :], ''), '') as suffix from drawn
+)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars, case when form <> 'plain' then length(middle) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+    sha256(case form when 'plain' then text else prefix || middle || suffix end) as restored_sha256 from cut
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_licenses": licenses.scan_sql(), "op5_decontaminate": OP5_SQL}
+    return {"op1_licenses": licenses.scan_sql(), "op5_decontaminate": OP5_SQL, "op13_fillmiddle": OP13_SQL}
