@@ -21,6 +21,26 @@ def json_object_values(spark: SparkSession, path: str, value: str) -> DataFrame:
     return whole.select(F.explode(F.from_json("value", f"map<string,struct<{value}>>")).alias("key", "v")).select("key", "v.*")
 
 
+def entries(rows: DataFrame, value: str) -> DataFrame:
+    """A row for each record in a variant column: the elements of a list (key null, place from 0) or the values of an object (key, place).
+
+    Values of any other kind, and null, give no row. The other columns are kept, but for those named key, place and record.
+    """
+    keep = [c for c in rows.columns if c not in (value, "key", "place", "record")]
+    every = rows.sparkSession.tvf.variant_explode(F.col(value).outer())
+    return rows.select(*keep, value).lateralJoin(every.select(F.col("pos").alias("place"), "key", F.col("value").alias("record"))).select(*keep, "key", "place", "record")
+
+
+def json_records(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """(key, place, record) of files that are one list of records each, or one object from keys to records; the same files may be either.
+
+    A record is a variant, or a struct where a schema is given. A file is one task's work; large harvests are better landed as lines.
+    """
+    whole = spark.read.option("singleVariantColumn", "v").option("multiLine", True).json(path)
+    found = entries(whole, "v")
+    return found if schema is None else found.withColumn("record", F.try_variant_get("record", "$", f"struct<{schema}>"))
+
+
 def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import has
 from ..functions.text import blank, fingerprint, first_last, inverted_text, normalize_doi, normalize_title, sanitize
+from ..functions.values import named, variant
 from ..operators.dedup import keep_first, windowed_first
 from ..operators.filters import has_term
 from ..schemas import AUTHOR
@@ -205,12 +206,12 @@ def commons_page(pages: DataFrame, institution: str, html: str = "html", url: st
 
 
 def dblp(raw: DataFrame, min_year: int | None = None, harvested_at: str = "") -> DataFrame:
-    """Entries of a computing index. Their authors are text that is one object or an array of them; a key once."""
-    one, many = F.from_json("authors", "struct<text:string>"), F.from_json("authors", "array<struct<text:string>>")
-    people = F.when(F.startswith(F.trim("authors"), F.lit("[")), many).otherwise(F.array(one))
-    name = lambda a: F.regexp_replace(a["text"], r"\s+\d{4}$", "")
+    """Entries of a computing index. Their authors are JSON of any shape: one object, one text, lists of them, or under `author`; a key once."""
+    v = variant(F.col("authors"))
+    people = F.coalesce(named(F.coalesce(F.try_variant_get(v, "$.author", "variant"), v)), _texts())
+    name = lambda a: F.regexp_replace(a, r"\s+\d{4}$", "")
     out = record(
-        raw.dropDuplicates(["@key"]), harvested_at, title=F.regexp_replace("title", r"\.$", ""), authors=F.transform(F.filter(people, lambda a: a["text"].isNotNull()), lambda a: _author(name(a))), year=F.col("year").try_cast("int"),
+        raw.dropDuplicates(["@key"]), harvested_at, title=F.regexp_replace("title", r"\.$", ""), authors=F.transform(people, lambda a: _author(name(a))), year=F.col("year").try_cast("int"),
         doi=F.col("doi"), source=F.lit("dblp"), source_id=F.col("@key"), url=F.col("ee"), venue=F.col("venue"), publication_type=F.col("type"),
     )
     return out if min_year is None else out.filter(F.col("year").isNull() | (F.col("year") >= min_year))
