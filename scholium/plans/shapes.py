@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as V
+from ..operators import terms
 from ..sources import files, parsers
-from .base import papers, query, table
+from .base import query, table
 
 
 @query("""
@@ -52,3 +53,26 @@ def q_file_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = turns.select("conv_id", V.variant(F.when(F.col("conv_id") % 2 == 0, F.to_json("turns")).otherwise(F.to_json(keyed))).alias("v"))
     read = files.entries(landed, "v").withColumn("r", F.try_variant_get("record", "$", "struct<role:string,text:string>"))
     return read.select("conv_id", "key", "r.role", "r.text")
+
+
+#: Besides the fixed lists, one of syllables that invented prose is full of.
+_LISTS = {**terms.LISTS, "syllables": ["the", "he", "ana", "ein", "ent", "ion", "The", "de la", "ou"]}
+_VALUES = ", ".join(f"('{name}', '{term}')" for name, some in _LISTS.items() for term in dict.fromkeys(t.lower() for t in some))
+
+
+@query(f"""
+with t(list, term) as (values {_VALUES}), d as (select doc_id, lower(text) as text from documents),
+h as (select doc_id, list, term, (length(text) - length(replace(text, term, ''))) // length(term) as hits from d, t where contains(text, term))
+select doc_id, list, term, hits from h
+""")
+def q_term_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return terms.term_hits(table(spark, sf_dir, "documents"), "doc_id", F.col("text"), _LISTS)
+
+
+@query(f"""
+with t(list, term) as (values {_VALUES}), d as (select p_partkey, lower('An algorithmic ' || p_name || ', automated; GPT and ' || p_type || ' robotics. GAN ganGAN') as text from part)
+select list, term, count(*) as n, cast(sum((length(text) - length(replace(text, term, ''))) // length(term)) as bigint) as hits from d, t where contains(text, term) group by list, term
+""")
+def q_term_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("An algorithmic "), "p_name", F.lit(", automated; GPT and "), "p_type", F.lit(" robotics. GAN ganGAN"))
+    return terms.list_totals(terms.term_hits(table(spark, sf_dir, "part"), "p_partkey", text, _LISTS), "p_partkey")
