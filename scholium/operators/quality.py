@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.arrays import same_set
+from .streaks import last_streaks
 
 
 def _issues(rows: DataFrame, level: Column, check: str, message: Column) -> DataFrame:
@@ -87,6 +88,17 @@ def run_alerts(runs: DataFrame, sources: DataFrame, zero_weeks: int = 3, failure
     return run_sanity(runs).unionByName(idle).unionByName(failing)
 
 
+def log_alerts(log: DataFrame, source_log: DataFrame, zero_weeks: int = 3, failures: int = 3, run: str = "run_no", source: str = "source") -> DataFrame:
+    """What the run log tells now: FAIL if its last runs added nothing, as many as zero_weeks in a row, and for each source whose last runs failed.
+
+    log (run_no, added), source_log (source, run_no, status): a run failed if its status is FAILED; a partial one did not.
+    """
+    idle = last_streaks(log, [], [run], F.coalesce("added", F.lit(0)) == 0).filter(F.col("streak") >= zero_weeks)
+    failing = last_streaks(source_log, [source], [run], F.col("status") == "FAILED").filter(F.col("streak") >= failures)
+    none = _issues(idle, F.lit("FAIL"), "idle", F.concat(F.lit("nothing new for "), F.col("streak").cast("string"), F.lit(" weeks")))
+    return none.unionByName(_issues(failing, F.lit("FAIL"), "source", F.concat(source, F.lit(" failed "), F.col("streak").cast("string"), F.lit(" runs"))))
+
+
 def files_there(spark: SparkSession, paths: Sequence[str], tables: Sequence[str] = ()) -> DataFrame:
     """FAIL for each path that does not exist, and for each Parquet table that can't be read: what a gate asks besides gate()."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs

@@ -1,4 +1,4 @@
-"""Queries of raw values: nested lists, changing shapes, terms of several lists."""
+"""Queries of raw values: nested lists, changing shapes, terms of several lists, streaks."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..operators import terms
+from ..operators import quality, streaks, terms
 from ..sources import files, parsers
 from .base import query, table
 
@@ -76,3 +76,42 @@ select list, term, count(*) as n, cast(sum((length(text) - length(replace(text,
 def q_term_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit("An algorithmic "), "p_name", F.lit(", automated; GPT and "), "p_type", F.lit(" robotics. GAN ganGAN"))
     return terms.list_totals(terms.term_hits(table(spark, sf_dir, "part"), "p_partkey", text, _LISTS), "p_partkey")
+
+
+_ISLANDS = "n - coalesce(max(case when not f then n end) over (partition by {0} order by n), 0)"
+
+
+@query(f"""
+with e as (select event_id, user_id, event_type <> 'click' as f, row_number() over (partition by user_id order by ts, event_id) as n from events)
+select event_id, case when f then {_ISLANDS.format('user_id')} else 0 end as streak from e
+""")
+def q_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    return streaks.streaks(rows, ["user_id"], ["ts", "event_id"], F.col("event_type") != "click").select("event_id", "streak")
+
+
+@query(f"""
+with p as (select source, doc_id, n_chars < 1500 as f, row_number() over (partition by source order by doc_id) as n from documents),
+s as (select *, case when f then {_ISLANDS.format('source')} else 0 end as streak from p), t as (select source, min(doc_id) as stop from s where streak = 4 group by source)
+select p.source, p.doc_id from p left join t on p.source is not distinct from t.source where t.stop is null or p.doc_id <= t.stop
+""")
+def q_old_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings by source, read up to four short documents in a row."""
+    pages = table(spark, sf_dir, "documents").select("source", "doc_id", (F.col("n_chars") >= 1500).cast("int").alias("recent"))
+    return parsers.stop_at_old_pages(pages, "doc_id", "recent", 4, ["source"]).select("source", "doc_id")
+
+
+@query(f"""
+with r as (select event_id as run_no, case when event_id >= (select max(event_id) - 4 from events) then 0 else cast(value as int) end as added from events),
+n as (select *, added = 0 as f, row_number() over (order by run_no) as n from r), i as (select run_no, case when f then {_ISLANDS.format('1')} else 0 end as streak from n),
+e as (select user_id, event_type in ('error', 'view') as f, row_number() over (partition by user_id order by event_id) as n from events), s as (select user_id, n, case when f then {_ISLANDS.format('user_id')} else 0 end as streak from e)
+select 'FAIL' as level, 'idle' as check_name, 'nothing new for ' || arg_max(streak, run_no) || ' weeks' as message from i having arg_max(streak, run_no) >= 3
+union all select 'FAIL', 'source', user_id || ' failed ' || arg_max(streak, n) || ' runs' from s group by user_id having arg_max(streak, n) >= 3
+""")
+def q_log_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaks computed from a log of runs and from one of sources."""
+    events = table(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id").alias("last"))  # one row
+    log = events.join(F.broadcast(last)).select(F.col("event_id").alias("run_no"), F.when(F.col("event_id") >= F.col("last") - 4, 0).otherwise(F.round("value").cast("int")).alias("added"))
+    source_log = events.select(F.col("user_id").cast("string").alias("source"), F.col("event_id").alias("run_no"), F.when(F.col("event_type").isin("error", "view"), "FAILED").otherwise("ok").alias("status"))
+    return quality.log_alerts(log, source_log)

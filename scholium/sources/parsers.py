@@ -232,11 +232,14 @@ def index_dump(records: DataFrame, roster: DataFrame, master: DataFrame, ambiguo
     return new_records(kept.withColumnRenamed("title_fingerprint", "fp"), [known]).withColumnRenamed("fp", "title_fingerprint")
 
 
-def stop_at_old_pages(pages: DataFrame, page: str = "page", recent: str = "n_recent", most: int = 3) -> DataFrame:
-    """Listing pages up to the place where `most` in a row had nothing recent. Pages of one listing are few."""
-    from pyspark.sql import Window
-
-    w = Window.orderBy(page)
-    last = pages.withColumn("_old", F.sum(F.when(F.col(recent) == 0, 1).otherwise(0)).over(w.rowsBetween(-(most - 1), 0)))
-    stop = F.min(F.when(F.col("_old") == most, F.col(page))).over(Window.partitionBy())
-    return last.withColumn("_stop", stop).filter(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_old", "_stop")
+def stop_at_old_pages(pages: DataFrame, page: str = "page", recent: str = "n_recent", most: int = 3, listing: Sequence[str] = ()) -> DataFrame:
+    """Pages of each listing up to the place where `most` in a row had nothing recent; all of a listing without such a place."""
+    from ..operators.streaks import streaks
+
+    stops = streaks(pages.select(*listing, page, recent), listing, [page], F.col(recent) == 0, "_streak").filter(F.col("_streak") == most)
+    if not listing:
+        bound = stops.agg(F.min(page).alias("_stop"))  # one row
+        return pages.join(F.broadcast(bound)).filter(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_stop")
+    stops = stops.groupBy(*[F.col(c).alias(f"_of_{c}") for c in listing]).agg(F.min(page).alias("_stop"))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in listing]
+    return pages.join(stops, same, "left").filter(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).select(*pages.columns)
