@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedup, filters, maintain, match, quality
+from ..sources import remote
 from ..storage import stored
 
 
@@ -22,7 +23,8 @@ class Harvest:
 def harvest(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], budget_s: float | None = None) -> Harvest:
     """Papers of all sources, and (source, count, status, error, duration_s): a source that fails leaves the others whole.
 
-    With a budget, sources that would begin after it are skipped.
+    A source that is read part by part (sources/remote.py) keeps what its parts gave, and says PARTIAL_ERROR or
+    PARTIAL_TIMEOUT. With a budget, sources that would begin after it are skipped.
     """
     found, rows, began = [], [], time.monotonic()
     for name, load in sources.items():
@@ -32,8 +34,10 @@ def harvest(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], bu
             continue
         try:
             df = stored(load(), f"harvest-{name}")
-            found.append(df)
-            rows.append((name, df.count(), "ok", "", time.monotonic() - at))
+            count, status, error = remote.summary(df) if "_status" in df.columns else (df.count(), "ok", "")
+            if status != remote.FAILED:
+                found.append(remote.records(df) if "_status" in df.columns else df)
+            rows.append((name, count, status, error, time.monotonic() - at))
         except Exception as e:  # noqa: BLE001  one source's failure is reported, not raised
             rows.append((name, 0, "FAILED", str(e)[:500], time.monotonic() - at))
     report = spark.createDataFrame(rows, "source string, count long, status string, error string, duration_s double")
