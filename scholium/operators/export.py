@@ -9,6 +9,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import versions
 from ..functions.text import author_line, bibtex_key, blank, export_url, last_first
 
 
@@ -95,19 +96,14 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
-def save_master(master: DataFrame, path: str) -> None:
-    """Write beside the old dataset, then put it in its place: a failed write leaves the old one."""
-    spark = master.sparkSession
-    master.write.mode("overwrite").parquet(path + ".new")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    new, old = hadoop.Path(path + ".new"), hadoop.Path(path)
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    kept = hadoop.Path(path + ".old")
-    if fs.exists(old):
-        fs.delete(kept, True)
-        fs.rename(old, kept)
-    fs.rename(new, old)
-    fs.delete(kept, True)
+def save_master(master: DataFrame, path: str) -> str:
+    """Commit the dataset as a new version (versions.py): a failed or killed save leaves the one before."""
+    return versions.commit(master, path)
+
+
+def read_master(spark: SparkSession, path: str) -> DataFrame | None:
+    """The dataset as last saved; None if it never was."""
+    return versions.read(spark, path)
 
 
 def path_sizes(spark: SparkSession, path: str) -> tuple[int, str]:

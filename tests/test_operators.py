@@ -159,5 +159,5 @@ def test_exports(spark, tmp_path):
     target = f"{tmp_path}/master"
     export.save_master(df, target)
     export.save_master(df.limit(1), target)
-    assert spark.read.parquet(target).count() == 1
+    assert export.read_master(spark, target).count() == 1
     assert export.fill_counts("We list 11,903 papers of 5 schools.", {"papers": 12000, "schools": 7}) == "We list 12,000 papers of 7 schools."
