@@ -1,4 +1,4 @@
-"""Queries of raw values: nested lists, changing shapes, terms of several lists, streaks."""
+"""Queries of raw values: nested lists, changing shapes, terms of several lists, streaks, ordered texts."""
 
 from __future__ import annotations
 
@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..operators import quality, streaks, terms
+from ..operators import document, maintain, quality, streaks, terms
 from ..sources import files, parsers
-from .base import query, table
+from .base import PAPERS, papers, query, table
 
 
 @query("""
@@ -115,3 +115,38 @@ def q_log_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = events.join(F.broadcast(last)).select(F.col("event_id").alias("run_no"), F.when(F.col("event_id") >= F.col("last") - 4, 0).otherwise(F.round("value").cast("int")).alias("added"))
     source_log = events.select(F.col("user_id").cast("string").alias("source"), F.col("event_id").alias("run_no"), F.when(F.col("event_type").isin("error", "view"), "FAILED").otherwise("ok").alias("status"))
     return quality.log_alerts(log, source_log)
+
+
+@query(f"""
+with {PAPERS}, p as (
+    select doc_id, title, source, lang, 2000 + doc_id % 9 as year, doc_id % 4 as cites, case doc_id % 3 when 0 then [source, 'x'] else [] end as domains, case when doc_id % 5 = 0 then ['School of Law'] else ['School of Law', 'School ' || lang] end as schools,
+        case doc_id % 4 when 0 then [0, 1] when 1 then [0] when 2 then [1] else [2] end as parts from papers
+), e as (
+    select unnest(parts) as part, * exclude (parts) from p
+), placed as (
+    select part, case when part = 1 then case when len(schools) > 1 then schools[2] else schools[1] end else '' end as school, case when part < 2 then coalesce(domains[1], 'Uncategorized') else '' end as domain, 3 as kind, -year as y, -cites as c, doc_id,
+        '#### ' || title || chr(10) || chr(10) || '**' || source || '** (' || year || ')' || chr(10) || '*' || lang || '*' || chr(10) || chr(10) || 'School(s): ' || array_to_string(schools, ', ') || chr(10) || chr(10) || 'AI Relevance: **primary** | Citations: ' || cites || chr(10) || chr(10) || '[DOI](https://doi.org/10.1/' || doc_id || ')' || chr(10) as text from e
+), n as (select count(*) as a, count(*) filter (doc_id % 4 in (0, 1)) as n0, count(*) filter (doc_id % 4 in (0, 2)) as n1, count(*) filter (doc_id % 4 = 3) as n2 from p
+), blocks as (
+    select * from placed
+    union all select part, school, domain, 2, 0, 0, 0, case when part = 1 then '### ' else '## ' end || domain || ' (' || count(*) || ' papers)' || chr(10) from placed where part < 2 group by part, school, domain
+    union all select part, school, null, 1, 0, 0, 0, '## ' || school || ' (' || count(*) || ' papers)' || chr(10) from placed where part = 1 group by part, school
+    union all select 0, null, null, 0, -1, 0, 0, '# Our papers' || repeat(chr(10), 2) || '*Generated: today*' || repeat(chr(10), 2) || '*Total papers: ' || a || '*' || chr(10) || '*LAW faculty: ' || n0 || ' · NON-LAW faculty: ' || n1 || ' · Unclassified: ' || n2 || '*' || repeat(chr(10), 2) || '## Table of Contents' || repeat(chr(10), 2)
+        || '- [Part I: School of Law Faculty](#part-i-school-of-law-faculty) (' || n0 || ' papers)' || chr(10) || '- [Part II: Non-Law Faculty](#part-ii-non-law-faculty) (' || n1 || ' papers)' || chr(10) || '- [Part III: Unclassified](#part-iii-unclassified) (' || n2 || ' papers)' || repeat(chr(10), 2) || '---' || chr(10) from n
+    union all select 0, null, null, 0, 0, 0, 0, '# Part I: School of Law Faculty' || chr(10)
+    union all select 1, null, null, 0, 0, 0, 0, chr(10) || '---' || repeat(chr(10), 2) || '# Part II: Non-Law Faculty' || chr(10)
+    union all select 2, null, null, 0, 0, 0, 0, chr(10) || '---' || repeat(chr(10), 2) || '# Part III: Unclassified' || repeat(chr(10), 2) || '{document.UNCLASSIFIED_NOTE}' || chr(10)
+)
+select cast(row_number() over (order by part, school nulls first, domain nulls first, kind, y, c, doc_id) - 1 as int) as place, text from blocks
+""")
+def q_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every block of the bibliography with its place in the text."""
+    n, none = F.col("doc_id"), F.lit(None).cast("string")
+    kind = F.when(n % 4 == 0, "BOTH").when(n % 4 == 1, "LAW").when(n % 4 == 2, "NON-LAW")
+    schools = F.when(n % 5 == 0, F.array(F.lit("School of Law"))).otherwise(F.array(F.lit("School of Law"), F.concat(F.lit("School "), "lang")))
+    rows = papers(spark, sf_dir).select(
+        n.alias("index"), "title", F.array(F.struct(F.col("source").alias("name"))).alias("authors"), (n % 9 + 2000).cast("int").alias("year"), F.col("lang").alias("venue"), (n % 4).cast("int").alias("citation_count"), F.when(n % 3 == 0, F.array("source", F.lit("x"))).alias("domains"),
+        schools.alias("bu_schools"), kind.alias("bu_category"), F.lit("primary").alias("ai_relevance"), F.array().cast("array<string>").alias("subfields"), F.concat(F.lit("10.1/"), n.cast("string")).alias("doi"), *[none.alias(c) for c in ("url", "pdf_url", "annotation", "publication_type")],
+    )
+    blocks = document.blocks(rows, "Our papers", "today").withColumn("_order", F.struct(*document.ORDER))
+    return maintain.numbered(blocks, "_order", "place").select("place", "text")
