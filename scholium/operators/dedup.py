@@ -76,7 +76,41 @@ def founders(rows: DataFrame, arrival: str = "arrival", doi: str = "doi", fp: st
     return met.select("arrival", F.coalesce(earlier("of_doi"), earlier("of_fp")).alias("founder"))
 
 
-def merge(rows: DataFrame, arrival: str = "arrival", doi: str = "doi", fp: str = "fp", source: str = "source", fill: Sequence[str] = ("abstract", "doi", "url", "pdf_url", "venue", "citation_count"), union: Sequence[str] = ("concepts",)) -> DataFrame:
+FILL = ("abstract", "doi", "url", "pdf_url", "venue", "citation_count")
+UNION = ("concepts",)
+
+
+def contributions(joined: DataFrame, arrival: str = "arrival", source: str = "source", fill: Sequence[str] = FILL, union: Sequence[str] = UNION) -> DataFrame:
+    """(founder, _n, _sources, _fill_…, _union_…): what rows with a `founder` bring to each record, a row a record.
+
+    Such rows of several batches can be put together by combined(). Of a field of `fill` the first value that is there
+    in order of arrival counts, where empty texts and zeros are not; of `union` the set of all elements.
+    """
+    types = dict(joined.dtypes)
+    there = lambda c: F.col(c).isNotNull() & (F.col(c) != (F.lit("") if types[c] == "string" else F.lit(0)))
+    sums = [F.count(F.lit(1)).alias("_n"), F.collect_list(F.struct(F.col(arrival).alias("a"), F.col(source).alias("s"))).alias("_sources")]
+    sums += [F.min(F.when(there(c), F.struct(F.col(arrival).alias("a"), F.col(c).alias("v")))).alias(f"_fill_{c}") for c in fill if c in types]
+    sums += [F.array_distinct(F.flatten(F.collect_list(c))).alias(f"_union_{c}") for c in union if c in types]
+    return joined.groupBy("founder").agg(*sums)
+
+
+def combined(parts: DataFrame) -> DataFrame:
+    """contributions() of several batches as one."""
+    sums = [F.sum("_n").alias("_n"), F.flatten(F.collect_list("_sources")).alias("_sources")]
+    sums += [F.min(c).alias(c) for c in parts.columns if c.startswith("_fill_")]
+    sums += [F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in parts.columns if c.startswith("_union_")]
+    return parts.groupBy("founder").agg(*sums)
+
+
+def assembled(founding: DataFrame, brought: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """The founders' rows with what contributions() bring, and `all_sources` of those that anything merged into."""
+    out = founding.join(brought.withColumnRenamed("founder", "_founder"), founding[arrival] == F.col("_founder"))
+    value = {c: F.coalesce(F.col(f"_fill_{c}")["v"], F.col(c)) if f"_fill_{c}" in brought.columns else F.array_sort(f"_union_{c}") if f"_union_{c}" in brought.columns else F.col(c) for c in founding.columns}
+    sources = F.when(F.col("_n") > 1, F.transform(F.array_sort("_sources"), lambda x: x["s"]))
+    return out.select(*[v.alias(c) for c, v in value.items()], sources.alias("all_sources"))
+
+
+def merge(rows: DataFrame, arrival: str = "arrival", doi: str = "doi", fp: str = "fp", source: str = "source", fill: Sequence[str] = FILL, union: Sequence[str] = UNION) -> DataFrame:
     """One row a record: the founder's, with `all_sources` if anything merged into it.
 
     Fields of `fill` take the first value that is there in order of arrival, where empty texts and zeros are not; those
@@ -84,16 +118,7 @@ def merge(rows: DataFrame, arrival: str = "arrival", doi: str = "doi", fp: str =
     """
     of = founders(rows, arrival, doi, fp)
     joined = rows.join(of.select(F.col("arrival").alias("_arrival"), "founder"), rows[arrival] == F.col("_arrival")).drop("_arrival")
-    types = dict(rows.dtypes)
-    there = lambda c: F.col(c).isNotNull() & (F.col(c) != (F.lit("") if types[c] == "string" else F.lit(0)))
-    have_fill, have_union = [c for c in fill if c in types], [c for c in union if c in types]
-    sums = [F.min_by(F.when(there(c), F.struct(F.col(c).alias("v"))), F.when(there(c), F.col(arrival)))["v"].alias(f"_{c}") for c in have_fill]
-    sums += [F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(f"_{c}") for c in have_union]
-    sources = F.transform(F.array_sort(F.collect_list(F.struct(F.col(arrival).alias("a"), F.col(source).alias("s")))), lambda x: x["s"])
-    sums.append(F.when(F.count(F.lit(1)) > 1, sources).alias("all_sources"))
-    merged = joined.groupBy(F.col("founder").alias("_founder")).agg(*sums)
-    out = rows.join(merged, rows[arrival] == F.col("_founder"))
-    return out.select(*[(F.coalesce(F.col(f"_{c}"), F.col(c)) if c in have_fill else F.col(f"_{c}") if c in have_union else F.col(c)).alias(c) for c in rows.columns], "all_sources")
+    return assembled(rows, contributions(joined, arrival, source, fill, union), arrival)
 
 
 def two_pass(rows: DataFrame, arrival: str = "arrival", doi: str = "doi", fp: str = "fp") -> DataFrame:
