@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..operators import document, maintain, quality, streaks, terms
-from ..sources import files, parsers
+from ..sources import dump, files, parsers
+from ..storage import scratch
+from ..streaming import merging
 from .base import PAPERS, papers, query, table
 
 
@@ -150,3 +152,43 @@ def q_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     blocks = document.blocks(rows, "Our papers", "today").withColumn("_order", F.struct(*document.ORDER))
     return maintain.numbered(blocks, "_order", "place").select("place", "text")
+
+
+@query("""
+select 'orders/' || o_orderkey as source_id, 'Order of € ' || o_orderkey || ' & more' as title, year(o_orderdate) as year, case when o_orderkey % 3 = 0 then '10.1/' || o_orderkey end as doi, 'J ' || o_orderpriority as venue, 'Customer ' || (o_custkey % 90) as author from orders
+where o_custkey % 90 < 60 and o_custkey % 90 <> 7 and year(o_orderdate) >= 1996 and not (o_orderkey % 6 = 0)
+""")
+def q_index_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed as gzipped XML, read back as an index's dump: a roster of 60 names, one of them ambiguous; the master has every sixth."""
+    n = F.col("o_orderkey").cast("string")
+    who = F.concat(F.lit("Customer "), (F.col("o_custkey") % 90).cast("string"))
+    field = lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>\n"))
+    ee = F.when(F.col("o_orderkey") % 3 == 0, F.concat(field("ee", F.lit("http://x")), F.lit('<ee type="oa">https://doi.org/10.1/'), n, F.lit("</ee>"))).otherwise("")
+    element = F.concat(
+        F.lit('<article mdate="2024-01-01" key="orders/'), n, F.lit('">\n<author orcid="0">'), who, F.lit(" 0001</author><author>Some One</author>\n"), F.concat(F.lit("<title>Order <i>of</i> &euro; "), n, F.lit(" &amp; more.</title>\n")), field("year", F.year("o_orderdate").cast("string")),
+        field("journal", F.concat(F.lit("J "), "o_orderpriority")), ee, F.lit("</article>"),
+    )
+    orders = table(spark, sf_dir, "orders")
+    path = scratch(spark, "dump")
+    orders.select(F.concat(F.lit("<www/>"), element)).write.option("compression", "gzip").text(path)
+    roster = table(spark, sf_dir, "orders").select(F.col("o_custkey") % 90).distinct().toDF("k").filter("k < 60").select(F.when(F.col("k") % 2 == 0, F.concat(F.lit("CUSTOMER B. "), F.col("k").cast("string"))).otherwise(F.concat(F.lit("Customer "), F.col("k").cast("string"))).alias("name"))
+    master = orders.filter("o_orderkey % 6 = 0").select(F.concat(F.lit("10.1/"), n).alias("doi"), F.lit(None).cast("string").alias("title_fingerprint"))
+    found = parsers.index_dump(dump.index_entries(dump.dump_records(spark, path)), roster, master, ["7"], since=1996, affiliation="Ours")
+    return found.select("source_id", "title", "year", "doi", "venue", F.get(F.filter("authors", lambda a: a["is_bu"]), 0)["name"].alias("author"))
+
+
+@query("""
+with r as (select o_custkey as fp, o_orderkey, case when o_orderkey % 3 = 0 then o_orderpriority end as abstract, o_orderstatus as source from orders),
+f as (select fp, min(o_orderkey) as arrival, arg_min(abstract, o_orderkey) filter (abstract is not null) as abstract, count(*) as n, string_agg(source, '' order by o_orderkey) as sources from r group by fp)
+select arrival, abstract, case when n > 1 then sources end as sources from f
+""")
+def q_batch_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of one customer as mentions of one record, merged in three batches."""
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(F.col("o_orderkey").alias("arrival"), F.concat(F.lit("10.1/"), F.col("o_custkey").cast("string")).alias("doi"), F.col("o_custkey").cast("string").alias("fp"), F.col("o_orderstatus").alias("source"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).alias("abstract"))
+    last = orders.agg(F.max("o_orderkey").alias("m")).first()["m"] or 0  # one number
+    folder = scratch(spark, "batch-merge")
+    for number in range(3):
+        low, high = (last + 1) * number // 3, (last + 1) * (number + 1) // 3
+        merging.merge_batch(rows.filter((F.col("arrival") >= low) & (F.col("arrival") < high)), number, folder)
+    return merging.merged(spark, folder).select("arrival", "abstract", F.array_join("all_sources", "").alias("sources"))

@@ -217,19 +217,26 @@ def dblp(raw: DataFrame, min_year: int | None = None, harvested_at: str = "") ->
     return out if min_year is None else out.filter(F.col("year").isNull() | (F.col("year") >= min_year))
 
 
-def index_dump(records: DataFrame, roster: DataFrame, master: DataFrame, ambiguous: Sequence[str], since: int | None = None) -> DataFrame:
-    """Papers of a full dump with an author of the roster, unless all names that match are ambiguous, that master lacks."""
-    from ..functions.text import folded
+def index_dump(records: DataFrame, roster: DataFrame, master: DataFrame, ambiguous: Sequence[str], since: int | None = None, affiliation: str = "") -> DataFrame:
+    """Papers of a full dump with an author of the roster, unless all names that match are ambiguous, that master lacks.
+
+    A roster name of three words with an initial in the middle also matches without it. Authors that match are ours.
+    """
+    from ..functions.text import folded, words
     from ..operators.dedup import new_records
     from ..operators.filters import ambiguous_surname
 
-    each = records.select("source_id", F.explode("authors").alias("a")).select("source_id", folded(F.col("a.name")).alias("_n"))
-    hits = each.join(roster.select(folded(F.col("name")).alias("_n")).distinct(), "_n").withColumn("_sure", ~ambiguous_surname(F.col("_n"), ambiguous))
-    kept = records.join(hits.filter("_sure").select("source_id").distinct(), "source_id", "left_semi")
+    parts = words(F.col("_n"))
+    short = F.when((F.size(parts) == 3) & ((F.length(F.get(parts, 1)) <= 2) | F.endswith(F.get(parts, 1), F.lit("."))), F.concat_ws(" ", F.get(parts, 0), F.get(parts, 2)))
+    known = roster.select(folded(F.col("name")).alias("_n")).filter("_n <> ''").select(F.explode(F.array_compact(F.array("_n", short))).alias("_n")).distinct()
+    each = records.select("source_id", F.posexplode("authors").alias("_at", "a")).select("source_id", "_at", folded(F.col("a.name")).alias("_n"))
+    hits = each.join(known, "_n", "left_semi").groupBy(F.col("source_id").alias("_id")).agg(F.bool_or(~ambiguous_surname(F.col("_n"), ambiguous)).alias("_sure"), F.collect_set("_at").alias("_ours"))  # authors of one paper
+    mine = lambda a, i: a.withField("is_bu", F.array_contains("_ours", i)).withField("affiliation", F.when(F.array_contains("_ours", i), F.lit(affiliation)).otherwise(a["affiliation"]))
+    kept = records.join(hits.filter("_sure"), records["source_id"] == F.col("_id")).withColumn("authors", F.transform("authors", mine)).drop("_id", "_sure", "_ours")
     if since is not None:
         kept = kept.filter(F.col("year").isNull() | (F.col("year") >= since))
-    known = master.select("doi", F.col("title_fingerprint").alias("fp"))
-    return new_records(kept.withColumnRenamed("title_fingerprint", "fp"), [known]).withColumnRenamed("fp", "title_fingerprint")
+    had = master.select("doi", F.col("title_fingerprint").alias("fp"))
+    return new_records(kept.withColumnRenamed("title_fingerprint", "fp"), [had]).withColumnRenamed("fp", "title_fingerprint")
 
 
 def stop_at_old_pages(pages: DataFrame, page: str = "page", recent: str = "n_recent", most: int = 3, listing: Sequence[str] = ()) -> DataFrame:

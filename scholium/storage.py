@@ -38,10 +38,16 @@ def clear() -> None:
 atexit.register(clear)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which clear() deletes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends here, and a lost executor costs a reread at most."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
