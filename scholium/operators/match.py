@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import has
 from ..functions.text import name_key, surname, title_similarity
+from ..storage import stored
 
 
 def first_rule(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -137,37 +138,90 @@ def backfill_ids(pairs: DataFrame, ours: str = "authors", theirs: str = "fresh_a
     return pairs.withColumn(ours, F.when(F.size(ours) == F.size(theirs), by_place).otherwise(by_name))
 
 
-def best_titles(ours: DataFrame, candidates: DataFrame, least: float = 0.85, rank: str = "rank", years: int = 1, common: int = 10_000) -> DataFrame:
+def similar_sets(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """(l, r, similarity) of word sets (column `words`, distinct texts of words apart by single blanks) that share `least` of the larger one's.
+
+    With words in one order, rarest first, a set of n words that shares `least` of them with another has one of its first
+    n - ceil(least * n) + 1 words in common with it, so only those are joined on; and from where the first of them stands
+    in both sets it follows how many they can share at most.
+    """
+    both = left.select("words").union(right.select("words"))
+    counts = both.select(F.explode(F.split("words", " ")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("times"))
+    need = lambda n: F.ceil(F.lit(least) * n - 1e-9).cast("int")
+
+    def rare(df: DataFrame, p: str) -> DataFrame:
+        sized = df.select(F.col("words").alias(p), F.explode(F.split("words", " ")).alias("w"), F.size(F.split("words", " ")).alias(f"{p}_n")).join(counts, "w")
+        by = sized.groupBy(p, f"{p}_n").agg(F.array_sort(F.collect_list(F.struct("times", "w"))).alias("by"))  # a title's words
+        return by.select(p, f"{p}_n", F.posexplode(F.transform(F.slice("by", F.lit(1), F.col(f"{p}_n") - need(F.col(f"{p}_n")) + 1), lambda x: x["w"])).alias(f"{p}_at", "w"))
+
+    sizes = F.least("l_n", "r_n") >= need(F.greatest("l_n", "r_n"))
+    met = rare(left, "l").join(rare(right, "r"), "w").filter(sizes)
+    placed = met.groupBy("l", "r").agg(F.min("l_at").alias("i"), F.min("r_at").alias("j"), F.first("l_n").alias("n"), F.first("r_n").alias("m"))
+    able = placed.filter(F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= need(F.greatest("n", "m")))
+    return able.select("l", "r", title_similarity(F.col("l"), F.col("r")).alias("similarity")).filter(F.col("similarity") >= least)
+
+
+def best_titles(ours: DataFrame, candidates: DataFrame, least: float = 0.85, rank: str = "rank", years: int = 1) -> DataFrame:
     """(id, candidate, score) of the best candidate for each title.
 
     Both have id, title, year, surnames; candidates also a rank of their source. A pair must share enough words of
     their titles, be at most a year apart and share a surname where both tell; within the best source the score counts.
-    Titles meet over words: a title of n words that shares `least` of them with another has one of its first
-    n - ceil(least * n) + 1 rarest words in common with it, so only those words are joined on.
+    Titles without words match none.
+
+    Equal titles are one set of words, compared once. Of the rows of one set, those of one year that share a surname, or
+    have none, differ in rank and id only, so the least stands for all of them: ten thousand equal titles on either side
+    don't meet in pairs.
     """
     from ..functions.text import alphanumeric, words
 
-    token = lambda df, p: df.select(F.col("id").alias(f"{p}id"), F.col("title").alias(f"{p}title"), F.col("year").alias(f"{p}year"), F.col("surnames").alias(f"{p}surnames"), *([F.col(rank).alias("rank")] if p == "c_" else []), F.array_distinct(words(alphanumeric(F.coalesce("title", F.lit(""))))).alias(f"{p}words"))
-    a, b = token(ours, "o_"), token(candidates, "c_")
-    counts = a.select(F.explode("o_words").alias("w")).union(b.select(F.explode("c_words").alias("w"))).groupBy("w").agg(F.count(F.lit(1)).alias("times"))
-
-    def rare(df: DataFrame, p: str) -> DataFrame:
-        ranked = df.select(f"{p}id", F.explode(f"{p}words").alias("w"), F.size(f"{p}words").alias("size")).join(counts, "w")
-        per = ranked.groupBy(f"{p}id", "size").agg(F.array_sort(F.collect_list(F.struct("times", "w"))).alias("by"))
-        return per.select(f"{p}id", F.explode(F.transform(F.slice("by", F.lit(1), F.col("size") - F.ceil(F.lit(least) * F.col("size") - 1e-9).cast("int") + 1), lambda x: x["w"])).alias("w"))
-
-    met = rare(a, "o_").join(rare(b, "c_"), "w").select("o_id", "c_id").distinct()
-    full = met.join(a, "o_id").join(b, "c_id")
-    similar = title_similarity(F.col("o_title"), F.col("c_title"))
-    known = F.coalesce(F.nullif("o_year", F.lit(0)), F.lit(0)) * F.coalesce(F.nullif("c_year", F.lit(0)), F.lit(0)) != 0
-    close = ~known | (F.abs(F.col("o_year") - F.col("c_year")) <= years)
     none = F.array().cast("array<string>")
-    shared = F.size(F.array_intersect(F.coalesce("o_surnames", none), F.coalesce("c_surnames", none))) > 0
-    tell = (F.size(F.coalesce("o_surnames", none)) > 0) & (F.size(F.coalesce("c_surnames", none)) > 0)
-    scored = full.withColumn("similarity", similar).filter((F.col("similarity") >= least) & close & (~tell | shared))
-    score = F.col("similarity") + F.when(known & (F.col("o_year") == F.col("c_year")), 0.1).otherwise(0.0) + F.when(shared, 0.05).otherwise(0.0)
-    best = scored.withColumn("score", score).groupBy("o_id").agg(F.min_by(F.struct("c_id", "score"), F.struct("rank", -F.col("score"), "c_id")).alias("b"))
-    return best.select(F.col("o_id").alias("id"), F.col("b.c_id").alias("candidate"), F.round("b.score", 6).alias("score"))
+    key = F.array_join(F.array_sort(F.array_distinct(words(alphanumeric(F.coalesce("title", F.lit("")))))), " ")
+
+    def rows(df: DataFrame, *more: str) -> DataFrame:
+        return df.select("id", key.alias("words"), F.coalesce("year", F.lit(0)).alias("y"), F.array_distinct(F.coalesce("surnames", none)).alias("names"), *more).filter("words <> ''")
+
+    a, b = rows(ours), rows(candidates, F.col(rank).alias("rank"))
+    pairs = stored(similar_sets(a.select("words").distinct(), b.select("words").distinct(), least), "similar-sets")
+    close = (F.col("y") == 0) | (F.col("c_y") == 0) | (F.abs(F.col("y") - F.col("c_y")) <= years)
+    alike = F.when((F.col("y") != 0) & (F.col("y") == F.col("c_y")), 0.1).otherwise(0.0)
+
+    def best(mine: DataFrame, theirs: DataFrame, on: list[str], of: list[str], extra: float) -> DataFrame:
+        """The best candidate of each profile of ours (words, y and what `of` adds) among theirs, which are reduced likewise."""
+        least_of = theirs.groupBy(F.col("words").alias("r"), F.col("y").alias("c_y"), *on).agg(F.min(F.struct("rank", "id")).alias("c"))
+        met = mine.join(pairs, mine["words"] == F.col("l")).join(least_of, ["r", *on]).filter(close)
+        score = F.col("similarity") + alike + extra
+        return met.groupBy("words", "y", *of).agg(F.min(F.struct(F.col("c.rank").alias("rank"), (-score).alias("s"), F.col("c.id").alias("id"))).alias("b"))
+
+    without, named = b.filter(F.size("names") == 0), b.filter(F.size("names") > 0)
+    each = lambda df: df.withColumn("name", F.explode("names"))
+    profiles = a.select("words", "y", "names").distinct()
+    sharing = best(each(profiles), each(b), ["name"], ["names"], 0.05)
+    nameless = best(profiles.select("words", "y").distinct(), without, [], [], 0.0)
+    silent = best(profiles.filter(F.size("names") == 0).select("words", "y"), named, [], [], 0.0)
+    found = sharing.unionByName(profiles.join(nameless, ["words", "y"])).unionByName(profiles.filter(F.size("names") == 0).join(silent, ["words", "y"]))
+    top = found.groupBy("words", "y", "names").agg(F.min("b").alias("b"))
+    return a.join(top, ["words", "y", "names"]).select("id", F.col("b.id").alias("candidate"), F.round(-F.col("b.s"), 6).alias("score"))
+
+
+def beginnings(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of rows (last, first, …) of two sides with one last name, of which one first name begins the other.
+
+    One side's first names are taken whole and meet each beginning of the other's, so pairs are found by equality of last
+    name and beginning: a last name that very many share is dealt out by first names. Other columns of both are kept.
+    """
+
+    def begun(df: DataFrame, proper: int) -> DataFrame:
+        some = df.filter(F.length("first") > proper)
+        return some.withColumn("_k", F.explode(F.transform(F.sequence(F.lit(1), F.length("first") - proper), lambda n: F.substring("first", 1, n))))
+
+    whole = lambda df: df.withColumn("_k", F.col("first"))
+    theirs = lambda df: df.withColumnsRenamed({"last": "_last", "first": "_first"})
+
+    def met(a: DataFrame, b: DataFrame) -> DataFrame:
+        b = theirs(b).withColumnRenamed("_k", "_b")
+        return a.join(b, (F.col("last") == F.col("_last")) & (F.col("_k") == F.col("_b"))).drop("_k", "_b", "_last", "_first", "last", "first")
+
+    return met(whole(left), begun(right, 0)).union(met(begun(left, 1), whole(right)))
 
 
 def same_person(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -176,10 +230,9 @@ def same_person(left: DataFrame, right: DataFrame) -> DataFrame:
 
     def parts(df: DataFrame, p: str) -> DataFrame:
         w = words(name_plain(F.col("name")))
-        return df.select(F.col("id").alias(f"{p}id"), F.get(w, 0).alias(f"{p}first"), F.get(F.reverse(w), 0).alias("last")).filter(F.col("last").isNotNull())
+        return df.select(F.col("id").alias(f"{p}id"), F.get(w, 0).alias("first"), F.get(F.reverse(w), 0).alias("last")).filter(F.col("last").isNotNull())
 
-    met = parts(left, "l_").join(parts(right, "r_"), "last")
-    return met.filter(F.startswith("l_first", F.col("r_first")) | F.startswith("r_first", F.col("l_first"))).select("l_id", "r_id")
+    return beginnings(parts(left, "l_"), parts(right, "r_")).select("l_id", "r_id")
 
 
 def missing_names(known: DataFrame, harvested: DataFrame) -> DataFrame:
@@ -219,7 +272,7 @@ def split_profiles(roster: DataFrame, profiles: DataFrame, nearby: Sequence[str]
 
     roster (name, openalex_id) against profiles (id, display_name, alternatives, works_count, last_institutions): enough works, not the
     person's own profile, any of its names that agrees in the last name while one first name begins the other, and, where last
-    institutions are known, one that has a fragment of `nearby`. The join is on the last name; a profile's names are taken once.
+    institutions are known, one that has a fragment of `nearby`. A profile's names are taken once; see beginnings() for the join.
     """
     from ..functions.text import name_plain, words
 
@@ -229,7 +282,8 @@ def split_profiles(roster: DataFrame, profiles: DataFrame, nearby: Sequence[str]
     near = (F.size(F.coalesce("last_institutions", none)) == 0) | F.greatest(*[F.contains(last, F.lit(n.lower())) for n in nearby], F.lit(False), F.lit(False))
     big = profiles.filter((F.coalesce("works_count", F.lit(0)) >= least) & near)
     names = big.select(F.col("id"), F.col("works_count").alias("works"), F.explode(F.concat(F.array("display_name"), F.coalesce("alternatives", none))).alias("_n"))
-    theirs = names.select("id", "works", parts(F.col("_n")).alias("_w")).select("id", "works", F.get("_w", 0).alias("_theirs"), F.get(F.reverse("_w"), 0).alias("_last")).filter("_last is not null").distinct()
-    ours = roster.select("name", F.col("openalex_id").alias("primary_id"), parts(F.col("name")).alias("_w")).select("name", "primary_id", F.get("_w", 0).alias("_ours"), F.get(F.reverse("_w"), 0).alias("_last"))
-    met = ours.join(theirs, "_last").filter(~F.col("id").eqNullSafe(F.col("primary_id")) & (F.startswith("_ours", F.col("_theirs")) | F.startswith("_theirs", F.col("_ours"))))
+    halves = lambda w: (F.get(F.reverse(w), 0).alias("last"), F.get(w, 0).alias("first"))
+    theirs = names.select("id", "works", parts(F.col("_n")).alias("_w")).select("id", "works", *halves(F.col("_w"))).filter("last is not null").distinct()
+    ours = roster.select("name", F.col("openalex_id").alias("primary_id"), parts(F.col("name")).alias("_w")).select("name", "primary_id", *halves(F.col("_w"))).filter("last is not null")
+    met = beginnings(ours, theirs).filter(~F.col("id").eqNullSafe(F.col("primary_id")))
     return met.select("name", "primary_id", "id", "works").distinct()

@@ -5,7 +5,7 @@ Pages are read as landed. Selectors and page styles are parameters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -18,6 +18,7 @@ from ..operators.analytics import count_values, per_decade
 from ..operators.dedup import keep_first, new_records, within_batch
 from ..operators.filters import has_term
 from ..operators.maintain import numbered
+from ..storage import stored
 
 
 @dataclass(frozen=True)
@@ -234,6 +235,31 @@ def by_author(papers: DataFrame, people: DataFrame, master: DataFrame, terms: Se
     return fresh.withColumn("_harvested_via", F.col("_who.name")).withColumn("_faculty_school", F.col("_who.school")).drop("_who")
 
 
+def cached(authors: DataFrame, path: str, harvest: Callable[[DataFrame], DataFrame], today: Column, days: int = 30, author: str = "author_id") -> DataFrame:
+    """What harvest() gives for authors (author_id), of whom only those without a harvest of the last `days` are asked for again.
+
+    The cache is a table in folders by author. A new harvest replaces the folders of its authors, and no others; each gets
+    a row that tells when, also an author of whom nothing came. Authors that are not asked for are not read: their folders
+    are pruned. harvest() is called once at most, with the authors that are due, and gives rows with their author_id.
+    """
+    spark = authors.sparkSession
+    of = F.concat(F.lit("of "), F.col(author).cast("string")).alias("_of")  # a text, whatever the identifiers look like in a folder's name
+    wanted = stored(authors.select(author, of).filter("_of is not null").distinct(), "cache-wanted")
+    if wanted.isEmpty():
+        return harvest(wanted.select(author))
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    due = wanted
+    if there:
+        due = wanted.join(spark.read.parquet(path).filter(F.col("_at") > F.date_sub(today, days)).select("_of"), "_of", "left_anti")
+    due = stored(due.select(author), "cache-due")
+    if not (there and due.isEmpty()):
+        rows = harvest(due).join(due, author, "left_semi").withColumn("_at", F.lit(None).cast("date"))
+        marked = rows.unionByName(due.withColumn("_at", today), allowMissingColumns=True).withColumn("_of", of)
+        marked.repartition("_of").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_of").parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(path).filter("_at is null").join(wanted.select("_of"), "_of", "left_semi").drop("_at", "_of")
+
+
 def author_breakdown(harvested: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(school, n) and (decade, n) of what by_author() found."""
     return count_values(harvested.select(F.array("_faculty_school").alias("v")), "v", "school"), per_decade(harvested)
