@@ -168,6 +168,16 @@ def stratified_sample(rows: DataFrame, tier: str, key: str, most: int = 5, seed:
     return rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= most).drop("_n")
 
 
+def review_sample(rows: DataFrame, tier: str, confidence: str, key: str, tiers: Sequence[str], most: int = 5, lowest: int = 100, seed: str = "0") -> DataFrame:
+    """rows with `stratum`: a few of each of some tiers, and a few of those of the lowest confidence, in which an unknown one counts as sure.
+
+    A row can be drawn twice, once by its tier and once for its confidence.
+    """
+    some = stratified_sample(rows.filter(F.col(tier).isin(list(tiers))), tier, key, most, seed).withColumn("stratum", F.col(tier))
+    unsure = rows.orderBy(F.col(confidence).asc_nulls_last(), key).limit(lowest)  # a report's size, not the table's
+    return some.unionByName(sample(unsure, key, most, seed).withColumn("stratum", F.lit("lowest")))
+
+
 def sample(rows: DataFrame, key: str, most: int, seed: str = "0") -> DataFrame:
     return rows.orderBy(F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string"))), key).limit(most)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import figures, matching, people, records, reports, shapes, upkeep  # noqa: F401  they register their queries
+from . import branches, figures, matching, people, raws, records, reports, shapes, upkeep  # noqa: F401  they register their queries
 from .base import QUERIES, SQL, Query
 
 

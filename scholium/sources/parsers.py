@@ -56,6 +56,54 @@ def concept_sweep(works: DataFrame, names: Sequence[str]) -> DataFrame:
     return works.filter(has(F.col("concepts"), lambda c: c.isin(list(names))))
 
 
+def our_names(authors: Column) -> Column:
+    """Names of the authors that are ours, in order; one that stands twice does so here."""
+    return F.transform(F.filter(authors, lambda a: F.coalesce(a["is_bu"], F.lit(False))), lambda a: a["name"])
+
+
+def open_access(extra: Column) -> Column:
+    """Whether a paper is open to all: true, false, or null where its source does not tell."""
+    return extra["is_oa"].try_cast("boolean")
+
+
+def institution_sweep(raw: DataFrame, ror: str, master: DataFrame, terms: Sequence[str], harvested_at: str = "") -> DataFrame:
+    """All works of an institution in one sweep: on the subject, by an author of ours, new to the master and within the sweep.
+
+    An author's affiliation is that of the first institution only; authors without a name are left out. Of works that share
+    a DOI or a title the one of the smallest id stays.
+    """
+    from ..operators.dedup import new_records, within_batch
+    from ..operators.maintain import numbered
+
+    first = lambda a: F.coalesce(F.get(a["institutions"], 0)["display_name"], F.lit(""))
+    plain = openalex(raw, ror, harvested_at)
+    units = raw.select(F.col("id").alias("_id"), F.transform("authorships", lambda a: first(a)).alias("_first")).dropDuplicates(["_id"])
+    placed = plain.join(units, plain["source_id"] == F.col("_id")).withColumn("authors", F.zip_with("authors", "_first", lambda a, u: a.withField("affiliation", F.coalesce(u, F.lit("")))))
+    named = placed.withColumn("authors", F.filter("authors", lambda a: blank(a["name"]).isNotNull())).drop("_id", "_first")
+    text = F.concat_ws(" ", "title", F.coalesce("abstract", F.lit("")))
+    kept = named.filter(has_term(text, terms) & (F.size(our_names(F.col("authors"))) > 0)).withColumnRenamed("title_fingerprint", "fp")
+    fresh = new_records(kept, [master])
+    return within_batch(numbered(fresh, "source_id", "arrival")).drop("arrival").withColumnRenamed("fp", "title_fingerprint")
+
+
+def source_papers(raw: DataFrame, ror: str, of_source: Column, master: DataFrame, terms: Sequence[str], since: int | None = None, harvested_at: str = "") -> DataFrame:
+    """Works of one series or repository within the catalogue, on the subject and new to the master."""
+    from ..operators.dedup import new_records
+
+    text = F.concat_ws(" ", "title", F.coalesce("abstract", F.lit("")))
+    rows = openalex(raw.filter(of_source), ror, harvested_at).filter(has_term(text, terms)).withColumnRenamed("title_fingerprint", "fp")
+    rows = rows if since is None else rows.filter(F.col("year").isNull() | (F.col("year") >= since))
+    return new_records(rows, [master]).withColumnRenamed("fp", "title_fingerprint")
+
+
+def institution_profiles(rows: DataFrame) -> DataFrame:
+    """(id, works, authors, citations) of institutions, from rows (source_id, citation_count, institution, author): a work counts once."""
+    works = rows.groupBy("institution", "source_id").agg(F.max("citation_count").alias("c"))
+    sums = works.groupBy("institution").agg(F.count(F.lit(1)).alias("works"), F.sum("c").alias("citations"))
+    people = rows.groupBy("institution").agg(F.countDistinct("author").alias("authors"))
+    return sums.join(people, "institution").select(F.col("institution").alias("id"), "works", "authors", "citations")
+
+
 def keyword_sweep(hits: DataFrame) -> DataFrame:
     """One row an id, of the first keyword that found it: hits are (keyword_order, keyword, source_id, …)."""
     return windowed_first(hits, ["source_id"], ["keyword_order"]).withColumnRenamed("keyword", "matched_keyword").drop("keyword_order")
@@ -156,7 +204,7 @@ def semantic_scholar(raw: DataFrame, harvested_at: str = "") -> DataFrame:
 
 def grants(raw: DataFrame, harvested_at: str = "") -> DataFrame:
     """Research projects: terms apart at semicolons, twenty at most; a project number once."""
-    terms = F.slice(F.filter(F.transform(F.split("pref_terms", ";"), F.trim), lambda t: t != ""), 1, 20)
+    terms = F.slice(F.filter(F.transform(F.split("pref_terms", ";"), lambda t: F.trim(t)), lambda t: t != ""), 1, 20)
     author = lambda p: _author(first_last(p["full_name"]), F.col("organization.org_name"), F.lit(True))
     return record(
         raw.dropDuplicates(["project_num"]), harvested_at, title=F.col("project_title"), authors=F.transform("principal_investigators", author), year=F.substring("project_start_date", 1, 4).try_cast("int"), abstract=F.col("abstract_text"),
@@ -200,7 +248,7 @@ def commons_page(pages: DataFrame, institution: str, html: str = "html", url: st
     out = record(
         pages, harvested_at, title=F.get(meta(h, "citation_title"), 0), authors=F.transform(people, lambda x: _author(first_last(x["n"]), x["i"], ours(x))), year=F.nullif(F.regexp_extract(date, r"(\d{4})", 1), F.lit("")).try_cast("int"),
         doi=F.get(meta(h, "citation_doi"), 0), abstract=F.get(meta(h, "description"), 0), source=F.lit("scholarly_commons"), source_id=F.col(url), url=F.col(url), pdf_url=F.get(meta(h, "citation_pdf_url"), 0),
-        venue=F.get(meta(h, "citation_journal_title"), 0), concepts=F.transform(F.split(F.get(meta(h, "keywords"), 0), ","), F.trim), publication_type=F.lit("article"),
+        venue=F.get(meta(h, "citation_journal_title"), 0), concepts=F.transform(F.split(F.get(meta(h, "keywords"), 0), ","), lambda t: F.trim(t)), publication_type=F.lit("article"),
     )
     return out.filter(has(F.col("authors"), lambda a: a["is_bu"]))
 
