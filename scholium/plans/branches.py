@@ -102,8 +102,8 @@ def q_sweep_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with l as (select l_orderkey as id, 'P' || l_suppkey || case when l_orderkey % 2 = 0 then '' else 'x' end as pid, l_linenumber as pos from lineitem)
-select id, string_agg(pid, ',' order by pos) as ids from l group by id
+with l as (select l_orderkey as id, 'Name ' || l_suppkey as name, 'P' || l_suppkey || case when l_orderkey % 2 = 0 then '' else 'x' end as pid, l_linenumber as pos from lineitem)
+select id, string_agg(pid, ',' order by pos, name) as ids from l group by id
 """)
 def q_backfill_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identifiers from fresh records: by place where there are as many authors, else by name."""
