@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import unicodedata
 from functools import lru_cache
 from html.entities import html5
@@ -26,28 +25,46 @@ def blank(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def _code_point(digits: Column, base: int) -> Column:
+#: What the references 128 to 159 stand for: characters of Windows, and controls where it has none.
+_WINDOWS = bytes(range(0x80, 0xA0)).decode("cp1252", errors="replace")
+_WINDOWS = "".join(chr(0x80 + i) if ch == "\ufffd" else ch for i, ch in enumerate(_WINDOWS))
+
+
+def _character(code: Column) -> Column:
     """The character of a numeric reference; the replacement character where there is none, nothing for controls."""
-    code = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(F.conv(digits, base, 10).cast("long"))
-    windows = {c: bytes([c]).decode("cp1252") for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
-    table = F.create_map(*[F.lit(x) for c, ch in windows.items() for x in (c, ch)])
     none = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
     control = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
-    safe = F.when(none, F.lit(0x20)).otherwise(code)
-    char = F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
-    return F.when(none, F.lit("\ufffd")).when(control, F.lit("")).otherwise(F.coalesce(F.get(F.map_values(F.map_filter(table, lambda k, _: k == code)), F.lit(0)), char))
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(none, F.lit("\ufffd")).when(control, F.lit("")).when(code.between(0x80, 0x9F), F.substring(F.lit(_WINDOWS), code.cast("int") - 0x7F, F.lit(1))).otherwise(char)
+
+
+#: Names of references with what they stand for, as one text to look in: a table in the plan would be copied and sorted there.
+_NAMES = "\u0001" + "".join(f"{name}\u0002{value}\u0001" for name, value in html5.items())
+_BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
 
 
 def unescape(c: Column) -> Column:
-    """Numeric character references, and the named ones of HTML 5 that end in a semicolon, each replaced once."""
-    pattern = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)"
-    names = F.from_json(F.lit(json.dumps({k: v for k, v in html5.items() if k.endswith(";")})), "map<string,string>")
+    """Numeric character references, and the named ones of HTML 5, each replaced once.
+
+    A name that is none takes as its reference the longest old name that it begins with, which needs no semicolon.
+    """
+    pattern = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+
+    def found(name: Column) -> Column:
+        key = F.concat(F.lit("\u0001"), name, F.lit("\u0002"))
+        at = F.position(key, F.lit(_NAMES))
+        return F.when(at > 0, F.split_part(F.substring(F.lit(_NAMES), at + F.length(key), F.lit(3)), F.lit("\u0001"), F.lit(1)))
 
     def value(ref: Column) -> Column:
-        digits = F.regexp_replace(ref, "[&#xX;]", "")
-        digits = F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.lit("0"))
-        named = F.coalesce(F.try_element_at(names, F.substring(ref, 2, 1 << 20)), ref)
-        return F.when(F.lower(F.left(ref, F.lit(3))) == "&#x", _code_point(digits, 16)).when(F.startswith(ref, F.lit("&#")), _code_point(digits, 10)).otherwise(named)
+        hexadecimal = F.lower(F.left(ref, F.lit(3))) == "&#x"
+        digits = F.ltrim(F.regexp_replace(ref, "[&#xX;]", ""), F.lit("0"))
+        read = F.call_function("conv", F.concat(F.lit("0"), digits), F.when(hexadecimal, 16).otherwise(10), F.lit(10)).cast("long")
+        number = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(read)
+        numeric = F.get(F.transform(F.array(number), _character), 0)  # the number is worked out once
+        name = F.substring(ref, 2, 1 << 20)
+        bare = F.regexp_extract(ref, f"^&({_BARE})", 1)
+        named = F.coalesce(found(name), F.concat(found(bare), F.substring(ref, F.length(bare) + 2, F.lit(1 << 20))), ref)
+        return F.when(F.startswith(ref, F.lit("&#")), numeric).otherwise(named)
 
     refs = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
     parts = F.transform(F.split(c, pattern), lambda p, i: F.concat(p, F.coalesce(value(F.get(refs, i)), F.lit(""))))

@@ -17,7 +17,8 @@ from ..storage import stored
 def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in the given order, nulls last; of rows that tie one, by a hash of all columns. Null keys are one key.
 
-    An aggregate that is combined before the shuffle, not a window: a hot key's rows are never sorted in one task.
+    An aggregate that is combined before the shuffle, so of a hot key's rows each task hands on one; each task sorts its own
+    rows by key for it. All columns of rows go through it: select what is needed first, or keys alone and join the rest.
     """
     hashable = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
     place = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))], F.xxhash64(*hashable))

@@ -59,8 +59,13 @@ def has_term(text: Column, terms: Iterable[str] = TERMS, whole_words: bool = Fal
     return F.lower(text).rlike(one_of(t for t in low if not any(u in t for u in low - {t})))  # a part tells of the whole
 
 
+def keyword_hit(title: str = "title", abstract: str = "abstract", terms: Iterable[str] = TERMS) -> Column:
+    """Whether a paper's title or abstract has any of the terms."""
+    return has_term(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(abstract, F.lit(""))), terms)
+
+
 def keyword_filter(papers: DataFrame, title: str = "title", abstract: str = "abstract", terms: Iterable[str] = TERMS) -> DataFrame:
-    return papers.filter(has_term(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(abstract, F.lit(""))), terms))
+    return papers.filter(keyword_hit(title, abstract, terms))
 
 
 def embedding_filter(rows: DataFrame, references: list[list[float]], vector: str = "embedding", least: float = 0.25) -> DataFrame:

@@ -24,13 +24,13 @@ with {_KEYED}, first as (select * from keyed qualify row_number() over (partitio
 select lang, count(*) as n, cast(sum(n_chars) as bigint) as chars from first where regexp_matches(lower(title || ' ' || text), '{_TERMS}') group by lang
 """)
 def q_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = dedup.keep_first(_keyed(spark, sf_dir), ["fp"], ["doc_id"])
-    return filters.keyword_filter(first, "title", "text").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+    flagged = _keyed(spark, sf_dir).select("doc_id", "fp", "lang", "n_chars", filters.keyword_hit("title", "text").alias("hit"))  # texts are read where they lie
+    return dedup.keep_first(flagged, ["fp"], ["doc_id"]).filter("hit").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
 
 
 @query(f"with {_KEYED} select doc_id, doi from keyed qualify row_number() over (partition by doi order by doc_id) = 1")
 def q_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.keep_first(_keyed(spark, sf_dir), ["doi"], ["doc_id"]).select("doc_id", "doi")
+    return dedup.keep_first(_keyed(spark, sf_dir).select("doc_id", "doi"), ["doi"], ["doc_id"])
 
 
 _CAUGHT = f"""

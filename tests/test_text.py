@@ -84,3 +84,17 @@ def test_search_language(spark):
     hits = lambda q: [r.id for r in filters.search(df, q).orderBy("id").collect()]
     assert hits("author:Chris") == [1] and hits('author:"C. Robertson"') == [1] and hits("-author:Lee") == [1]
     assert hits("year:2020..2021") == [2] and hits('venue:"big press"') == [2] and hits('subfield:"x y" deep') == [1] and hits("school:law -domain:ai") == []
+
+
+def test_references_as_html_reads_them(spark):
+    import html
+    import random
+    from html.entities import html5
+
+    r = random.Random(1)
+    names = list(html5)
+    cells = ["AT&amp T &copy 2020", "&notit; &notin; &ampamp; &amp;lt; &#65 &#x41; &#xZ &# & &; &unknown; &AMPx &#0; &#x80; &#129; &#xD800; &#1114112; &#99999999999;", *("&" + n for n in names)]
+    cells += ["".join(r.choice(["x", " ", "&", "&" + r.choice(names), "&" + r.choice(names).rstrip(";"), ";", f"&#{r.randrange(300)}", "-", "é"]) for _ in range(12)) for _ in range(1000)]
+    df = spark.createDataFrame(list(enumerate(cells)), "i int, c string")
+    got = {x.i: x.o for x in df.select("i", T.unescape(F.col("c")).alias("o")).collect()}
+    assert [got[i] for i in range(len(cells))] == [html.unescape(c) for c in cells]
