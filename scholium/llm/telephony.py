@@ -4,6 +4,7 @@ A payload is a cell's bytes with zero bytes appended up to a positive multiple o
 WAVE file, one byte a sample for the two laws; for ADPCM 64 bytes are one block (a 16-bit predictor, a step index and
 a spare byte, then 120 four-bit codes). Reading takes the stored file apart again, expands it to 16-bit PCM, doubles
 the rate by linear interpolation, and computes features; everything is in integers, so equal files have equal values.
+The resampled samples are stored as a WAVE file of 16-bit PCM beside the media.
 
 Null and empty texts make the payload of 64 zero bytes. Long texts are expanded piece by piece, with the same result.
 Each row gets its result, whatever its id; a null id stays null, and repeated rows have equal results, so there are no
@@ -31,6 +32,7 @@ RATE = 8000
 SLICE = 1_000_000
 PIECE = 1 << 19
 FORMATS = {"alaw": 6, "mulaw": 7, "adpcm": 0x11}
+PCM = 1
 # The step sizes and index changes of IMA ADPCM.
 STEPS = np.array(
     [
@@ -82,8 +84,10 @@ def padded(data: bytes) -> bytes:
 
 
 def wave_file(payload: bytes, codec: str = "mulaw", rate: int = RATE) -> bytes:
-    """A WAVE file with the payload as its samples."""
-    if codec == "adpcm":
+    """A WAVE file with the payload as its samples; codec pcm is of 16-bit ones."""
+    if codec == "pcm":
+        fmt, count = struct.pack("<HHIIHH", PCM, 1, rate, 2 * rate, 2, 16), len(payload) // 2
+    elif codec == "adpcm":
         samples = 2 * (BLOCK - 4) + 1
         fmt = struct.pack("<HHIIHHHH", FORMATS[codec], 1, rate, rate * BLOCK // samples, BLOCK, 4, 2, samples)
         count = len(payload) // BLOCK * samples
@@ -104,7 +108,7 @@ def wave_payload(media: bytes) -> tuple[str, int, bytes]:
         name, size = media[at : at + 4], int.from_bytes(media[at + 4 : at + 8], "little")
         if name == b"fmt ":
             kind, rate = struct.unpack_from("<HxxI", media, at + 8)
-            codec = {v: k for k, v in FORMATS.items()}[kind]
+            codec = ({PCM: "pcm"} | {v: k for k, v in FORMATS.items()})[kind]
         elif name == b"data":
             if codec is None:
                 raise ValueError("a WAVE file without a format")
@@ -169,6 +173,11 @@ def _pieces(sizes: list[int]) -> Iterator[list[tuple[int, int, int]]]:
         yield group
 
 
+def pcm_file(pcm: bytes, media: bytes) -> bytes:
+    """The stored form of a recording's resampled samples: 16-bit PCM at twice the rate of its media."""
+    return wave_file(pcm, "pcm", 2 * wave_payload(media)[1])
+
+
 def expanded(files: list[bytes], pcm: bool = True) -> list[tuple[bytes, bytes | None, str]]:
     """(payload, pcm, feature) of stored files; the work is done by pieces, so that memory follows PIECE and the files' own size.
 
@@ -225,31 +234,39 @@ def store(docs: DataFrame, text: str = "text", id: str = "doc_id", codec: str =
 
 
 def read(stored: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, payload, media, pcm, feature) of store()'s rows."""
+    """(doc_id, n_bytes, payload, media, pcm, pcm_media, feature) of store()'s rows: the samples, and the file that stores them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, SLICE, "media"):
-            payload, pcm, feature = zip(*expanded(part.column("media").to_pylist()), strict=True)
+            media = part.column("media").to_pylist()
+            payload, pcm, feature = zip(*expanded(media), strict=True)
+            sound = [pcm_file(p, m) for p, m in zip(pcm, media, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("n_bytes"), pa.array(payload, pa.binary()), part.column("media"), pa.array(pcm, pa.binary()), pa.array(feature)], names=["doc_id", "n_bytes", "payload", "media", "pcm", "feature"]
+                [part.column("doc_id"), part.column("n_bytes"), pa.array(payload, pa.binary()), part.column("media"), pa.array(pcm, pa.binary()), pa.array(sound, pa.binary()), pa.array(feature)],
+                names=["doc_id", "n_bytes", "payload", "media", "pcm", "pcm_media", "feature"],
             )
 
-    return stored.mapInArrow(run, "doc_id long, n_bytes long, payload binary, media binary, pcm binary, feature string")
+    return stored.mapInArrow(run, "doc_id long, n_bytes long, payload binary, media binary, pcm binary, pcm_media binary, feature string")
 
 
 def digests(docs: DataFrame, text: str = "text", id: str = "doc_id", codec: str = "mulaw") -> DataFrame:
-    """Sizes and hashes of what store() keeps and read() gets back, with the features; the files themselves stay in the task."""
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    """Sizes and hashes of what store() keeps and read() gets back, with the features; the files themselves stay in the task.
+
+    pcm_media_bytes is the size of the file of resampled samples, pcm_sha256 the hash of the samples read back from it.
+    """
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pcm_media_bytes long, pcm_sha256 string"
     names = [c.split()[0] for c in schema.split(", ")]
 
+    def row(data: bytes, media: bytes, payload: bytes, pcm: bytes, feature: str) -> tuple:
+        sound = pcm_file(pcm, media)
+        samples = wave_payload(sound)[2]
+        return len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), feature, len(sound), hashlib.sha256(samples).hexdigest()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, SLICE):
             data = [t.encode() for t in text_list(part.column("text"))]
             media = [wave_file(padded(d), codec) for d in data]
-            rows = [
-                (len(d), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest(), feature)
-                for d, m, (p, _, feature) in zip(data, media, expanded(media, pcm=False), strict=True)
-            ]
+            rows = [row(d, m, *x) for d, m, x in zip(data, media, expanded(media), strict=True)]
             kinds = [pa.string() if "sha256" in n or n == "feature" else pa.int64() for n in names[1:]]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)]], names=names)
 

@@ -268,6 +268,9 @@ def test_telephony_codecs(spark):
         out = {r.doc_id: r for r in telephony.read(telephony.store(df, codec=codec)).collect()}
         assert out[1].payload == b"a" * 100 + bytes(28) and out[2].payload == bytes(64) and out[1].feature.startswith(codec)
         assert len(out[1].pcm) == (128 * 4 if codec != "adpcm" else 2 * 121 * 4)
+        assert telephony.wave_payload(out[1].pcm_media) == ("pcm", 2 * telephony.RATE, out[1].pcm)
+        seen = {r.doc_id: r for r in telephony.digests(df, codec=codec).collect()}
+        assert all((seen[i].pcm_sha256, seen[i].pcm_media_bytes) == (hashlib.sha256(out[i].pcm).hexdigest(), len(out[i].pcm_media)) for i in (1, 2))
 
 
 def test_language(spark):
