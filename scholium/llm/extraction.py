@@ -61,7 +61,7 @@ def _marks(value: str) -> set[str]:
 
 NAMES = [
     *(f"in {t}" for t in TAGS), *(f"leaf {t}" for t in TAGS), *(f"kind {k}" for k in KINDS), *(f"nearest {k}" for k in [*KINDS, "none"]), "main without kind", "article in other", "kind in article",
-    *(f"length {n}" for n in range(8)), *(f"links {n}" for n in range(4)), "sentence", "no mark", "sign", "capitals", "words", "first", "last", "bias", "same parent", "depth 0", "header inside", "header outside",
+    *(f"length {n}" for n in range(8)), *(f"links {n}" for n in range(4)), "sentence", "no mark", "sign", "capitals", "words", "first", "last", "bias", "same parent", "depth 0", "header inside", "header outside", "inner head",
 ]
 _AT = {n: i for i, n in enumerate(NAMES)}
 _BAD_TAGS = {"nav", "footer", "aside", "form", "dialog"}
@@ -109,6 +109,8 @@ def _around(state: _State, tag: str) -> tuple[int, ...]:
         own.add(f"leaf {tag}")
     if header:
         own.add(header)
+    if nearest == "head" and header == "header inside":
+        own.add("inner head")
     if ("article" in tags or "main" in tags or "body" in kinds) and not bad:
         own.add("main without kind")
     if bad and "article" in tags:
@@ -275,9 +277,17 @@ def _page(r: random.Random) -> list[tuple[str, int]]:
     for t in opened:
         put((f"<{t}{sure('content', 'post', 'entry-content', 'article-body', 'story', 'main-content', 'post-body') if t in ('div', 'section', 'td') else cls('post', 'content', 'article', 'a1')}>", -1))
     if r.random() < 0.8:
-        if r.random() < 0.2 and opened:
-            put(("<header>", -1))
-            wrap("h1", _sentences(r, 2, 12), 1)
+        if r.random() < 0.35 and opened:
+            named = r.choice(["entry-header", "post-header", "article-header", "article__header", "content-header", "header", "post-title-wrap", "story-head", "title", "head"])
+            put((f"<header{r.choice(['', '', f' class={chr(34)}{named}{chr(34)}'])}>" if r.random() < 0.5 else f'<header class="{named}">', -1))
+            about = lambda: wrap("div", _sentences(r, 2, 9), 0, sure("entry-meta", "post-meta", "byline meta", "meta"))
+            if r.random() < 0.15:
+                about()
+            wrap(r.choice(["h1", "h1", "h2"]), _sentences(r, 2, 12), 1)
+            if r.random() < 0.2:
+                wrap(r.choice(["p", "h2"]), _sentences(r, 3, 25), 1)
+            if r.random() < 0.25:
+                about()
             put(("</header>", -1))
         else:
             wrap("h1", _sentences(r, 2, 12), 1)

@@ -52,6 +52,13 @@ PAGES = {
     "japanese": """<html><body><nav><a href="/">ホーム</a><a href="/news">ニュース</a></nav><article><h1>[[山の秋]]</h1><p>[[十月になると、山の木々は赤や黄色に染まり、多くの人が登ってくる。]]</p><p>[[朝は寒いので、上着を持って行くとよい。]]</p></article><div class="sidebar"><p>人気の記事：川の釣り、海の夏、里の冬</p></div><footer>著作権</footer></body></html>""",
     "plain header": """<header><h1>Site</h1></header><article><h1>[[A walk by the sea]]</h1><p>[[The tide was out, and the sand was firm enough to walk on for miles.]]</p><p>[[We turned back when the rain came.]]</p></article>""",
     "header with text": """<header><p>Welcome to the site of news.</p></header><article><p>[[The tide was out, and the sand was firm enough to walk on for miles.]]</p></article>""",
+    "entry header": """<html><body><header class="site-header"><p class="site-title"><a href="/">Field notes</a></p><nav class="main-navigation"><a href="/">Home</a><a href="/about">About</a></nav></header>
+<article class="post"><header class="entry-header"><h1 class="entry-title">[[The ferry to the outer islands]]</h1><div class="entry-meta">May 3 by Ann</div></header><div class="entry-content"><p>[[It leaves at six in the morning, and in winter only when the sea is calm enough to land.]]</p>
+<p>[[Take bread with you, since there is no shop on the second island.]]</p></div><footer class="entry-footer">Filed under travel</footer></article><footer class="site-footer">Made by hand</footer></body></html>""",
+    "article header": """<body><div class="page"><header class="header"><a href="/">The Morning Paper</a></header><main><article class="article"><header class="article-header"><h1>[[A quiet winter for the port]]</h1><p>[[Fewer ships came in than in any year since the war, and most of them were half empty.]]</p></header>
+<p>[[The harbour master blames the ice, which came early and stayed until the end of March.]]</p></article></main><footer>All rights reserved</footer></div></body>""",
+    "block header": """<body><div class="topbar"><a href="/login">Log in</a></div><article><header class="article__header"><h1>[[Old maps of the delta]]</h1></header><div class="article__body"><p>[[The oldest of them shows eleven arms of the river, of which four can still be found.]]</p></div></article>
+<aside class="sidebar"><h3>More maps</h3><ul><li><a href="/1">The coast</a></li></ul></aside></body>""",
     "deep comments": "<article><p>[[The tide was out, and the sand was firm enough to walk on for miles.]]</p></article>" + '<div>' * 1500 + '<section class="comments"><p>I was there too, and it was a fine day for a walk along the water.</p></section>' + "</div>" * 1500,
 }
 MARKED = re.compile(r"\[\[(.*?)\]\]", re.S)
@@ -74,3 +81,12 @@ def test_page(name, field):
     common = sum((Counter(want) & Counter(got)).values())
     assert common >= 0.97 * len(want), f"lost of {name}: {got}"
     assert common >= 0.95 * len(got), f"too much of {name}: {got}"
+
+
+def test_all_pages_together(field):
+    """What the README states."""
+    found = [words(name, field) for name in PAGES]
+    common = sum(sum((Counter(a) & Counter(b)).values()) for a, b in found)
+    wanted, got = sum(len(a) for a, _ in found), sum(len(b) for _, b in found)
+    print(f"{len(found)} pages, recall {common / wanted:.3f}, precision {common / got:.3f}")
+    assert common >= 0.98 * wanted and common >= 0.98 * got
