@@ -5,9 +5,10 @@ item, at blank lines, and before lines that begin as notices do (OPENERS); comme
 point of "v. 2" is no sentence's end. A sentence is normalised to lower-case ASCII letters and digits with single
 spaces, without a list item's number, with one holder's name for any, and mapped to the identifier of the known
 sentence that it is. One that isn't known is cut again before lines that begin with a capitalised word: what was
-wrapped stays together, and a line of its own is found too. Identifiers in text order are a sequence, which the rules rewrite in their order: each replaces the identifiers that it
-matches by the licence they state, so that rules of more identifiers come before those of fewer. What no rule takes
-stays as a sentence without a licence.
+wrapped stays together, and a line of its own is found too. A short statement (STATED) that names licences is mapped to the
+identifiers of their names and of the words that connect them; one that names none known here is STATED_UNKNOWN. Identifiers in text order are a sequence, which the rules rewrite in their order: each replaces the identifiers that it
+matches by the licence they state, so that rules of more identifiers come before those of fewer; licences with a
+connecting word between them become one expression. What no rule takes stays as a sentence without a licence.
 
 Texts without any of the ANCHORS, one of which is in every known sentence, have no identifiers; they are told by a
 substring search alone. Each row is scanned for itself, in one pass and without a shuffle, whatever its length. Null and
@@ -17,6 +18,7 @@ so there are no ties. Of rules that match at the same place the first in order i
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -46,17 +48,58 @@ NAMED = [
     ("Unlicense", ["unlicense"]),
     ("Zlib", ["zlib license", "zlib"]),
     *[
-        (f"CC-{kind}-{version}", [f"cc {kind.lower().replace('-', ' ')} {version.replace('.', ' ')}", f"creative commons {words} {version.replace('.', ' ')} international license", f"creative commons {words} {version.replace('.', ' ')} license"])
+        (f"CC-{kind}-{version}", [f"cc {kind.lower().replace('-', ' ')} {version.replace('.', ' ')}", *(f"creative commons {words} {number}" for n in [version.replace(".", " ")] for number in (n, f"{n} license", f"license {n}", f"{n} international", f"{n} international license", f"{n} unported license", f"license version {n}"))])
         for kind, words in [("BY", "attribution"), ("BY-SA", "attribution sharealike"), ("BY-NC", "attribution noncommercial"), ("BY-ND", "attribution noderivatives"), ("BY-NC-SA", "attribution noncommercial sharealike"), ("BY-NC-ND", "attribution noncommercial noderivatives")]
         for version in ("4.0", "3.0")
     ],
+    ("WTFPL", ["do what the fuck you want to public license", "do what the f you want to public license"]),
+    ("Artistic-2.0", ["artistic license 2 0", "artistic license version 2 0"]),
+    ("Artistic-1.0", ["artistic license 1 0", "artistic license"]),
+    ("PostgreSQL", ["postgresql license", "postgres license"]),
+    ("EUPL-1.2", ["european union public license version 1 2", "european union public licence version 1 2", "european union public license 1 2", "european union public licence v 1 2", "eupl v 1 2", "eupl"]),
+    ("EPL-1.0", ["eclipse public license version 1 0", "eclipse public license v 1 0", "eclipse public license 1 0"]),
+    ("MPL-1.1", ["mozilla public license version 1 1", "mozilla public license 1 1"]),
+    ("OFL-1.1", ["sil open font license version 1 1", "sil open font license 1 1", "sil open font license", "open font license"]),
+    ("0BSD", ["zero clause bsd license", "bsd zero clause license", "0 clause bsd license"]),
+    ("BSD-4-Clause", ["4 clause bsd license", "original bsd license"]),
+    ("NCSA", ["university of illinois ncsa open source license", "ncsa license"]),
+    ("Python-2.0", ["python software foundation license", "python software foundation license version 2", "psf license"]),
+    ("CDDL-1.0", ["common development and distribution license", "common development and distribution license version 1 0", "cddl"]),
+    ("MS-PL", ["microsoft public license"]),
+    ("LPPL-1.3c", ["latex project public license", "lppl"]),
+    ("AFL-3.0", ["academic free license version 3 0", "academic free license 3 0"]),
+    ("UPL-1.0", ["universal permissive license version 1 0", "universal permissive license"]),
+    ("MulanPSL-2.0", ["mulan psl v2", "mulan permissive software license v2"]),
+    ("BlueOak-1.0.0", ["blue oak model license 1 0 0", "blue oak model license"]),
+    ("Ruby", ["ruby license"]),
+    ("OpenSSL", ["openssl license"]),
+    ("X11", ["x11 license", "mit x11 license"]),
+    ("Vim", ["vim license"]),
+    ("CC-PDDC", ["creative commons public domain dedication"]),
+    ("LGPL-2.1-or-later", ["gnu lesser general public license version 2 1 or later", "lgplv2 1 or later", "lgpl version 2 1 or later"]),
+    ("LGPL-3.0-or-later", ["gnu lesser general public license version 3 or later", "lgplv3 or later", "lgpl version 3 or later"]),
+    ("AGPL-3.0-or-later", ["gnu affero general public license version 3 or later", "agplv3 or later"]),
+    ("LLVM-exception", ["llvm exceptions"]),
+    ("Classpath-exception-2.0", ["classpath exception"]),
+    ("GCC-exception-3.1", ["gcc runtime library exception"]),
+    ("Linux-syscall-note", []),
+    ("Autoconf-exception-3.0", []),
+    ("Bison-exception-2.2", []),
+    ("Font-exception-2.0", []),
 ]
-#: Short statements: what they say before a licence's name, and the name.
-STATED = (
-    "^(?:(?:licensed|released|distributed|published|available|provided) under (?:the )?(?:terms of the )?"
-    "|this (?:work|software|project|program|file|code|document|article|text|content) is (?:licensed|released|distributed) under (?:the |a )?"
-    "|licen[sc]e (?:the )?|spdx license identifier )(.+)$"
+#: Short statements: what they say before licences' names, and the names; the first kinds are about licences for sure.
+_SURE = (
+    "(?:(?:dual |triple |multi )?(?:licensed|released|distributed|published|available|provided) under "
+    "|this (?:work|software|project|program|library|package|crate|file|code|document|article|text|content) is (?:(?:dual |triple |multi )?licensed|released|distributed|available) under |spdx license identifier )"
 )
+OPENED = f"^{_SURE}"
+STATED = f"^(?:{_SURE}|licen[sc]e )(.+)$"
+#: What may follow the names in a statement, and words between them that name nothing.
+TRAILING = r" (?:see|which|whose|that|found|available|a copy|the full|for (?:details|more)|in the (?:file|license|licence)|at your option|unless|copyright|as (?:found|described|stated|given|published))\b.*$"
+FILLERS = ["the", "a", "an", "of", "either", "both", "any", "terms", "conditions", "license", "licenses", "licence", "licences", "version", "under", "this", "following"]
+CONNECTORS = {"and": "AND", "or": "OR", "with": "WITH"}
+#: A statement about a licence that has no name known here.
+UNKNOWN = "STATED_UNKNOWN"
 _GNU = [("GPL", "general"), ("LGPL", "lesser general"), ("AGPL", "affero general")]
 _VERSIONS = [("2", "2.0"), ("2 1", "2.1"), ("3", "3.0")]
 _SUBJECTS = ["", "this program is free software ", "this library is free software ", "this software is free software ", "it is free software "]
@@ -145,6 +188,8 @@ RULES = [
     ("All-Rights-Reserved", ["COPYRIGHT_RESERVED"]),
     ("All-Rights-Reserved", ["RESERVED"]),
 ]
+#: After the rules: licences with a word between them are one expression, in which WITH binds more than AND, and AND more than OR; other connecting words go.
+EXPRESSIONS = [(rf";=([^;]+);;{word};;=([^;]+);", rf";=\1 {word} \2;") for word in ("WITH", "AND", "OR") for _ in range(1 if word == "WITH" else 4)] + [(";(?:AND|OR|WITH);", "")]
 ANCHORS = ["licen", "rights reserved", "hereby granted", "permi", "warrant", "liable", "redistribut", "gnu general public", "public domain", "under the", "under ", "version", "mozilla"]
 #: Words that begin the lines of notices.
 OPENERS = ["This", "The", "It", "Licensed", "Released", "Distributed", "Published", "Available", "Provided", "Licen[sc]e:", "SPDX", "Permission", "Redistributions?", "Neither", "Unless", "See", "If", "All", "Copyright"]
@@ -170,8 +215,18 @@ def known_sentences(sentences: Iterable = SENTENCES) -> dict[str, str]:
 
 
 def known_names(named: Iterable = NAMED) -> dict[str, str]:
-    """Identifiers of short statements by the name they state."""
-    return {n: f"NAMED_{name}" for name, names in named for n in names}
+    """Identifiers of licences by the names that statements have for them; a licence's own identifier is one."""
+    own = {re.sub("[^a-z0-9]+", " ", name.lower()).strip(): f"NAMED_{name}" for name, _ in named}
+    return {n: f"NAMED_{name}" for name, names in named for n in names} | own
+
+
+def _pieces(names: Iterable[str]) -> str:
+    """Names, the longest first, and what connects them."""
+    return rf"\b({'|'.join(sorted([*names, *CONNECTORS], key=lambda n: (-len(n), n)))})\b"
+
+
+def _others(names: Iterable[str]) -> str:
+    return rf"\b(?:{'|'.join(sorted([*names, *CONNECTORS, *FILLERS], key=lambda n: (-len(n), n)))})\b"
 
 
 #: No known sentence or statement is shorter or longer.
@@ -196,16 +251,28 @@ def _replaced(text: Column, steps: list[tuple[str, str]]) -> Column:
     return text
 
 
+def _stated(s: Column, names: dict[str, str], final: Column) -> Column:
+    """The identifiers of a statement's names with what connects them; UNKNOWN, where `final`, if anything else stands there."""
+    rest = F.regexp_replace(F.regexp_replace(F.regexp_extract(s, STATED, 1), TRAILING, ""), r"\band or\b", "or")
+    pieces = F.regexp_extract_all(rest, F.lit(_pieces(names)), F.lit(1))
+    table = _table(names | CONNECTORS)
+    clear = (F.btrim(F.regexp_replace(rest, _others(names), "")) == "") & F.exists(pieces, lambda p: ~p.isin(list(CONNECTORS)))
+    return F.when(clear, F.transform(pieces, lambda p: table[p])).when(final & s.rlike(OPENED) & F.contains(s, F.lit("licen")), F.array(F.lit(UNKNOWN)))
+
+
 def sentence_ids(text: Column, known: dict[str, str], names: dict[str, str]) -> Column:
-    """The identifiers of a text's known sentences, in text order."""
+    """The identifiers of a text's known sentences and of what its statements name, in text order."""
     marked = _replaced(F.concat(F.lit("\n"), text), MARKS + ENDS)
     normal = lambda s: _replaced(F.btrim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")), SAME)
     likely = lambda s: F.length(s).between(*LENGTHS) & s.rlike("|".join(ANCHORS))
-    look = lambda s: F.when(likely(s), F.coalesce(_table(known)[s], _table(names)[F.regexp_extract(s, STATED, 1)]))
-    told = F.transform(F.split(marked, CUT, -1), lambda s: F.struct(s.alias("s"), look(normal(s)).alias("id")))
-    parts = lambda s: F.transform(F.split(s, SOFT, -1), lambda x: look(normal(x)))
-    each = F.transform(told, lambda x: F.when(x["id"].isNull() & F.contains(x["s"], F.lit(SOFT)), parts(x["s"])).otherwise(F.array(x["id"])))
-    return F.filter(F.flatten(each), lambda i: i.isNotNull())
+    table = _table(known)
+    one = lambda s: F.when(table[s].isNotNull(), F.array(table[s]))
+    look = lambda s, final: F.when(likely(s), F.coalesce(one(s), F.when(s.rlike(STATED), _stated(s, names, final))))
+    whole = lambda s: ~F.contains(s, F.lit(SOFT))
+    told = F.transform(F.split(marked, CUT, -1), lambda s: F.struct(s.alias("s"), look(normal(s), whole(s)).alias("ids")))
+    none = F.array().cast("array<string>")
+    parts = lambda s: F.flatten(F.transform(F.split(s, SOFT, -1), lambda x: F.coalesce(look(normal(x), F.lit(True)), none)))
+    return F.flatten(F.transform(told, lambda x: F.when(x["ids"].isNull() & ~whole(x["s"]), parts(x["s"])).otherwise(F.coalesce(x["ids"], none))))
 
 
 def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", known: dict[str, str] | None = None, names: dict[str, str] | None = None, rules: list | None = None) -> DataFrame:
@@ -222,6 +289,7 @@ def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", known: dict[st
     ruled = F.col("sequence")
     for name, of in rules:
         ruled = F.regexp_replace(ruled, _pattern(of), f";={name};")
+    ruled = _replaced(ruled, EXPRESSIONS)
     read = read.withColumn("ruled", F.when(F.col("n_sentences") > 0, ruled).otherwise(F.lit("")))
     parts = F.filter(F.split("ruled", ";"), lambda x: x != "")
     read = read.withColumn("parts", parts)
@@ -232,10 +300,12 @@ def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", known: dict[st
 def scan_sql() -> str:
     """The same over the table documents, for DuckDB."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    table, names = ("MAP {" + ", ".join(f"{quote(k)}: {quote(v)}" for k, v in known.items()) + "}" for known in (known_sentences(), known_names()))
+    table, names = ("MAP {" + ", ".join(f"{quote(k)}: {quote(v)}" for k, v in known.items()) + "}" for known in (known_sentences(), known_names() | CONNECTORS))
     ruled = "sequence"
     for name, of in RULES:
         ruled = f"regexp_replace({ruled}, {quote(_pattern(of))}, {quote(f';={name};')}, 'g')"
+    for pattern, replacement in EXPRESSIONS:
+        ruled = f"regexp_replace({ruled}, {quote(pattern)}, {quote(replacement)}, 'g')"
 
     def replaced(text: str, steps: list[tuple[str, str]]) -> str:
         for pattern, replacement in steps:
@@ -244,12 +314,17 @@ def scan_sql() -> str:
 
     marked = replaced("chr(10) || coalesce(text, '')", MARKS + ENDS)
     normal = replaced("trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))", SAME)
-    look = f"case when length(n) between {LENGTHS[0]} and {LENGTHS[1]} and regexp_matches(n, {quote('|'.join(ANCHORS))}) then coalesce(({table})[n], ({names})[regexp_extract(n, {quote(STATED)}, 1)]) end"
+    rest = f"regexp_replace(regexp_replace(regexp_extract(n, {quote(STATED)}, 1), {quote(TRAILING)}, ''), {quote(chr(92) + 'band or' + chr(92) + 'b')}, 'or', 'g')"
+    pieces = f"regexp_extract_all({rest}, {quote(_pieces(known_names()))}, 1)"
+    connect = ", ".join(map(quote, CONNECTORS))
+    clear = f"trim(regexp_replace({rest}, {quote(_others(known_names()))}, '', 'g')) = '' and len(list_filter({pieces}, lambda p: p not in ({connect}))) > 0"
+    stated = lambda final: f"case when not regexp_matches(n, {quote(STATED)}) then null when {clear} then list_transform({pieces}, lambda p: ({names})[p]) when {final} and regexp_matches(n, {quote(OPENED)}) and contains(n, 'licen') then [{quote(UNKNOWN)}] end"
+    look = lambda final: f"case when length(n) between {LENGTHS[0]} and {LENGTHS[1]} and regexp_matches(n, {quote('|'.join(ANCHORS))}) then case when ({table})[n] is not null then [({table})[n]] else {stated(final)} end end"
     return f"""
 with sentences as (
-    select doc_id, list_transform(list_transform(string_split({marked}, chr(30)), lambda s: {{'s': s, 'n': {normal}}}), lambda x: {{'s': x.s, 'id': list_transform([x.n], lambda n: {look})[1]}}) as told from documents
+    select doc_id, list_transform(list_transform(string_split({marked}, chr(30)), lambda s: {{'s': s, 'n': {normal}}}), lambda x: {{'s': x.s, 'ids': list_transform([x.n], lambda n: {look("not contains(x.s, chr(29))")})[1]}}) as told from documents
 ), found as (
-    select doc_id, list_filter(flatten(list_transform(told, lambda x: case when x.id is null and contains(x.s, chr(29)) then list_transform(list_transform(string_split(x.s, chr(29)), lambda s: {normal}), lambda n: {look}) else [x.id] end)), lambda i: i is not null) as ids from sentences
+    select doc_id, flatten(list_transform(told, lambda x: case when x.ids is null and contains(x.s, chr(29)) then flatten(list_transform(list_transform(string_split(x.s, chr(29)), lambda s: {normal}), lambda n: coalesce({look("true")}, []))) else coalesce(x.ids, []) end)) as ids from sentences
 ), sequences as (
     select doc_id, cast(len(ids) as bigint) as n_sentences, array_to_string(ids, ',') as sentences, ';' || array_to_string(list_transform(ids, lambda i: i || ';'), ';') as sequence from found
 ), ruled as (

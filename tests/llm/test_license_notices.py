@@ -28,6 +28,24 @@ CASES = {
     "epl": ("Eclipse\n\nTHE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE\nPUBLIC LICENSE (\"AGREEMENT\"). ANY USE", "EPL-2.0"),
     "line of its own": ("Some words\nReleased under the MIT License\nOther words follow", "MIT"),
     "tag": ("# SPDX-License-Identifier: BSD-3-Clause\nimport x", "BSD-3-Clause"),
+    "two at choice": ("Licensed under MIT or Apache-2.0.", "MIT OR Apache-2.0"),
+    "two at once": ("The tool is small.\nThis project is dual licensed under the MIT and Apache 2.0 licenses.", "MIT AND Apache-2.0"),
+    "dual licensed": ("dual licensed under the MIT and Apache 2.0 licenses", "MIT AND Apache-2.0"),
+    "see file": ("licensed under the terms of the MIT license, see the LICENSE file", "MIT"),
+    "in brackets": ("Licensed under the MIT license (see LICENSE).", "MIT"),
+    "either of": ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", "Apache-2.0 OR MIT"),
+    "three": ("This library is released under MIT, or BSD-3-Clause or the GNU GPL version 2.", "MIT OR BSD-3-Clause OR GPL-2.0-only"),
+    "tag and": ("// SPDX-License-Identifier: MIT AND ISC\n#include <x>", "MIT AND ISC"),
+    "tag or": ("# SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause)\n", "GPL-2.0-only OR BSD-3-Clause"),
+    "tag with": ("# SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception\nimport x", "Apache-2.0 WITH LLVM-exception"),
+    "tag of three": ("# SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 OR MIT AND ISC\n", "GPL-2.0-or-later WITH Classpath-exception-2.0 OR MIT AND ISC"),
+    "word order": ("This work is licensed under the Creative Commons Attribution-ShareAlike License 4.0; others are not.", "CC-BY-SA-4.0"),
+    "free words": ("Released under the WTFPL.", "WTFPL"),
+    "artistic": ("This package is distributed under the Artistic License 2.0.", "Artistic-2.0"),
+    "postgres": ("Released under the PostgreSQL License", "PostgreSQL"),
+    "union": ("Licensed under the EUPL-1.2", "EUPL-1.2"),
+    "tag of a name": ("# SPDX-License-Identifier: PostgreSQL\n", "PostgreSQL"),
+    "under water": ("Released under the water, the fish swam off.\nIt was gone.", ""),
     "license of a driver": ("The license was shown.\nUnder the bridge he waited: nobody came.", ""),
 }
 
@@ -38,6 +56,14 @@ def found(spark):
     return {list(CASES)[r.doc_id]: r for r in licenses.scan(df).collect()}
 
 
+UNKNOWN = ["This software is licensed under the Frobozz Magic License.", "# SPDX-License-Identifier: LicenseRef-Own\n", "Licensed under the MIT license and the Frobozz license."]
+
+
+def test_statements_without_a_known_name_are_told(spark):
+    df = spark.createDataFrame(list(enumerate(UNKNOWN)), "doc_id long, text string")
+    assert [(r.licenses, r.unruled) for r in licenses.scan(df).orderBy("doc_id").collect()] == [("", licenses.UNKNOWN)] * len(UNKNOWN)
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_notice(name, found):
     assert found[name].licenses == CASES[name][1], found[name]
@@ -55,3 +81,6 @@ def test_notices_in_sql(spark, found):
     con.executemany("insert into documents values (?, ?)", [(n, t) for n, (t, _) in enumerate(CASES.values())])
     got = {list(CASES)[r[0]]: r for r in con.execute(licenses.scan_sql()).fetchall()}
     assert {n: tuple(r) for n, r in found.items()} == got
+    con.execute("delete from documents")
+    con.executemany("insert into documents values (?, ?)", list(enumerate(UNKNOWN)))
+    assert [r[3:] for r in con.execute(licenses.scan_sql() + " order by doc_id").fetchall()] == [("", licenses.UNKNOWN)] * len(UNKNOWN)
