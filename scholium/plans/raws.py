@@ -55,7 +55,7 @@ _OURS = "(s % 4 <> 0 and (s % 3 = 0 or s % 5 = 0))"
 
 @query(f"""
 with {_LINES}
-select 'W' || o_orderkey as source_id, 'Work ' || o_orderkey as title, case when o_orderkey % 4 <> 0 then '10.1/x' || o_orderkey end as doi, year(o_orderdate) as year, 'we go' || (o_orderkey % 7) || ' we ' || case when o_orderkey % 6 = 0 then 'robotics' else 'home' end as abstract,
+select 'W' || o_orderkey as source_id, 'Work ' || o_orderkey as title, case when o_orderkey % 4 <> 0 then '10.1/x' || o_orderkey end as doi, cast(year(o_orderdate) as int) as year, 'we go' || (o_orderkey % 7) || ' we ' || case when o_orderkey % 6 = 0 then 'robotics' else 'home' end as abstract,
     array_to_string(list_transform(sup, lambda s: 'A' || s || ':' || case when s % 4 = 0 then '' else 'U' || (s % 3) || '; V' end || case when {_OURS} then '*' else '' end), ',') as people, 'J ' || o_orderpriority as venue, o_orderstatus || ',' || o_orderpriority as concepts, o_custkey as citations,
     case when o_orderkey % 3 <> 0 then 'http://l/' || o_orderkey else 'W' || o_orderkey end as url, case when o_orderkey % 5 = 0 then 'http://p/' || o_orderkey end as pdf_url, cast(o_orderkey % 2 = 0 as varchar) as is_oa from o where o_orderkey % 10 <> 0
 """)
@@ -111,7 +111,7 @@ def q_institution_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with r as (select o_orderkey, case o_orderkey % 3 when 0 then '10.2139/' when 1 then '10.1101/' else '10.5/' end || o_orderkey as doi, 'Title ' || o_orderkey as title, case when o_orderkey % 2 = 0 then year(o_orderdate) when o_orderkey % 5 = 0 then 2001 else 2002 end as year,
+with r as (select o_orderkey, case o_orderkey % 3 when 0 then '10.2139/' when 1 then '10.1101/' else '10.5/' end || o_orderkey as doi, 'Title ' || o_orderkey as title, cast(case when o_orderkey % 2 = 0 then year(o_orderdate) when o_orderkey % 5 = 0 then 2001 else 2002 end as int) as year,
     'Ann C' || (o_custkey % 9) as name, o_custkey % 9 = 4 as ours, o_custkey as cites from orders where o_orderkey % 7 <> 0)
 select 'crossref' as source, doi, title, year, name, ours, 'J' as venue, 'text' as abstract, cites as citations from r where o_orderkey % 3 <> 0
 union all select 'ssrn', doi, title, year, name, ours, 'SSRN Electronic Journal', 'text', cites from r where o_orderkey % 3 = 0
@@ -157,7 +157,7 @@ def q_faculty_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select o_orderkey as id, 'On ' || o_orderstatus as title, year(o_orderdate) as year, case when o_orderkey % 2 = 0 then 'AIM: part one part two' else 'part one part two' end as abstract, 'Ann C' || o_custkey as name, o_custkey % 6 = 0 as ours, case when o_orderkey % 3 = 0 then '10.1/p' || o_orderkey end as doi,
+select o_orderkey as id, 'On ' || o_orderstatus as title, cast(year(o_orderdate) as int) as year, case when o_orderkey % 2 = 0 then 'AIM: part one part two' else 'part one part two' end as abstract, 'Ann C' || o_custkey as name, o_custkey % 6 = 0 as ours, case when o_orderkey % 3 = 0 then '10.1/p' || o_orderkey end as doi,
     o_orderpriority || ',word' as concepts, 'https://pubmed.ncbi.nlm.nih.gov/' || o_orderkey || '/' as url from orders
 """)
 def q_medical_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +177,7 @@ def q_medical_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select distinct 'a' || o_custkey as id, 2000 + o_custkey % 20 as year, o_custkey % 4 = 0 as ours, case when o_custkey % 3 = 0 then 'Ref ' || o_custkey else 'arXiv' end as venue, 'cs.AI,c' || (o_custkey % 5) as concepts, case when o_custkey % 2 = 0 then 'http://pdf/' || o_custkey end as pdf_url from orders
+select distinct 'a' || o_custkey as id, cast(2000 + o_custkey % 20 as int) as year, o_custkey % 4 = 0 as ours, case when o_custkey % 3 = 0 then 'Ref ' || o_custkey else 'arXiv' end as venue, 'cs.AI,c' || (o_custkey % 5) as concepts, case when o_custkey % 2 = 0 then 'http://pdf/' || o_custkey end as pdf_url from orders
 """)
 def q_preprint_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of a feed in which an id comes again and again."""
@@ -204,7 +204,7 @@ def q_graph_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select distinct 'N' || (p_partkey % 700) as id, 'Grant ' || (p_partkey % 700) as title, 1990 + (p_partkey % 700) % 30 as year, 'ANN P' || (p_partkey % 700) as name, array_to_string(list_transform(range(0, least(20, (p_partkey % 700) % 26)), lambda i: 't' || i), ',') as concepts, cast(1000 * (p_partkey % 700) as varchar) as award from part
+select distinct 'N' || (p_partkey % 700) as id, 'Grant ' || (p_partkey % 700) as title, cast(1990 + (p_partkey % 700) % 30 as int) as year, 'ANN P' || (p_partkey % 700) as name, array_to_string(list_transform(range(0, least(20, (p_partkey % 700) % 26)), lambda i: 't' || i), ',') as concepts, cast(1000 * (p_partkey % 700) as varchar) as award from part
 """)
 def q_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Projects that are reported more than once, with up to 26 terms."""
@@ -219,7 +219,7 @@ def q_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select distinct p_partkey % 900 as id, 1980 + (p_partkey % 900) % 40 as year from part where (p_partkey % 900) % 4 = 1 and (p_partkey % 900) % 3 <> 2
+select distinct p_partkey % 900 as id, cast(1980 + (p_partkey % 900) % 40 as int) as year from part where (p_partkey % 900) % 4 = 1 and (p_partkey % 900) % 3 <> 2
 """)
 def q_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey") % 900
@@ -229,7 +229,7 @@ def q_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select distinct 'u' || s_suppkey as id, 'Item ' || s_suppkey as title, case when s_suppkey % 4 <> 0 then 1990 + s_suppkey % 40 end as year, case s_suppkey % 3 when 0 then '10.1/d' || s_suppkey when 1 then '10.1/u' || s_suppkey end as doi, 'Ann S' || s_suppkey || ';Bo Ray' as people, 's' || s_nationkey || ',t' as concepts
+select distinct 'u' || s_suppkey as id, 'Item ' || s_suppkey as title, cast(case when s_suppkey % 4 <> 0 then 1990 + s_suppkey % 40 end as int) as year, case s_suppkey % 3 when 0 then '10.1/d' || s_suppkey when 1 then '10.1/u' || s_suppkey end as doi, 'Ann S' || s_suppkey || ';Bo Ray' as people, 's' || s_nationkey || ',t' as concepts
 from supplier where s_suppkey % 4 = 0 or 1990 + s_suppkey % 40 >= 2005
 """)
 def q_repository(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +247,7 @@ def q_repository(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-select url as id, regexp_extract(html, '(?is)<title>([^<]*)</title>', 1) <> '' as titled, case when page_id % 3 = 0 then 2000 + page_id % 20 end as year, 'Ann P' || page_id || ';Bo Ray' as people, 'x,y z' as concepts from pages where page_id % 2 = 0
+select url as id, regexp_extract(html, '(?is)<title>([^<]*)</title>', 1) <> '' as titled, cast(case when page_id % 3 = 0 then 2000 + page_id % 20 end as int) as year, 'Ann P' || page_id || ';Bo Ray' as people, 'x,y z' as concepts from pages where page_id % 2 = 0
 """)
 def q_article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with meta elements of articles put before their own markup; every second one is by someone of ours."""

@@ -155,7 +155,7 @@ def q_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select 'orders/' || o_orderkey as source_id, 'Order of € ' || o_orderkey || ' & more' as title, year(o_orderdate) as year, case when o_orderkey % 3 = 0 then '10.1/' || o_orderkey end as doi, 'J ' || o_orderpriority as venue, 'Customer ' || (o_custkey % 90) as author from orders
+select 'orders/' || o_orderkey as source_id, 'Order of € ' || o_orderkey || ' & more' as title, cast(year(o_orderdate) as int) as year, case when o_orderkey % 3 = 0 then '10.1/' || o_orderkey end as doi, 'J ' || o_orderpriority as venue, 'Customer ' || (o_custkey % 90) as author from orders
 where o_custkey % 90 < 60 and o_custkey % 90 <> 7 and year(o_orderdate) >= 1996 and not (o_orderkey % 6 = 0)
 """)
 def q_index_dump(spark: SparkSession, sf_dir: str) -> DataFrame:

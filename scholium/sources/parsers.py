@@ -13,6 +13,7 @@ from ..functions.values import named, variant
 from ..operators.dedup import keep_first, windowed_first
 from ..operators.filters import has_term
 from ..schemas import AUTHOR
+from ..storage import stored
 
 
 def _texts(c: Column | None = None) -> Column:
@@ -82,7 +83,7 @@ def institution_sweep(raw: DataFrame, ror: str, master: DataFrame, terms: Sequen
     named = placed.withColumn("authors", F.filter("authors", lambda a: blank(a["name"]).isNotNull())).drop("_id", "_first")
     text = F.concat_ws(" ", "title", F.coalesce("abstract", F.lit("")))
     kept = named.filter(has_term(text, terms) & (F.size(our_names(F.col("authors"))) > 0)).withColumnRenamed("title_fingerprint", "fp")
-    fresh = new_records(kept, [master])
+    fresh = stored(new_records(kept, [master]), "sweep")
     return within_batch(numbered(fresh, "source_id", "arrival")).drop("arrival").withColumnRenamed("fp", "title_fingerprint")
 
 
@@ -269,6 +270,7 @@ def index_dump(records: DataFrame, roster: DataFrame, master: DataFrame, ambiguo
     """Papers of a full dump with an author of the roster, unless all names that match are ambiguous, that master lacks.
 
     A roster name of three words with an initial in the middle also matches without it. Authors that match are ours.
+    The records are stored once, since they are read for their authors and again for what is kept.
     """
     from ..functions.text import folded, words
     from ..operators.dedup import new_records
@@ -277,6 +279,7 @@ def index_dump(records: DataFrame, roster: DataFrame, master: DataFrame, ambiguo
     parts = words(F.col("_n"))
     short = F.when((F.size(parts) == 3) & ((F.length(F.get(parts, 1)) <= 2) | F.endswith(F.get(parts, 1), F.lit("."))), F.concat_ws(" ", F.get(parts, 0), F.get(parts, 2)))
     known = roster.select(folded(F.col("name")).alias("_n")).filter("_n <> ''").select(F.explode(F.array_compact(F.array("_n", short))).alias("_n")).distinct()
+    records = stored(records, "dump-records")
     each = records.select("source_id", F.posexplode("authors").alias("_at", "a")).select("source_id", "_at", folded(F.col("a.name")).alias("_n"))
     hits = each.join(known, "_n", "left_semi").groupBy(F.col("source_id").alias("_id")).agg(F.bool_or(~ambiguous_surname(F.col("_n"), ambiguous)).alias("_sure"), F.collect_set("_at").alias("_ours"))  # authors of one paper
     mine = lambda a, i: a.withField("is_bu", F.array_contains("_ours", i)).withField("affiliation", F.when(F.array_contains("_ours", i), F.lit(affiliation)).otherwise(a["affiliation"]))
