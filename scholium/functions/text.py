@@ -49,11 +49,12 @@ def unescape(c: Column) -> Column:
     A name that is none takes as its reference the longest old name that it begins with, which needs no semicolon.
     """
     pattern = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+    names = F.lit(_NAMES)
 
     def found(name: Column) -> Column:
         key = F.concat(F.lit("\u0001"), name, F.lit("\u0002"))
-        at = F.position(key, F.lit(_NAMES))
-        return F.when(at > 0, F.split_part(F.substring(F.lit(_NAMES), at + F.length(key), F.lit(3)), F.lit("\u0001"), F.lit(1)))
+        at = F.position(key, names)
+        return F.when(at > 0, F.split_part(F.substring(names, at + F.length(key), F.lit(3)), F.lit("\u0001"), F.lit(1)))
 
     def value(ref: Column) -> Column:
         hexadecimal = F.lower(F.left(ref, F.lit(3))) == "&#x"
@@ -80,9 +81,14 @@ def sanitize(c: Column) -> Column:
     return F.trim(collapse(F.regexp_replace(unescape(c), rf"(?i)</?(?:{'|'.join(INLINE_TAGS)})\s*[^>]*>", "")))
 
 
+def normalize_clean(c: Column) -> Column:
+    """normalize_title() of what sanitize() gave."""
+    return F.coalesce(collapse(F.regexp_replace(F.trim(F.lower(c)), r"(?U)[^\w\s]", "")), F.lit(""))
+
+
 def normalize_title(c: Column) -> Column:
     """Lower case, letters, digits and underscores only; what deletion leaves at the ends stays."""
-    return F.coalesce(collapse(F.regexp_replace(F.trim(F.lower(sanitize(c))), r"(?U)[^\w\s]", "")), F.lit(""))
+    return normalize_clean(sanitize(c))
 
 
 def fingerprint(c: Column) -> Column:

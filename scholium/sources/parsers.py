@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import has
-from ..functions.text import blank, fingerprint, first_last, inverted_text, normalize_doi, normalize_title, sanitize
+from ..functions.text import blank, first_last, inverted_text, normalize_clean, normalize_doi, sanitize
 from ..functions.values import named, variant
 from ..operators.dedup import keep_first, windowed_first
 from ..operators.filters import has_term
@@ -32,9 +32,10 @@ def record(raw: DataFrame, harvested_at: str = "", **fields: Column) -> DataFram
     f = {k: fields.get(k, none("string")) for k in ("title", "doi", "abstract", "source", "source_id", "url", "pdf_url", "venue", "publication_type")}
     f |= {k: fields.get(k, none(kind)) for k, kind in (("authors", f"array<{AUTHOR}>"), ("year", "int"), ("concepts", "array<string>"), ("citation_count", "int"), ("extra", "map<string,string>"))}
     raw = raw.select(*[c.alias(f"_field_{k}") for k, c in f.items()])  # first of all, or a raw column would be taken for the field of its name
+    raw = raw.withColumn("_field_title", sanitize(F.col("_field_title")))
     f = fields = {k: F.col(f"_field_{k}") for k in f}
     return raw.select(
-        sanitize(f["title"]).alias("title"), normalize_title(f["title"]).alias("title_normalized"), fingerprint(f["title"]).alias("title_fingerprint"),
+        f["title"].alias("title"), normalize_clean(f["title"]).alias("title_normalized"), F.md5(normalize_clean(f["title"])).alias("title_fingerprint"),
         F.coalesce(fields.get("authors", none(f"array<{AUTHOR}>")), F.array().cast(f"array<{AUTHOR}>")).alias("authors"), fields.get("year", none("int")).cast("int").alias("year"), normalize_doi(f["doi"]).alias("doi"),
         sanitize(f["abstract"]).alias("abstract"), f["source"].alias("source"), f["source_id"].cast("string").alias("source_id"), f["url"].alias("url"), f["pdf_url"].alias("pdf_url"), sanitize(f["venue"]).alias("venue"),
         _texts(fields.get("concepts")).alias("concepts"), F.coalesce(fields.get("citation_count", none("int")).cast("int"), F.lit(0)).alias("citation_count"), f["publication_type"].alias("publication_type"),
