@@ -36,7 +36,7 @@ from .common import stored, text_list, text_slices
 from .components import components
 
 PIVOTS = np.array([xxhash.xxh64_intdigest(f"pivot {i}", 42) for i in range(32)], dtype=np.uint64)
-#: (blocks, blocks that a key fixes) by round, for a radius of 4 and wider ones alike: blocks - fixed is the radius.
+#: Blocks by round; a key fixes all but `radius` of them.
 ROUNDS = (6, 9, 16)
 
 
@@ -141,9 +141,20 @@ def _forest(radius: int):
     return run
 
 
+def rounds_for(n: int, radius: int, crowd: int) -> list[int]:
+    """The rounds worth while for n distinct fingerprints: none whose keys would hold over `crowd` even if bits were spread evenly.
+
+    A key of the first round fixes 2 of 6 blocks, 20 bits at least, so from some billion fingerprints on all of its keys
+    would be crowded, and all fingerprints would go on; those start with the next round, whose keys fix 35 bits.
+    """
+    able = [b for b in ROUNDS if b > radius] or [radius + 1]
+    fixed = lambda b: (64 // b) * max(1, b - radius)
+    return [b for k, b in enumerate(able) if k == len(able) - 1 or n >> fixed(b) <= crowd]
+
+
 def links(fps: DataFrame, radius: int = 4, crowd: int = 1024) -> DataFrame:
     """(a, b): edges whose components are those of all pairs of distinct fingerprints (column fp) within radius bits."""
-    rounds = [b for b in ROUNDS if b > radius] or [radius + 1]
+    rounds = rounds_for(fps.count(), radius, crowd)
     found, rest = None, fps
     for n, blocks in enumerate(rounds):
         keyed = rest.select("fp", F.explode(_keys(F.col("fp"), blocks, radius)).alias("k"))

@@ -23,3 +23,12 @@ def test_chains_keep_every_link():
                     if keys[a] == keys[b] and int(fps[a] ^ fps[b]).bit_count() <= 4:
                         root[a] = root[b] = min(root[a], root[b])
         assert simhash.linked(keys, fps, 4).tolist() == root
+
+
+def test_rounds_follow_the_number_of_fingerprints():
+    assert simhash.rounds_for(10_000_000, 4, 1024) == [6, 9, 16]
+    assert simhash.rounds_for(100_000_000_000, 4, 1024) == [9, 16]
+    assert simhash.rounds_for(1 << 62, 4, 1024) == [16]
+    for n in (10_000_000, 1_000_000_000, 10_000_000_000, 1_000_000_000_000):  # keys of the first round hold few enough, so not all rows come again
+        first = simhash.rounds_for(n, 4, 1024)[0]
+        assert n / 2 ** ((64 // first) * (first - 4)) <= 1025
