@@ -152,10 +152,28 @@ def audit_lines(people: DataFrame, ours: DataFrame, missing: DataFrame, shown: i
     return met.select("name", n("n_ours"), n("n_missing"), "titles", "gaps").filter("n_ours > 0 or n_missing > 0")
 
 
-def audit(title: str, lines: DataFrame) -> str:
-    """audit_lines() as text, people of the most gaps first."""
+def audit_rows(people: DataFrame, ours: DataFrame, missing: DataFrame, shown: int = 5) -> DataFrame:
+    """(order, text): the lines of all people with papers or gaps, however many; sorted by order they are the audit's text.
+
+    Each gap is a row, never an element of a list, so a person of very many gaps is many tasks' work like any other rows.
+    """
+    from .dedup import windowed_first
+
+    counts = lambda df, n: df.groupBy("name").agg(F.count(F.lit(1)).alias(n))
+    n = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+    known = people.select("name").distinct().join(counts(ours, "n_ours"), "name", "left").join(counts(missing, "n_missing"), "name", "left").select("name", n("n_ours"), n("n_missing")).filter("n_ours > 0 or n_missing > 0")
+    row = lambda df, kind, source, title, text: df.select(F.struct((-F.col("n_missing")).alias("m"), "name", F.lit(kind).alias("kind"), source.alias("source"), title.alias("title")).alias("order"), text.alias("text"))
+    none, title = F.lit(""), F.substring("title", 1, 70)
+    heads = row(known, 0, none, none, F.concat(F.lit("## "), "name", F.lit(": "), F.col("n_ours").cast("string"), F.lit(" papers, "), F.col("n_missing").cast("string"), F.lit(" missing")))
+    held = row(windowed_first(ours, ["name"], ["title"], shown).join(known, "name"), 1, none, F.col("title"), F.concat(F.lit("- "), "title"))
+    gaps = row(missing.join(known, "name"), 2, F.col("source"), title, F.concat(F.lit("- missing from "), "source", F.lit(": "), title))
+    return heads.unionByName(held).unionByName(gaps)
+
+
+def audit(title: str, lines: DataFrame, most: int = 1000) -> str:
+    """audit_lines() of the people of the most gaps as text, `most` of them; audit_rows() has no bound."""
     sections = []
-    for r in lines.orderBy(F.desc("n_missing"), "name").toLocalIterator():
+    for r in lines.orderBy(F.desc("n_missing"), "name").limit(most).collect():
         items = [f"- {t}" for t in r["titles"] or []] + [f"- missing from {g['source']}: {g['title']}" for g in r["gaps"] or []]
         sections.append((f"{r['name']}: {r['n_ours']} papers, {r['n_missing']} missing", items))
     return document(title, sections)

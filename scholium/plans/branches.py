@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import analytics, export, filters, maintain, match, quality
+from ..operators import analytics, export, filters, maintain, match, quality, report
 from ..sources import parsers
 from .base import PAPERS, papers, query, table
 
@@ -125,3 +125,42 @@ def q_union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources with different columns put together; what comes twice stays twice."""
     orders = table(spark, sf_dir, "orders")
     return maintain.union_all([orders.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("a")), orders.filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("b"))])
+
+
+@query("""
+with g as (select p_brand as name, p_name || ' ' || p_partkey as title, 'S' || (p_partkey % 3) as source, p_size from part), c as (select name, count(*) filter (p_size <= 20) as o, count(*) filter (p_size > 20) as m from g group by name),
+r as (
+    select -m as m, name, 0 as kind, '' as source, '' as title, '## ' || name || ': ' || o || ' papers, ' || m || ' missing' as text from c
+    union all select -m, name, 1, '', title, '- ' || title from g join c using (name) where p_size <= 20 qualify row_number() over (partition by name order by title) <= 5
+    union all select -m, name, 2, source, substring(title, 1, 70), '- missing from ' || source || ': ' || substring(title, 1, 70) from g join c using (name) where p_size > 20
+)
+select cast(row_number() over (order by m, name, kind, source, title) - 1 as int) as place, text from r
+""")
+def q_audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the audit with its place."""
+    key = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("name"), F.concat_ws(" ", "p_name", key.cast("string")).alias("title"), F.concat(F.lit("S"), (key % 3).cast("string")).alias("source"), "p_size")
+    lines = report.audit_rows(rows.select("name"), rows.filter("p_size <= 20").select("name", "title"), rows.filter("p_size > 20").select("name", "source", "title"))
+    return maintain.numbered(lines, "order", "place").select("place", "text")
+
+
+@query("""
+with p as (select c_custkey as id, 'Q' || translate(cast(c_custkey % 50 as varchar), '0123456789', 'abcdefghij') as last, c_custkey % 4 as k from customer)
+select id, case k when 0 then 'Anna ' when 1 then 'Annie ' when 2 then 'Dr ' else 'Ann ' end || last as canonical, cast(case k when 3 then 0 else k + 1 end as int) as tier from p
+""")
+def q_canonical_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names by id, by alternate name, by key, and not at all."""
+    c, k = F.col("c_custkey"), F.col("c_custkey") % 4
+    last = F.concat(F.lit("Q"), F.translate((c % 50).cast("string"), "0123456789", "abcdefghij"))
+    people = table(spark, sf_dir, "customer").select(c.alias("id"), F.concat(F.lit("Ann "), last).alias("name"), (k != 3).alias("is_bu"), k.alias("k"))
+    named = lambda first: F.concat(F.lit(first), F.substring("name", 5, 100))
+    by_id = people.filter("k = 0").select("id", named("Anna ").alias("canonical"))
+    each = people.select("name").distinct()
+    out = []
+    for some, by_alt, by_key in (
+        ("k in (0, 3)", each.limit(0), each.limit(0)), ("k = 1", each, each.limit(0)), ("k = 2", each.limit(0), each),
+    ):
+        alts = by_alt.select(F.upper("name").alias("alt"), named("Annie ").alias("canonical"))
+        keys = by_key.select(match.name_key(F.col("name")).alias("key"), named("Dr ").alias("canonical"))
+        out.append(match.canonical_names(people.filter(some).select("id", "name", "is_bu"), by_id, alts, keys))
+    return maintain.union_all(out).select("id", "canonical", "tier")

@@ -139,6 +139,8 @@ def test_reports(spark, master):
     lines = report.audit_lines(rows([("Ann",), ("Bo",), ("Cy",)], "name string"), ours, gone)
     assert sorted((r.name, r.n_ours, r.n_missing, r.titles) for r in lines.collect()) == [("Ann", 7, 0, [f"t{i}" for i in range(5)]), ("Bo", 0, 1, None)]
     text = report.audit("A", lines)
+    ordered = report.audit_rows(rows([("Ann",), ("Bo",), ("Cy",)], "name string"), ours, gone).orderBy("order")
+    assert [r.text for r in ordered.collect()] == [x for x in text.split("\n") if x and x != "# A"]
     assert text.index("Bo: 0 papers, 1 missing") < text.index("Ann: 7 papers") and "- missing from s: lost" in text
 
 
