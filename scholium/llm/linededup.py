@@ -1,7 +1,8 @@
 """Line dedup by winnowing over line hashes, in DataFrame operations only.
 
-Lines end at line feeds, and also before a capitalised word that follows a space, so that a passage which was set into
-another line is still made of the same lines; they are equal if they are without white space around them. From each
+Lines end at line feeds. With BOUNDARY they also end before a capitalised word that follows a space, so that a passage
+which was set into another line is still made of the same lines; what is deleted then are such parts of lines. Lines are
+equal if they are without white space around them. From each
 line on, and back from each line, the shortest run of LEAST bytes is a window. Of each window the line with the least
 hash is a fingerprint, a blank line only if there is no other. Equal windows have equal fingerprints, so a run of LEAST
 bytes that is repeated has a fingerprint that is found at another place too: fingerprints of one place only go, with
@@ -35,11 +36,13 @@ LEAST = 160
 NEAR = (6, 24, LEAST)
 #: What a blank line has in the place of its hash when the least one is sought.
 BLANK = (1 << 63) - 1
-BOUNDARY = r"(?<=\n)|(?<= )(?=\p{Lu}\p{Ll})"
+#: Where lines end, and where they do if sentences within a line count too.
+LINES = r"(?<=\n)"
+BOUNDARY = LINES + r"|(?<= )(?=\p{Lu}\p{Ll})"
 
 
-def _lines(text: Column) -> Column:
-    return F.split(text, BOUNDARY, -1)
+def _lines(text: Column, boundary: str) -> Column:
+    return F.split(text, boundary, -1)
 
 
 def _plain(lines: Column) -> Column:
@@ -81,10 +84,10 @@ def _mark(ranks: Column, span: Column) -> Column:
     return F.array_min(F.slice(ranks, F.shiftright(span, 8).cast("int") + 1, span.bitwiseAND(F.lit(255)).cast("int")))
 
 
-def prepared(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+def prepared(docs: DataFrame, text: str = "text", id: str = "doc_id", boundary: str = LINES) -> DataFrame:
     """(doc_id, spans, keys, marks): the windows of each document, hashes of their lines, and their fingerprints."""
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
-    split = rows.select("doc_id", _lines(F.col("text")).alias("line"))
+    split = rows.select("doc_id", _lines(F.col("text"), boundary).alias("line"))
     plain = split.select("doc_id", "line", _plain(F.col("line")).alias("plain"))
     sized = plain.select("doc_id", F.transform("plain", lambda x: F.xxhash64(x)).alias("h"), F.transform("plain", lambda x: F.octet_length(x) + 1).alias("n"), F.transform("line", F.octet_length).alias("raw"))
     wide = sized.withColumn("wide", F.zip_with("n", "raw", lambda a, b: F.greatest(a, b))).drop("raw")
@@ -106,13 +109,13 @@ def repeats(windows: DataFrame) -> DataFrame:
     return near.join(firsts, "key").filter("doc_id > first or span > start").select("doc_id", "key", "span")
 
 
-def repeated(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+def repeated(docs: DataFrame, text: str = "text", id: str = "doc_id", boundary: str = LINES) -> DataFrame:
     """docs with its columns as one struct `row`, and where earlier places hold lines of it, its `line`s and `gone`: the places of those that go."""
-    windows = stored(prepared(docs, text, id), "line-windows")
+    windows = stored(prepared(docs, text, id, boundary), "line-windows")
     of_doc = repeats(windows).groupBy("doc_id").agg(F.collect_list(F.struct("key", "span")).alias("spans")).withColumnRenamed("doc_id", "_id")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id).cast("long").alias("id"))
     met = rows.join(of_doc, F.col("id") == F.col("_id"), "left")
-    split = met.select("row", "spans", F.when(F.col("spans").isNotNull(), _lines(F.col("row")[text])).alias("line"))
+    split = met.select("row", "spans", F.when(F.col("spans").isNotNull(), _lines(F.col("row")[text], boundary)).alias("line"))
     hashed = split.select("row", "line", "spans", F.transform(_plain(F.col("line")), lambda x: F.xxhash64(x)).alias("h"))
     own = _once("h", lambda h: F.filter("spans", lambda s: s["key"] == _key(h, s["span"])))  # another row may have the same id
     first = lambda s: F.shiftright(s["span"], 8).cast("int")
@@ -125,13 +128,13 @@ def _kept(text: str) -> Column:
     return F.when(F.col("gone").isNull(), F.col("row")[text]).otherwise(F.array_join(F.transform(stay, lambda i: F.get("line", i)), ""))
 
 
-def deduplicated(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+def deduplicated(docs: DataFrame, text: str = "text", id: str = "doc_id", boundary: str = LINES) -> DataFrame:
     """docs without repeated runs: the same rows and columns, with shorter texts."""
-    done = repeated(docs, text, id).select("row", _kept(text).alias("kept"))
+    done = repeated(docs, text, id, boundary).select("row", _kept(text).alias("kept"))
     return done.select(*[(F.col("kept") if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
-def report(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+def report(docs: DataFrame, text: str = "text", id: str = "doc_id", boundary: str = LINES) -> DataFrame:
     """(doc_id, n_deleted, text): how many lines of each text go, and what stays."""
-    found = repeated(docs, text, id)
+    found = repeated(docs, text, id, boundary)
     return found.select(F.col("row")[id].alias("doc_id"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("n_deleted"), _kept(text).alias("text"))

@@ -47,7 +47,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.report(table(spark, sf_dir, "documents"))
+    return linededup.report(table(spark, sf_dir, "documents"), boundary=linededup.BOUNDARY)
 
 
 def op8_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -207,10 +207,10 @@ def test_line_dedup_passages(spark):
     passage = ". ".join(words(9).capitalize() for _ in range(7)) + "."
     docs = {0: f"{words(30)} {passage} {words(30)}", 1: f"{words(40)}\n{passage}\n{words(20)}", 2: words(80), 3: f"Own text {words(10)}. {passage}"}
     df = spark.createDataFrame([(i, t, "x") for i, t in docs.items()], "doc_id long, text string, other string")
-    out = {x.doc_id: x.text for x in linededup.deduplicated(df).collect()}
+    out = {x.doc_id: x.text for x in linededup.deduplicated(df, boundary=linededup.BOUNDARY).collect()}
     assert out[0] == docs[0] and out[2] == docs[2]
     assert passage not in out[1] and passage not in out[3] and out[3].startswith("Own text")
-    assert linededup.deduplicated(df).columns == df.columns
+    assert linededup.deduplicated(df, boundary=linededup.BOUNDARY).columns == df.columns
 
 
 def test_decontamination_finds_items_in_long_documents(spark):

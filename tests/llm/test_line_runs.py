@@ -25,7 +25,7 @@ def every_run(docs):
 
 def found(spark, docs):
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
-    return {r.doc_id: (r.n_deleted, r.text) for r in linededup.report(df).collect()}
+    return {r.doc_id: (r.n_deleted, r.text) for r in linededup.report(df, boundary=linededup.BOUNDARY).collect()}
 
 
 def test_lines_that_stood_alone_before(spark):
@@ -59,3 +59,25 @@ def test_rows_of_one_id(spark):
     a, b = "a" * 200 + "\n", "b" * 200 + "\n"
     df = spark.createDataFrame([(1, a), (2, b + "own\n" + a), (2, a + "other\n"), (3, b)], "doc_id long, text string")
     assert sorted((r.doc_id, r.text) for r in linededup.report(df).collect()) == [(1, a), (2, b + "own\n"), (2, "other\n"), (3, "")]
+
+
+def test_lines_are_lines(spark):
+    """Without BOUNDARY, against a model that knows line feeds only."""
+    r = random.Random(11)
+    pool = [" ".join(r.choices(["Alpha", "beta", "Gamma", "delta", "Epsilon."], k=r.randint(3, 9))) for _ in range(14)]
+    chunks = [[r.choice(pool) for _ in range(r.randint(3, 9))] for _ in range(8)]
+    docs = {i: "\n".join(x for _ in range(r.randint(1, 3)) for x in (r.choice(chunks) if r.random() < 0.6 else [r.choice(pool)])) + r.choice(["", "\n"]) for i in range(40)}
+    seen, want = set(), {}
+    for i, text in docs.items():
+        own = text.splitlines(keepends=True) + ([""] if text.endswith("\n") else [])
+        plain, gone = [x.strip(" \t\r\n") for x in own], set()
+        for a in range(len(own)):
+            for b in range(a + 1, len(own) + 1):
+                if sum(len(x.encode()) + 1 for x in plain[a:b]) >= linededup.LEAST:
+                    if tuple(plain[a:b]) in seen:
+                        gone.update(range(a, b))
+                    seen.add(tuple(plain[a:b]))
+        want[i] = (len(gone), "".join(x for k, x in enumerate(own) if k not in gone))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert {x.doc_id: (x.n_deleted, x.text) for x in linededup.report(df).collect()} == want
+    assert any(n for n, _ in want.values())
