@@ -1,7 +1,11 @@
 """The corpus pipeline: documents in one language, without repeated runs of lines, near copies and benchmark items, encoded.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and reread as the next one's
-docs. All but the last return the columns that they were given.
+docs. All but the last return the columns that they were given, whatever their names. Texts are taken whole, however long.
+
+Null and empty texts have no letter, so the first stage rejects them; of the rest, a text that line dedup left empty goes
+through the later stages as one without words. Rows with a null id are not compared with others for lines and near
+copies, and stay. Of repeated rows the near-copy stage keeps one. An empty table goes through as one.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ def one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes later repeated runs of lines; a document that was all repeated goes on with an empty text."""
-    short = linededup.deduplicated(docs)
+    short = linededup.deduplicated(docs, boundary=linededup.BOUNDARY)
     return short.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else short
 
 
