@@ -280,6 +280,12 @@ def parse_response(c: Column) -> Column:
     )
 
 
+def character(code: Column) -> Column:
+    """The character of a code point; char() takes a number's last eight bits only. Numbers from 0xD800 on skip the surrogates."""
+    point = F.when(code < 0xD800, code).otherwise(code + 0x800)
+    return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(point), 8, "0"))), "UTF-32")  # the mark tells the order of bytes
+
+
 def bibtex_key(first_author: Column, year: Column, title: Column) -> Column:
     """Last name, year, and the first longer word of the title."""
     name = F.coalesce(F.get(F.reverse(words(F.coalesce(first_author, F.lit("Unknown")))), 0), F.lit("unknown"))

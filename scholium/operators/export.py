@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import versions
-from ..functions.text import author_line, bibtex_key, blank, export_url, last_first
+from ..functions.text import author_line, bibtex_key, blank, character, export_url, last_first
 
 
 def compact(papers: DataFrame, private: bool = False) -> DataFrame:
@@ -35,10 +35,10 @@ def script_lines(records: DataFrame) -> DataFrame:
 
 
 def bibtex_keys(papers: DataFrame, first_author: Column, year: Column, title: Column, order: str) -> DataFrame:
-    """papers with `key`: those that share one get b, c, … in order after the first."""
+    """papers with `key`: those that share one get b, c, … in order after the first, and on through all code points."""
     keyed = papers.withColumn("_key", bibtex_key(first_author, year, title))
     n = F.row_number().over(Window.partitionBy("_key").orderBy(order))
-    return keyed.withColumn("key", F.concat("_key", F.when(n > 1, F.char(n + 96)).otherwise(""))).drop("_key")
+    return keyed.withColumn("key", F.concat("_key", F.when(n > 1, character(n + 96)).otherwise(""))).drop("_key")
 
 
 def bibtex(papers: DataFrame, order: str = "index") -> DataFrame:

@@ -161,3 +161,13 @@ def test_exports(spark, tmp_path):
     export.save_master(df.limit(1), target)
     assert export.read_master(spark, target).count() == 1
     assert export.fill_counts("We list 11,903 papers of 5 schools.", {"papers": 12000, "schools": 7}) == "We list 12,000 papers of 7 schools."
+
+
+def test_keys_that_very_many_share(spark):
+    n = 60000
+    titles = spark.range(1, n + 1).select(F.col("id").alias("at"))
+    keys = export.bibtex_keys(titles, F.lit("A B"), F.lit(2020), F.lit("Deep things"), "at")
+    got = {r["at"]: r["key"].removeprefix("B2020deep") for r in keys.collect()}
+    codes = [c for c in range(98, n + 2144) if not 0xD800 <= c < 0xE000]
+    assert got[1] == "" and all(got[i + 2] == chr(c) for i, c in enumerate(codes) if i + 2 <= n)
+    assert len(set(got.values())) == n
