@@ -33,7 +33,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begins = np.maximum.accumulate(np.where(new, at, -1))
         off = np.maximum.accumulate(np.where(~flags, at, -1))
         since = np.maximum(begins - 1, off)
-        before = since < 0  # neither a new key nor an unflagged row in this batch yet
+        before = (begins < 0) & (off < 0)  # neither a new key nor an unflagged row in this batch yet
         streaks = np.where(before, at + 1 + streak, at - since)
         new_keys = np.cumsum(new) - (row == 0)  # the partition's first key has number 0
         first = (new_keys == 0) & open_start if row else new_keys == 0

@@ -60,3 +60,10 @@ def test_alerts_from_the_log(spark):
     got = sorted(tuple(x) for x in quality.log_alerts(log, sources).collect())
     assert got == [("FAIL", "idle", "nothing new for 3 weeks"), ("FAIL", "source", "a failed 3 runs")]
     assert quality.log_alerts(log.filter("run_no < 5"), sources.filter("source = 'b'")).count() == 0
+
+
+def test_a_batch_that_begins_with_a_key(spark):
+    size = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    rows = spark.range(0, 2 * size, 1, 1).select((F.col("id") >= size).alias("k"), F.col("id").alias("at"))
+    got = {r["at"]: r["streak"] for r in streaks.streaks(rows, ["k"], ["at"], F.lit(True)).collect()}
+    assert got == {i: i % size + 1 for i in range(2 * size)}
