@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import best_url
+from ..storage import stored
 
 
 def refresh_citations(master: DataFrame, fresh: DataFrame, key: str = "doi", count: str = "citation_count", marks: Sequence[int] = (100, 1000), since: int | None = None, open_access: str | None = None) -> DataFrame:
@@ -93,13 +94,14 @@ def append(master: DataFrame, new: DataFrame, order: str = "arrival") -> DataFra
 def numbered(rows: DataFrame, order: str, name: str = "index") -> DataFrame:
     """rows with whole numbers from 0 in an order: places within sorted partitions, and how many rows stand before each.
 
-    Only a row for each partition goes through one task.
+    Ranges are drawn from a sample, so they are not the same when they are drawn again: the placed rows are stored, and both
+    the sums and the rows read from there. Only a row for each partition goes through one task.
     """
-    placed = rows.repartitionByRange(F.col(order)).withColumn("_p", F.spark_partition_id())
-    sizes = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    placed = stored(rows.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    part, at = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)  # a partition's number, and a row's place in it
+    sizes = placed.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_p").orderBy(order)) - 1
-    return placed.withColumn("_at", inside).join(before, "_p").withColumn(name, (F.col("_at") + F.col("_before")).cast("int")).drop("_p", "_at", "_before")
+    return placed.withColumn("_p", part).join(F.broadcast(before), "_p").withColumn(name, (at + F.col("_before")).cast("int")).drop("_p", "_id", "_before")
 
 
 def harvest_totals(reports: DataFrame) -> DataFrame:

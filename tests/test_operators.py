@@ -171,3 +171,25 @@ def test_keys_that_very_many_share(spark):
     codes = [c for c in range(98, n + 2144) if not 0xD800 <= c < 0xE000]
     assert got[1] == "" and all(got[i + 2] == chr(c) for i, c in enumerate(codes) if i + 2 <= n)
     assert len(set(got.values())) == n
+
+
+N = 100000
+
+
+@pytest.fixture
+def many(spark):
+    """Rows of which two samples give two sets of ranges."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark.range(0, N, 1, 8).select((F.col("id") * 7919 % N).alias("at"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def places(numbered, order, name):
+    rows = numbered.collect()  # with all columns, or both readings of the ranges would be one
+    return [r[name] for r in sorted(rows, key=lambda r: r[order])]
+
+
+def test_append_numbers_all(many):
+    fresh = many.select("at", F.lit("s").alias("source"), *[F.col("text").alias(c) for c in ("pdf_url", "url", "doi")])
+    master = fresh.limit(1).select((F.col("at") - N).alias("at"), F.lit(0).alias("index"), F.lit("").alias("best_url"), F.array("source").alias("all_sources"))
+    assert places(maintain.append(master, fresh, "at"), "at", "index") == list(range(N + 1))
