@@ -193,3 +193,8 @@ def test_append_numbers_all(many):
     fresh = many.select("at", F.lit("s").alias("source"), *[F.col("text").alias(c) for c in ("pdf_url", "url", "doi")])
     master = fresh.limit(1).select((F.col("at") - N).alias("at"), F.lit(0).alias("index"), F.lit("").alias("best_url"), F.array("source").alias("all_sources"))
     assert places(maintain.append(master, fresh, "at"), "at", "index") == list(range(N + 1))
+
+
+def test_audit_lines_are_numbered_all(many):
+    lines = many.select(F.struct((F.col("at") % 7).alias("m"), F.lpad(F.col("at").cast("string"), 6, "0").alias("name")).alias("order"), "text")
+    assert places(maintain.numbered(lines, "order", "place"), "order", "place") == list(range(N))
