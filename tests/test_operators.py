@@ -198,3 +198,10 @@ def test_append_numbers_all(many):
 def test_audit_lines_are_numbered_all(many):
     lines = many.select(F.struct((F.col("at") % 7).alias("m"), F.lpad(F.col("at").cast("string"), 6, "0").alias("name")).alias("order"), "text")
     assert places(maintain.numbered(lines, "order", "place"), "order", "place") == list(range(N))
+
+
+def test_blocks_are_numbered_all(many):
+    """Sort keys with nulls, which come first."""
+    blocks = many.select(F.struct(F.when(F.col("at") >= 10, F.lit("x")).alias("school"), "at").alias("_order"), "text")
+    got = {r["_order"]["at"]: r["place"] for r in maintain.numbered(blocks, "_order", "place").collect()}
+    assert got == {i: i for i in range(N)}
