@@ -13,9 +13,12 @@ ROR = "https://ror.org/ours"
 
 
 def _landed(rows: DataFrame, schema: str, **fields: Column) -> DataFrame:
-    """Raw records as they are read from a landed line: fields that are null are absent."""
+    """Raw records as they are read from a landed line: fields that are null are absent.
+
+    A line is read once, as a generator's row: filters would otherwise be moved before the reading, and each read the line again.
+    """
     named = F.struct(*[c.alias(n) for n, c in fields.items()])
-    return rows.select(F.from_json(F.to_json(named), schema).alias("r")).select("r.*")
+    return rows.select(F.inline(F.array(F.from_json(F.to_json(named), schema))))
 
 
 def _text(c: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,9 +43,10 @@ def record(raw: DataFrame, harvested_at: str = "", **fields: Column) -> DataFram
     )
 
 
-def openalex(raw: DataFrame, ror: str, harvested_at: str = "") -> DataFrame:
-    """Works of an open catalogue: an author is ours if any of their institutions is."""
-    author = lambda a: _author(a["author"]["display_name"], F.array_join(F.transform(a["institutions"], lambda i: i["display_name"]), "; "), has(a["institutions"], lambda i: i["ror"] == ror), a["author"]["id"], a["author"]["orcid"])
+def openalex(raw: DataFrame, ror: str, harvested_at: str = "", affiliation: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Works of an open catalogue: an author is ours if any of their institutions is. Affiliations are all institutions' names unless asked otherwise."""
+    units = affiliation or (lambda a: F.array_join(F.transform(a["institutions"], lambda i: i["display_name"]), "; "))
+    author = lambda a: _author(a["author"]["display_name"], units(a), has(a["institutions"], lambda i: i["ror"] == ror), a["author"]["id"], a["author"]["orcid"])
     named = lambda c: F.coalesce(F.transform(c, lambda x: x["display_name"]), _texts())
     return record(
         raw.filter(blank(F.col("title")).isNotNull()), harvested_at, title=F.col("title"), authors=F.transform("authorships", author), year=F.col("publication_year"), doi=F.col("doi"), abstract=inverted_text(F.col("abstract_inverted_index")),
@@ -78,10 +79,7 @@ def institution_sweep(raw: DataFrame, ror: str, master: DataFrame, terms: Sequen
     from ..operators.maintain import numbered
 
     first = lambda a: F.coalesce(F.get(a["institutions"], 0)["display_name"], F.lit(""))
-    plain = openalex(raw, ror, harvested_at)
-    units = raw.select(F.col("id").alias("_id"), F.transform("authorships", lambda a: first(a)).alias("_first")).dropDuplicates(["_id"])
-    placed = plain.join(units, plain["source_id"] == F.col("_id")).withColumn("authors", F.zip_with("authors", "_first", lambda a, u: a.withField("affiliation", F.coalesce(u, F.lit("")))))
-    named = placed.withColumn("authors", F.filter("authors", lambda a: blank(a["name"]).isNotNull())).drop("_id", "_first")
+    named = openalex(raw.filter("id is not null"), ror, harvested_at, first).withColumn("authors", F.filter("authors", lambda a: blank(a["name"]).isNotNull()))
     text = F.concat_ws(" ", "title", F.coalesce("abstract", F.lit("")))
     kept = named.filter(has_term(text, terms) & (F.size(our_names(F.col("authors"))) > 0)).withColumnRenamed("title_fingerprint", "fp")
     fresh = stored(new_records(kept, [master]), "sweep")

@@ -205,3 +205,8 @@ def test_blocks_are_numbered_all(many):
     blocks = many.select(F.struct(F.when(F.col("at") >= 10, F.lit("x")).alias("school"), "at").alias("_order"), "text")
     got = {r["_order"]["at"]: r["place"] for r in maintain.numbered(blocks, "_order", "place").collect()}
     assert got == {i: i for i in range(N)}
+
+
+def test_sweep_arrivals_are_numbered_all(many):
+    works = many.select(F.format_string("W%06d", "at").alias("source_id"), "text")
+    assert places(maintain.numbered(works, "source_id", "arrival"), "source_id", "arrival") == list(range(N))

@@ -2,10 +2,11 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from scholium import schemas
-from scholium.plans import update
+from scholium.plans import registry, update
 from scholium.sources.parsers import record
 from scholium.streaming import ingest
 
@@ -52,3 +53,9 @@ def test_harvest_isolates_failures(spark):
     assert {r.source: (r["count"], r.status) for r in out.report.collect()} == {"a": (3, "ok"), "b": (0, "FAILED"), "c": (2, "ok")}
     assert out.papers.count() == 5
     assert set(r.status for r in update.harvest(spark, {"a": lambda: spark.range(1), "b": lambda: spark.range(1)}, -1).report.collect()) == {"skipped"}
+
+
+@pytest.mark.parametrize("name", ["q_works", "q_concept_sweep", "q_source_papers"])
+def test_landed_lines_are_read_once(spark, name):
+    plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
