@@ -267,12 +267,14 @@ def responses(inputs: DataFrame, answers: DataFrame) -> DataFrame:
     return met.withColumn("classification", F.when(done, parsed).otherwise(failed)).drop("_i", "ok", "text")
 
 
-def split_profiles(roster: DataFrame, profiles: DataFrame, nearby: Sequence[str], least: int = 10) -> DataFrame:
+def split_profiles(roster: DataFrame, profiles: DataFrame, nearby: Sequence[str], least: int = 10, deals: int = 64) -> DataFrame:
     """(name, primary_id, id, works): other profiles that a person may have.
 
     roster (name, openalex_id) against profiles (id, display_name, alternatives, works_count, last_institutions): enough works, not the
     person's own profile, any of its names that agrees in the last name while one first name begins the other, and, where last
-    institutions are known, one that has a fragment of `nearby`. A profile's names are taken once; see beginnings() for the join.
+    institutions are known, one that has a fragment of `nearby`. Names are compared once, however many people and profiles have
+    them: what is paired, and kept apart from its repetitions, are distinct names and distinct sets of a profile's names (see
+    beginnings() for that join). People and profiles meet last, dealt out to `deals` parts of a name, and their pairs are not moved.
     """
     from ..functions.text import name_plain, words
 
@@ -283,7 +285,12 @@ def split_profiles(roster: DataFrame, profiles: DataFrame, nearby: Sequence[str]
     big = profiles.filter((F.coalesce("works_count", F.lit(0)) >= least) & near)
     names = big.select(F.col("id"), F.col("works_count").alias("works"), F.explode(F.concat(F.array("display_name"), F.coalesce("alternatives", none))).alias("_n"))
     halves = lambda w: (F.get(F.reverse(w), 0).alias("last"), F.get(w, 0).alias("first"))
-    theirs = names.select("id", "works", parts(F.col("_n")).alias("_w")).select("id", "works", *halves(F.col("_w"))).filter("last is not null").distinct()
-    ours = roster.select("name", F.col("openalex_id").alias("primary_id"), parts(F.col("name")).alias("_w")).select("name", "primary_id", *halves(F.col("_w"))).filter("last is not null")
-    met = beginnings(ours, theirs).filter(~F.col("id").eqNullSafe(F.col("primary_id")))
-    return met.select("name", "primary_id", "id", "works").distinct()
+    halved = names.select("id", "works", parts(F.col("_n")).alias("_w")).select("id", "works", *halves(F.col("_w"))).filter("last is not null")
+    theirs = halved.groupBy("id", "works").agg(F.array_sort(F.collect_set(F.struct("last", "first"))).alias("_names"))
+    ours = roster.select("name", F.col("openalex_id").alias("primary_id"), parts(F.col("name")).alias("_w")).select("name", "primary_id", *halves(F.col("_w"))).filter("last is not null").distinct()
+
+    kinds = ours.select("last", "first", F.struct("last", "first").alias("_kind")).distinct()
+    alike = beginnings(kinds, theirs.select("_names").distinct().select("_names", F.inline("_names"))).distinct()
+    dealt = theirs.join(alike, "_names").select("id", "works", "_kind", F.pmod(F.xxhash64("id"), F.lit(deals)).alias("_deal")).repartition(deals, "_kind", "_deal")
+    every = ours.select("name", "primary_id", F.struct("last", "first").alias("_kind"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long"))).alias("_deal"))
+    return every.join(dealt, ["_kind", "_deal"]).filter(~F.col("id").eqNullSafe(F.col("primary_id"))).select("name", "primary_id", "id", "works")

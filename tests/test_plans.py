@@ -59,3 +59,8 @@ def test_harvest_isolates_failures(spark):
 def test_landed_lines_are_read_once(spark, name):
     plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_pairs_of_profiles_are_not_moved(spark):
+    plan = registry.queries()["q_split_profiles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")  # nothing is summed above the last join
