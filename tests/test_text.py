@@ -98,3 +98,11 @@ def test_references_as_html_reads_them(spark):
     df = spark.createDataFrame(list(enumerate(cells)), "i int, c string")
     got = {x.i: x.o for x in df.select("i", T.unescape(F.col("c")).alias("o")).collect()}
     assert [got[i] for i in range(len(cells))] == [html.unescape(c) for c in cells]
+
+
+def test_inverted_index(spark):
+    texts = ["b a b c b", "one", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", T.inverted_index(F.split("t", " ")).alias("x")).select("i", "x", T.inverted_text(F.col("x")).alias("t")).orderBy("i").collect()
+    assert [r["x"] for r in rows] == [{"a": [1], "b": [0, 2, 4], "c": [3]}, {"one": [0]}, {"": [0]}, None]
+    assert [r["t"] for r in rows] == texts
+    assert spark.range(1).select(F.size(T.inverted_index(F.array().cast("array<string>")))).first()[0] == 0
