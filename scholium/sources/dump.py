@@ -72,21 +72,25 @@ def dump_records(spark: SparkSession, path: str, tags: Sequence[str] = TAGS, par
             while ahead:
                 yield ahead[0], lines(ahead[0])
 
+        def batch(name: str, first: int, texts: list[str], whole: list[bool]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([name] * len(texts)), pa.array(texts), pa.array(whole), pa.array(range(first, first + len(texts)))], names=["file", "text", "whole", "_at"])
+
         for name, lines in files():
-            texts, whole, size = [], [], 0
+            texts, whole, size, first = [], [], 0, 0
             for text, is_whole in cut(lines, tags):
                 texts.append(text)
                 whole.append(is_whole)
                 size += len(text)
                 if size > BATCH_CHARS:
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(texts)), pa.array(texts), pa.array(whole)], names=["file", "text", "whole"])
-                    texts, whole, size = [], [], 0
+                    yield batch(name, first, texts, whole)
+                    texts, whole, size, first = [], [], 0, first + len(texts)
             if texts:
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(texts)), pa.array(texts), pa.array(whole)], names=["file", "text", "whole"])
+                yield batch(name, first, texts, whole)
 
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-    found = lines.mapInArrow(run, "file string, text string, whole boolean")
-    return found.repartition(parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = lines.mapInArrow(run, "file string, text string, whole boolean, _at long")
+    # dealt out by number: without a key, Spark sorts all that a task has first, here a whole file
+    return found.repartition(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "_at").drop("_at")
 
 
 ENTRY = "_key string, author array<string>, title string, year string, booktitle array<string>, journal array<string>, ee array<string>"

@@ -80,3 +80,12 @@ def test_authors_of_the_roster(spark, tmp_path):
     got = {r.source_id: [a.name for a in r.authors if a.is_bu] for r in parsers.index_dump(records, roster, master, ["wang", "lee"], affiliation="Ours").collect()}
     assert got == {"0": ["Ann B. Lee"], "3": ["Wei Wang", "José Díaz"], "5": ["John Byers"]}
     assert {r.source_id for r in parsers.index_dump(records, roster, master, ["wang", "lee"], since=2019).collect()} == {"5"}
+
+
+def test_records_are_dealt_out_by_number(spark, tmp_path):
+    """Without a key to deal by, the reading task sorts all its records."""
+    with gzip.open(tmp_path / "b.xml.gz", "wt") as f:
+        f.write("<article>1</article>\n<article>1</article>\n")
+    rows = dump.dump_records(spark, str(tmp_path / "b.xml.gz"))
+    assert rows.columns == ["file", "text", "whole"] and rows.count() == 2
+    assert "RoundRobin" not in rows._jdf.queryExecution().executedPlan().toString()
