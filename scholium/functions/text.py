@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 from html.entities import html5
 
@@ -102,6 +103,11 @@ def normalize_doi(c: Column) -> Column:
     return blank(c)
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c), for which c is worked out once however often f uses it: it is the only element of an array."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
 @lru_cache(1)
 def _accents() -> tuple[str, str]:
     """Characters that are one character and marks, and that character."""
@@ -111,8 +117,8 @@ def _accents() -> tuple[str, str]:
 
 
 def fold(c: Column) -> Column:
-    """Latin letters without their accents, whether they are one character or several."""
-    return F.regexp_replace(F.translate(c, *_accents()), r"\p{M}+", "")
+    """Latin letters without their accents, whether they are one character or several. Texts of one byte a character have none."""
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.regexp_replace(F.translate(c, *_accents()), r"\p{M}+", ""))
 
 
 def name_hyphenated(c: Column) -> Column:
@@ -144,8 +150,8 @@ def words(c: Column) -> Column:
 
 def name_key(c: Column) -> Column:
     """`last first`, or the whole form of a name of one part."""
-    parts = words(name_hyphenated(c))
-    return F.when(F.size(parts) >= 2, F.concat_ws(" ", F.element_at(parts, -1), F.element_at(parts, 1))).otherwise(name_hyphenated(c))
+    key = lambda x: F.when(F.size(x["parts"]) >= 2, F.concat_ws(" ", F.element_at(x["parts"], -1), F.element_at(x["parts"], 1))).otherwise(x["form"])
+    return once(name_hyphenated(c), lambda h: once(F.struct(h.alias("form"), words(h).alias("parts")), key))
 
 
 def plain_key(c: Column) -> Column:
@@ -258,11 +264,7 @@ def inverted_text(index: Column) -> Column:
 
 
 def inverted_index(words: Column) -> Column:
-    """The map from an array's distinct words to their positions, which inverted_text() reads. Built within the row, from one sort.
-
-    Arrays that are used by many elements are the only element of another one, so that they are worked out once.
-    """
-    once = lambda c, f: F.get(F.transform(F.array(c), f), 0)
+    """The map from an array's distinct words to their positions, which inverted_text() reads. Built within the row, from one sort."""
     word = lambda placed, i: F.get(placed, i)["word"]
 
     def entries(placed: Column) -> Column:

@@ -106,3 +106,9 @@ def test_inverted_index(spark):
     assert [r["x"] for r in rows] == [{"a": [1], "b": [0, 2, 4], "c": [3]}, {"one": [0]}, {"": [0]}, None]
     assert [r["t"] for r in rows] == texts
     assert spark.range(1).select(F.size(T.inverted_index(F.array().cast("array<string>")))).first()[0] == 0
+
+
+def test_a_name_is_folded_once(spark):
+    names = spark.createDataFrame([("José A. Núñez-Pérez",), ("Madonna",), ("Ann  Lee",), (None,)], "n string").select(T.name_key(F.col("n")).alias("k"))
+    assert [r["k"] for r in names.collect()] == ["nunez-perez jose", "madonna", "lee ann", None]
+    assert names._jdf.queryExecution().analyzed().toString().count("translate(") == 1
