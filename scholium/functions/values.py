@@ -15,7 +15,7 @@ def variant(text: Column) -> Column:
 
 def depth(v: Column) -> Column:
     """How many brackets are open at most in a value: as deep as lists can be nested in it."""
-    brackets = F.regexp_replace(F.to_json(v), r'"(?:[^"\\]|\\.)*"|[^\[\]]', "")
+    brackets = F.regexp_replace(F.to_json(v), r'"(?:[^"\\]++|\\.)*+"|[^\[\]"]+', "")
     start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
 
     def step(state: Column, bracket: Column) -> Column:

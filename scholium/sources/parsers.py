@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import has
-from ..functions.text import blank, first_last, inverted_text, normalize_clean, normalize_doi, sanitize
+from ..functions.text import blank, first_last, inverted_text, normalize_clean, normalize_doi, once, sanitize
 from ..functions.values import named, variant
 from ..operators.dedup import keep_first, windowed_first
 from ..operators.filters import has_term
@@ -255,8 +255,7 @@ def commons_page(pages: DataFrame, institution: str, html: str = "html", url: st
 
 def dblp(raw: DataFrame, min_year: int | None = None, harvested_at: str = "") -> DataFrame:
     """Entries of a computing index. Their authors are JSON of any shape: one object, one text, lists of them, or under `author`; a key once."""
-    v = variant(F.col("authors"))
-    people = F.coalesce(named(F.coalesce(F.try_variant_get(v, "$.author", "variant"), v)), _texts())
+    people = once(variant(F.col("authors")), lambda v: once(F.coalesce(F.try_variant_get(v, "$.author", "variant"), v), lambda a: F.coalesce(named(a), _texts())))
     name = lambda a: F.regexp_replace(a, r"\s+\d{4}$", "")
     out = record(
         raw.dropDuplicates(["@key"]), harvested_at, title=F.regexp_replace("title", r"\.$", ""), authors=F.transform(people, lambda a: _author(name(a))), year=F.col("year").try_cast("int"),

@@ -64,3 +64,8 @@ def test_landed_lines_are_read_once(spark, name):
 def test_pairs_of_profiles_are_not_moved(spark):
     plan = registry.queries()["q_split_profiles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Aggregate")  # nothing is summed above the last join
+
+
+def test_authors_are_parsed_once(spark):
+    plan = registry.queries()["q_author_shapes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json(") + plan.lower().count("parsejson(") <= 1
