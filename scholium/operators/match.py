@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import has
-from ..functions.text import name_key, surname, title_similarity
+from ..functions.text import name_key, surname
 from ..storage import stored
 
 
@@ -158,7 +158,8 @@ def similar_sets(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     met = rare(left, "l").join(rare(right, "r"), "w").filter(sizes)
     placed = met.groupBy("l", "r").agg(F.min("l_at").alias("i"), F.min("r_at").alias("j"), F.first("l_n").alias("n"), F.first("r_n").alias("m"))
     able = placed.filter(F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= need(F.greatest("n", "m")))
-    return able.select("l", "r", title_similarity(F.col("l"), F.col("r")).alias("similarity")).filter(F.col("similarity") >= least)
+    shared = F.size(F.array_intersect(F.split("l", " "), F.split("r", " ")))
+    return able.select("l", "r", (shared / F.greatest("n", "m")).alias("similarity")).filter(F.col("similarity") >= least)
 
 
 def best_titles(ours: DataFrame, candidates: DataFrame, least: float = 0.85, rank: str = "rank", years: int = 1) -> DataFrame:

@@ -106,3 +106,13 @@ def test_cache_by_author(spark, tmp_path):
     assert read(roster.cached(people("a", "b", "c"), path, harvest, day("2024-01-20"))) == [("a", 1, 2), ("a", 2, 2), ("b", 1, 2), ("b", 2, 2), ("c", 1, 3), ("c", 2, 3)]
     assert read(roster.cached(people("a", "c"), path, harvest, day("2024-02-05"))) == [("a", 1, 4), ("a", 2, 4), ("c", 1, 3), ("c", 2, 3)]
     assert asked == [[], ["a", "b", "none"], ["c"], ["a"]]
+
+
+def test_sets_are_compared_as_they_are(spark):
+    """Words of sets are plain already."""
+    from scholium.operators import match
+
+    left, right = (spark.createDataFrame([(t,)], "words string") for t in ("a b c d e f g", "a b c d e f h"))
+    found = match.similar_sets(left, right, 0.8)
+    assert "translate(" not in found._jdf.queryExecution().analyzed().toString()
+    assert [(r["l"][-1], r["r"][-1], round(r["similarity"], 6)) for r in found.collect()] == [("g", "h", 0.857143)]
