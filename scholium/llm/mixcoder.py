@@ -1,13 +1,14 @@
 """An adaptive context-mixing range coder for token ids, run on many blocks in step.
 
 A block of ids is coded by itself: its models begin anew and its checksum is its own. For each id, the order-2 and
-order-1 contexts (the ids before it) each predict an id with a confidence; of these the surer one is the candidate,
-the id before it if there is neither. Whether the candidate is right is one binary decision, whose probability is a
-logistic mix, with weights that learn, of what orders 2, 1 and 0 have seen. If it is wrong, the id follows as three
-digits of 6, 5 and 5 bits under adaptive order-0 frequencies in a tree, which begin as if frequency fell with the id. The
-decisions drive a range coder with 48-bit state and 16-bit words.
+order-1 contexts (the ids before it) each predict an id with a confidence; the surer one is the candidate. Whether it is
+right has a probability that is a logistic mix, with weights that learn, of what orders 2, 1 and 0 have seen. If it is
+wrong, the id's cell follows under adaptive order-0 frequencies, and its place in the cell, all of whose places are
+alike; cells hold few ids where ids are frequent. Both are one decision of a range coder with 62-bit state and 16-bit words.
 
-All arithmetic is in integers, so any machine reads what another wrote. numpy does a step of all blocks at a time.
+Models learn after RUN ids at a time, so what is the same for all ids of a run is worked out once: the mix of each pair of
+confidences, and frequencies. A writer, who knows all ids, works on a whole run of all blocks at once, but for the coder's
+range; a reader does a step of all blocks at a time. All arithmetic is in integers, so any machine reads what another wrote.
 """
 
 from __future__ import annotations
@@ -19,232 +20,286 @@ from functools import lru_cache
 
 import numpy as np
 
-MAGIC = b"TIDS0001"
-BLOCK = 4096
-SLOTS = 4096
-#: Bits of the three digits of an id.
-DIGITS = (6, 5, 5)
-ONE = 1 << 15  # frequencies' sum
-LEAST = 24  # what a digit keeps of it; over 16, or rounding could leave nothing at RATE
-RATE = 4
+MAGIC = b"TIDS0002"
+BLOCK = 2048
+SLOTS = 2048
+RUN = 64
+CELLS = 256
+#: Bits of the probability that a candidate is right, of a cell's, and of both.
+MIX, CELL = 12, 15
+BOTH = MIX + CELL
+STATE = 62
+TOP = STATE - 16  # the range has more bits than this before a decision
+MASK = (1 << STATE) - 1
+#: What a cell's count begins with and what an id adds to it.
+FIRST, STEP = 4, 24
 
 
 @lru_cache(1)
 def _logistic() -> tuple[np.ndarray, np.ndarray]:
     """squash: 4096 points from -8 to 8 to a 12-bit probability; stretch, its inverse."""
-    squash = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-(x - 2048) / 256))))) for x in range(4096)], dtype=np.int32)
-    stretch = np.array([0 if p == 0 else min(2047, max(-2047, round(256 * math.log(p / (4096 - p))))) for p in range(4096)], dtype=np.int32)
+    squash = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-(x - 2048) / 256))))) for x in range(4096)], dtype=np.int64)
+    stretch = np.array([0 if p == 0 else min(2047, max(-2047, round(256 * math.log(p / (4096 - p))))) for p in range(4096)], dtype=np.int64)
     return squash, stretch
 
 
 @lru_cache(1)
-def _beginning() -> list[np.ndarray]:
-    """For each digit (contexts, values): the cumulative frequencies before each value."""
-    weight = 1.0 / (np.arange(65536) + 200.0)
-    out, contexts = [], 1
-    for bits in DIGITS:
-        sums = weight.reshape(contexts, 1 << bits, -1).sum(axis=2)
-        share = sums / sums.sum(axis=1, keepdims=True)
-        before = np.cumsum(share, axis=1) - share
-        out.append((np.floor(before * (ONE - (LEAST << bits))).astype(np.int64) + np.arange(1 << bits) * LEAST).astype(np.int16))
-        contexts <<= bits
-    return out
+def _cells() -> tuple[np.ndarray, np.ndarray]:
+    """Each cell's first id and, in the four bits below it, those of its width, and each id's cell. Widths are powers of two that grow with the id."""
+    for sixteenths in range(16, 160):
+        first, bits, at = [], [], 0
+        while at < 65536:
+            bits.append(max(0, ((at + 64) * sixteenths >> 10).bit_length() - 1))
+            first.append(at)
+            at += 1 << bits[-1]
+        if len(first) <= CELLS:
+            break
+    of = np.searchsorted(first, np.arange(65536), side="right") - 1
+    spare = CELLS - len(first)  # cells that no id is in
+    return np.array([a << 4 | b for a, b in zip(first, bits, strict=True)] + [0] * spare), of
 
 
-@lru_cache(1)
-def _goals() -> list[np.ndarray]:
-    """For each digit (value, values): what cumulative frequencies move to when the value came."""
-    return [(np.arange(1 << b) * LEAST + np.where(np.arange(1 << b) > np.arange(1 << b)[:, None], ONE - (LEAST << b), 0)).astype(np.int16) for b in DIGITS]
+class _Models:
+    """What blocks have seen, a column a block."""
 
+    def __init__(self, lanes: int) -> None:
+        self.lanes = lanes
+        self.every = np.arange(lanes)
+        self.rows = self.every * CELLS
+        self.base = np.stack([self.every, self.every + lanes]) * SLOTS
+        # per context, of order 2 and then of order 1, a predicted id and, in the two bits above it, how often it was right of late
+        self.memory = np.zeros(2 * lanes * SLOTS, dtype=np.int32)
+        self.chance = [np.tile(np.array([[2048], [16384], [32768], [49152]]), lanes) for _ in range(3)]  # 16 bits: that a prediction of some confidence is right
+        self.told = [np.full((4, lanes), 4) for _ in range(3)]
+        self.weight = [np.full(lanes, 1 << 15) for _ in range(3)]
+        self.counts = np.full((lanes, CELLS), FIRST, dtype=np.int32)
+        self.new: list[np.ndarray] = []
+        self.runs = 0
+        self._mix()
+        self._share()
 
-class _Writer:
-    """Carries go into the word before; words that got more than 16 bits hand them on in the end."""
+    def _mix(self) -> None:
+        """The probability that a candidate is right, for (order 2, order 1) confidences."""
+        squash, stretch = _logistic()
+        two, one, none = (stretch.take(c >> 4) for c in self.chance)
+        self.inputs = [np.repeat(two, 4, axis=0), np.tile(one, (4, 1)), none.take(_SEEN, axis=0)]
+        sums = sum(w * x for w, x in zip(self.weight, self.inputs, strict=True))
+        self.mixed = squash.take(np.clip((sums >> 16) + 2048, 0, 4095))
+        self.odds = self.mixed.reshape(-1)
 
-    def __init__(self, lanes: int, steps: int) -> None:
-        self.low = np.zeros(lanes, dtype=np.uint64)
-        self.range = np.full(lanes, 1 << 48, dtype=np.uint64)
-        self.words = np.zeros((lanes, 4 * steps + 8), dtype=np.int32)
-        self.count = np.ones(lanes, dtype=np.int64)  # word 0 takes a carry out of the first
-        self.flat = self.words.reshape(-1)
-        self.width = self.words.shape[1]
+    def _share(self) -> None:
+        """Of each cell the frequencies before it and, in the 16 bits below them, its own; no cell has none."""
+        before = np.zeros((self.lanes, CELLS + 1), dtype=np.int32)
+        np.cumsum(self.counts, axis=1, out=before[:, 1:], dtype=np.int32)
+        before *= (((1 << CELL) - CELLS) << 12) // before[:, -1:]
+        before >>= 12
+        before += np.arange(CELLS + 1, dtype=np.int32)
+        self.shares = ((before[:, :-1] << 16) | (before[:, 1:] - before[:, :-1])).reshape(-1)
+        cuts = (before[:, 1:] - 1).astype(np.int16)
+        cuts[:, -1] = (1 << CELL) - 1
+        self.fine = cuts.reshape(-1, 16)  # last of each cell, by sixteens
+        self.coarse = np.ascontiguousarray(cuts[:, 15::16].T)
 
-    def open(self, lanes: np.ndarray | slice) -> None:
-        """The blocks that the next decisions are of."""
-        self.lanes = lanes
-        self.l, self.r, self.c = self.low[lanes], self.range[lanes], self.count[lanes]
-        self.base = np.arange(len(self.low))[lanes] * self.width
-
-    def close(self) -> None:
-        self.low[self.lanes], self.range[self.lanes], self.count[self.lanes] = self.l, self.r, self.c
-
-    def put(self, start: np.ndarray, size: np.ndarray) -> None:
-        self.r >>= np.uint64(15)
-        self.l += self.r * start.view(np.uint64)
-        self.r *= size.view(np.uint64)
-        carry = np.flatnonzero(self.l >> np.uint64(48))
-        if len(carry):
-            self.flat[self.base[carry] + self.c[carry] - 1] += 1
-            self.l[carry] &= np.uint64((1 << 48) - 1)
-        small = np.flatnonzero(self.r < np.uint64(1 << 32))
-        if len(small):
-            low, count = self.l[small], self.c[small]
-            self.flat[self.base[small] + count] = low >> np.uint64(32)
-            self.c[small] = count + 1
-            self.l[small] = (low & np.uint64(0xFFFFFFFF)) << np.uint64(16)
-            self.r[small] <<= np.uint64(16)
-
-    def done(self) -> list[bytes]:
-        for shift in (32, 16, 0):
-            self.words[np.arange(len(self.low)), self.count] = (self.low >> np.uint64(shift)) & np.uint64(0xFFFF)
-            self.count += 1
-        for i in range(int(self.count.max(initial=1)) - 1, 0, -1):
-            self.words[:, i - 1] += self.words[:, i] >> 16
-        self.words &= 0xFFFF
-        return [w[1:n].astype("<u2").tobytes() for w, n in zip(self.words, self.count.tolist(), strict=True)]
-
-
-class _Reader:
-    def __init__(self, payloads: list[bytes]) -> None:
-        self.width = max(map(len, payloads), default=0) // 2 + 8
-        w = np.zeros((len(payloads), self.width), dtype=np.uint16)
-        for i, p in enumerate(payloads):
-            w[i, : len(p) // 2] = np.frombuffer(p, dtype="<u2")
-        self.flat = w.reshape(-1)
-        first = w[:, :3].astype(np.uint64)
-        self.code = (first[:, 0] << np.uint64(32)) | (first[:, 1] << np.uint64(16)) | first[:, 2]
-        self.range = np.full(len(payloads), 1 << 48, dtype=np.uint64)
-        self.count = np.full(len(payloads), 3, dtype=np.int64)
-
-    def open(self, lanes: np.ndarray | slice) -> None:
-        self.lanes = lanes
-        self.l, self.r, self.c = self.code[lanes], self.range[lanes], self.count[lanes]
-        self.base = np.arange(len(self.code))[lanes] * self.width
-
-    def close(self) -> None:
-        self.code[self.lanes], self.range[self.lanes], self.count[self.lanes] = self.l, self.r, self.c
-
-    def value(self) -> np.ndarray:
-        self.r >>= np.uint64(15)
-        return np.minimum(self.l // self.r, np.uint64(ONE - 1)).view(np.int64)
-
-    def take(self, start: np.ndarray, size: np.ndarray) -> None:
-        self.l -= self.r * start.view(np.uint64)
-        self.r *= size.view(np.uint64)
-        small = np.flatnonzero(self.r < np.uint64(1 << 32))
-        if len(small):
-            count = self.c[small]
-            self.l[small] = (self.l[small] << np.uint64(16)) | self.flat[self.base[small] + np.minimum(count, self.width - 1)]
-            self.c[small] = count + 1
-            self.r[small] <<= np.uint64(16)
-
-
-def _run(sizes: np.ndarray, ids: np.ndarray | None, coder: _Writer | _Reader) -> np.ndarray:
-    """Codes or decodes blocks of the given sizes, which fall; ids is (longest, blocks), as is what it returns."""
-    lanes, longest = len(sizes), int(sizes.max(initial=0))
-    squash, stretch = _logistic()
-    goals = _goals()
-    writing = ids is not None
-    out = ids if writing else np.zeros((longest, lanes), dtype=np.int64)
-    every = np.arange(lanes)
-    # per context a predicted id and, in the three bits above it, how often it was right of late
-    memory = [np.zeros(lanes * SLOTS, dtype=np.int32) for _ in range(2)]
-    trees = [np.tile(rows, (lanes, 1)) for rows in _beginning()]
-    chance = [np.full(lanes * 8, 1 << 14, dtype=np.int32) for _ in range(3)]  # 16 bits: that a prediction of some confidence is right
-    weight = [np.full(lanes, 1 << 15, dtype=np.int32) for _ in range(3)]
-    p1, p2 = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
-    active = np.searchsorted(-sizes, -np.arange(longest), side="left")
-    n = -1
-    for t in range(longest):
-        if int(active[t]) != n:
-            n = int(active[t])
-            base, eights, all_n = every[:n] * SLOTS, every[:n] * 8, slice(0, n)
-            p1, p2 = p1[:n], p2[:n]
-        mixed1 = p1 * 40503
-        slots = (base + ((mixed1 >> 4) & (SLOTS - 1)), base + (((mixed1 + p2 * 30323) >> 3) & (SLOTS - 1)))
-        known = [m.take(s) for m, s in zip(memory, slots)]
-        guess, sure = [k & 0xFFFF for k in known], [k >> 16 for k in known]
-        candidate = np.where(sure[1] >= np.maximum(sure[0], 1), guess[1], np.where(sure[0] > 0, guess[0], p1))
-        same = [np.where(g == candidate, s, 0) for g, s in zip(guess, sure)]
-        seen = (eights + same[0], eights + same[1], eights + (same[0] > 0) * 2 + (same[1] > 0))
-        odds = [c.take(s) for c, s in zip(chance, seen)]
-        inputs = [stretch.take(o >> 4) for o in odds]
-        sums = weight[0][:n] * inputs[0] + weight[1][:n] * inputs[1] + weight[2][:n] * inputs[2]
-        p = squash.take(np.clip((sums >> 16) + 2048, 0, 4095))
-        split = p.astype(np.int64) << 3
-        coder.open(all_n)
-        if writing:
-            hit = out[t, :n] == candidate
-        else:
-            hit = coder.value() < split
-        start, size = np.where(hit, 0, split), np.where(hit, split, ONE - split)
-        if writing:
-            coder.put(start, size)
-        else:
-            coder.take(start, size)
-            out[t, :n] = candidate
-        coder.close()
-        error = (hit * np.int32(4096) - p) * np.int32(6)
-        target = hit * np.int32(65535)
-        for k in range(3):
-            weight[k][:n] += (inputs[k] * error + 0x8000) >> 16
-            chance[k][seen[k]] = odds[k] + ((target - odds[k]) >> 5)
-        miss = np.flatnonzero(~hit)
-        if len(miss):
-            coder.open(miss)
-            node = np.zeros(len(miss), dtype=np.int64)
-            whole = out[t, miss] if writing else None
-            line, left, rows_before = np.arange(len(miss)), 16, 1
-            for level, bits in enumerate(DIGITS):
-                width = 1 << bits
-                left -= bits
-                row = miss * rows_before + node
-                cut = trees[level].take(row, axis=0)
-                if writing:
-                    digit = (whole >> left) & (width - 1)
-                else:
-                    digit = np.count_nonzero(cut <= coder.value()[:, None].astype(np.int16), axis=1) - 1
-                flat = line * width + digit
-                cells = cut.reshape(-1)
-                start = cells.take(flat).astype(np.int64)
-                after = np.where(digit == width - 1, ONE, cells.take(np.minimum(flat + 1, len(cells) - 1)).astype(np.int64))
-                if writing:
-                    coder.put(start, after - start)
-                else:
-                    coder.take(start, after - start)
-                cut += (goals[level].take(digit, axis=0) - cut) >> RATE
-                trees[level][row] = cut
-                node = (node << bits) | digit
-                rows_before <<= bits
-            coder.close()
-            if not writing:
-                out[t, miss] = node
-        x = out[t, :n]
+    def slots(self, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+        """Where the memory has both contexts: (2, ...)."""
+        out = np.empty((2, *p1.shape), dtype=np.int64)
+        mixed = p1 * 40503
+        np.right_shift(mixed, 4, out=out[1])
+        mixed += p2 * 30323
+        np.right_shift(mixed, 3, out=out[0])
+        out &= SLOTS - 1
+        out += self.base if p1.ndim == 1 else self.base[:, None]
+        return out
+
+    def guess(self, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The candidate, and which pair of confidences it has (times blocks), from what the contexts' slots hold."""
+        two, one = held
+        first = (two | 0xFFFF) >= one
+        other = (two ^ one) & 0xFFFF == 0  # both predict it
+        sure, less = two >> 16, one >> 16
+        pair = np.multiply(sure, first | other, dtype=np.int32)
+        pair <<= 2
+        pair += less * (~first | other)
+        return np.where(first, two, one) & 0xFFFF, pair
+
+    def learn(self, x: np.ndarray, slots: np.ndarray, held: np.ndarray, met: np.ndarray, hit: np.ndarray, cell: np.ndarray) -> None:
+        """Take in a run's ids (steps, blocks); met says where odds has each pair, cell where counts has each cell."""
+        lanes = self.lanes
+        guess = held & 0xFFFF
+        right = guess == x
+        fresh = held < 0x20000  # not sure enough to stay when wrong; when right, both are the same
+        held >>= 16
+        np.minimum(held, 2, out=held)
+        held *= right
+        held += 1
+        held <<= 16
+        held |= np.where(fresh, x, guess)
         for k in range(2):
-            right = guess[k] == x
-            s = sure[k]
-            fresh = ~right & (s <= 1)
-            memory[k][slots[k]] = np.where(fresh, x, guess[k]) | (np.where(right, np.minimum(s + 1, 7), np.maximum(s >> 1, 1)) << 16)
-        p2 = p1
-        p1 = x.astype(np.int64)
-    return out
+            self.memory[slots[k].reshape(-1)] = held[k].reshape(-1)
+        n = np.bincount(met.reshape(-1), minlength=lanes * 16).reshape(4, 4, lanes)
+        h = np.bincount(met[hit], minlength=lanes * 16).reshape(4, 4, lanes)
+        error = (h << MIX).reshape(16, lanes) - n.reshape(16, lanes) * self.mixed
+        for k in range(3):
+            self.weight[k] += (self.inputs[k] * error).sum(axis=0) >> 13
+        for k, (a, b) in enumerate(zip(_sums(n), _sums(h), strict=True)):
+            self.told[k] = np.minimum(self.told[k] + a, 255)
+            self.chance[k] += ((b << 16) - a * self.chance[k]) // np.maximum(self.told[k], a + 1)
+            np.clip(self.chance[k], 64, 65472, out=self.chance[k])
+        self._mix()
+        self.new.append(cell[~hit])
+        self.runs += 1
+        if self.runs in (1, 2) or self.runs % 4 == 0:
+            met = np.bincount(np.concatenate(self.new), minlength=lanes * CELLS).reshape(lanes, CELLS)
+            self.counts += met.astype(np.int32) * np.int32(STEP)
+            self.new.clear()
+            self._share()
+
+
+#: Of a pair of confidences, what order 0 looks at: which of both are there.
+_SEEN = np.array([(two > 0) * 2 + (one > 0) for two in range(4) for one in range(4)])
+
+
+def _sums(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts by pair as counts by order-2 confidence, by order-1 confidence, and by which are there."""
+    return n.sum(axis=1), n.sum(axis=0), np.stack([n[0, 0], n[0, 1:].sum(axis=0), n[1:, 0].sum(axis=0), n[1:, 1:].sum(axis=(0, 1))])
+
+
+def _write(ids: np.ndarray) -> list[bytes]:
+    """The words of blocks of as many ids each: ids is (steps, blocks)."""
+    steps, lanes = ids.shape
+    models, (cells, of) = _Models(lanes), _cells()
+    before = np.zeros((steps + 2, lanes), dtype=np.int32)
+    before[2:] = ids
+    width = 5 * steps // 2 + 8  # an id takes 38 bits at most
+    words = np.zeros((lanes, width), dtype=np.int32)
+    flat = words.reshape(-1)
+    low, size = np.zeros(lanes, dtype=np.int64), np.full(lanes, 1 << (STATE - 1), dtype=np.int64)
+    at = models.every * width + 1  # word 0 takes a carry out of the first
+    lows, ats, due = (np.empty((RUN, lanes), dtype=kind) for kind in (np.int64, np.int64, np.int8))
+    for t in range(0, steps, RUN):
+        x = before[t + 2 : t + RUN + 2]
+        n = len(x)
+        slots = models.slots(before[t + 1 : t + 1 + n], before[t : t + n])
+        held = models.memory.take(slots)
+        candidate, pair = models.guess(held)
+        met = pair * lanes + models.every
+        cell = of.take(x)
+        hit, split, row = candidate == x, models.odds.take(met), models.rows + cell
+        share, inside = models.shares.take(row), cells.take(cell)
+        rest = (1 << MIX) - split
+        split <<= CELL
+        miss = ~hit
+        starts, sizes = (split + rest * (share >> 16)) * miss, np.where(hit, split, rest * (share & 0xFFFF))
+        shifts, places = (inside & 15) * miss, (x - (inside >> 4)) * miss
+        for i in range(n):
+            part = size >> BOTH
+            low += part * starts[i]
+            part *= sizes[i]
+            part >>= shifts[i]
+            low += part * places[i]
+            k = _words_due(part)
+            lows[i], ats[i], due[i] = low, at, k
+            at += k
+            k <<= 4
+            low &= MASK
+            low <<= k
+            low &= MASK
+            size = part << k
+        some, to, k = lows[:n].reshape(-1), ats[:n].reshape(-1), due[:n].reshape(-1)
+        carry = to[some > MASK] - 1  # into the word before, which may be of this run
+        for j in range(3):
+            out = np.flatnonzero(k > j)
+            some, to, k = some[out], to[out], k[out]
+            flat[to + j] = (some >> (TOP - 16 * j)) & 0xFFFF
+        np.add.at(flat, carry, 1)
+        models.learn(x, slots, held, met, hit, row)
+    flat[at] = (low + (1 << TOP) - 1) >> TOP  # a number within the range, and zeros behind it
+    count = at - models.every * width + 1
+    for i in range(int(count.max(initial=1)) - 1, 0, -1):
+        words[:, i - 1] += words[:, i] >> 16
+    return [w[1:n].astype("<u2").tobytes() for w, n in zip(words & 0xFFFF, count.tolist(), strict=True)]
+
+
+def _words_due(size: np.ndarray) -> np.ndarray:
+    """How many words a range lacks."""
+    k = (size < 1 << TOP).view(np.int8) + (size < 1 << (TOP - 16)).view(np.int8)
+    k += (size < 1 << (TOP - 32)).view(np.int8)
+    return k.astype(np.int64)
+
+
+def _read(payloads: list[bytes], steps: int) -> np.ndarray:
+    """The ids (steps, blocks) of words that _write() gave."""
+    lanes = len(payloads)
+    models, (inner, _) = _Models(lanes), _cells()
+    width = max(map(len, payloads), default=0) // 2 + 8
+    w = np.zeros((lanes, width), dtype=np.int64)
+    for i, p in enumerate(payloads):
+        w[i, : len(p) // 2] = np.frombuffer(p[: len(p) // 2 * 2], dtype="<u2")
+    window = w << TOP  # the STATE bits from each word on
+    for k, shift in ((1, TOP - 16), (2, TOP - 32)):
+        window[:, :-k] |= w[:, k:] << shift
+    window[:, :-3] |= w[:, 3:] >> (48 - TOP)
+    window = window.reshape(-1)
+    at, last = models.every * width, models.every * width + width - 4
+    low, size = window.take(at), np.full(lanes, 1 << (STATE - 1), dtype=np.int64)
+    groups = models.every * 16
+    out = np.zeros((steps + 2, lanes), dtype=np.int32)
+    fresh = np.array([(1 << 16 * k) - 1 for k in range(4)])
+    for t in range(0, steps, RUN):
+        n = min(RUN, steps - t)
+        slots, held = np.empty((2, n, lanes), dtype=np.int64), np.empty((2, n, lanes), dtype=np.int32)
+        mets, rows = np.empty((n, lanes), dtype=np.int64), np.empty((n, lanes), dtype=np.int64)
+        hits = np.empty((n, lanes), dtype=bool)
+        for i in range(n):
+            at_once = models.slots(out[t + i + 1], out[t + i])
+            known = models.memory.take(at_once)
+            slots[:, i], held[:, i] = at_once, known
+            candidate, pair = models.guess(known)
+            met = pair * lanes + models.every
+            split = models.odds.take(met)
+            rest = (1 << MIX) - split
+            split <<= CELL
+            part = size >> BOTH
+            value = (low.view(np.uint64) // part.view(np.uint64)).view(np.int64)
+            hit = value < split
+            value -= split
+            share = (value / rest).astype(np.int16)  # exact: neither has more bits than a float's 53
+            group = (models.coarse < share).view(np.uint8).sum(axis=0, dtype=np.uint8)
+            near = np.bitwise_count((models.fine.take(groups + group, axis=0) < share[:, None]).view(np.uint64))
+            cell = (group.astype(np.int64) << 4) + (near[:, 0] + near[:, 1])
+            row = models.rows + cell
+            share, inside, miss = models.shares.take(row), inner.take(cell), ~hit
+            low -= part * ((split + rest * (share >> 16)) * miss)
+            part *= np.where(hit, split, rest * (share & 0xFFFF))
+            part >>= (inside & 15) * miss
+            place = (low.view(np.uint64) // part.view(np.uint64)).view(np.int64)
+            low -= part * place
+            out[t + i + 2] = np.where(hit, candidate, (inside >> 4) + place) & 0xFFFF
+            mets[i], hits[i], rows[i] = met, hit, row
+            k = _words_due(part)
+            at = np.minimum(at + k, last)
+            new = window.take(at)
+            new &= fresh.take(k)
+            k <<= 4
+            low <<= k
+            low |= new
+            size = part << k
+        models.learn(out[t + 2 : t + n + 2], slots, held, mets, hits, rows)
+    return out[2:]
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
-    """A frame of ids under 65536: header, sizes and checksums of its blocks, their words."""
+    """A frame of ids under 65536: header, sizes and checksums of its blocks, their words. The last block is filled up with zeros."""
     ids = np.ascontiguousarray(ids, dtype="<u4")
     if len(ids) and int(ids.max()) > 0xFFFF:
         raise ValueError("an id of more than 16 bits")
     starts = range(0, len(ids), block)
-    sizes = np.array([min(block, len(ids) - s) for s in starts], dtype=np.int64)
-    table = np.zeros((int(sizes.max(initial=0)), len(sizes)), dtype=np.int64)
-    for i, s in enumerate(starts):
-        table[: sizes[i], i] = ids[s : s + block]
-    coder = _Writer(len(sizes), len(table))
-    if len(sizes):
-        _run(sizes, table, coder)
-    payloads = coder.done() if len(sizes) else []
-    head = [struct.pack("<III", n, len(p), zlib.crc32(ids[s : s + block].tobytes())) for n, p, s in zip(sizes.tolist(), payloads, starts, strict=True)]
-    return MAGIC + struct.pack("<III", len(ids), block, len(sizes)) + b"".join(head) + b"".join(payloads)
+    steps = min(block, len(ids))
+    table = np.zeros(len(starts) * steps, dtype=np.uint16)
+    table[: len(ids)] = ids
+    payloads = _write(table.reshape(-1, steps).T) if steps else []
+    head = [struct.pack("<III", min(block, len(ids) - s), len(p), zlib.crc32(ids[s : s + block].tobytes())) for p, s in zip(payloads, starts, strict=True)]
+    return MAGIC + struct.pack("<III", len(ids), block, len(starts)) + b"".join(head) + b"".join(payloads)
 
 
 def decode(frame: bytes) -> np.ndarray:
@@ -257,14 +312,13 @@ def decode(frame: bytes) -> np.ndarray:
     for _, size, _ in heads:
         payloads.append(frame[at : at + size])
         at += size
-    sizes = np.array([n for n, _, _ in heads], dtype=np.int64)
     if not count:
         return np.zeros(0, dtype="<u4")
-    table = _run(sizes, None, _Reader(payloads))
-    out = np.concatenate([table[:n, i] for i, (n, _, _) in enumerate(heads)]).astype("<u4")
+    out = np.ascontiguousarray(_read(payloads, min(block, total)).T, dtype="<u4").reshape(-1)
+    if sum(n for n, _, _ in heads) != total or len(out) < total:
+        raise ValueError("a frame with ids missing")
+    out = out[:total]
     for i, (n, _, crc) in enumerate(heads):
         if zlib.crc32(out[i * block : i * block + n].tobytes()) != crc:
             raise ValueError(f"block {i} is damaged")
-    if len(out) != total:
-        raise ValueError("a frame with ids missing")
     return out

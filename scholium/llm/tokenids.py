@@ -35,7 +35,7 @@ from .common import stored, text_list, text_slices
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
 #: Ids of a frame, about; a longer document makes a longer frame.
-FRAME = 1024 * mixcoder.BLOCK
+FRAME = 2048 * mixcoder.BLOCK
 MEMO_WORDS = 600_000
 
 
@@ -48,7 +48,7 @@ def _words() -> tuple[re.Pattern, re.Pattern]:
 
     def words(last: int) -> re.Pattern:
         letter, number = (_ranges([c for c in kinds[k] if c <= last]) for k in "LN")
-        return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
+        return re.compile(rf" ?[{letter}]+| ?[{number}]+|'(?:[stmd]|re|ve|ll)| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
 
     return words(0xFF), words(sys.maxunicode)
 
@@ -62,11 +62,11 @@ class _Encoder(dict):
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.chars = _byte_chars()
+        self.packed = [i.to_bytes(2, "little") for i in range(1 << 16)]
 
     def __missing__(self, word: str) -> bytes:
-        chars = self.chars
-        ids = [t.id for t in self.library.model.tokenize("".join([chars[b] for b in word.encode()]))]
-        found = self[word] = np.array(ids, dtype="<u2").tobytes()
+        chars, packed = self.chars, self.packed
+        found = self[word] = b"".join([packed[t.id] for t in self.library.model.tokenize("".join([chars[b] for b in word.encode()]))])
         return found
 
     def encode(self, text: str) -> np.ndarray:
