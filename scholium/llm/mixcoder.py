@@ -22,7 +22,7 @@ import numpy as np
 
 MAGIC = b"TIDS0002"
 BLOCK = 2048
-SLOTS = 2048
+SLOTS = 1024
 RUN = 64
 CELLS = 256
 #: Bits of the probability that a candidate is right, of a cell's, and of both.
@@ -39,7 +39,7 @@ FIRST, STEP = 4, 24
 def _logistic() -> tuple[np.ndarray, np.ndarray]:
     """squash: 4096 points from -8 to 8 to a 12-bit probability; stretch, its inverse."""
     squash = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-(x - 2048) / 256))))) for x in range(4096)], dtype=np.int64)
-    stretch = np.array([0 if p == 0 else min(2047, max(-2047, round(256 * math.log(p / (4096 - p))))) for p in range(4096)], dtype=np.int64)
+    stretch = np.array([-2047 if p == 0 else min(2047, max(-2047, round(256 * math.log(p / (4096 - p))))) for p in range(4096)], dtype=np.int64)
     return squash, stretch
 
 
@@ -144,7 +144,6 @@ class _Models:
         for k, (a, b) in enumerate(zip(_sums(n), _sums(h), strict=True)):
             self.told[k] = np.minimum(self.told[k] + a, 255)
             self.chance[k] += ((b << 16) - a * self.chance[k]) // np.maximum(self.told[k], a + 1)
-            np.clip(self.chance[k], 64, 65472, out=self.chance[k])
         self._mix()
         self.new.append(cell[~hit])
         self.runs += 1
@@ -215,9 +214,10 @@ def _write(ids: np.ndarray) -> list[bytes]:
         models.learn(x, slots, held, met, hit, row)
     flat[at] = (low + (1 << TOP) - 1) >> TOP  # a number within the range, and zeros behind it
     count = at - models.every * width + 1
-    for i in range(int(count.max(initial=1)) - 1, 0, -1):
-        words[:, i - 1] += words[:, i] >> 16
-    return [w[1:n].astype("<u2").tobytes() for w, n in zip(words & 0xFFFF, count.tolist(), strict=True)]
+    while len(over := np.flatnonzero(flat > 0xFFFF)):
+        flat[over] &= 0xFFFF
+        np.add.at(flat, over - 1, 1)
+    return [w[1:n].astype("<u2").tobytes() for w, n in zip(words, count.tolist(), strict=True)]
 
 
 def _words_due(size: np.ndarray) -> np.ndarray:
@@ -244,7 +244,7 @@ def _read(payloads: list[bytes], steps: int) -> np.ndarray:
     low, size = window.take(at), np.full(lanes, 1 << (STATE - 1), dtype=np.int64)
     groups = models.every * 16
     out = np.zeros((steps + 2, lanes), dtype=np.int32)
-    fresh = np.array([(1 << 16 * k) - 1 for k in range(4)])
+    shares = np.empty((lanes, 4), dtype=np.int64)  # of each block 16 times, as what they are compared with has rows of 16
     for t in range(0, steps, RUN):
         n = min(RUN, steps - t)
         slots, held = np.empty((2, n, lanes), dtype=np.int64), np.empty((2, n, lanes), dtype=np.int32)
@@ -263,9 +263,10 @@ def _read(payloads: list[bytes], steps: int) -> np.ndarray:
             value = (low.view(np.uint64) // part.view(np.uint64)).view(np.int64)
             hit = value < split
             value -= split
-            share = (value / rest).astype(np.int16)  # exact: neither has more bits than a float's 53
-            group = (models.coarse < share).view(np.uint8).sum(axis=0, dtype=np.uint8)
-            near = np.bitwise_count((models.fine.take(groups + group, axis=0) < share[:, None]).view(np.uint64))
+            share = (value / rest).astype(np.int64)  # exact: neither has more bits than a float's 53
+            group = (models.coarse < share.astype(np.int16)).view(np.uint8).sum(axis=0, dtype=np.uint8)
+            shares.T[:] = share * 0x0001000100010001
+            near = np.bitwise_count((models.fine.take(groups + group, axis=0) < shares.view(np.int16)).view(np.uint64))
             cell = (group.astype(np.int64) << 4) + (near[:, 0] + near[:, 1])
             row = models.rows + cell
             share, inside, miss = models.shares.take(row), inner.take(cell), ~hit
@@ -279,8 +280,8 @@ def _read(payloads: list[bytes], steps: int) -> np.ndarray:
             k = _words_due(part)
             at = np.minimum(at + k, last)
             new = window.take(at)
-            new &= fresh.take(k)
             k <<= 4
+            new &= ~(-1 << k)
             low <<= k
             low |= new
             size = part << k
