@@ -1,14 +1,16 @@
-"""An adaptive context-mixing range coder for token ids, run on many blocks in step.
-
-A block of ids is coded by itself: its models begin anew and its checksum is its own. For each id, the order-2 and
-order-1 contexts (the ids before it) each predict an id with a confidence; the surer one is the candidate. Whether it is
-right has a probability that is a logistic mix, with weights that learn, of what orders 2, 1 and 0 have seen. If it is
-wrong, the id's cell follows under adaptive order-0 frequencies, and its place in the cell, all of whose places are
-alike; cells hold few ids where ids are frequent. Both are one decision of a range coder with 62-bit state and 16-bit words.
-
-Models learn after RUN ids at a time, so what is the same for all ids of a run is worked out once: the mix of each pair of
-confidences, and frequencies. A writer, who knows all ids, works on a whole run of all blocks at once, but for the coder's
-range; a reader does a step of all blocks at a time. All arithmetic is in integers, so any machine reads what another wrote.
+"""An adaptive context-mixing range coder for token ids, run on many streams in step.
+
+A block of ids is coded by itself: its models begin anew and its checksum is its own. It is cut into streams of as many
+ids each, which share the block's models. For each id, the order-2 and order-1 contexts (the ids before it in its stream)
+each predict an id with a confidence; the surer one is the candidate. Whether it is right has a probability that is a
+logistic mix, with weights that learn, of what orders 2, 1 and 0 have seen. If it is wrong, the id's cell follows under
+adaptive order-0 frequencies, and its place in the cell, all of whose places are alike; cells hold few ids where ids are
+frequent. Both are one decision of a range coder with 52-bit state and 16-bit words.
+
+Models learn from all streams after a run of ids, short runs first. So what is the same for all ids of a run is worked out
+once and looked up in small tables: the mix by both confidences, and what each value of a decision means. A writer, who
+knows all ids, works on a whole run at once, but for the coder's range; a reader does a step of all streams at a time.
+All arithmetic is in integers, or in floats that are exact, so any machine reads what another wrote.
 """
 
 from __future__ import annotations
@@ -16,23 +18,26 @@ from __future__ import annotations
 import math
 import struct
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
-MAGIC = b"TIDS0002"
-BLOCK = 2048
-SLOTS = 1024
-RUN = 64
-CELLS = 256
+MAGIC = b"TIDS0003"
+BLOCK = 1 << 21
+#: Streams of a block at most, and ids of a stream at least if it isn't the only one.
+STREAMS, SHORTEST = 2048, 512
+SLOTS = 1 << 17
+RUN = 16
+CELLS = 1024
 #: Bits of the probability that a candidate is right, of a cell's, and of both.
 MIX, CELL = 12, 15
 BOTH = MIX + CELL
-STATE = 62
+STATE = 52  # so that a quotient's floor is that of the nearest float
 TOP = STATE - 16  # the range has more bits than this before a decision
 MASK = (1 << STATE) - 1
 #: What a cell's count begins with and what an id adds to it.
-FIRST, STEP = 4, 24
+FIRST, STEP = 1, 16
 
 
 @lru_cache(1)
@@ -45,8 +50,8 @@ def _logistic() -> tuple[np.ndarray, np.ndarray]:
 
 @lru_cache(1)
 def _cells() -> tuple[np.ndarray, np.ndarray]:
-    """Each cell's first id and, in the four bits below it, those of its width, and each id's cell. Widths are powers of two that grow with the id."""
-    for sixteenths in range(16, 160):
+    """Each cell's first id and, in the four bits above its 16, those of its width, and each id's cell. Widths are powers of two that grow with the id."""
+    for sixteenths in range(1, 160):
         first, bits, at = [], [], 0
         while at < 65536:
             bits.append(max(0, ((at + 64) * sixteenths >> 10).bit_length() - 1))
@@ -55,155 +60,141 @@ def _cells() -> tuple[np.ndarray, np.ndarray]:
         if len(first) <= CELLS:
             break
     of = np.searchsorted(first, np.arange(65536), side="right") - 1
-    spare = CELLS - len(first)  # cells that no id is in
-    return np.array([a << 4 | b for a, b in zip(first, bits, strict=True)] + [0] * spare), of
+    return np.array([b << 16 | a & 0xFFFF for a, b in zip(first, bits, strict=True)], dtype=np.int64), of.astype(np.int32)
+
+
+#: Of a key (both predict the same, order-2 confidence, order-1 confidence): what each order looks at, and whether order 2 names the candidate.
+_KEYS = np.arange(32)
+_TWO, _ONE, _SEEN = _KEYS >> 2 & 3, _KEYS & 3, (_KEYS >> 4) * 4 + ((_KEYS >> 2 & 3) > 0) * 2 + ((_KEYS & 3) > 0)
+_FIRST = _TWO >= _ONE
+#: A right candidate as a cell: it comes behind all cells.
+HIT = 1 << CELL << 36 | 1 << CELL << 20
+#: How many words a range lacks, by its exponent as a float's; what those words hold.
+_DUE = np.array([(e < 1023 + TOP) + (e < 1023 + TOP - 16) + (e < 1023 + TOP - 32) for e in range(2048)])
+_LOW = np.array([(1 << 16 * k) - 1 for k in range(4)])
 
 
 class _Models:
-    """What blocks have seen, a column a block."""
-
-    def __init__(self, lanes: int) -> None:
-        self.lanes = lanes
-        self.every = np.arange(lanes)
-        self.rows = self.every * CELLS
-        self.base = np.stack([self.every, self.every + lanes]) * SLOTS
-        # per context, of order 2 and then of order 1, a predicted id and, in the two bits above it, how often it was right of late
-        self.memory = np.zeros(2 * lanes * SLOTS, dtype=np.int32)
-        self.chance = [np.tile(np.array([[2048], [16384], [32768], [49152]]), lanes) for _ in range(3)]  # 16 bits: that a prediction of some confidence is right
-        self.told = [np.full((4, lanes), 4) for _ in range(3)]
-        self.weight = [np.full(lanes, 1 << 15) for _ in range(3)]
-        self.counts = np.full((lanes, CELLS), FIRST, dtype=np.int32)
-        self.new: list[np.ndarray] = []
-        self.runs = 0
+    """What a block has seen."""
+
+    def __init__(self) -> None:
+        self.inner, self.of = _cells()
+        # per context a predicted id and above its 16 bits how often it was right of late: two bits of order 1, then two of order 2
+        self.one = np.zeros(65536, dtype=np.int32)
+        self.two = np.zeros(SLOTS, dtype=np.int32)
+        self.chance = [np.array(c) for c in ([2048, 16384, 32768, 49152], [2048, 16384, 32768, 49152], [2048, 8192, 8192, 8192, 2048, 32768, 32768, 49152])]  # 16 bits: that a prediction is right
+        self.told = [np.full(len(c), 4) for c in self.chance]
+        self.weight = np.full(3, 1 << 15)
+        self.counts = np.full(len(self.inner), FIRST)
         self._mix()
         self._share()
 
     def _mix(self) -> None:
-        """The probability that a candidate is right, for (order 2, order 1) confidences."""
+        """The probability that a candidate is right, by key, and what is left for others."""
         squash, stretch = _logistic()
-        two, one, none = (stretch.take(c >> 4) for c in self.chance)
-        self.inputs = [np.repeat(two, 4, axis=0), np.tile(one, (4, 1)), none.take(_SEEN, axis=0)]
-        sums = sum(w * x for w, x in zip(self.weight, self.inputs, strict=True))
-        self.mixed = squash.take(np.clip((sums >> 16) + 2048, 0, 4095))
-        self.odds = self.mixed.reshape(-1)
+        self.inputs = np.stack([stretch[c >> 4][k] for c, k in zip(self.chance, (_TWO, _ONE, _SEEN), strict=True)])
+        self.mixed = squash[np.clip((self.weight @ self.inputs >> 16) + 2048, 0, 4095)]
+        self.rest = (1 << MIX) - self.mixed
 
     def _share(self) -> None:
-        """Of each cell the frequencies before it and, in the 16 bits below them, its own; no cell has none."""
-        before = np.zeros((self.lanes, CELLS + 1), dtype=np.int32)
-        np.cumsum(self.counts, axis=1, out=before[:, 1:], dtype=np.int32)
-        before *= (((1 << CELL) - CELLS) << 12) // before[:, -1:]
-        before >>= 12
-        before += np.arange(CELLS + 1, dtype=np.int32)
-        self.shares = ((before[:, :-1] << 16) | (before[:, 1:] - before[:, :-1])).reshape(-1)
-        cuts = (before[:, 1:] - 1).astype(np.int16)
-        cuts[:, -1] = (1 << CELL) - 1
-        self.fine = cuts.reshape(-1, 16)  # last of each cell, by sixteens
-        self.coarse = np.ascontiguousarray(cuts[:, 15::16].T)
-
-    def slots(self, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
-        """Where the memory has both contexts: (2, ...)."""
-        out = np.empty((2, *p1.shape), dtype=np.int64)
-        mixed = p1 * 40503
-        np.right_shift(mixed, 4, out=out[1])
-        mixed += p2 * 30323
-        np.right_shift(mixed, 3, out=out[0])
-        out &= SLOTS - 1
-        out += self.base if p1.ndim == 1 else self.base[:, None]
-        return out
-
-    def guess(self, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The candidate, and which pair of confidences it has (times blocks), from what the contexts' slots hold."""
+        """Of each cell the frequencies before it, its own, its width's bits and its first id, from the top in one number; the same by value, and HIT behind it."""
+        before = np.zeros(len(self.counts) + 1, dtype=np.int64)
+        np.cumsum(self.counts, out=before[1:])
+        before = before * ((1 << CELL) - len(self.counts)) // before[-1] + np.arange(len(before))
+        own = np.diff(before)
+        self.cell = before[:-1] << 36 | own << 20 | self.inner
+        self.value = np.append(np.repeat(self.cell, own), HIT)
+
+    def look(self, before: np.ndarray, last: np.ndarray, slots: np.ndarray, held: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The candidates after two ids. Into the other arrays go order 2's slots, what both contexts hold, and the keys."""
+        np.multiply(before, 0x85EBCA77, out=slots)
+        slots += last * 0x9E3779B1
+        slots >>= 14
+        slots &= SLOTS - 1
         two, one = held
-        first = (two | 0xFFFF) >= one
-        other = (two ^ one) & 0xFFFF == 0  # both predict it
-        sure, less = two >> 16, one >> 16
-        pair = np.multiply(sure, first | other, dtype=np.int32)
-        pair <<= 2
-        pair += less * (~first | other)
-        return np.where(first, two, one) & 0xFFFF, pair
-
-    def learn(self, x: np.ndarray, slots: np.ndarray, held: np.ndarray, met: np.ndarray, hit: np.ndarray, cell: np.ndarray) -> None:
-        """Take in a run's ids (steps, blocks); met says where odds has each pair, cell where counts has each cell."""
-        lanes = self.lanes
-        guess = held & 0xFFFF
-        right = guess == x
-        fresh = held < 0x20000  # not sure enough to stay when wrong; when right, both are the same
-        held >>= 16
-        np.minimum(held, 2, out=held)
-        held *= right
-        held += 1
-        held <<= 16
-        held |= np.where(fresh, x, guess)
-        for k in range(2):
-            self.memory[slots[k].reshape(-1)] = held[k].reshape(-1)
-        n = np.bincount(met.reshape(-1), minlength=lanes * 16).reshape(4, 4, lanes)
-        h = np.bincount(met[hit], minlength=lanes * 16).reshape(4, 4, lanes)
-        error = (h << MIX).reshape(16, lanes) - n.reshape(16, lanes) * self.mixed
-        for k in range(3):
-            self.weight[k] += (self.inputs[k] * error).sum(axis=0) >> 13
-        for k, (a, b) in enumerate(zip(_sums(n), _sums(h), strict=True)):
-            self.told[k] = np.minimum(self.told[k] + a, 255)
+        np.take(self.two, slots, out=two, mode="clip")
+        np.take(self.one, last, out=one, mode="clip")
+        same = two ^ one
+        same &= 0xFFFF
+        sure = two | one
+        sure >>= 16
+        sure += (same == 0).view(np.int8) << 4
+        key[...] = sure
+        return np.where(_FIRST[key], two, one) & 0xFFFF
+
+    def learn(self, x: np.ndarray, last: np.ndarray, slots: np.ndarray, held: np.ndarray, key: np.ndarray, hit: np.ndarray) -> None:
+        """Take in a run's ids."""
+        small = x.astype(np.int32)
+        for memory, at, was, bit in ((self.two, slots, held[0], 18), (self.one, last, held[1], 16)):
+            guess = was & 0xFFFF
+            right = guess == small
+            wrong = np.where(was >= 2 << bit, guess, small)  # sure enough to stay when wrong
+            wrong |= 1 << bit
+            was += 1 << bit
+            guess |= 3 << bit
+            np.minimum(was, guess, out=was)
+            memory[at.reshape(-1)] = np.where(right, was, wrong).reshape(-1)
+        n, h = np.bincount((key + (hit.view(np.int8) << 5)).reshape(-1), minlength=64).reshape(2, 32)
+        n += h
+        self.weight += (self.inputs @ ((h << MIX) - n * self.mixed)) // x.size >> 4
+        for k, by in enumerate((_TWO, _ONE, _SEEN)):
+            a, b = (np.bincount(by, weights=v).astype(np.int64) for v in (n, h))
+            self.told[k] = np.minimum(self.told[k] + a, 1 << 18)
             self.chance[k] += ((b << 16) - a * self.chance[k]) // np.maximum(self.told[k], a + 1)
         self._mix()
-        self.new.append(cell[~hit])
-        self.runs += 1
-        if self.runs in (1, 2) or self.runs % 4 == 0:
-            met = np.bincount(np.concatenate(self.new), minlength=lanes * CELLS).reshape(lanes, CELLS)
-            self.counts += met.astype(np.int32) * np.int32(STEP)
-            self.new.clear()
-            self._share()
+        self.counts += STEP * np.bincount(self.of[x[~hit]], minlength=len(self.counts))
+        self._share()
 
 
-#: Of a pair of confidences, what order 0 looks at: which of both are there.
-_SEEN = np.array([(two > 0) * 2 + (one > 0) for two in range(4) for one in range(4)])
+def _runs(steps: int) -> Iterator[tuple[int, int]]:
+    """Where a run begins and how many steps it has."""
+    at, n = 0, 4
+    while at < steps:
+        yield at, min(n, steps - at)
+        at, n = at + n, min(2 * n, RUN)
 
 
-def _sums(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts by pair as counts by order-2 confidence, by order-1 confidence, and by which are there."""
-    return n.sum(axis=1), n.sum(axis=0), np.stack([n[0, 0], n[0, 1:].sum(axis=0), n[1:, 0].sum(axis=0), n[1:, 1:].sum(axis=(0, 1))])
+def _shape(n: int) -> tuple[int, int]:
+    """Steps and streams of a block of n ids."""
+    streams = max(1, min(STREAMS, n // SHORTEST))
+    return -(-n // streams), streams
 
 
 def _write(ids: np.ndarray) -> list[bytes]:
-    """The words of blocks of as many ids each: ids is (steps, blocks)."""
+    """The words of streams of as many ids each: ids is (steps, streams)."""
     steps, lanes = ids.shape
-    models, (cells, of) = _Models(lanes), _cells()
-    before = np.zeros((steps + 2, lanes), dtype=np.int32)
+    models, every = _Models(), np.arange(lanes)
+    before = np.zeros((steps + 2, lanes), dtype=np.int64)
     before[2:] = ids
     width = 5 * steps // 2 + 8  # an id takes 38 bits at most
     words = np.zeros((lanes, width), dtype=np.int32)
     flat = words.reshape(-1)
     low, size = np.zeros(lanes, dtype=np.int64), np.full(lanes, 1 << (STATE - 1), dtype=np.int64)
-    at = models.every * width + 1  # word 0 takes a carry out of the first
+    at = every * width + 1  # word 0 takes a carry out of the first
     lows, ats, due = (np.empty((RUN, lanes), dtype=kind) for kind in (np.int64, np.int64, np.int8))
-    for t in range(0, steps, RUN):
-        x = before[t + 2 : t + RUN + 2]
-        n = len(x)
-        slots = models.slots(before[t + 1 : t + 1 + n], before[t : t + n])
-        held = models.memory.take(slots)
-        candidate, pair = models.guess(held)
-        met = pair * lanes + models.every
-        cell = of.take(x)
-        hit, split, row = candidate == x, models.odds.take(met), models.rows + cell
-        share, inside = models.shares.take(row), cells.take(cell)
-        rest = (1 << MIX) - split
-        split <<= CELL
-        miss = ~hit
-        starts, sizes = (split + rest * (share >> 16)) * miss, np.where(hit, split, rest * (share & 0xFFFF))
-        shifts, places = (inside & 15) * miss, (x - (inside >> 4)) * miss
+    room = np.empty((RUN, lanes), dtype=np.int64), np.empty((2, RUN, lanes), dtype=np.int32), np.empty((RUN, lanes), dtype=np.int64)
+    step = np.empty(lanes, dtype=np.int64)
+    for t, n in _runs(steps):
+        x, last = before[t + 2 : t + 2 + n], before[t + 1 : t + 1 + n]
+        slots, held, key = room[0][:n], room[1][:, :n], room[2][:n]
+        hit = models.look(before[t : t + n], last, slots, held, key) == x
+        cell = np.where(hit, HIT, models.cell[models.of[x]])
+        rest = models.rest[key]
+        starts, sizes = rest * (cell >> 36), np.where(hit, (1 << MIX) - rest, rest) * (cell >> 20 & 0xFFFF)
+        shifts, places = cell >> 16 & 15, (x - (cell & 0xFFFF)) * ~hit
         for i in range(n):
             part = size >> BOTH
-            low += part * starts[i]
+            low += np.multiply(part, starts[i], out=step)
             part *= sizes[i]
             part >>= shifts[i]
-            low += part * places[i]
+            low += np.multiply(part, places[i], out=step)
             k = _words_due(part)
             lows[i], ats[i], due[i] = low, at, k
             at += k
             k <<= 4
-            low &= MASK
             low <<= k
             low &= MASK
-            size = part << k
+            size = np.left_shift(part, k, out=part)
         some, to, k = lows[:n].reshape(-1), ats[:n].reshape(-1), due[:n].reshape(-1)
         carry = to[some > MASK] - 1  # into the word before, which may be of this run
         for j in range(3):
@@ -211,9 +202,9 @@ def _write(ids: np.ndarray) -> list[bytes]:
             some, to, k = some[out], to[out], k[out]
             flat[to + j] = (some >> (TOP - 16 * j)) & 0xFFFF
         np.add.at(flat, carry, 1)
-        models.learn(x, slots, held, met, hit, row)
+        models.learn(x, last, slots, held, key, hit)
     flat[at] = (low + (1 << TOP) - 1) >> TOP  # a number within the range, and zeros behind it
-    count = at - models.every * width + 1
+    count = at - every * width + 1
     while len(over := np.flatnonzero(flat > 0xFFFF)):
         flat[over] &= 0xFFFF
         np.add.at(flat, over - 1, 1)
@@ -222,16 +213,14 @@ def _write(ids: np.ndarray) -> list[bytes]:
 
 def _words_due(size: np.ndarray) -> np.ndarray:
     """How many words a range lacks."""
-    k = (size < 1 << TOP).view(np.int8) + (size < 1 << (TOP - 16)).view(np.int8)
-    k += (size < 1 << (TOP - 32)).view(np.int8)
-    return k.astype(np.int64)
+    return _DUE[size.astype(np.float64).view(np.int64) >> 52]
 
 
 def _read(payloads: list[bytes], steps: int) -> np.ndarray:
-    """The ids (steps, blocks) of words that _write() gave."""
+    """The ids (steps, streams) of words that _write() gave."""
     lanes = len(payloads)
-    models, (inner, _) = _Models(lanes), _cells()
-    width = max(map(len, payloads), default=0) // 2 + 8
+    models, every = _Models(), np.arange(lanes)
+    width = max(map(len, payloads), default=0) // 2 + 8 + 3 * RUN
     w = np.zeros((lanes, width), dtype=np.int64)
     for i, p in enumerate(payloads):
         w[i, : len(p) // 2] = np.frombuffer(p[: len(p) // 2 * 2], dtype="<u2")
@@ -240,86 +229,95 @@ def _read(payloads: list[bytes], steps: int) -> np.ndarray:
         window[:, :-k] |= w[:, k:] << shift
     window[:, :-3] |= w[:, 3:] >> (48 - TOP)
     window = window.reshape(-1)
-    at, last = models.every * width, models.every * width + width - 4
+    at, end = every * width, every * width + width - 4 - 3 * RUN
     low, size = window.take(at), np.full(lanes, 1 << (STATE - 1), dtype=np.int64)
-    groups = models.every * 16
-    out = np.zeros((steps + 2, lanes), dtype=np.int32)
-    shares = np.empty((lanes, 4), dtype=np.int64)  # of each block 16 times, as what they are compared with has rows of 16
-    for t in range(0, steps, RUN):
-        n = min(RUN, steps - t)
-        slots, held = np.empty((2, n, lanes), dtype=np.int64), np.empty((2, n, lanes), dtype=np.int32)
-        mets, rows = np.empty((n, lanes), dtype=np.int64), np.empty((n, lanes), dtype=np.int64)
-        hits = np.empty((n, lanes), dtype=bool)
+    out = np.zeros((steps + 2, lanes), dtype=np.int64)
+    room = np.empty((RUN, lanes), dtype=np.int64), np.empty((2, RUN, lanes), dtype=np.int32), np.empty((RUN, lanes), dtype=np.int64)
+    hits = np.empty((RUN, lanes), dtype=bool)
+    for t, n in _runs(steps):
+        slots, held, keys = room[0][:n], room[1][:, :n], room[2][:n]
         for i in range(n):
-            at_once = models.slots(out[t + i + 1], out[t + i])
-            known = models.memory.take(at_once)
-            slots[:, i], held[:, i] = at_once, known
-            candidate, pair = models.guess(known)
-            met = pair * lanes + models.every
-            split = models.odds.take(met)
-            rest = (1 << MIX) - split
-            split <<= CELL
+            key, hit = keys[i], hits[i]
+            candidate = models.look(out[t + i], out[t + i + 1], slots[i], held[:, i], key)
+            rest = models.rest[key]
             part = size >> BOTH
-            value = (low.view(np.uint64) // part.view(np.uint64)).view(np.int64)
-            hit = value < split
-            value -= split
-            share = (value / rest).astype(np.int64)  # exact: neither has more bits than a float's 53
-            group = (models.coarse < share.astype(np.int16)).view(np.uint8).sum(axis=0, dtype=np.uint8)
-            shares.T[:] = share * 0x0001000100010001
-            near = np.bitwise_count((models.fine.take(groups + group, axis=0) < shares.view(np.int16)).view(np.uint64))
-            cell = (group.astype(np.int64) << 4) + (near[:, 0] + near[:, 1])
-            row = models.rows + cell
-            share, inside, miss = models.shares.take(row), inner.take(cell), ~hit
-            low -= part * ((split + rest * (share >> 16)) * miss)
-            part *= np.where(hit, split, rest * (share & 0xFFFF))
-            part >>= (inside & 15) * miss
-            place = (low.view(np.uint64) // part.view(np.uint64)).view(np.int64)
+            share = (low / part).astype(np.int64)
+            share = (share / rest).astype(np.int64)
+            np.minimum(share, 1 << CELL, out=share)
+            np.equal(share, 1 << CELL, out=hit)
+            cell = models.value[share]
+            own = cell >> 20
+            own &= 0xFFFF
+            own *= np.where(hit, (1 << MIX) - rest, rest)
+            rest *= cell >> 36
+            rest *= part
+            low -= rest
+            part *= own
+            own = cell >> 16
+            own &= 15
+            part >>= own
+            place = (low / part).astype(np.int64)
             low -= part * place
-            out[t + i + 2] = np.where(hit, candidate, (inside >> 4) + place) & 0xFFFF
-            mets[i], hits[i], rows[i] = met, hit, row
+            place += cell
+            place &= 0xFFFF
+            out[t + i + 2] = np.where(hit, candidate, place)
             k = _words_due(part)
-            at = np.minimum(at + k, last)
-            new = window.take(at)
+            at += k
+            new = window[at]
+            new &= _LOW[k]
             k <<= 4
-            new &= ~(-1 << k)
             low <<= k
             low |= new
-            size = part << k
-        models.learn(out[t + 2 : t + n + 2], slots, held, mets, hits, rows)
+            size = np.left_shift(part, k, out=part)
+        np.minimum(at, end, out=at)  # a damaged block can ask for more words than there are
+        models.learn(out[t + 2 : t + n + 2], out[t + 1 : t + n + 1], slots, held, keys, hits[:n])
     return out[2:]
 
 
+def _pack(ids: np.ndarray) -> bytes:
+    """A block: sizes of its streams, their words. The last streams are filled up with zeros."""
+    steps, lanes = _shape(len(ids))
+    table = np.zeros(steps * lanes, dtype=np.int64)
+    table[: len(ids)] = ids
+    payloads = _write(table.reshape(lanes, steps).T)
+    return struct.pack(f"<{lanes}I", *map(len, payloads)) + b"".join(payloads)
+
+
+def _unpack(block: bytes, n: int) -> np.ndarray:
+    steps, lanes = _shape(n)
+    at, payloads = 4 * lanes, []
+    if len(block) < at:
+        raise ValueError("a block without its sizes")
+    for size in struct.unpack_from(f"<{lanes}I", block):
+        payloads.append(block[at : at + size])
+        at += size
+    return np.ascontiguousarray(_read(payloads, steps).T, dtype="<u4").reshape(-1)[:n]
+
+
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
-    """A frame of ids under 65536: header, sizes and checksums of its blocks, their words. The last block is filled up with zeros."""
+    """A frame of ids under 65536: header, sizes and checksums of its blocks, the blocks."""
     ids = np.ascontiguousarray(ids, dtype="<u4")
     if len(ids) and int(ids.max()) > 0xFFFF:
         raise ValueError("an id of more than 16 bits")
-    starts = range(0, len(ids), block)
-    steps = min(block, len(ids))
-    table = np.zeros(len(starts) * steps, dtype=np.uint16)
-    table[: len(ids)] = ids
-    payloads = _write(table.reshape(-1, steps).T) if steps else []
-    head = [struct.pack("<III", min(block, len(ids) - s), len(p), zlib.crc32(ids[s : s + block].tobytes())) for p, s in zip(payloads, starts, strict=True)]
-    return MAGIC + struct.pack("<III", len(ids), block, len(starts)) + b"".join(head) + b"".join(payloads)
+    cuts = [ids[s : s + block] for s in range(0, len(ids), block)]
+    packed = [_pack(x) for x in cuts]
+    heads = [struct.pack("<III", len(x), len(p), zlib.crc32(x.tobytes())) for x, p in zip(cuts, packed, strict=True)]
+    return MAGIC + struct.pack("<III", len(ids), block, len(cuts)) + b"".join(heads) + b"".join(packed)
 
 
 def decode(frame: bytes) -> np.ndarray:
     """The ids of a frame; each block is held against its checksum."""
     if frame[:8] != MAGIC:
         raise ValueError("not a frame of token ids")
-    total, block, count = struct.unpack_from("<III", frame, 8)
-    heads = [struct.unpack_from("<III", frame, 20 + 12 * i) for i in range(count)]
-    at, payloads = 20 + 12 * count, []
-    for _, size, _ in heads:
-        payloads.append(frame[at : at + size])
+    total, _, count = struct.unpack_from("<III", frame, 8)
+    at, found = 20 + 12 * count, [np.zeros(0, dtype="<u4")]
+    for i in range(count):
+        n, size, crc = struct.unpack_from("<III", frame, 20 + 12 * i)
+        found.append(_unpack(frame[at : at + size], n))
         at += size
-    if not count:
-        return np.zeros(0, dtype="<u4")
-    out = np.ascontiguousarray(_read(payloads, min(block, total)).T, dtype="<u4").reshape(-1)
-    if sum(n for n, _, _ in heads) != total or len(out) < total:
-        raise ValueError("a frame with ids missing")
-    out = out[:total]
-    for i, (n, _, crc) in enumerate(heads):
-        if zlib.crc32(out[i * block : i * block + n].tobytes()) != crc:
+        if zlib.crc32(found[-1].tobytes()) != crc:
             raise ValueError(f"block {i} is damaged")
+    out = np.concatenate(found)
+    if len(out) != total:
+        raise ValueError("a frame with ids missing")
     return out

@@ -6,8 +6,8 @@ are Parquet in the shared folder, written by Spark, so a lost executor costs its
 frame by itself; where a document starts in all ids follows from what its frame says of its file, and from the sums of
 the files before, a row a file.
 
-Texts are cut into the tokenizer's words, and each different word is encoded once by the tokenizers library's model;
-texts with a special token's string, or a character whose properties changed since Unicode 3.2, go through the library
+Texts are cut into the tokenizer's words, many texts at once, and each different word is encoded by the tokenizers library's
+model, as a rule once a worker; texts with a special token's string, or a character whose properties changed since Unicode 3.2, go through the library
 as a whole. Null texts are empty: their only id is END. Null ids come first, and rows of equal ids follow one another
 in the order of their texts' hashes. Other columns are ignored. An empty table makes no frame.
 """
@@ -29,59 +29,138 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from . import mixcoder
-from .bpe import _byte_chars, _patterns, _ranges
+from .bpe import _byte_chars, _patterns
 from .common import stored, text_list, text_slices
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
 #: Ids of a frame, about; a longer document makes a longer frame.
-FRAME = 2048 * mixcoder.BLOCK
+FRAME = 2 * mixcoder.BLOCK
 MEMO_WORDS = 600_000
+#: Characters that are cut into words at once, about.
+PIECE = 3_000_000
 
 
-@lru_cache(1)
-def _words() -> tuple[re.Pattern, re.Pattern]:
-    kinds: dict[str, list[int]] = {"L": [], "N": []}
-    for c in range(sys.maxunicode + 1):
-        if (k := unicodedata.category(chr(c))[0]) in kinds:
-            kinds[k].append(c)
-
-    def words(last: int) -> re.Pattern:
-        letter, number = (_ranges([c for c in kinds[k] if c <= last]) for k in "LN")
-        return re.compile(rf" ?[{letter}]+| ?[{number}]+|'(?:[stmd]|re|ve|ll)| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
-
-    return words(0xFF), words(sys.maxunicode)
+#: Kinds of characters; a text's END is set behind it.
+END_OF_TEXT, LETTER, NUMBER, OTHER, SPACE = range(5)
 
 
-class _Encoder(dict):
-    """Ids by word, as little-endian 16-bit numbers."""
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """The kind of each code point."""
+    kinds = np.full(sys.maxunicode + 1, OTHER, dtype=np.uint8)
+    for c in range(sys.maxunicode + 1):
+        ch = chr(c)
+        if (k := unicodedata.category(ch)[0]) in "LN":
+            kinds[c] = LETTER if k == "L" else NUMBER
+        elif ch.isspace():
+            kinds[c] = SPACE
+    return kinds
+
+
+def _starts(code: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where words begin in texts' code points, with one more behind each text, at ends, that is a word of its own.
+
+    A word is ` ?` and letters, numbers or others; or 's, 't, 'm, 'd, 're, 've, 'll that no space or other precedes; or white
+    space, whose last character is left out if a word follows."""
+    kind = _kinds()[code]
+    kind[ends] = END_OF_TEXT
+    starts = np.ones(len(code), dtype=bool)
+    np.not_equal(kind[1:], kind[:-1], out=starts[1:])
+    starts[ends] = True
+    before = kind == SPACE
+    plain = ~before
+    plain[ends] = False
+    before = before[:-1] & plain[1:]  # white space before a word
+    starts[:-1] |= before
+    before &= code[:-1] == 0x20
+    starts[1:] &= ~before
+    at = np.flatnonzero(code == 0x27)
+    at = at[starts[at]]
+    one = code[at + 1]
+    two = code[np.minimum(at + 2, len(code) - 1)]
+    short = at[np.isin(one, [0x73, 0x74, 0x6D, 0x64])]
+    long = at[np.isin(one, [0x72, 0x76]) & (two == 0x65) | (one == 0x6C) & (two == 0x6C)]
+    starts[short + 1] = starts[long + 1] = False
+    starts[short + 2] = starts[long + 3] = True
+    return np.flatnonzero(starts)
+
+
+_CUT = re.compile(r"(?<=\S)\s")
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """A text in pieces of PIECE characters, about, that no word spans."""
+    at = 0
+    while len(text) - at > PIECE and (m := _CUT.search(text, at + PIECE)):
+        yield text[at : m.start()]
+        at = m.start()
+    yield text[at:]
+
+
+class _Encoder:
+    """Texts to ids. Ids of words are kept, by their bytes: of those met of late, and of those before them."""
 
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.chars = _byte_chars()
+        self.chars = dict(enumerate(_byte_chars()))
         self.packed = [i.to_bytes(2, "little") for i in range(1 << 16)]
-
-    def __missing__(self, word: str) -> bytes:
-        chars, packed = self.chars, self.packed
-        found = self[word] = b"".join([packed[t.id] for t in self.library.model.tokenize("".join([chars[b] for b in word.encode()]))])
+        self.late: dict[bytes, bytes] = {}
+        self.early: dict[bytes, bytes] = {}
+
+    def word(self, word: bytes) -> bytes:
+        """A word's ids as little-endian 16-bit numbers."""
+        found = self.early.get(word)
+        if found is None:
+            packed = self.packed
+            found = b"".join([packed[t.id] for t in self.library.model.tokenize(word.decode("latin-1").translate(self.chars))])
+        if len(self.late) >= MEMO_WORDS // 2:
+            self.early, self.late = self.late, {}
+        self.late[word] = found
         return found
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         unsettled, _, _ = _patterns()
-        if unsettled.search(text) or "<|" in text and any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u2")
-        latin, every = _words()
-        try:
-            text.encode("latin-1")
-            words = latin.findall(text)
-        except UnicodeEncodeError:
-            words = every.findall(text)
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype="<u2")
+        out: list[np.ndarray] = [np.zeros(0, dtype="<u2")] * len(texts)
+        plain = []
+        for i, text in enumerate(texts):
+            if unsettled.search(text) or "<|" in text and any(s in text for s in self.special):
+                out[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u2")
+            elif len(text) > PIECE:
+                out[i] = np.concatenate([self._ids([piece])[0] for piece in _pieces(text)])
+            elif text:
+                plain.append(i)
+        for i, ids in zip(plain, self._ids([texts[i] for i in plain]) if plain else [], strict=True):
+            out[i] = ids
+        return out
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        joined = "\0".join([*texts, ""])
+        code = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4")
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        starts = _starts(code, ends)
+        own = np.searchsorted(starts, ends)  # the words that are ends of texts
+        data = joined.encode()
+        if len(data) > len(code):
+            starts = np.flatnonzero(np.frombuffer(data, dtype=np.int8) >= -64)[starts]  # bytes that begin a character
+        offsets = np.append(starts, len(data)).astype(np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        known = words.dictionary
+        _, offsets, data = known.buffers()
+        cuts, data = np.frombuffer(offsets, dtype=np.int64)[known.offset :][: len(known) + 1].tolist(), data.to_pybytes()
+        late, word = self.late.get, self.word
+        ids = [late(w := data[a:b]) or word(w) for a, b in zip(cuts, cuts[1:])]
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) >> 1
+        at, which = np.cumsum(size) - size, words.indices.to_numpy()
+        size = size[which]
+        size[own] = 0
+        after = np.cumsum(size)
+        place = np.repeat(at[which] - after + size, size)
+        place += np.arange(len(place))
+        return np.split(np.frombuffer(b"".join(ids), dtype="<u2")[place], after[own][:-1])
 
 
 @lru_cache(1)
@@ -110,9 +189,9 @@ def frames(docs: DataFrame, text: str = "text", id: str = "doc_id", path: str |
             ids.clear()
             return pa.RecordBatch.from_arrays(cells, names=["part", "first", "n_ids", "doc_ids", "lengths", "ids"])
 
-        for piece in text_slices(batches):
-            for t, i in zip(text_list(piece.column("text")), piece.column("doc_id").to_pylist(), strict=True):
-                own.append(np.append(encoder.encode(t), np.uint16(end)))
+        for piece in text_slices(batches, PIECE):
+            for found, i in zip(encoder.encode(text_list(piece.column("text"))), piece.column("doc_id").to_pylist(), strict=True):
+                own.append(np.append(found, np.uint16(end)))
                 ids.append(i)
                 size += len(own[-1])
                 if size >= frame:
