@@ -24,11 +24,13 @@ from functools import lru_cache
 import numpy as np
 
 MAGIC = b"TIDS0003"
-BLOCK = 1 << 21
+BLOCK = 4096 * 509
 #: Streams of a block at most, and ids of a stream at least if it isn't the only one.
-STREAMS, SHORTEST = 2048, 512
+STREAMS, SHORTEST = 4096, 500
 SLOTS = 1 << 17
 RUN = 16
+#: Ids of a block that models all learn from; later they do from one half of a run and the other by turns.
+ALL = 1 << 18
 CELLS = 1024
 #: Bits of the probability that a candidate is right, of a cell's, and of both.
 MIX, CELL = 12, 15
@@ -97,13 +99,13 @@ class _Models:
         self.rest = (1 << MIX) - self.mixed
 
     def _share(self) -> None:
-        """Of each cell the frequencies before it, its own, its width's bits and its first id, from the top in one number; the same by value, and HIT behind it."""
+        """Of each cell the frequencies before it, its own, its width's bits and its first id, from the top in one number."""
         before = np.zeros(len(self.counts) + 1, dtype=np.int64)
         np.cumsum(self.counts, out=before[1:])
         before = before * ((1 << CELL) - len(self.counts)) // before[-1] + np.arange(len(before))
         own = np.diff(before)
         self.cell = before[:-1] << 36 | own << 20 | self.inner
-        self.value = np.append(np.repeat(self.cell, own), HIT)
+        self.own = own
 
     def look(self, before: np.ndarray, last: np.ndarray, slots: np.ndarray, held: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The candidates after two ids. Into the other arrays go order 2's slots, what both contexts hold, and the keys."""
@@ -123,7 +125,7 @@ class _Models:
         return np.where(_FIRST[key], two, one) & 0xFFFF
 
     def learn(self, x: np.ndarray, last: np.ndarray, slots: np.ndarray, held: np.ndarray, key: np.ndarray, hit: np.ndarray) -> None:
-        """Take in a run's ids."""
+        """Take in ids of a run."""
         small = x.astype(np.int32)
         for memory, at, was, bit in ((self.two, slots, held[0], 18), (self.one, last, held[1], 16)):
             guess = was & 0xFFFF
@@ -146,11 +148,13 @@ class _Models:
         self._share()
 
 
-def _runs(steps: int) -> Iterator[tuple[int, int]]:
-    """Where a run begins and how many steps it has."""
+def _runs(steps: int, streams: int) -> Iterator[tuple[int, int, slice]]:
+    """Where a run begins, how many steps it has, and which of them models learn from."""
     at, n = 0, 4
     while at < steps:
-        yield at, min(n, steps - at)
+        n = min(n, steps - at)
+        half = n // 2
+        yield at, n, slice(n) if at * streams < ALL else slice(half + 1) if at // RUN % 2 else slice(half, n)
         at, n = at + n, min(2 * n, RUN)
 
 
@@ -174,7 +178,7 @@ def _write(ids: np.ndarray) -> list[bytes]:
     lows, ats, due = (np.empty((RUN, lanes), dtype=kind) for kind in (np.int64, np.int64, np.int8))
     room = np.empty((RUN, lanes), dtype=np.int64), np.empty((2, RUN, lanes), dtype=np.int32), np.empty((RUN, lanes), dtype=np.int64)
     step = np.empty(lanes, dtype=np.int64)
-    for t, n in _runs(steps):
+    for t, n, learnt in _runs(steps, lanes):
         x, last = before[t + 2 : t + 2 + n], before[t + 1 : t + 1 + n]
         slots, held, key = room[0][:n], room[1][:, :n], room[2][:n]
         hit = models.look(before[t : t + n], last, slots, held, key) == x
@@ -202,7 +206,7 @@ def _write(ids: np.ndarray) -> list[bytes]:
             some, to, k = some[out], to[out], k[out]
             flat[to + j] = (some >> (TOP - 16 * j)) & 0xFFFF
         np.add.at(flat, carry, 1)
-        models.learn(x, last, slots, held, key, hit)
+        models.learn(x[learnt], last[learnt], slots[learnt], held[:, learnt], key[learnt], hit[learnt])
     flat[at] = (low + (1 << TOP) - 1) >> TOP  # a number within the range, and zeros behind it
     count = at - every * width + 1
     while len(over := np.flatnonzero(flat > 0xFFFF)):
@@ -234,8 +238,9 @@ def _read(payloads: list[bytes], steps: int) -> np.ndarray:
     out = np.zeros((steps + 2, lanes), dtype=np.int64)
     room = np.empty((RUN, lanes), dtype=np.int64), np.empty((2, RUN, lanes), dtype=np.int32), np.empty((RUN, lanes), dtype=np.int64)
     hits = np.empty((RUN, lanes), dtype=bool)
-    for t, n in _runs(steps):
+    for t, n, learnt in _runs(steps, lanes):
         slots, held, keys = room[0][:n], room[1][:, :n], room[2][:n]
+        by_share = np.append(np.repeat(models.cell, models.own), HIT)
         for i in range(n):
             key, hit = keys[i], hits[i]
             candidate = models.look(out[t + i], out[t + i + 1], slots[i], held[:, i], key)
@@ -245,7 +250,7 @@ def _read(payloads: list[bytes], steps: int) -> np.ndarray:
             share = (share / rest).astype(np.int64)
             np.minimum(share, 1 << CELL, out=share)
             np.equal(share, 1 << CELL, out=hit)
-            cell = models.value[share]
+            cell = by_share[share]
             own = cell >> 20
             own &= 0xFFFF
             own *= np.where(hit, (1 << MIX) - rest, rest)
@@ -270,16 +275,16 @@ def _read(payloads: list[bytes], steps: int) -> np.ndarray:
             low |= new
             size = np.left_shift(part, k, out=part)
         np.minimum(at, end, out=at)  # a damaged block can ask for more words than there are
-        models.learn(out[t + 2 : t + n + 2], out[t + 1 : t + n + 1], slots, held, keys, hits[:n])
+        models.learn(out[t + 2 : t + n + 2][learnt], out[t + 1 : t + n + 1][learnt], slots[learnt], held[:, learnt], keys[learnt], hits[:n][learnt])
     return out[2:]
 
 
 def _pack(ids: np.ndarray) -> bytes:
     """A block: sizes of its streams, their words. The last streams are filled up with zeros."""
     steps, lanes = _shape(len(ids))
-    table = np.zeros(steps * lanes, dtype=np.int64)
+    table = np.zeros(steps * lanes, dtype=np.uint16)
     table[: len(ids)] = ids
-    payloads = _write(table.reshape(lanes, steps).T)
+    payloads = _write(np.ascontiguousarray(table.reshape(lanes, steps).T))
     return struct.pack(f"<{lanes}I", *map(len, payloads)) + b"".join(payloads)
 
 
@@ -291,7 +296,7 @@ def _unpack(block: bytes, n: int) -> np.ndarray:
     for size in struct.unpack_from(f"<{lanes}I", block):
         payloads.append(block[at : at + size])
         at += size
-    return np.ascontiguousarray(_read(payloads, steps).T, dtype="<u4").reshape(-1)[:n]
+    return np.ascontiguousarray(_read(payloads, steps).astype(np.uint16).T).reshape(-1)[:n].astype("<u4")
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:

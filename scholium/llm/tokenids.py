@@ -36,13 +36,13 @@ VOCABULARY = "byte_bpe_50k.json"
 END = 2
 #: Ids of a frame, about; a longer document makes a longer frame.
 FRAME = 2 * mixcoder.BLOCK
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_000_000
 #: Characters that are cut into words at once, about.
 PIECE = 3_000_000
 
 
-#: Kinds of characters; a text's END is set behind it.
-END_OF_TEXT, LETTER, NUMBER, OTHER, SPACE = range(5)
+#: Kinds of characters; what is set behind a text has one of its own.
+END_OF_TEXT, LETTER, NUMBER, OTHER, SPACE, UNSETTLED = range(6)
 
 
 @lru_cache(1)
@@ -55,16 +55,16 @@ def _kinds() -> np.ndarray:
             kinds[c] = LETTER if k == "L" else NUMBER
         elif ch.isspace():
             kinds[c] = SPACE
+    unsettled, _, _ = _patterns()
+    kinds[[ord(ch) for ch in unsettled.findall("".join(map(chr, range(sys.maxunicode + 1))))]] = UNSETTLED
     return kinds
 
 
-def _starts(code: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Where words begin in texts' code points, with one more behind each text, at ends, that is a word of its own.
+def _starts(code: np.ndarray, kind: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where words begin in texts' code points and their kinds, with one more behind each text, at ends, that is a word of its own.
 
     A word is ` ?` and letters, numbers or others; or 's, 't, 'm, 'd, 're, 've, 'll that no space or other precedes; or white
     space, whose last character is left out if a word follows."""
-    kind = _kinds()[code]
-    kind[ends] = END_OF_TEXT
     starts = np.ones(len(code), dtype=bool)
     np.not_equal(kind[1:], kind[:-1], out=starts[1:])
     starts[ends] = True
@@ -106,7 +106,7 @@ class _Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.chars = dict(enumerate(_byte_chars()))
+        self.chars = "".join(_byte_chars())
         self.packed = [i.to_bytes(2, "little") for i in range(1 << 16)]
         self.late: dict[bytes, bytes] = {}
         self.early: dict[bytes, bytes] = {}
@@ -125,23 +125,32 @@ class _Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         unsettled, _, _ = _patterns()
         out: list[np.ndarray] = [np.zeros(0, dtype="<u2")] * len(texts)
-        plain = []
+        whole, plain = [], []
         for i, text in enumerate(texts):
-            if unsettled.search(text) or "<|" in text and any(s in text for s in self.special):
-                out[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u2")
+            if "<|" in text and any(s in text for s in self.special) or len(text) > PIECE and unsettled.search(text):
+                whole.append(i)
             elif len(text) > PIECE:
-                out[i] = np.concatenate([self._ids([piece])[0] for piece in _pieces(text)])
+                out[i] = np.concatenate([self._ids([piece])[0][0] for piece in _pieces(text)])
             elif text:
                 plain.append(i)
-        for i, ids in zip(plain, self._ids([texts[i] for i in plain]) if plain else [], strict=True):
-            out[i] = ids
+        if plain:
+            found, odd = self._ids([texts[i] for i in plain])
+            for i, ids in zip(plain, found, strict=True):
+                out[i] = ids
+            whole += [plain[k] for k in odd]
+        for i in whole:
+            out[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, dtype="<u2")
         return out
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+    def _ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        """The ids of texts, and which of them only the library can tell."""
         joined = "\0".join([*texts, ""])
         code = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4")
         ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-        starts = _starts(code, ends)
+        kind = _kinds()[code]
+        kind[ends] = END_OF_TEXT
+        odd = np.unique(np.searchsorted(ends, np.flatnonzero(kind == UNSETTLED))).tolist() if kind.max() == UNSETTLED else []
+        starts = _starts(code, kind, ends)
         own = np.searchsorted(starts, ends)  # the words that are ends of texts
         data = joined.encode()
         if len(data) > len(code):
@@ -153,14 +162,14 @@ class _Encoder:
         cuts, data = np.frombuffer(offsets, dtype=np.int64)[known.offset :][: len(known) + 1].tolist(), data.to_pybytes()
         late, word = self.late.get, self.word
         ids = [late(w := data[a:b]) or word(w) for a, b in zip(cuts, cuts[1:])]
-        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) >> 1
-        at, which = np.cumsum(size) - size, words.indices.to_numpy()
+        size = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) >> 1
+        at, which = np.cumsum(size, dtype=size.dtype) - size, words.indices.to_numpy()
         size = size[which]
         size[own] = 0
-        after = np.cumsum(size)
+        after = np.cumsum(size, dtype=size.dtype)
         place = np.repeat(at[which] - after + size, size)
-        place += np.arange(len(place))
-        return np.split(np.frombuffer(b"".join(ids), dtype="<u2")[place], after[own][:-1])
+        place += np.arange(len(place), dtype=size.dtype)
+        return np.split(np.frombuffer(b"".join(ids), dtype="<u2")[place], after[own][:-1]), odd
 
 
 @lru_cache(1)
