@@ -29,8 +29,8 @@ BLOCK = 4096 * 509
 STREAMS, SHORTEST = 4096, 500
 SLOTS = 1 << 17
 RUN = 16
-#: Ids of a block that models all learn from; later they do from one half of a run and the other by turns.
-ALL = 1 << 18
+#: Ids of a block that models all learn from; later they do from a share of each run's steps, which goes round.
+ALL, SHARE = 1 << 18, 4
 CELLS = 1024
 #: Bits of the probability that a candidate is right, of a cell's, and of both.
 MIX, CELL = 12, 15
@@ -62,7 +62,7 @@ def _cells() -> tuple[np.ndarray, np.ndarray]:
         if len(first) <= CELLS:
             break
     of = np.searchsorted(first, np.arange(65536), side="right") - 1
-    return np.array([b << 16 | a & 0xFFFF for a, b in zip(first, bits, strict=True)], dtype=np.int64), of.astype(np.int32)
+    return np.array([b << 16 | a & 0xFFFF for a, b in zip(first, bits, strict=True)], dtype=np.int64), of
 
 
 #: Of a key (both predict the same, order-2 confidence, order-1 confidence): what each order looks at, and whether order 2 names the candidate.
@@ -153,8 +153,8 @@ def _runs(steps: int, streams: int) -> Iterator[tuple[int, int, slice]]:
     at, n = 0, 4
     while at < steps:
         n = min(n, steps - at)
-        half = n // 2
-        yield at, n, slice(n) if at * streams < ALL else slice(half + 1) if at // RUN % 2 else slice(half, n)
+        some = at // RUN % SHARE * n // SHARE
+        yield at, n, slice(n) if at * streams < ALL else slice(some, some + n // SHARE + 1)
         at, n = at + n, min(2 * n, RUN)
 
 

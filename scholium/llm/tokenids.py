@@ -38,7 +38,7 @@ END = 2
 FRAME = 2 * mixcoder.BLOCK
 MEMO_WORDS = 1_000_000
 #: Characters that are cut into words at once, about.
-PIECE = 3_000_000
+PIECE = 4_000_000
 
 
 #: Kinds of characters; what is set behind a text has one of its own.
@@ -111,15 +111,22 @@ class _Encoder:
         self.late: dict[bytes, bytes] = {}
         self.early: dict[bytes, bytes] = {}
 
-    def word(self, word: bytes) -> bytes:
-        """A word's ids as little-endian 16-bit numbers."""
-        found = self.early.get(word)
-        if found is None:
-            packed = self.packed
-            found = b"".join([packed[t.id] for t in self.library.model.tokenize(word.decode("latin-1").translate(self.chars))])
-        if len(self.late) >= MEMO_WORDS // 2:
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Words' ids as little-endian 16-bit numbers."""
+        found = list(map(self.late.get, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if len(self.late) + len(new) > MEMO_WORDS // 2:
             self.early, self.late = self.late, {}
-        self.late[word] = found
+        late, early, packed, tokenize = self.late, self.early.get, self.packed, self.library.model.tokenize
+        shown = b"".join([words[i] for i in new]).decode("latin-1").translate(self.chars)
+        at = 0
+        for i in new:
+            word = words[i]
+            ids = early(word)
+            if ids is None:
+                ids = b"".join([packed[t.id] for t in tokenize(shown[at : at + len(word)])])
+            late[word] = found[i] = ids
+            at += len(word)
         return found
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -160,8 +167,7 @@ class _Encoder:
         known = words.dictionary
         _, offsets, data = known.buffers()
         cuts, data = np.frombuffer(offsets, dtype=np.int64)[known.offset :][: len(known) + 1].tolist(), data.to_pybytes()
-        late, word = self.late.get, self.word
-        ids = [late(w := data[a:b]) or word(w) for a, b in zip(cuts, cuts[1:])]
+        ids = self.words([data[a:b] for a, b in zip(cuts, cuts[1:])])
         size = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) >> 1
         at, which = np.cumsum(size, dtype=size.dtype) - size, words.indices.to_numpy()
         size = size[which]
