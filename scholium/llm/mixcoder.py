@@ -125,7 +125,7 @@ class _Models:
         return np.where(_FIRST[key], two, one) & 0xFFFF
 
     def learn(self, x: np.ndarray, last: np.ndarray, slots: np.ndarray, held: np.ndarray, key: np.ndarray, hit: np.ndarray) -> None:
-        """Take in ids of a run."""
+        """Take in ids of a run; of those that share a context the last counts, as numpy assigns in order."""
         small = x.astype(np.int32)
         for memory, at, was, bit in ((self.two, slots, held[0], 18), (self.one, last, held[1], 16)):
             guess = was & 0xFFFF
@@ -314,10 +314,12 @@ def decode(frame: bytes) -> np.ndarray:
     """The ids of a frame; each block is held against its checksum."""
     if frame[:8] != MAGIC:
         raise ValueError("not a frame of token ids")
-    total, _, count = struct.unpack_from("<III", frame, 8)
+    total, block, count = struct.unpack_from("<III", frame, 8)
     at, found = 20 + 12 * count, [np.zeros(0, dtype="<u4")]
     for i in range(count):
         n, size, crc = struct.unpack_from("<III", frame, 20 + 12 * i)
+        if n != min(block, total - i * block):
+            raise ValueError(f"block {i} is not of as many ids as it says")
         found.append(_unpack(frame[at : at + size], n))
         at += size
         if zlib.crc32(found[-1].tobytes()) != crc:

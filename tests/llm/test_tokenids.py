@@ -45,6 +45,8 @@ def test_blocks_of_any_shape(n):
     for block in (mixcoder.BLOCK, 150_000):
         frame = mixcoder.encode(ids, block)
         assert np.array_equal(mixcoder.decode(frame), ids)
+        with pytest.raises(ValueError, match="as many ids"):
+            mixcoder.decode(frame[:23] + bytes([frame[23] ^ 1]) + frame[24:])
         with pytest.raises(ValueError):
             mixcoder.decode(frame[:28] + bytes([frame[28] ^ 1]) + frame[29:])
         with pytest.raises(ValueError):
