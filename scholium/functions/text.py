@@ -307,9 +307,10 @@ def character(code: Column) -> Column:
     return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(point), 8, "0"))), "UTF-32")  # the mark tells the order of bytes
 
 
-def bibtex_key(first_author: Column, year: Column, title: Column) -> Column:
-    """Last name, year, and the first longer word of the title."""
-    name = F.coalesce(F.get(F.reverse(words(F.coalesce(first_author, F.lit("Unknown")))), 0), F.lit("unknown"))
-    cleaned = F.transform(words(F.coalesce(title, F.lit(""))), lambda w: F.regexp_replace(w, r"(?U)[^\w]", ""))
+def bibtex_key(first_author: Column, year: Column, title: Column, unknown: str = "unknown") -> Column:
+    """Last name, year, and the first longer word of the title, of letters, numerals and underscores; `unknown` for a name without words."""
+    plain = lambda w: F.regexp_replace(w, r"[^\p{L}\p{N}_]", "")
+    name = F.coalesce(F.get(F.reverse(words(F.coalesce(first_author, F.lit("Unknown")))), 0), F.lit(unknown))
+    cleaned = F.transform(words(F.coalesce(title, F.lit(""))), plain)
     long = F.filter(cleaned, lambda w: (F.length(w) > 3) & ~F.lower(w).isin(KEY_STOP_WORDS))
-    return F.concat(F.regexp_replace(name, r"(?U)[^\w]", ""), F.coalesce(year.cast("string"), F.lit("nodate")), F.lower(F.coalesce(F.get(long, 0), F.lit(""))))
+    return F.concat(plain(name), F.coalesce(year.cast("string"), F.lit("nodate")), F.lower(F.coalesce(F.get(long, 0), F.lit(""))))

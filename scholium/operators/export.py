@@ -34,9 +34,9 @@ def script_lines(records: DataFrame) -> DataFrame:
     return records.join(F.broadcast(last)).select("index", F.concat(F.when(F.col("index") == 0, "window.DATA=[").otherwise(""), "json", F.when(F.col("index") == F.col("_last"), "];").otherwise(",")).alias("line"))
 
 
-def bibtex_keys(papers: DataFrame, first_author: Column, year: Column, title: Column, order: str) -> DataFrame:
+def bibtex_keys(papers: DataFrame, first_author: Column, year: Column, title: Column, order: str, unknown: str = "unknown") -> DataFrame:
     """papers with `key`: those that share one get b, c, … in order after the first, and on through all code points."""
-    keyed = papers.withColumn("_key", bibtex_key(first_author, year, title))
+    keyed = papers.withColumn("_key", bibtex_key(first_author, year, title, unknown))
     n = F.row_number().over(Window.partitionBy("_key").orderBy(order))
     return keyed.withColumn("key", F.concat("_key", F.when(n > 1, character(n + 96)).otherwise(""))).drop("_key")
 
