@@ -24,8 +24,11 @@ def _paragraph(*parts: Column) -> Column:
     return F.concat_ws("\n", *parts)
 
 
-def entry(schools_label: str = "School(s)") -> Column:
-    """The block of one paper: heading, authors, venue, schools, figures, links, annotation, each where it is there."""
+def entry(schools_label: str = "School(s)", untitled: str | None = "Untitled") -> Column:
+    """The block of one paper: heading, authors, venue, schools, figures, links, annotation, each where it is there.
+
+    A heading without a title says `untitled`; where that is None an empty title stays empty, and a null one makes the block null.
+    """
     figures = F.concat_ws(
         " | ", F.concat(F.lit("AI Relevance: **"), F.nullif(blank(F.col("ai_relevance")), F.lit("unknown")), F.lit("**")), F.when(F.size("subfields") > 0, F.concat(F.lit("Subfields: "), F.array_join("subfields", ", "))),
         F.concat(F.lit("Citations: "), F.col("citation_count").cast("string")), F.when(F.col("publication_type").isin("grant", "preprint"), F.concat(F.lit("Type: **"), "publication_type", F.lit("**"))),
@@ -33,13 +36,15 @@ def entry(schools_label: str = "School(s)") -> Column:
     link = lambda name, address: F.concat(F.lit(f"[{name}]("), address, F.lit(")"))
     links = F.concat_ws(" · ", link("DOI", F.concat(F.lit("https://doi.org/"), blank(F.col("doi")))), link("Source", blank(F.col("url"))), link("PDF", blank(F.col("pdf_url"))))
     authors = F.coalesce(author_line(F.transform("authors", lambda a: F.coalesce(a["name"], F.lit("Unknown")))), F.lit(""))
-    return _paragraph(
-        F.concat(F.lit("#### "), F.coalesce(blank(F.col("title")), F.lit("Untitled")), F.lit("\n")), F.concat(F.lit("**"), authors, F.lit("** ("), F.coalesce(F.col("year").cast("string"), F.lit("n.d.")), F.lit(")")), F.concat(F.lit("*"), blank(F.col("venue")), F.lit("*")),
+    title = F.col("title") if untitled is None else F.coalesce(blank(F.col("title")), F.lit(untitled))
+    block = _paragraph(
+        F.concat(F.lit("#### "), title, F.lit("\n")), F.concat(F.lit("**"), authors, F.lit("** ("), F.coalesce(F.col("year").cast("string"), F.lit("n.d.")), F.lit(")")), F.concat(F.lit("*"), blank(F.col("venue")), F.lit("*")),
         F.when(F.size("bu_schools") > 0, F.concat(F.lit(f"\n{schools_label}: "), F.array_join("bu_schools", ", "))), F.concat(F.lit("\n"), blank(figures)), F.concat(F.lit("\n"), blank(links)), F.concat(F.lit("\n> "), blank(F.col("annotation"))), F.lit(""),
     )
+    return F.when(title.isNotNull(), block)
 
 
-def blocks(papers: DataFrame, title: str, generated: str, schools_label: str = "School(s)") -> DataFrame:
+def blocks(papers: DataFrame, title: str, generated: str, schools_label: str = "School(s)", untitled: str | None = "Untitled") -> DataFrame:
     """(part, school, domain, kind, y, c, index, text): headings and papers; sorted by ORDER, nulls first, they are the text.
 
     Papers of both categories stand in two parts. Within a part papers are by first other school (not where the part is
@@ -54,7 +59,7 @@ def blocks(papers: DataFrame, title: str, generated: str, schools_label: str = "
     domain = F.when(F.col("part") < 2, F.coalesce(F.get("domains", 0), F.lit("Uncategorized"))).otherwise("")
     placed = papers.withColumn("part", F.explode(of)).withColumns({"_school": school, "_domain": domain})
     falling = lambda c: -F.coalesce(F.col(c), F.lit(0)).cast("long")
-    rows = placed.select("part", F.col("_school").alias("school"), F.col("_domain").alias("domain"), F.lit(3).alias("kind"), falling("year").alias("y"), falling("citation_count").alias("c"), F.col("index").cast("long").alias("index"), entry(schools_label).alias("text"))
+    rows = placed.select("part", F.col("_school").alias("school"), F.col("_domain").alias("domain"), F.lit(3).alias("kind"), falling("year").alias("y"), falling("citation_count").alias("c"), F.col("index").cast("long").alias("index"), entry(schools_label, untitled).alias("text"))
 
     sums = placed.groupBy("part", F.col("_school").alias("school"), F.col("_domain").alias("domain")).agg(F.count(F.lit(1)).alias("n"))
     head = lambda marks, name: F.concat(F.lit(marks + " "), name, F.lit(" ("), F.col("n").cast("string"), F.lit(" papers)\n"))

@@ -29,3 +29,7 @@ def same(spark, folder, name):
 
 def test_keys(spark, folder):
     same(spark, folder, "q_bibtex_keys")
+
+
+def test_blocks(spark, folder):
+    same(spark, folder, "q_document")
