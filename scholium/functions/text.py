@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
-from html.entities import html5
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,8 +39,8 @@ def _character(code: Column) -> Column:
     return F.when(none, F.lit("\ufffd")).when(control, F.lit("")).when(code.between(0x80, 0x9F), F.substring(F.lit(_WINDOWS), code.cast("int") - 0x7F, F.lit(1))).otherwise(char)
 
 
-#: Names of references with what they stand for, as one text to look in: a table in the plan would be copied and sorted there.
-_NAMES = "\u0001" + "".join(f"{name}\u0002{value}\u0001" for name, value in html5.items())
+#: Names of references with what they stand for, as one text to look in, those of HTML 4 first: a table in the plan would be copied and sorted there.
+_NAMES = "\u0001" + "".join(f"{name}\u0002{html5[name]}\u0001" for name in sorted(html5, key=lambda n: n.rstrip(";") not in name2codepoint))
 _BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
 
 
@@ -48,28 +48,28 @@ def unescape(c: Column) -> Column:
     """Numeric character references, and the named ones of HTML 5, each replaced once.
 
     A name that is none takes as its reference the longest old name that it begins with, which needs no semicolon.
+    The text is read once for its references, however many there are.
     """
     pattern = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
     names = F.lit(_NAMES)
 
     def found(name: Column) -> Column:
-        key = F.concat(F.lit("\u0001"), name, F.lit("\u0002"))
-        at = F.position(key, names)
-        return F.when(at > 0, F.split_part(F.substring(names, at + F.length(key), F.lit(3)), F.lit("\u0001"), F.lit(1)))
+        at = F.position(F.concat(F.lit("\u0001"), name, F.lit("\u0002")), names)
+        return once(at, lambda a: F.when(a > 0, F.split_part(F.substring(names, a + F.length(name) + 2, F.lit(3)), F.lit("\u0001"), F.lit(1))))
 
     def value(ref: Column) -> Column:
         hexadecimal = F.lower(F.left(ref, F.lit(3))) == "&#x"
         digits = F.ltrim(F.regexp_replace(ref, "[&#xX;]", ""), F.lit("0"))
         read = F.call_function("conv", F.concat(F.lit("0"), digits), F.when(hexadecimal, 16).otherwise(10), F.lit(10)).cast("long")
-        number = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(read)
-        numeric = F.get(F.transform(F.array(number), _character), 0)  # the number is worked out once
+        numeric = once(F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(read), _character)
         name = F.substring(ref, 2, 1 << 20)
         bare = F.regexp_extract(ref, f"^&({_BARE})", 1)
-        named = F.coalesce(found(name), F.concat(found(bare), F.substring(ref, F.length(bare) + 2, F.lit(1 << 20))), ref)
+        begun = once(bare, lambda b: F.concat(found(b), F.substring(ref, F.length(b) + 2, F.lit(1 << 20))))
+        named = F.coalesce(once(name, found), begun, ref)
         return F.when(F.startswith(ref, F.lit("&#")), numeric).otherwise(named)
 
     refs = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
-    parts = F.transform(F.split(c, pattern), lambda p, i: F.concat(p, F.coalesce(value(F.get(refs, i)), F.lit(""))))
+    parts = F.zip_with(F.split(c, pattern), refs, lambda p, ref: F.concat(p, F.coalesce(value(ref), F.lit(""))))
     return F.when(F.contains(c, F.lit("&")), F.array_join(parts, "")).otherwise(c)
 
 

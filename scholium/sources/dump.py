@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import unescape
+from ..functions.text import once, unescape
 from .parsers import _author, record
 
 TAGS = ("article", "inproceedings", "incollection", "proceedings", "phdthesis")
@@ -26,12 +28,13 @@ def cut(lines: Iterable[str], tags: Sequence[str] = TAGS, most: int = RECORD_CHA
     """(text, whole) of each element with one of the tags, in order; one inside another is part of it.
 
     An element without an end within `most` characters, or before the lines end, comes as far as it was read, not whole,
-    and the search for the next one goes on after that line.
+    and the search for the next one goes on after that line. Lines may come many at a time, joined by line feeds.
     """
     start = re.compile(rf"<({'|'.join(map(re.escape, tags))})(?=[\s>]|$)")
     held: list[str] = []
     size, end = 0, ""
-    for line in lines:
+    coming, single = iter(lines), iter(())
+    while (line := next(single, None)) is not None or (line := next(coming, None)) is not None:
         at = 0
         while True:
             if not end:
@@ -40,6 +43,10 @@ def cut(lines: Iterable[str], tags: Sequence[str] = TAGS, most: int = RECORD_CHA
                     break
                 at, end = found.start(), f"</{found[1]}>"
             close = line.find(end, at)
+            ends = line.rfind("\n", at, close) if close >= 0 else len(line) if "\n" in line else -1
+            if ends >= at and size + ends - at + 1 > most:  # too long by then: which line is the last one shows line by line
+                single = chain(line[at:].split("\n"), single)
+                break
             if close < 0:
                 held += [line[at:], "\n"]
                 size += len(line) - at + 1
@@ -58,9 +65,17 @@ def dump_records(spark: SparkSession, path: str, tags: Sequence[str] = TAGS, par
     """(file, text, whole): the records of gzipped files, dealt out to tasks. Other files may be read too, if Spark does not split them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def joined() -> Iterator[tuple[str, str]]:
+            """(file, lines) of one file, joined."""
+            for b in batches:
+                runs, first = pc.run_end_encode(b.column("file")), 0
+                for name, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                    yield name, "\n".join(b.column("value").slice(first, end - first).to_pylist())
+                    first = end
+
         def files() -> Iterator[tuple[str, Iterator[str]]]:
             """Each file with its lines; files come one after the other."""
-            pairs = ((f, t) for b in batches for f, t in zip(b.column("file").to_pylist(), b.column("value").to_pylist()))
+            pairs = joined()
             ahead = next(pairs, None)
 
             def lines(name: str) -> Iterator[str]:
@@ -99,16 +114,20 @@ ENTRY = "_key string, author array<string>, title string, year string, booktitle
 def _parsed(text: Column) -> Column:
     """An entry's fields. Attributes and markup within a field are dropped, its text stays."""
     named = F.regexp_replace(text, r"&(amp|lt|gt|quot|apos|#\d+|#x[0-9A-Fa-f]+);", "\u0001$1;")
-    known = F.regexp_replace(unescape(named), r"&(?=[A-Za-z])", "&amp;")
-    kept = F.regexp_replace(known, "\u0001", "&")
+    known = F.regexp_replace(once(named, unescape), r"&(?=[A-Za-z])", "&amp;")
+    kept = F.replace(known, F.lit("\u0001"), F.lit("&"))
     bare = F.regexp_replace(kept, r"<(/?)(i|b|sub|sup|tt|ref|u|em|span)(?:\s[^<>]*)?>", "")
     plain = F.regexp_replace(bare, r"<(author|title|year|booktitle|journal|ee)\s[^<>]*>", "<$1>")
     return F.from_xml(plain, ENTRY)
 
 
 def index_entries(dump: DataFrame, harvested_at: str = "") -> DataFrame:
-    """Papers of a computing index's dump (dump_records' rows): whole records that have authors and a title."""
-    raw = dump.filter("whole").select(_parsed(F.col("text")).alias("e"), F.regexp_extract("text", r"^<(\w+)", 1).alias("kind")).select("kind", "e.*").filter("size(author) > 0 and trim(title) <> ''")
+    """Papers of a computing index's dump (dump_records' rows): whole records that have authors and a title.
+
+    A record is parsed once and after it was dealt out: as a generator's input it is not copied into the filter, which
+    would go down to the task that reads the file.
+    """
+    raw = dump.filter("whole").select(F.regexp_extract("text", r"^<(\w+)", 1).alias("kind"), F.inline(F.array(_parsed(F.col("text"))))).filter("size(author) > 0 and trim(title) <> ''")
     name = lambda a: F.regexp_replace(F.trim(a), r"\s+\d{4}$", "")
     address = F.get(F.filter("ee", lambda e: F.contains(e, F.lit("doi.org/"))), 0)
     return record(

@@ -89,3 +89,22 @@ def test_records_are_dealt_out_by_number(spark, tmp_path):
     rows = dump.dump_records(spark, str(tmp_path / "b.xml.gz"))
     assert rows.columns == ["file", "text", "whole"] and rows.count() == 2
     assert "RoundRobin" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_many_lines_at_a_time(seed):
+    """Lines that come joined give what they give one by one, damaged records too."""
+    r = random.Random(seed)
+    for _ in range(400):
+        lines = ["".join(r.choices(["<article", "<article>", "<article k='1'>", "</article>", "<phdthesis>", "</phdthesis>", "x", " ", "<articles>"], k=r.randrange(5))) for _ in range(20)]
+        most = r.choice([0, 3, 10, 25, 60, 1000])
+        spots = sorted(r.sample(range(1, 20), 4))
+        joined = ["\n".join(lines[a:b]) for a, b in zip([0, *spots], [*spots, 20])]
+        assert list(dump.cut(joined, most=most)) == list(dump.cut(lines, most=most))
+
+
+def test_records_are_parsed_once_and_after_they_were_dealt_out(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<article><author>A</author><title>T</title></article>\n")
+    plan = dump.index_entries(dump.dump_records(spark, str(tmp_path)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") == 1
+    assert plan.index("from_xml(") < plan.index("RepartitionByExpression") < plan.index("MapInArrow")

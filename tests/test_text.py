@@ -112,3 +112,11 @@ def test_a_name_is_folded_once(spark):
     names = spark.createDataFrame([("José A. Núñez-Pérez",), ("Madonna",), ("Ann  Lee",), (None,)], "n string").select(T.name_key(F.col("n")).alias("k"))
     assert [r["k"] for r in names.collect()] == ["nunez-perez jose", "madonna", "lee ann", None]
     assert names._jdf.queryExecution().analyzed().toString().count("translate(") == 1
+
+
+def test_references_are_searched_once(spark):
+    """Searching a text anew for each of its references takes time that grows with the square of their number."""
+    plan = spark.range(1).select(T.unescape(F.col("id").cast("string")).alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(") == 1
+    many = spark.range(1).select(F.repeat(F.lit("a &eacute;&#233;&#xE9;&eacute&notit;&nope; &"), 500).alias("t"))
+    assert many.select(T.unescape(F.col("t")).alias("t")).first().t == "a éééé¬it;&nope; &" * 500
