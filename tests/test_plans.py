@@ -69,3 +69,9 @@ def test_pairs_of_profiles_are_not_moved(spark):
 def test_authors_are_parsed_once(spark):
     plan = registry.queries()["q_author_shapes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("parse_json(") + plan.lower().count("parsejson(") <= 1
+
+
+def test_people_and_profiles_meet_sorted(spark):
+    """Repeated people are sent through the driver if Spark takes them to be as small as they were before."""
+    plan = registry.queries()["q_split_profiles"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert next(line for line in plan.splitlines() if "Join" in line).strip("+- ").startswith("SortMergeJoin")
